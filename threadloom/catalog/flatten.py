@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom import fixtures as fx
 from threadloom.operators import flatten as fl
+from threadloom.operators.skew import spread_join
 
 # The same items, straight from the conversations table.
 THREADS = """
@@ -190,10 +191,13 @@ def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.orphans(kept).groupBy("source", "content_type").agg(F.count(F.lit(1)).alias("n_orphans"))
 
 
-def spread_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The item table built with every parent treated as hot, so all joins are salted."""
-    spread = fl.unified_items(fx.reddit_data(spark, sf_dir), fx.quora_data(spark, sf_dir), shares=10_000, floor=1)
-    return spread.select("content_item_id", "full_text_context", "snapshot_id", "community_or_channel_name")
+def salted_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with the opening of its conversation, joined with each conversation treated as hot."""
+    turns = fx.table(spark, sf_dir, "conversations").withColumn("row", F.concat_ws(":", "conv_id", "turn"))
+    openings = turns.filter("turn = 0").select("conv_id", F.col("text").alias("opening"))
+    counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = spread_join(turns, openings, "conv_id", "row", counts, floor=1)
+    return joined.select("conv_id", "turn", F.md5("opening").alias("opening_md5"), F.length("text").cast("bigint").alias("chars"))
 
 
 QUERIES = {
@@ -212,7 +216,7 @@ QUERIES = {
     "media_lists": media_lists,
     "thread_lineage": thread_lineage,
     "orphans": orphans,
-    "spread_context": spread_context,
+    "salted_context": salted_context,
 }
 
 SQL = {
@@ -255,6 +259,6 @@ SQL = {
     SELECT source, content_type, count(*) AS n_orphans FROM kept k
     WHERE parent_content_item_id IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM kept p WHERE p.content_item_id = k.parent_content_item_id) GROUP BY 1, 2""",
-    "spread_context": f"""WITH {ITEMS}
-    SELECT content_item_id, full_text_context, snapshot_id, community_or_channel_name FROM items""",
+    "salted_context": """SELECT c.conv_id, c.turn, md5(o.text) AS opening_md5, length(c.text) AS chars
+    FROM conversations c JOIN conversations o ON o.conv_id = c.conv_id AND o.turn = 0""",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.coerce import list_or_empty
 from threadloom.functions.ids import stable_id
 from threadloom.operators.latest import latest_by, version_order
-from threadloom.operators.skew import FLOOR, SHARES, spread_join
+from threadloom.operators.skew import skew_join
 
 
 @dataclass(frozen=True)
@@ -97,20 +97,31 @@ def posts_base(raw: DataFrame, platform: Platform) -> DataFrame:
     )
 
 
-def comments_base(posts: DataFrame, platform: Platform) -> DataFrame:
+def _unnest(df: DataFrame, keep: list[str], array: str, fields: list[str | None]) -> DataFrame:
+    """One row per element of ``array``, as struct ``e`` of the named fields.
+
+    Zipping the single fields instead of exploding the whole struct keeps all other nested columns out of the
+    scan: a comment pass does not read the replies.
+    """
+    names = [f for f in fields if f]
+    zipped = F.arrays_zip(*[F.col(f"{array}.{f}") for f in names])
+    return df.select(*keep, F.explode(zipped).alias("e"))
+
+
+def comments_base(posts: DataFrame, platform: Platform, with_replies: bool = True) -> DataFrame:
     """Comment versions of the kept post versions, with their stable ids. Empty and NULL lists give no rows."""
     level = platform.comment
-    rows = posts.select("post_id", "record_load_timestamp", "snapshot_id", F.explode("children").alias("c"))
-    flat = rows.filter(F.col(f"c.{level.text}").isNotNull()).select(
-        "post_id",
-        "record_load_timestamp",
-        "snapshot_id",
-        _field("c", level.url, "string").alias("url"),
-        F.col(f"c.{level.author}").alias("author"),
-        F.col(f"c.{level.text}").alias("text"),
-        _field("c", level.upvotes, "bigint").alias("upvotes"),
-        F.col(f"c.{level.at}").alias("at"),
-        F.col(f"c.{level.children}").alias("children"),
+    fields = [level.author, level.text, level.at, level.upvotes, level.url]
+    keep = ["post_id", "record_load_timestamp", "snapshot_id"]
+    rows = _unnest(posts, keep, "children", fields + [level.children if with_replies else None])
+    flat = rows.filter(F.col(f"e.{level.text}").isNotNull()).select(
+        *keep,
+        _field("e", level.url, "string").alias("url"),
+        F.col(f"e.{level.author}").alias("author"),
+        F.col(f"e.{level.text}").alias("text"),
+        _field("e", level.upvotes, "bigint").alias("upvotes"),
+        F.col(f"e.{level.at}").alias("at"),
+        *([F.col(f"e.{level.children}").alias("children")] if with_replies else []),
     )
     prefix = f"{platform.source.lower()}_comment_gen_"
     return flat.withColumn("comment_id", stable_id(prefix, F.col("post_id"), F.col("author"), F.col("at"), F.col("text")))
@@ -123,19 +134,15 @@ def replies_base(comments: DataFrame, platform: Platform, reply_id_includes_text
     id; ``reply_id_includes_text`` hashes the text instead.
     """
     level = platform.reply
-    rows = comments.select(
-        "post_id", "comment_id", "record_load_timestamp", "snapshot_id", F.explode("children").alias("r")
-    )
-    flat = rows.filter(F.col(f"r.{level.text}").isNotNull()).select(
-        "post_id",
-        "comment_id",
-        "record_load_timestamp",
-        "snapshot_id",
-        _field("r", level.url, "string").alias("url"),
-        F.col(f"r.{level.author}").alias("author"),
-        F.col(f"r.{level.text}").alias("text"),
-        _field("r", level.upvotes, "bigint").alias("upvotes"),
-        F.col(f"r.{level.at}").alias("at"),
+    keep = ["post_id", "comment_id", "comment_text", "record_load_timestamp", "snapshot_id"]
+    rows = _unnest(comments.withColumnRenamed("text", "comment_text"), keep, "children", [level.author, level.text, level.at, level.upvotes, level.url])
+    flat = rows.filter(F.col(f"e.{level.text}").isNotNull()).select(
+        *keep,
+        _field("e", level.url, "string").alias("url"),
+        F.col(f"e.{level.author}").alias("author"),
+        F.col(f"e.{level.text}").alias("text"),
+        _field("e", level.upvotes, "bigint").alias("upvotes"),
+        F.col(f"e.{level.at}").alias("at"),
     )
     last = "author" if platform.reply_id_repeats_author and not reply_id_includes_text else "text"
     prefix = f"{platform.source.lower()}_reply_gen_"
@@ -149,133 +156,132 @@ def latest_posts(posts: DataFrame) -> DataFrame:
 
 
 def latest_comments(comments: DataFrame) -> DataFrame:
-    return latest_by(comments.drop("children"), ["comment_id"], version_order("at", "text"))
+    return latest_by(comments, ["comment_id"], version_order("at", "text"))
 
 
 def latest_replies(replies: DataFrame) -> DataFrame:
     return latest_by(replies, ["reply_id"], version_order("at", "text"))
 
 
-_NO_STRINGS = "array<string>"
+def project_posts(best_posts: DataFrame, platform: Platform) -> DataFrame:
+    """Newest posts as items. The text is the title alone; the body is the context."""
+    return _items(
+        best_posts.select(
+            "*",
+            F.lit("post").alias("content_type"),
+            F.col("post_id").alias("content_item_id"),
+            F.lit(None).cast("string").alias("parent_content_item_id"),
+            F.col("title").alias("primary_text"),
+            F.col("body").alias("full_text_context"),
+        ),
+        platform,
+    )
 
 
-def _items(df: DataFrame, platform: Platform, kind: str, **columns: Column) -> DataFrame:
-    """The 18 columns of the item table, given those that differ by level."""
-    empty = F.array().cast(_NO_STRINGS)
-    return df.select(
-        F.lit(platform.source).alias("source"),
-        F.lit(kind).alias("content_type"),
-        columns["item_id"].alias("content_item_id"),
-        columns["parent_id"].cast("string").alias("parent_content_item_id"),
-        F.col("post_id").alias("top_level_post_id"),
-        columns["url"].alias("content_item_url"),
-        F.col("author").alias("author_username"),
-        columns["text"].alias("primary_text"),
-        columns["context"].alias("full_text_context"),
-        F.col("upvotes").alias("engagement_score"),
-        F.col("at").alias("content_timestamp"),
-        columns["community"].alias("community_or_channel_name"),
-        empty.alias("hashtags"),
-        empty.alias("mentions"),
-        columns.get("media", empty).alias("media_urls"),
-        columns.get("videos", empty).alias("video_urls"),
-        columns["loaded"].alias("record_load_timestamp"),
-        columns["snapshot"].alias("snapshot_id"),
-        *[column.alias(name) for name, column in columns.items() if name.startswith("_")],
+def _comment_rows(best_comments: DataFrame) -> DataFrame:
+    return best_comments.select(
+        F.lit("comment").alias("content_type"),
+        F.col("comment_id").alias("content_item_id"),
+        F.col("post_id").alias("parent_content_item_id"),
+        "post_id", "url", "author", "text", "upvotes", "at",
+        F.col("text").alias("own_context"),
     )
 
 
-def project_posts(best_posts: DataFrame, platform: Platform) -> DataFrame:
-    return _items(
-        best_posts, platform, "post",
-        item_id=F.col("post_id"), parent_id=F.lit(None), url=F.col("url"), text=F.col("title"),
-        context=F.col("body"), community=F.col("community"), media=F.col("media_urls"), videos=F.col("video_urls"),
-        loaded=F.col("record_load_timestamp"), snapshot=F.col("snapshot_id"),
+def _reply_rows(best_replies: DataFrame) -> DataFrame:
+    return best_replies.select(
+        F.lit("reply").alias("content_type"),
+        F.col("reply_id").alias("content_item_id"),
+        F.col("comment_id").alias("parent_content_item_id"),
+        "post_id", "url", "author", "text", "upvotes", "at",
+        F.concat("comment_text", F.lit(" "), "text").alias("own_context"),
     )
 
 
-def project_comments(
-    best_comments: DataFrame, best_posts: DataFrame, child_counts: DataFrame, platform: Platform,
-    shares: int = SHARES, floor: int = FLOOR,
-) -> DataFrame:
-    """Newest comments with the context of their newest post. ``child_counts(post_id, n)`` guides the join."""
+def _project_children(children: DataFrame, best_posts: DataFrame, platform: Platform) -> DataFrame:
+    """Comments and replies with the context of their newest post.
+
+    A comment's id covers its text, so a reply brings its comment's text along from its own record and one join
+    with the posts serves both levels.
+    """
+    none = F.array().cast("array<string>")
     context = best_posts.select(
         "post_id",
         F.col("url").alias("post_url"),
         F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("body", F.lit(""))).alias("thread"),
-        F.col("community").alias("post_community"),
-        F.col("record_load_timestamp").alias("post_loaded"),
-        F.col("snapshot_id").alias("post_snapshot"),
+        "community",
+        "record_load_timestamp",
+        "snapshot_id",
+        none.alias("media_urls"),
+        none.alias("video_urls"),
     )
-    rows = best_comments.select("post_id", "comment_id", "url", "author", "text", "upvotes", "at")
-    joined = spread_join(rows, context, "post_id", "comment_id", child_counts, shares=shares, floor=floor)
+    joined = skew_join(children, context, "post_id")
+    own_url = {"comment": platform.comment.url, "reply": platform.reply.url}
+    with_url = F.col("content_type").isin([kind for kind, field in own_url.items() if field])
     return _items(
-        joined, platform, "comment",
-        item_id=F.col("comment_id"), parent_id=F.col("post_id"),
-        url=F.col("url") if platform.comment.url else F.col("post_url"), text=F.col("text"),
-        context=F.concat("thread", F.lit(" "), "text"), community=F.col("post_community"),
-        loaded=F.col("post_loaded"), snapshot=F.col("post_snapshot"),
-        _post_url=F.col("post_url"),
+        joined.withColumns(
+            {
+                "url": F.when(with_url, F.col("url")).otherwise(F.col("post_url")),
+                "primary_text": F.col("text"),
+                "full_text_context": F.concat("thread", F.lit(" "), "own_context"),
+            }
+        ),
+        platform,
     )
 
 
-def project_replies(
-    best_replies: DataFrame, comment_items: DataFrame, child_counts: DataFrame, platform: Platform,
-    shares: int = SHARES, floor: int = FLOOR,
-) -> DataFrame:
-    """Newest replies with the context of their newest comment and post.
+def project_comments(best_comments: DataFrame, best_posts: DataFrame, platform: Platform) -> DataFrame:
+    return _project_children(_comment_rows(best_comments), best_posts, platform)
 
-    A comment item already carries its newest post's columns and text, so one join replaces two.
-    """
-    context = comment_items.select(
-        F.col("content_item_id").alias("comment_id"),
-        F.col("_post_url").alias("post_url"),
-        F.col("full_text_context").alias("thread"),
-        F.col("community_or_channel_name").alias("post_community"),
-        F.col("record_load_timestamp").alias("post_loaded"),
-        F.col("snapshot_id").alias("post_snapshot"),
-    )
-    rows = best_replies.select("post_id", "comment_id", "reply_id", "url", "author", "text", "upvotes", "at")
-    joined = spread_join(rows, context, "comment_id", "reply_id", child_counts, shares=shares, floor=floor)
-    return _items(
-        joined, platform, "reply",
-        item_id=F.col("reply_id"), parent_id=F.col("comment_id"),
-        url=F.col("url") if platform.reply.url else F.col("post_url"), text=F.col("text"),
-        context=F.concat("thread", F.lit(" "), "text"), community=F.col("post_community"),
-        loaded=F.col("post_loaded"), snapshot=F.col("post_snapshot"),
+
+def project_replies(best_replies: DataFrame, best_posts: DataFrame, platform: Platform) -> DataFrame:
+    return _project_children(_reply_rows(best_replies), best_posts, platform)
+
+
+def _items(df: DataFrame, platform: Platform) -> DataFrame:
+    """The 18 columns of the item table."""
+    none = F.array().cast("array<string>")
+    return df.select(
+        F.lit(platform.source).alias("source"),
+        "content_type",
+        "content_item_id",
+        "parent_content_item_id",
+        F.col("post_id").alias("top_level_post_id"),
+        F.col("url").alias("content_item_url"),
+        F.col("author").alias("author_username"),
+        "primary_text",
+        "full_text_context",
+        F.col("upvotes").alias("engagement_score"),
+        F.col("at").alias("content_timestamp"),
+        F.col("community").alias("community_or_channel_name"),
+        none.alias("hashtags"),
+        none.alias("mentions"),
+        "media_urls",
+        "video_urls",
+        "record_load_timestamp",
+        "snapshot_id",
     )
 
 
-def platform_items(
-    raw: DataFrame, platform: Platform, reply_id_includes_text: bool = False,
-    shares: int = SHARES, floor: int = FLOOR,
-) -> DataFrame:
+def platform_items(raw: DataFrame, platform: Platform, reply_id_includes_text: bool = False) -> DataFrame:
     """All newest items of one platform.
 
     Versions are reduced before the levels are joined: the newest of a join equals the join of the newest, as an
     item's id fixes its parent, and joining versions with versions would grow with their product.
     """
     posts = posts_base(raw, platform)
-    comments = comments_base(posts, platform)
-    replies = replies_base(comments, platform, reply_id_includes_text)
-    # Upper bounds of children per parent, read from list sizes: no text is touched.
-    per_post = posts.select("post_id", F.coalesce(F.size("children"), F.lit(0)).cast("bigint").alias("n"))
-    per_comment = comments.select("comment_id", F.coalesce(F.size("children"), F.lit(0)).cast("bigint").alias("n"))
+    replies = replies_base(comments_base(posts, platform), platform, reply_id_includes_text)
     best_posts = latest_posts(posts)
-    post_items = project_posts(best_posts, platform)
-    comment_items = project_comments(latest_comments(comments), best_posts, per_post, platform, shares, floor)
-    reply_items = project_replies(latest_replies(replies), comment_items, per_comment, platform, shares, floor)
-    return post_items.unionByName(comment_items.drop("_post_url")).unionByName(reply_items)
+    best_comments = latest_comments(comments_base(posts, platform, with_replies=False))
+    children = _comment_rows(best_comments).unionByName(_reply_rows(latest_replies(replies)))
+    return project_posts(best_posts, platform).unionByName(_project_children(children, best_posts, platform))
 
 
-def unified_items(
-    reddit: DataFrame, quora: DataFrame | None = None, reply_id_includes_text: bool = False,
-    shares: int = SHARES, floor: int = FLOOR,
-) -> DataFrame:
+def unified_items(reddit: DataFrame, quora: DataFrame | None = None, reply_id_includes_text: bool = False) -> DataFrame:
     """The item table: newest posts, comments and replies of both platforms."""
-    items = platform_items(reddit, REDDIT, reply_id_includes_text, shares, floor)
+    items = platform_items(reddit, REDDIT, reply_id_includes_text)
     if quora is not None:
-        items = items.unionByName(platform_items(quora, QUORA, reply_id_includes_text, shares, floor))
+        items = items.unionByName(platform_items(quora, QUORA, reply_id_includes_text))
     return items
 
 
