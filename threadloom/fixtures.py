@@ -198,3 +198,85 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_time(col: str) -> Column:
     """A time as text, so results compare the same wherever they are read."""
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss").alias(col)
+
+
+def reddit_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, snap, post): the Reddit records as JSON text, with the irregularities scrapes have."""
+    conv = F.col("conv_id")
+    votes = F.col("num_upvotes").cast("string")
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+
+    def reply(r: Column) -> Column:
+        return F.struct(
+            r["num_upvotes"].cast("string").alias("num_upvotes"),
+            F.date_format(r["date_of_reply"], iso + "'Z'").alias("date_of_reply"),
+            r["user_url"].alias("user_url"), r["reply"].alias("reply"), r["user_replying"].alias("user_replying"),
+        )
+
+    def comment(c: Column) -> Column:
+        return F.struct(
+            F.transform(c["replies"], reply).alias("replies"),
+            c["num_upvotes"].alias("num_upvotes"),
+            F.date_format(c["date_of_comment"], iso + "'Z'").alias("date_of_comment"),
+            c["url"].alias("url"), c["user_commenting"].alias("user_commenting"), c["comment"].alias("comment"),
+        )
+
+    def pick(divisor: int, *choices: Column) -> Column:
+        expr = F.when(conv % divisor == 0, choices[0])
+        for i, choice in enumerate(choices[1:], 1):
+            expr = expr.when(conv % divisor == i, choice)
+        return expr
+
+    number = F.parse_json(pick(
+        6, votes, F.concat(F.lit('"'), votes, F.lit('"')), F.concat(F.lit('" '), votes, F.lit(' "')), F.lit('"n/a"'),
+        F.concat(votes, F.lit(".7")), F.lit('""'),
+    ))
+    posted = pick(
+        5, F.date_format("date_posted", iso + "'.000Z'"), F.date_format("date_posted", iso + "'+02:00'"), F.lit("2024"),
+        F.date_format("date_posted", "yyyy-MM-dd"), F.lit("soon"),
+    )
+    photos = F.parse_json(pick(4, F.lit('["a", "b"]'), F.lit('"a"'), F.lit("null"), F.lit("[]")))
+    rank = F.parse_json(pick(3, F.lit('{"community_rank_value": "1", "community_rank_type": "top"}'), F.lit("{}"), F.lit("null")))
+    record = F.struct(
+        "post_id", "url", "user_posted", "title", "description", number.alias("num_upvotes"), posted.alias("date_posted"),
+        "community_name", photos.alias("photos"), rank.alias("community_rank"),
+        F.transform("comments", comment).alias("comments"),
+        F.date_format("timestamp", iso + "'Z'").alias("timestamp"),
+    )
+    return (
+        reddit_data(spark, sf_dir)
+        .withColumn("conv_id", F.substring("post_id", 2, 20).cast("bigint"))
+        .select("conv_id", F.col("snapshot_id").alias("snap"), F.to_json(record).alias("post"))
+    )
+
+
+def search_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(search_query, pagination_start, response): ten pages per response; every fifth one lists no results."""
+    page = F.col("page_id")
+    fields = [
+        F.col("url").alias("link"), F.concat(F.lit("page "), page).alias("title"),
+        F.when(page % 3 == 2, F.concat(F.lit("about "), page)).alias("description"),
+        (page % 10 + 1).alias("rank"), (page + 1).alias("global_rank"),
+    ]
+    # A null field is left out of the text, or written as null.
+    entry = F.when(page % 3 == 1, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})).otherwise(
+        F.to_json(F.struct(*fields))
+    )
+    request = F.floor(page / 10).cast("bigint")
+    grouped = table(spark, sf_dir, "pages").groupBy(request.alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct(page, entry.alias("entry")))).alias("rows")
+    )
+    head = F.concat(
+        F.lit('{"input":{"request_id":"req_'), F.col("n"), F.lit('"},"general":{"search_engine":"google","results_cnt":'),
+        F.col("n") * 1000, F.lit(',"search_time":0.25,"language":"en","mobile":'),
+        F.when(F.col("n") % 2 == 0, "true").otherwise("false"), F.lit(',"timestamp":"2024-02-01T00:00:00.000Z"}'),
+    )
+    entries = F.array_join(F.transform("rows", lambda r: r["entry"]), ",")
+    body = F.when(F.col("n") % 5 == 4, F.concat(head, F.lit("}"))).otherwise(
+        F.concat(head, F.lit(',"organic":['), entries, F.lit("]}"))
+    )
+    return grouped.select(
+        F.concat(F.lit("query "), F.col("n")).alias("search_query"),
+        (F.col("n") % 3 * 10).cast("string").alias("pagination_start"),
+        F.to_json(F.struct(body.alias("body"))).alias("response"),
+    )

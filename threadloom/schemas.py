@@ -1,13 +1,19 @@
-"""Declared schemas. Nothing is inferred."""
+"""Declared schemas, as DDL text. Nothing is inferred."""
 
 from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+
+def fields(ddl: str) -> StructType:
+    """The parsed schema (needs a running session)."""
+    return StructType.fromDDL(ddl)
+
+
 # --- fixed values: field names and types of the incoming records and of the tables ---
 
 # A post as scraped. Numbers stay variants and times stay text until they are coerced.
-REDDIT_WIRE = StructType.fromDDL("""
+REDDIT_WIRE = """
   post_id string, url string, user_posted string, title string, description string,
   num_comments variant, date_posted string, community_name string, num_upvotes variant,
   photos array<string>, videos array<string>, tag string,
@@ -22,9 +28,9 @@ REDDIT_WIRE = StructType.fromDDL("""
   community_rank struct<community_rank_value:string, community_rank_type:string>,
   post_karma variant, bio_description string, embedded_links array<string>, timestamp string,
   input struct<url:string>, error_code string, error string, warning_code string, warning string
-""")
+"""
 
-REDDIT_DATA = StructType.fromDDL("""
+REDDIT_DATA = """
   error_code string, error string, warning_code string, user_posted string, community_members_num bigint,
   input struct<url:string>, community_url string, post_karma bigint,
   community_rank struct<community_rank_value:string, community_rank_type:string>,
@@ -39,9 +45,9 @@ REDDIT_DATA = StructType.fromDDL("""
   bio_description string, date_posted timestamp, videos array<string>, num_upvotes bigint, timestamp timestamp,
   url string, community_name string, description string, photos array<string>, num_comments bigint,
   tag string, title string, warning string, post_id string, snapshot_id string
-""")
+"""
 
-QUORA_WIRE = StructType.fromDDL("""
+QUORA_WIRE = """
   timestamp string, author_education string, post_id string,
   top_comments array<struct<commenter_name:string, comment:string, comment_date:string,
     replys:array<struct<commenter_name:string, comment:string, comment_date:string>>>>,
@@ -50,9 +56,9 @@ QUORA_WIRE = StructType.fromDDL("""
   post_text string, videos_urls string, over_all_answers variant, originally_answered string,
   author_name string, author_about string, error string, url string, error_code string,
   author_active_spaces string, title string
-""")
+"""
 
-QUORA_DATA = StructType.fromDDL("""
+QUORA_DATA = """
   timestamp timestamp, author_education string, post_id string,
   top_comments array<struct<commenter_name:string, comment:string, comment_date:timestamp,
     replys:array<struct<commenter_name:string, comment:string, comment_date:timestamp>>>>,
@@ -61,59 +67,57 @@ QUORA_DATA = StructType.fromDDL("""
   post_text string, videos_urls string, over_all_answers bigint, originally_answered string,
   author_name string, author_about string, error string, url string, error_code string,
   author_active_spaces string, title string, snapshot_id string
-""")
+"""
 
-UNIFIED_ITEMS = StructType.fromDDL("""
+UNIFIED_ITEMS = """
   source string, content_type string, content_item_id string, parent_content_item_id string,
   top_level_post_id string, content_item_url string, author_username string, primary_text string,
   full_text_context string, engagement_score bigint, content_timestamp timestamp,
   community_or_channel_name string, hashtags array<string>, mentions array<string>,
   media_urls array<string>, video_urls array<string>, record_load_timestamp timestamp, snapshot_id string
-""")
+"""
 
-EMBEDDINGS_CACHE = StructType.fromDDL("""
+EMBEDDINGS_CACHE = """
   unified_id string, embeddings array<double>, embedding_model_name string, embedding_task_type string,
   embedding_generated_at timestamp, sentiment_score double, sentiment_magnitude double
-""")
+"""
 
-TOPIC_ASSIGNMENTS = StructType.fromDDL("""
+TOPIC_ASSIGNMENTS = """
   run_id string, assigned_at timestamp, unified_id string, source string, content_type string,
   content_timestamp timestamp, primary_text string, topic_id bigint, assignment_score double,
   sentiment_score double, sentiment_magnitude double
-""")
+"""
 
-TOPIC_LABELS = StructType.fromDDL("""
+TOPIC_LABELS = """
   run_id string, topic_id bigint, created_at timestamp, topic_label string, topic_description string,
   confidence_score double, num_documents_used bigint, avg_assignment_score double, model_metadata string
-""")
+"""
 
-COORDINATES = StructType.fromDDL("run_id string, created_at timestamp, unified_id string, umap_x double, umap_y double")
+COORDINATES = "run_id string, created_at timestamp, unified_id string, umap_x double, umap_y double"
 
-PREDICTIONS = StructType.fromDDL(
-    "run_id string, unified_id string, predicted_cluster bigint, distance double, created_at timestamp"
-)
+PREDICTIONS = "run_id string, unified_id string, predicted_cluster bigint, distance double, created_at timestamp"
 
-RUNS = StructType.fromDDL("""
+RUNS = """
   run_id string, created_at timestamp, num_topics bigint, description string, model_name string,
   model_creation_job_id string, predict_job_id string, labeling_job_id string, status string,
   error_message string, embedding_model string
-""")
+"""
 
-ENRICHED = StructType.fromDDL("""
+ENRICHED = """
   run_id string, processing_type string, source string, content_type string, content_item_id string,
   parent_content_item_id string, top_level_post_id string, analysis_timestamp timestamp,
   text_analyzed_for_nlp string, sentiment_label string, sentiment_score double, topic_id bigint,
   topic_label string, keyword_list array<string>
-""")
+"""
 
-WATERMARKS = StructType.fromDDL("table_name string, last_processed_timestamp timestamp, updated_at timestamp")
+WATERMARKS = "table_name string, last_processed_timestamp timestamp, updated_at timestamp"
 
-SEARCH_BODY = StructType.fromDDL("""
+SEARCH_BODY = """
   input struct<request_id:string>,
   general struct<search_engine:string, results_cnt:bigint, search_time:double, language:string,
     mobile:boolean, timestamp:string>,
   organic array<struct<link:string, title:string, description:variant, rank:bigint, global_rank:bigint>>
-""")
+"""
 
 # Dataset ids of the two scrapers.
 REDDIT_DATASET_ID = "gd_lvz8ah06191smkebj4"

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
-def read_raw_json(spark: SparkSession, path: str | list[str], schema: StructType, streaming: bool = False) -> DataFrame:
+def read_raw_json(spark: SparkSession, path: str | list[str], schema: str, streaming: bool = False) -> DataFrame:
     """One row per element of each file's array, plus ``file_path``.
 
     Works for a batch read and, with ``streaming``, as a file stream. A file is read by one task, so the number

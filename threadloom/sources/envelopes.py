@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from threadloom.schemas import fields
 
-def decode_envelopes(df: DataFrame, payload_schema: StructType) -> tuple[DataFrame, DataFrame]:
+
+def decode_envelopes(df: DataFrame, payload_schema: str) -> tuple[DataFrame, DataFrame]:
     """Decode ``data`` and ``attributes`` into one row per post.
 
     Returns (accepted, rejected). Accepted rows hold the post's fields, ``dataset_id``, ``snapshot_id`` and
@@ -27,7 +28,7 @@ def decode_envelopes(df: DataFrame, payload_schema: StructType) -> tuple[DataFra
         F.when(F.col("_text").isNull(), "bad_base64")
         .when(F.try_parse_json("_text").isNull(), "bad_json")
         .when(~F.ltrim("_text").startswith("["), "not_a_list").alias("reject_reason"),
-        F.from_json("_text", f"array<{payload_schema.simpleString()}>").alias("_posts"),
+        F.from_json("_text", f"array<{fields(payload_schema).simpleString()}>").alias("_posts"),
     )
     accepted = (
         parsed.filter(F.col("reject_reason").isNull())

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.coerce import iso_timestamp, list_or_empty, struct_or_null, to_long
-from threadloom.schemas import QUORA_DATA, REDDIT_DATA
+from threadloom.schemas import QUORA_DATA, REDDIT_DATA, fields
 
 
 def _reply(r: Column) -> Column:
@@ -52,18 +52,18 @@ def normalize_reddit(raw: DataFrame) -> DataFrame:
         "community_rank": struct_or_null(F.col("community_rank"), ["community_rank_value", "community_rank_type"]),
         "input": struct_or_null(F.col("input"), ["url"]),
     }
-    return raw.select(*[special.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in REDDIT_DATA])
+    return raw.select(*[special.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields(REDDIT_DATA)])
 
 
 def _answer(c: Column, nested: bool) -> Column:
-    fields = [
+    parts = [
         c["commenter_name"].alias("commenter_name"),
         c["comment"].alias("comment"),
         iso_timestamp(c["comment_date"]).alias("comment_date"),
     ]
     if nested:
-        fields.append(F.coalesce(F.transform(c["replys"], lambda r: _answer(r, False)), F.array()).alias("replys"))
-    return F.struct(*fields)
+        parts.append(F.coalesce(F.transform(c["replys"], lambda r: _answer(r, False)), F.array()).alias("replys"))
+    return F.struct(*parts)
 
 
 def normalize_quora(raw: DataFrame) -> DataFrame:
@@ -74,4 +74,4 @@ def normalize_quora(raw: DataFrame) -> DataFrame:
         "pictures_urls": list_or_empty(F.col("pictures_urls")),
         "top_comments": F.coalesce(F.transform("top_comments", lambda c: _answer(c, True)), F.array()),
     }
-    return raw.select(*[special.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in QUORA_DATA])
+    return raw.select(*[special.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields(QUORA_DATA)])
