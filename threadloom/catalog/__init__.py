@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["flatten", "ingest"]
+MODULES = ["flatten", "ingest", "state"]
 
 
 def _merged(attribute: str) -> dict:

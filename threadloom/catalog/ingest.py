@@ -18,11 +18,11 @@ from threadloom.sources.search import serp_results, serp_searches
 
 
 def write_drops(spark: SparkSession, sf_dir: str) -> str:
-    """Drop the Reddit records as array files of 100 conversations and one snapshot; returns the folder."""
+    """Drop the Reddit records as array files of at most 100 records; returns the folder."""
 
     def build(spark: SparkSession, sf_dir: str) -> str:
         path = run_dir(spark, "drops")
-        files = fx.reddit_wire(spark, sf_dir).groupBy(F.floor(F.col("conv_id") / 100).alias("batch"), "snap").agg(
+        files = fx.reddit_wire(spark, sf_dir).groupBy(F.floor(F.col("conv_id") / 100).alias("batch"), "snap", "page").agg(
             F.concat(F.lit("["), F.array_join(F.collect_list("post"), ",\n"), F.lit("]")).alias("value")
         )
         files.select("value").write.option("maxRecordsPerFile", 1).text(path)

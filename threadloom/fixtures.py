@@ -74,7 +74,7 @@ def _threads(spark: SparkSession, sf_dir: str) -> DataFrame:
         posts.join(records, "conv_id", "left")
         .withColumn("pairs", F.coalesce("pairs", empty))
         .withColumn("snap", F.explode(snaps))
-        .drop("page")
+        .withColumn("page", F.coalesce("page", F.lit(0)))
     )
 
 
@@ -128,6 +128,7 @@ def build_reddit_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         loaded_at(snap).alias("timestamp"),
         F.transform("pairs", comment).alias("comments"),
         F.concat(F.lit("s_"), snap).alias("snapshot_id"),
+        "page",
     )
 
 
@@ -201,7 +202,7 @@ def text_time(col: str) -> Column:
 
 
 def reddit_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, snap, post): the Reddit records as JSON text, with the irregularities scrapes have."""
+    """(conv_id, snap, page, post): the Reddit records as JSON text, with the irregularities scrapes have."""
     conv = F.col("conv_id")
     votes = F.col("num_upvotes").cast("string")
     iso = "yyyy-MM-dd'T'HH:mm:ss"
@@ -246,7 +247,7 @@ def reddit_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         reddit_data(spark, sf_dir)
         .withColumn("conv_id", F.substring("post_id", 2, 20).cast("bigint"))
-        .select("conv_id", F.col("snapshot_id").alias("snap"), F.to_json(record).alias("post"))
+        .select("conv_id", F.col("snapshot_id").alias("snap"), "page", F.to_json(record).alias("post"))
     )
 
 
