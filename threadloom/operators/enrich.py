@@ -95,19 +95,17 @@ def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "conten
     """Sentiment from a (term, weight) table.
 
     A sentence scores the mean weight of its words; a document the mean over its sentences, within -1..1, with
-    the sum of their absolute values as magnitude. Only words cross the join (broadcast while the lexicon is
-    small); sums are combined per sentence before they are shuffled.
+    the sum of their absolute values as magnitude. A small lexicon is broadcast, so words never leave their
+    task; sums are combined per sentence before they are shuffled.
     """
     spoken = docs.select("content_item_id", F.posexplode(sentences(F.col(text_col))).alias("sentence", "_text"))
     tokens = spoken.select("content_item_id", "sentence", F.explode(words(F.col("_text"))).alias("term"))
     # One weight per term, so a term listed twice cannot count a word twice.
     weights = lexicon.groupBy("term").agg(F.max("weight").cast("double").alias("weight"))
     per_sentence = (
-        tokens.groupBy("content_item_id", "sentence", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(weights, "term", "left")
+        skew_join(tokens, weights, "term", "left")
         .groupBy("content_item_id", "sentence")
-        .agg((F.sum(F.col("n") * F.coalesce("weight", F.lit(0.0))) / F.sum("n")).alias("mean"))
+        .agg((F.coalesce(F.sum("weight"), F.lit(0.0)) / F.count(F.lit(1))).alias("mean"))
     )
     scored = per_sentence.groupBy("content_item_id").agg(
         F.avg("mean").alias("_mean"), F.sum(F.abs("mean")).alias("sentiment_magnitude")
@@ -163,11 +161,16 @@ def combine_enrichment(
 def keywords(docs: DataFrame, k: int = 5, text_col: str = "content") -> DataFrame:
     """The ``k`` words of highest tf-idf per item, best first; equal weights go by the word.
 
-    Counts are combined per (item, word) first. A word in every item is one row of the frequency table.
+    Items are dealt out by id once; counting, the join with a broadcast frequency table and the ranking then run
+    in place. A vocabulary too large to broadcast costs one more shuffle of (item, word) counts.
     """
-    tokens = docs.select("content_item_id", F.explode(words(F.col(text_col))).alias("term"))
+    tokens = docs.repartition("content_item_id").select("content_item_id", F.explode(words(F.col(text_col))).alias("term"))
     tf = tokens.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = (
+        docs.select(F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+    )
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.round(F.col("tf") * F.log((total + 1) / (F.col("df") + 1)), 6)
     best = Window.partitionBy("content_item_id").orderBy(F.col("weight").desc(), "term")
