@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["flatten", "ingest", "state", "enrich", "topics", "project"]
+MODULES = ["flatten", "ingest", "state", "enrich", "topics", "project", "jobs"]
 
 
 def _merged(attribute: str) -> dict:

@@ -25,7 +25,7 @@ def write_drops(spark: SparkSession, sf_dir: str) -> str:
         files = fx.reddit_wire(spark, sf_dir).groupBy(F.floor(F.col("conv_id") / 100).alias("batch"), "snap", "page").agg(
             F.concat(F.lit("["), F.array_join(F.collect_list("post"), ",\n"), F.lit("]")).alias("value")
         )
-        files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+        files.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/{REDDIT_DATASET_ID}")
         return path
 
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -37,7 +37,7 @@ def write_drops(spark: SparkSession, sf_dir: str) -> str:
 _DROPS: dict[tuple[str, str], str] = {}
 
 
-def _summary(posts: DataFrame) -> DataFrame:
+def summary(posts: DataFrame) -> DataFrame:
     """Normalised Reddit rows as scalars."""
     comments = F.col("comments")
     replies = F.flatten(F.transform(comments, lambda c: c["replies"]))
@@ -57,14 +57,14 @@ def _summary(posts: DataFrame) -> DataFrame:
 
 def read_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read_raw_json(spark, write_drops(spark, sf_dir), REDDIT_WIRE)
-    return _summary(normalize_reddit(raw.withColumn("snapshot_id", F.lit("s"))))
+    return summary(normalize_reddit(raw.withColumn("snapshot_id", F.lit("s"))))
 
 
 def normalized_reddit(spark: SparkSession, sf_dir: str) -> DataFrame:
     wire = fx.reddit_wire(spark, sf_dir).select(
         F.from_json("post", REDDIT_WIRE).alias("p"), F.col("snap").alias("snapshot_id")
     )
-    return _summary(normalize_reddit(wire.select("p.*", "snapshot_id")))
+    return summary(normalize_reddit(wire.select("p.*", "snapshot_id")))
 
 
 def normalized_quora(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +176,7 @@ QUERIES = {
     "selection": selected,
 }
 
-_WIRE = f"""WITH {THREADS},
+WIRE_SQL = f"""WITH {THREADS},
 snaps AS (SELECT s.*, k, (conv_id * 7 + turn * 3 + k) % 100 AS v FROM said s JOIN (VALUES (0), (1), (2)) x(k) ON k <= snap),
 threads AS (
   SELECT conv_id, k, count(*) FILTER (turn % 2 = 1) AS n_comments, count(*) FILTER (turn > 0 AND turn % 2 = 0) AS n_replies,
@@ -201,7 +201,7 @@ _LINKS = """WITH links AS (
 """
 
 SQL = {
-    "read_raw_json": _WIRE,
+    "read_raw_json": WIRE_SQL,
     "drop_metadata": """SELECT page_id, CASE WHEN page_id % 4 <> 3 THEN 'd' END AS dataset_id,
       CASE WHEN page_id % 4 <> 3 THEN 's_' || page_id END AS snapshot_id,
       CASE WHEN page_id % 4 = 3 THEN 'path_too_short' END AS reject_reason FROM pages""",
@@ -217,7 +217,7 @@ SQL = {
       CASE page_id % 3 WHEN 0 THEN '{REDDIT_DATASET_ID}' WHEN 1 THEN '{QUORA_DATASET_ID}' ELSE 'gd_other' END AS dataset_id,
       CASE page_id % 3 WHEN 0 THEN 'Reddit' WHEN 1 THEN 'Quora' END AS platform,
       CASE WHEN page_id % 3 = 2 THEN 'unknown_dataset_id' END AS reject_reason FROM pages""",
-    "normalize_reddit": _WIRE,
+    "normalize_reddit": WIRE_SQL,
     "normalize_quora": f"""WITH {THREADS},
     t AS (SELECT conv_id, count(*) FILTER (turn % 2 = 1) AS n_comments, count(*) FILTER (turn > 0 AND turn % 2 = 0) AS n_replies,
                  max(tm) FILTER (turn % 2 = 1) AS last_comment FROM said GROUP BY 1)

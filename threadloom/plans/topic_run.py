@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import runs, topics
 from threadloom.operators.enrich import EMBEDDING_MODEL
 from threadloom.operators.project import project_2d
-from threadloom.operators.quality import QualityError
+from threadloom.operators.quality import QualityError, require_unique
 from threadloom.operators.sinks import write_table
 from threadloom.session import cut
 
@@ -65,6 +65,8 @@ def run_topics(
     try:
         # Fitting, assignment and projection read the same vectors, so they are written once.
         vectors = cut(topics.item_vectors(items, cache, ids))
+        # An id on two platforms would count twice in every topic.
+        require_unique(vectors, ["unified_id"], "selected items")
         result.requested, result.found = ids.count(), vectors.count()
         model = topics.fit_topics(vectors, k, seed)
         model.write().overwrite().save(model_path)
