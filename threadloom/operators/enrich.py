@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import has_text, sentences, words
 from threadloom.operators.skew import skew_join
+from threadloom.session import widen
 
 # Provenance recorded beside a vector, and how far back new items are looked for.
 EMBEDDING_MODEL = "text-embedding-004"
@@ -60,13 +61,13 @@ def fit_embedder(docs: DataFrame, dim: int = 256, text_col: str = "content") ->
             IDF(inputCol="_tf", outputCol="_tfidf"),
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
         ]
-    ).fit(docs)
+    ).fit(widen(docs))
 
 
 def embed_text(docs: DataFrame, model: PipelineModel) -> DataFrame:
     """(content_item_id, embeddings, embedding_status); the status is empty when all is well."""
     vector = vector_to_array("_unit")
-    embedded = model.transform(docs).select("content_item_id", vector.alias("embeddings"))
+    embedded = model.transform(widen(docs)).select("content_item_id", vector.alias("embeddings"))
     blank = ~F.exists("embeddings", lambda x: x != 0)
     return embedded.select(
         "content_item_id",
@@ -98,7 +99,7 @@ def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "conten
     the sum of their absolute values as magnitude. A small lexicon is broadcast, so words never leave their
     task; sums are combined per sentence before they are shuffled.
     """
-    spoken = docs.select("content_item_id", F.posexplode(sentences(F.col(text_col))).alias("sentence", "_text"))
+    spoken = widen(docs).select("content_item_id", F.posexplode(sentences(F.col(text_col))).alias("sentence", "_text"))
     tokens = spoken.select("content_item_id", "sentence", F.explode(words(F.col("_text"))).alias("term"))
     # One weight per term, so a term listed twice cannot count a word twice.
     weights = lexicon.groupBy("term").agg(F.max("weight").cast("double").alias("weight"))
@@ -167,7 +168,7 @@ def keywords(docs: DataFrame, k: int = 5, text_col: str = "content") -> DataFram
     tokens = docs.repartition("content_item_id").select("content_item_id", F.explode(words(F.col(text_col))).alias("term"))
     tf = tokens.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = (
-        docs.select(F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
+        widen(docs).select(F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )

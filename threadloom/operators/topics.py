@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import trim_ws, words
 from threadloom.functions.vectors import dot, norm, unit, usable
 from threadloom.operators.skew import skew_join
-from threadloom.session import cut
+from threadloom.session import cut, widen
 
 # Default number of topics, its minimum, and the iteration limit.
 DEFAULT_TOPICS = 5
@@ -201,7 +201,7 @@ def label_topics(
     documents costs one row per word and task.
     """
     rows = assignments.filter(F.col("run_id") == run_id)
-    docs = rows.select("topic_id", "unified_id", words(F.col(text_col)).alias("words"))
+    docs = widen(rows).select("topic_id", "unified_id", words(F.col(text_col)).alias("words"))
     # Three readers follow; the counts are far smaller than the text, so they are written once.
     tf = cut(
         docs.select("topic_id", F.explode("words").alias("term")).groupBy("topic_id", "term").agg(F.count(F.lit(1)).alias("tf"))
