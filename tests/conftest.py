@@ -34,7 +34,7 @@ def as_of():
 
 def rows(df, *order):
     """Rows as plain tuples, sorted."""
-    return sorted((tuple(r) for r in df.select(*(order or df.columns)).collect()), key=repr)
+    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()), key=repr)
 
 
 def final_plan(df) -> str:

@@ -153,7 +153,7 @@ sent AS (SELECT doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS part
 tok AS (SELECT doc_id, i, unnest(regexp_split_to_array(lower(part), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM sent),
 means AS (SELECT doc_id, i, CAST(coalesce(sum(weight), 0) AS DOUBLE) / count(*) AS m
           FROM tok LEFT JOIN lexicon USING (term) WHERE term <> '' GROUP BY 1, 2),
-scores AS (SELECT doc_id, greatest(-1.0, least(1.0, avg(m))) AS score, sum(abs(m)) AS magnitude FROM means GROUP BY 1)
+scores AS (SELECT doc_id, CASE WHEN avg(m) > 1 THEN 1.0 WHEN avg(m) < -1 THEN -1.0 ELSE avg(m) END AS score, sum(abs(m)) AS magnitude FROM means GROUP BY 1)
 """
 CACHE = """
 cache AS (

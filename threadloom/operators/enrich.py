@@ -60,20 +60,25 @@ def fit_embedder(docs: DataFrame, dim: int = 256, text_col: str = "content") ->
             HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim),
             IDF(inputCol="_tf", outputCol="_tfidf"),
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
+            Normalizer(inputCol="_tf", outputCol="_unit_tf"),
         ]
     ).fit(widen(docs))
 
 
 def embed_text(docs: DataFrame, model: PipelineModel) -> DataFrame:
-    """(content_item_id, embeddings, embedding_status); the status is empty when all is well."""
-    vector = vector_to_array("_unit")
-    embedded = model.transform(widen(docs)).select("content_item_id", vector.alias("embeddings"))
-    blank = ~F.exists("embeddings", lambda x: x != 0)
-    return embedded.select(
+    """(content_item_id, embeddings, embedding_status); the status is empty when all is well.
+
+    A text whose words are in every document has no tf-idf left and keeps its plain word counts instead; only a
+    text without words has no vector.
+    """
+    def nonzero(vector: Column) -> Column:
+        return F.when(F.exists(vector, lambda x: x != 0), vector)
+
+    embedded = model.transform(widen(docs)).select(
         "content_item_id",
-        F.when(~blank, F.col("embeddings")).alias("embeddings"),
-        F.when(blank, "empty").otherwise("").alias("embedding_status"),
+        F.coalesce(nonzero(vector_to_array("_unit")), nonzero(vector_to_array("_unit_tf"))).alias("embeddings"),
     )
+    return embedded.withColumn("embedding_status", F.when(F.col("embeddings").isNull(), "empty").otherwise(""))
 
 
 # --- sentiment ---
@@ -114,7 +119,7 @@ def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "conten
     ids = docs.select("content_item_id")
     return ids.join(scored, "content_item_id", "left").select(
         "content_item_id",
-        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_mean"))).alias("sentiment_score"),
+        F.when(F.col("_mean").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_mean")))).alias("sentiment_score"),
         "sentiment_magnitude",
         F.when(F.col("_mean").isNull(), "empty").otherwise("").alias("sentiment_status"),
     )
