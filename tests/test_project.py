@@ -15,7 +15,7 @@ def frame(spark, matrix):
 
 def brute(matrix, k):
     unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    distance = np.round(np.clip(1 - unit @ unit.T, 0, 2), 6)
+    distance = np.round(np.clip(1 - unit @ unit.T, 0, 2), 9)
     out = set()
     for i in range(len(matrix)):
         others = sorted((distance[i, j], f"v{j:04d}") for j in range(len(matrix)) if j != i)[:k]
@@ -90,7 +90,7 @@ def test_layout_keeps_more_neighbours_than_the_axes(spark, clusters):
     df = frame(spark, clusters)
     knn = knn_graph(df, 8)
     start = pca_2d(df)
-    points = layout(start, fuzzy_graph(knn), epochs=25)
+    points = layout(start, fuzzy_graph(knn), epochs=15)
     placed = {r["unified_id"]: (r["x"], r["y"]) for r in points.collect()}
     flat = {r["unified_id"]: (r["x"], r["y"]) for r in start.collect()}
     assert len(placed) == len(clusters) and np.isfinite(list(placed.values())).all()

@@ -11,10 +11,12 @@ copies can be anybody's neighbours, so a vector that makes up a third of all row
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -24,6 +26,9 @@ from threadloom.functions.vectors import unit, usable
 from threadloom.operators.skew import skew_join, spread_join
 from threadloom.session import cut
 
+# The functions below travel to the executors by value, so those need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 2048
 MAX_CELLS = 1024
 _FOUND = "rep string, other string, distance double"

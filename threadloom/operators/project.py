@@ -17,6 +17,8 @@ from threadloom.session import cut
 NEIGHBOURS = 10
 MIN_DIST = 0.0
 
+# All points move at once, so steps are kept short or neighbours overshoot each other.
+_STEP = 0.1
 _STEPS = 64
 _NEGATIVES = 5
 _BUCKET_ROWS = 10_000
@@ -159,7 +161,7 @@ def layout(
     points = start.select("unified_id", (F.col("x") * scale).alias("x"), (F.col("y") * scale).alias("y"))
     points, edges = cut(points), cut(edges)
     for epoch in range(epochs):
-        rate = 1.0 - epoch / epochs
+        rate = _STEP * (1.0 - epoch / epochs)
         pulled = _pull(edges, points, a, b).withColumnRenamed("src", "unified_id")
         pushed = _push(points, buckets, epoch, seed, a, b).join(pulled, "unified_id", "left")
         # An epoch reads the one before three times, so each is written before the next starts.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import trim_ws, words
 from threadloom.functions.vectors import dot, norm, unit, usable
 from threadloom.operators.skew import skew_join
-from threadloom.session import cut, widen
+from threadloom.session import cut, pin, widen
 
 # Default number of topics, its minimum, and the iteration limit.
 DEFAULT_TOPICS = 5
@@ -77,7 +77,7 @@ def fit_topics(vectors: DataFrame, k: int = DEFAULT_TOPICS, seed: int = 42, part
     spark = vectors.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     features = vectors.select("unified_id", array_to_vector(unit(F.col("embeddings"))).alias("features"))
-    ordered = cut(features.repartitionByRange(parts, "unified_id").sortWithinPartitions("unified_id"))
+    ordered = pin(features.repartitionByRange(parts, "unified_id").sortWithinPartitions("unified_id"))
     return KMeans(
         k=k, seed=seed, maxIter=MAX_ITERATIONS, distanceMeasure="cosine", initMode="k-means||", featuresCol="features"
     ).fit(ordered)
