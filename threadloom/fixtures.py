@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.session import run_dir
+from threadloom.session import run_dir, widen
 
 PAIRS_PER_RECORD = 64
 BASE_EPOCH = 1704067200  # 2024-01-01 UTC
@@ -173,7 +173,7 @@ def build_quora_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as items: load times spread over the five days before 2024-03-01."""
     doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return widen(table(spark, sf_dir, "documents")).select(
         F.col("source"),
         F.lit("post").alias("content_type"),
         doc.cast("string").alias("content_item_id"),
