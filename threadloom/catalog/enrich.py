@@ -66,9 +66,14 @@ def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rounded(col: str):
+    """Six places, moved off exact halves: the order of a sum may change its last bit and so how a half rounds."""
+    return F.round(F.col(col) + 1e-9, 6)
+
+
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = en.score_sentiment(docs(spark, sf_dir), lexicon(spark))
-    return scored.withColumns({c: F.round(c, 6) for c in ("sentiment_score", "sentiment_magnitude")})
+    return scored.withColumns({c: _rounded(c) for c in ("sentiment_score", "sentiment_magnitude")})
 
 
 def parsed_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +133,8 @@ def enriched_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     return table.select(
         "unified_id", "embedding_model_name", "embedding_task_type", fx.text_time("embedding_generated_at"),
-        F.size("embeddings").cast("bigint").alias("dims"), F.round("sentiment_score", 6).alias("sentiment_score"),
-        F.round("sentiment_magnitude", 6).alias("sentiment_magnitude"),
+        F.size("embeddings").cast("bigint").alias("dims"), _rounded("sentiment_score").alias("sentiment_score"),
+        _rounded("sentiment_magnitude").alias("sentiment_magnitude"),
     )
 
 
@@ -174,7 +179,7 @@ SQL = {
            CASE WHEN s.doc_id IS NOT NULL THEN 256 END AS dims, CAST(CASE WHEN s.doc_id IS NOT NULL THEN 1 END AS DOUBLE) AS length
     FROM documents d LEFT JOIN scores s USING (doc_id)""",
     "score_sentiment": f"""WITH {SENTIMENT}
-    SELECT CAST(doc_id AS VARCHAR) AS content_item_id, round(score, 6) AS sentiment_score, round(magnitude, 6) AS sentiment_magnitude,
+    SELECT CAST(doc_id AS VARCHAR) AS content_item_id, round(score + 1e-9, 6) AS sentiment_score, round(magnitude + 1e-9, 6) AS sentiment_magnitude,
            CASE WHEN score IS NULL THEN 'empty' ELSE '' END AS sentiment_status
     FROM documents LEFT JOIN scores USING (doc_id)""",
     "parse_sentiment": """SELECT CAST(doc_id AS VARCHAR) AS content_item_id,
@@ -202,6 +207,6 @@ SQL = {
     "enrich": f"""WITH {SENTIMENT}
     SELECT CAST(doc_id AS VARCHAR) AS unified_id, 'text-embedding-004' AS embedding_model_name, 'CLUSTERING' AS embedding_task_type,
            '2024-03-01 00:00:00' AS embedding_generated_at, 256 AS dims,
-           round(score, 6) AS sentiment_score, round(magnitude, 6) AS sentiment_magnitude
+           round(score + 1e-9, 6) AS sentiment_score, round(magnitude + 1e-9, 6) AS sentiment_magnitude
     FROM scores WHERE doc_id % 5 <= 2""",
 }
