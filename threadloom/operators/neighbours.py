@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.functions.vectors import unit, usable
+from threadloom.functions.vectors import dot, unit, usable
 from threadloom.operators.skew import skew_join, spread_join
 from threadloom.session import cut
 
@@ -107,10 +107,11 @@ def _blocks(distinct: DataFrame, cells: int, block_rows: int, seed: int) -> tupl
     features = distinct.select("rep", "vec", array_to_vector("vec").alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=10, distanceMeasure="cosine", featuresCol="features", predictionCol="cell").fit(features)
     centers = np.array([c / np.linalg.norm(c) for c in model.clusterCenters()])
-    placed = model.transform(features)
-    near = F.element_at(F.lit(centers.tolist()) if len(centers) == 1 else F.array(*[F.lit(c.tolist()) for c in centers]), F.col("cell") + 1)
-    dot = F.aggregate(F.zip_with("vec", near, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    chord = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot))
+    spark = distinct.sparkSession
+    # At most MAX_CELLS rows, so both small tables below may be broadcast.
+    near = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, near array<double>")
+    placed = model.transform(features).join(F.broadcast(near), "cell")
+    chord = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot(F.col("vec"), F.col("near"))))
     stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(chord).alias("radius")).collect()
     size = np.zeros(len(centers), dtype=int)
     radii = np.zeros(len(centers))
@@ -118,10 +119,10 @@ def _blocks(distinct: DataFrame, cells: int, block_rows: int, seed: int) -> tupl
         size[row["cell"]], radii[row["cell"]] = row["n"], row["radius"] + 1e-9
     parts = np.maximum(1, -(-size // block_rows))
     first = np.concatenate([[0], np.cumsum(parts)[:-1]])
-    lookup = F.array(*[F.lit(int(x)) for x in first]), F.array(*[F.lit(int(x)) for x in parts])
-    index = F.col("cell") + 1
-    block = F.element_at(lookup[0], index) + F.pmod(F.xxhash64("rep"), F.element_at(lookup[1], index)).cast("int")
-    return placed.select("rep", "vec", block.alias("block")), centers, radii, parts
+    numbers = [(i, int(first[i]), int(parts[i])) for i in range(len(centers))]
+    numbered = placed.join(F.broadcast(spark.createDataFrame(numbers, "cell int, first int, parts int")), "cell")
+    block = F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    return numbered.select("rep", "vec", block.alias("block")), centers, radii, parts
 
 
 def knn_graph(vectors: DataFrame, k: int = 10, cells: int | None = None, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
@@ -132,8 +133,7 @@ def knn_graph(vectors: DataFrame, k: int = 10, cells: int | None = None, block_r
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
     n = distinct.count()
-    if cells is None:
-        cells = min(MAX_CELLS, -(-n // block_rows))
+    cells = min(MAX_CELLS, -(-n // block_rows) if cells is None else cells)
     if cells > 1:
         placed, centers, radii, parts = _blocks(distinct, cells, block_rows, seed)
     else:

@@ -119,7 +119,7 @@ def _clip(value: Column) -> Column:
 
 
 def _pull(edges: DataFrame, points: DataFrame, a: float, b: float) -> DataFrame:
-    """Summed attraction per vertex. A vertex with very many edges is split by the joins and pre-summed."""
+    """Summed attraction per point. A point with very many edges is split by the joins and pre-summed."""
     here = points.select(F.col("unified_id").alias("src"), F.col("x").alias("sx"), F.col("y").alias("sy"))
     there = points.select(F.col("unified_id").alias("dst"), F.col("x").alias("dx"), F.col("y").alias("dy"))
     met = skew_join(skew_join(edges, there, "dst"), here, "src")
