@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join on ``key`` such that adaptive execution can split a key with very many left rows.
+def skew_join(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """Join on ``key`` (one column or several) such that adaptive execution can split a key with very many left rows.
 
     Spark splits a skewed partition only if both inputs come straight from a shuffle. A right side that was just
     aggregated or ranked by ``key`` would be joined in place, so the hash of the key is added as a second join
     key: both sides are then shuffled for this join, large partitions are cut into pieces, and a small right side
     is still broadcast once its size is known.
     """
-    hashed = F.xxhash64(key)
-    return left.withColumn("_kh", hashed).join(right.withColumn("_kh", hashed), [key, "_kh"], how).drop("_kh")
+    keys = [key] if isinstance(key, str) else key
+    hashed = F.xxhash64(*keys)
+    return left.withColumn("_kh", hashed).join(right.withColumn("_kh", hashed), [*keys, "_kh"], how).drop("_kh")
 
 
 # At most so many keys are treated as hot, and only keys with more rows than one task handles with ease.

@@ -13,6 +13,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -57,15 +58,34 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "threadloom", f"{name}-{uuid.uuid4().hex}")
 
 
+SCRATCH = "threadloom_scratch"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
-    A lost executor then costs no recomputation, and the next plan starts from a scan of known size.
+    A lost executor then costs no recomputation, and the next plan starts from a scan of known size. The tables belong
+    to a database of their own below the shared folder; :func:`discard` drops one, :func:`discard_all` the whole session's.
     """
     spark = df.sparkSession
-    path = run_dir(spark, "cut")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = os.path.join(shared_dir(spark), "threadloom", "cuts")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{folder}'")
+    name = f"{SCRATCH}.cut_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    table.cut_name = name
+    return table
+
+
+def discard(*frames: DataFrame) -> None:
+    """Drop the tables that :func:`cut` wrote for these frames; nothing may read them afterwards."""
+    for frame in frames:
+        frame.sparkSession.sql(f"DROP TABLE IF EXISTS {frame.cut_name}")
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Drop every table that :func:`cut` wrote in this session, once all results that read them are stored."""
+    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH} CASCADE")
 
 
 def pin(df: DataFrame) -> DataFrame:
