@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm import exact, langid, mixing, packing, simhash
+from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, quality, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, folder = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read_archives(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(langid.taught(docs)))
@@ -24,10 +29,45 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
 
 
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def conversation_messages(conversations: DataFrame) -> DataFrame:
+    """Each conversation as a reply chain by turn (ties by role and text); a message's score is the length of its text."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    place = F.row_number().over(order)
+    return conversations.select(
+        F.col("conv_id").alias("tree"), place.alias("node"), F.when(place > 1, place - 1).alias("parent"), "role", "text",
+        F.length("text").alias("score"),
+    )
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(r"\### Assistant: </turn> ok")
+    )
+    formatted = chat.format_paths(chat.reply_paths(conversation_messages(given.union(extra)), branches=1))
+    turns = chat.read_turns(F.col("formatted"))
+    said = F.concat_ws("", F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    return formatted.select(
+        F.col("tree").alias("conv_id"), F.size(turns).cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return quality.score(table(spark, sf_dir, "documents"), labels, F.col("source"), F.col("lang"))
+
+
 def op8_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -36,14 +76,31 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_rows(spark))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_warc": op2_warc,
     "op3_language": op3_language,
+    "op4_lattice": op4_lattice,
     "op5_simhash": op5_simhash,
+    "op6_chat": op6_chat,
+    "op7_quality": op7_quality,
     "op8_exact": op8_exact,
     "op9_packing": op9_packing,
+    "op10_licenses": op10_licenses,
 }
 
+
+def _template_values() -> str:
+    """The templates as SQL rows."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = [(name, i, text) for name, texts in licenses.TEMPLATES.items() for i, text in enumerate(texts)]
+    return ",\n    ".join(f"({quote(name)}, {i}, {quote(text)})" for name, i, text in rows)
+
+
 SQL = {
     "op1_mixing": r"""
 WITH rows AS (
@@ -82,4 +139,57 @@ WITH rows AS (
   FROM rows
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked""",
+    "op2_warc": r"""
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), marked AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS digest,
+    first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first_id FROM rows
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)
+    FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM marked""",
+    "op6_chat": r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), clean AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM rows
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS said,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '') AS loss,
+    sum(24 + length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS chars
+  FROM clean GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+  chars::BIGINT AS formatted_chars FROM joined""",
+    "op10_licenses": r"""
+WITH templates(license, template, text) AS (
+  VALUES
+    TEMPLATES
+), lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10)) || list_filter(regexp_split_to_array(text, '\n[ \t\r]*\n'), lambda p: contains(trim(p), chr(10)))) AS line
+  FROM documents WHERE text IS NOT NULL
+), sized AS (
+  SELECT doc_id, row_number() OVER () AS segment, string_split(trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words FROM lines
+), pairs AS (
+  SELECT doc_id, segment, len(words) - 1 AS n, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram FROM sized
+), ours AS (
+  SELECT doc_id, segment, n, bigram, count(*) AS k FROM pairs GROUP BY ALL
+), split AS (
+  SELECT license, template, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words FROM templates
+), theirs AS (
+  SELECT license, template, n, bigram, count(*) AS k FROM (
+    SELECT license, template, len(words) - 1 AS n, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram FROM split
+  ) GROUP BY ALL
+), scored AS (
+  SELECT o.doc_id, o.segment, t.license, 2.0::DOUBLE * sum(least(o.k, t.k)) / (o.n + t.n) AS dice
+  FROM ours o JOIN theirs t USING (bigram) GROUP BY o.doc_id, o.segment, o.n, t.license, t.template, t.n
+)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT segment) AS segments FROM scored WHERE dice >= 0.8 GROUP BY doc_id, license""".replace("TEMPLATES", _template_values()),
 }

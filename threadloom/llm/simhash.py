@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.blocks import deal, forest, whole_keys
+from threadloom.llm.blocks import deal, forest, meet, whole_keys
 from threadloom.llm.components import components
 from threadloom.llm.rows import keep_rows, text_hash
 from threadloom.operators.skew import skew_join
@@ -156,7 +156,8 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
             moved = np.flatnonzero(label != np.arange(len(values)))
             yield pd.DataFrame({"a": signed[moved], "b": signed[label[moved]]})
 
-    return deal(rows, "_key", "fp", block).select("_key", "_i", "_j", "fp").mapInPandas(compare, "a long, b long")
+    dealt = deal(rows, "_key", "fp", block).select("_key", "_i", "_j", "fp")
+    return meet(dealt, "_key").mapInPandas(compare, "a long, b long")
 
 
 def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
