@@ -62,7 +62,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     queries, sql = e.queries(), e.oracle_sql()
     names = [n for n in queries if len(sys.argv) < 3 or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) for a in sys.argv[2:])]
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+    spark = (SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[8]")).config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir(sf))
