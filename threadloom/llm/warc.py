@@ -134,7 +134,7 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
                         if out is not None:
                             out.close()
                         path = f"{base}/{uuid.uuid4().hex}.warc.zst"
-                        out, at = store.open_output_stream(path), 0
+                        out, at = store.open_output_stream(path, compression=None), 0
                         if dictionary:
                             at += out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
                     page, target = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
@@ -185,7 +185,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
             for path in frame["path"]:
                 rows: list[tuple] = []
                 size = 0
-                with store.open_input_stream(path) as stream:
+                with store.open_input_stream(path, compression=None) as stream:
                     for data in records_of(stream):
                         r = parse_record(data)
                         page, target = (int(r[k]) if k in r else None for k in ("Page-ID", "Refers-To-Page-ID"))
