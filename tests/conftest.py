@@ -13,7 +13,7 @@ from threadloom.session import prepare  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[*]").appName("tests").config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]")).appName("tests").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").getOrCreate()
     )
