@@ -82,16 +82,16 @@ def test_parse_sentiment(spark):
 
 def test_an_error_of_either_provider_drops_the_row(spark):
     e = spark.createDataFrame(
-        [("both", [1.0], ""), ("e_only", [1.0], None), ("e_bad", [1.0], "X"), ("s_bad", [1.0], "")],
-        "content_item_id string, embeddings array<double>, embedding_status string",
+        [("both", [1.0], "", "m"), ("e_only", [1.0], None, "m"), ("e_bad", [1.0], "X", "m"), ("s_bad", [1.0], "", "m")],
+        "content_item_id string, embeddings array<double>, embedding_status string, embedding_model_name string",
     )
     s = spark.createDataFrame(
         [("both", 0.1, 1.0, ""), ("s_only", 0.2, 1.0, ""), ("e_bad", 0.3, 1.0, ""), ("s_bad", 0.4, 1.0, "Y")],
         "content_item_id string, sentiment_score double, sentiment_magnitude double, sentiment_status string",
     )
     got = en.combine_enrichment(e, s, NOW)
-    assert rows(got, "unified_id", "embeddings", "sentiment_score", "embedding_task_type") == [
-        ("both", [1.0], 0.1, "CLUSTERING"), ("e_only", [1.0], None, "CLUSTERING"), ("s_only", None, 0.2, "CLUSTERING"),
+    assert rows(got, "unified_id", "embeddings", "sentiment_score", "embedding_model_name") == [
+        ("both", [1.0], 0.1, "m"), ("e_only", [1.0], None, "m"), ("s_only", None, 0.2, None),
     ]
 
 
@@ -100,6 +100,31 @@ def test_keywords(spark):
     assert rows(got) == [("d0", ["apple", "pear"]), ("d1", ["pear", "the"]), ("d2", ["the"])]
 
 
+def test_a_kept_embedder_stays(spark, tmp_path):
+    first = en.kept_embedder(docs(spark, "good", "fine words"), str(tmp_path / "m"), dim=16)
+    again = en.kept_embedder(docs(spark, "quite", "other texts"), str(tmp_path / "m"), dim=16)
+    assert en.embedder_name(first) == en.embedder_name(again) != en.embedder_name(en.fit_embedder(docs(spark, "quite", "other"), dim=16))
+    assert rows(en.embed_text(docs(spark, "fine"), first)) == rows(en.embed_text(docs(spark, "fine"), again))
+
+
+def test_both_ways_of_scoring_agree(spark):
+    given = docs(spark, "good. bad bad! so so. ?", "good good bad", None, "", "...", "neutral words only")
+    lexicon = spark.createDataFrame([("good", 1.0), ("bad", -0.5), ("good", 0.2), ("so", 0.1)], "term string, weight double")
+    rounded = lambda df: sorted((r[0], r[1] and round(r[1], 9), r[2] and round(r[2], 9), r[3]) for r in df.collect())
+    assert rounded(en.score_sentiment(given, lexicon)) == rounded(en.score_sentiment(given, lexicon, in_row=False))
+    with pytest.raises(ValueError, match="too large"):
+        en.score_sentiment(given, spark.range(1001).selectExpr("cast(id as string) term", "1d weight"))
+
+
+def test_no_text_is_shuffled_for_keywords(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(en.keywords(docs(spark, "apple apple pear the", "the pear")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "content#" not in plan.split("Subqueries")[0] and "Exchange" in plan
+
+
 def test_enrich_twice_is_enrich_once(spark, tmp_path):
     items = spark.createDataFrame([item("a", "good"), item("b", "fine words"), item("c", "old", days=9), item("d", "?!")], ITEMS)
     lexicon = spark.createDataFrame([("good", 1.0)], "term string, weight double")

@@ -1,3 +1,4 @@
+import datetime as dt
 import base64
 import json
 
@@ -158,15 +159,14 @@ def test_links_keep_duplicates_unless_asked(spark):
     assert rows(clean_links(df, "url", distinct=True)) == [("",), ("http://a",)]
 
 
-def test_a_long_batch_is_written_in_parts_and_stays_whole(spark):
+def test_a_batch_is_a_header_and_its_links(spark):
     links = spark.range(25).select(
         F.lit("d").alias("dataset_id"), F.lit("s").alias("snapshot_id"), F.col("id").alias("position"),
         F.concat(F.lit("u"), F.col("id") % 5).alias("url"),
     )
-    parts = scrape_manifest(links.repartition(5), part_size=10).orderBy("part").collect()
-    assert [len(p["urls_in_batch"]) for p in parts] == [10, 10, 5] and {p["total_urls_count"] for p in parts} == {25}
-    assert [u for p in parts for u in p["urls_in_batch"]] == [f"u{i % 5}" for i in range(25)]
-    assert scrape_manifest(links).count() == 1
+    headers, each = scrape_manifest(links.repartition(5), dt.datetime(2024, 3, 1))
+    assert rows(headers) == [("d", "s", 25, dt.datetime(2024, 3, 1))]
+    assert [r["url"] for r in each.orderBy("position").collect()] == [f"u{i % 5}" for i in range(25)]
 
 
 def test_selection(spark):

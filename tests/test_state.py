@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import final_plan, rows
 from threadloom.operators import quality, runs
-from threadloom.operators.merge import merge_keep_first, read_current, write_version
+from threadloom.operators.merge import bucket_of, merge_into, merge_keep_first, read_current
 from threadloom.operators.sinks import SUCCESS, WITH_FAILURES, append_checked, read_checked, write_clustered, write_table
 from threadloom.operators.skew import hot_keys, spread_join
 
@@ -59,13 +59,28 @@ def test_merge_check_adds_no_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_versions(spark, tmp_path):
+def test_merging_rewrites_touched_buckets_only(spark, tmp_path):
     root = str(tmp_path / "cache")
     assert read_current(spark, root, CACHE).count() == 0
-    write_version(spark.createDataFrame([("a", [1.0], None)], CACHE), root)
-    write_version(read_current(spark, root, CACHE).withColumn("m", F.lit("second")), root)
-    (tmp_path / "cache" / "v=3").mkdir()  # a write that never finished
-    assert rows(read_current(spark, root, CACHE)) == [("a", [1.0], "second")]
+    many = spark.range(500).selectExpr("cast(id as string) id", "array(1d) v", "cast(null as string) m")
+    assert merge_into(many, root, "id", ["v", "m"], CACHE, {"filled": "v"}) == 1
+    assert merge_into(spark.createDataFrame([("7", [9.0], "new"), ("x", [], "new")], CACHE), root, "id", ["v", "m"], CACHE) == 2
+    now = {r["id"]: (r["v"], r["m"]) for r in read_current(spark, root, CACHE).collect()}
+    assert len(now) == 501 and now["7"] == ([1.0], "new") and now["x"] == (None, "new") and now["8"] == ([1.0], None)
+    touched = {r[0] for r in spark.createDataFrame([("7",), ("x",)], "id string").select(bucket_of("id")).collect()}
+    assert {int(p.name.split("=")[1]) for p in (tmp_path / "cache" / "v=2").glob("bucket=*")} == touched
+    assert len(list((tmp_path / "cache" / "v=1").glob("bucket=*"))) > 2
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    root = str(tmp_path / "cache")
+    row = spark.createDataFrame([("a", [1.0], None)], CACHE)
+    merge_into(row, root, "id", ["v", "m"], CACHE)
+    spark.createDataFrame([(2,)], "n bigint").write.parquet(f"{root}/claims/n=2")  # a writer at work, or one that died
+    with pytest.raises(quality.QualityError, match="another writer"):
+        merge_into(row, root, "id", ["v", "m"], CACHE)
+    assert merge_into(row, root, "id", ["v", "m"], CACHE, take_over=True) == 2
+    assert rows(read_current(spark, root, CACHE)) == [("a", [1.0], None)]
 
 
 def test_run_states(spark, tmp_path):
@@ -105,7 +120,7 @@ def test_quality(spark):
 def test_hot_keys_are_few_and_heavy(spark):
     counts = spark.range(100).selectExpr("id as k", "if(id < 3, 1000L + id, 10L) as n")
     assert rows(hot_keys(counts, "k", floor=100)) == [(0, 10), (1, 11), (2, 11)]
-    assert rows(hot_keys(counts, "k", shares=1, floor=100)) == [(2, 11)]
+    assert rows(hot_keys(counts, "k", floor=10_000)) == []
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

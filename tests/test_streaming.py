@@ -1,3 +1,4 @@
+import base64
 import json
 
 from pyspark.sql import functions as F
@@ -6,7 +7,8 @@ from tests.conftest import rows
 from threadloom.schemas import QUORA_DATASET_ID, REDDIT_DATASET_ID, REDDIT_WIRE
 from threadloom.sources.drops import read_raw_json
 from threadloom.sources.normalize import normalize_reddit
-from threadloom.streaming.ingest import dedupe_stream, ingest_stream, read_ingested
+from threadloom.operators.sinks import read_checked
+from threadloom.streaming.ingest import dedupe_stream, ingest_messages, ingest_stream, read_ingested, reject_stream
 
 
 def drop(root, name, posts):
@@ -41,7 +43,33 @@ def test_stream_equals_batch_and_takes_new_files_only(spark, tmp_path):
         )
     )
     assert rows(both, *batch.columns) == rows(batch)
-    assert [(r["status"], r["n_rejected_paths"]) for r in log(spark, tmp_path)] == [("completed_success", 1), ("completed_success", 0)]
+    assert [r["status"] for r in log(spark, tmp_path)] == ["completed_success", "completed_success"]
+
+
+def test_files_that_no_platform_takes_are_stored(spark, tmp_path):
+    drop(tmp_path / "drops", f"{REDDIT_DATASET_ID}/s_1.json", [{"post_id": "a"}])
+    drop(tmp_path / "drops", "gd_unknown/s_2.json", [{"post_id": "q"}])
+    drop(tmp_path / "drops", "stray.json", [{"post_id": "x"}])
+    for _ in range(2):  # a second run finds nothing new
+        reject_stream(spark, str(tmp_path / "drops"), str(tmp_path / "rejects"), str(tmp_path / "checkpoints"), "r").awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "rejects"))
+    assert rows(kept, "dataset_id", "reject_reason") == [("gd_unknown", "unknown_dataset_id"), (None, "path_too_short")]
+
+
+def test_messages(spark, tmp_path):
+    def message(dataset, posts, job="j"):
+        return (base64.b64encode(json.dumps(posts).encode()).decode(), {"dataset_id": dataset, "job_id": job})
+
+    given = [message(REDDIT_DATASET_ID, [{"post_id": "a"}, {"post_id": "b"}]), message(QUORA_DATASET_ID, [{"post_id": "q"}]),
+             message("gd_unknown", [{"post_id": "x"}]), ("***", {"dataset_id": REDDIT_DATASET_ID, "job_id": "j"})]
+    messages = spark.createDataFrame(given, "data string, attributes map<string, string>")
+    calls = []
+    for _ in range(2):  # delivered twice
+        status = ingest_messages(messages, str(tmp_path / "raw"), "b1", on_success=calls.append)
+    assert set(status.values()) == {"completed_success"} and calls == ["b1", "b1"]
+    stored = {p: rows(read_checked(spark, str(tmp_path / "raw" / p)), "post_id") for p in ("Reddit", "Quora")}
+    assert stored == {"Reddit": [("a",), ("b",)], "Quora": [("q",)]}
+    assert rows(spark.read.parquet(str(tmp_path / "raw" / "rejects")), "reject_reason") == [("bad_base64",), ("unknown_dataset_id",)]
 
 
 def test_a_replayed_stream_replaces_its_batches(spark, tmp_path):

@@ -102,8 +102,8 @@ def sentiment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("content_item_id").cast("bigint")
     base = docs(spark, sf_dir).select("content_item_id")
-    left = base.filter(doc % 3 != 0).select(
-        "content_item_id", F.array(doc.cast("double")).alias("embeddings"),
+    left = base.filter((doc % 3 != 0) | (doc % 5 == 0)).select(
+        "content_item_id", F.array(doc.cast("double")).alias("embeddings"), F.lit("given_model").alias("embedding_model_name"),
         F.when(doc % 4 == 0, "QUOTA").when(doc % 4 == 1, "").alias("embedding_status"),
     )
     right = base.filter(doc % 5 != 0).select(
@@ -124,16 +124,16 @@ def enriched_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job run twice over the documents: the cache holds each recent one once, as first written."""
     root = run_dir(spark, "enrich")
     items = fx.document_items(spark, sf_dir)
-    model = en.fit_embedder(docs(spark, sf_dir))
     words_of = lexicon(spark)
     for as_of in (AS_OF, AS_OF + dt.timedelta(hours=1)):
+        model = en.kept_embedder(docs(spark, sf_dir), f"{root}_embedder")
         table = enrich(
             items, root, as_of, lambda d: en.embed_text(d, model), lambda d: en.score_sentiment(d, words_of),
             lookback=as_of - AS_OF + en.LOOKBACK,
         )
     return table.select(
-        "unified_id", "embedding_model_name", "embedding_task_type", fx.text_time("embedding_generated_at"),
-        F.size("embeddings").cast("bigint").alias("dims"), _rounded("sentiment_score").alias("sentiment_score"),
+        "unified_id", F.regexp_extract("embedding_model_name", "^(hashed_tfidf_256)_[0-9a-f]{8}$", 1).alias("embedding_model_name"),
+        "embedding_task_type", fx.text_time("embedding_generated_at"), F.size("embeddings").cast("bigint").alias("dims"), _rounded("sentiment_score").alias("sentiment_score"),
         _rounded("sentiment_magnitude").alias("sentiment_magnitude"),
     )
 
@@ -189,10 +189,10 @@ SQL = {
     "sentiment_label": """SELECT CASE WHEN quality IS NULL THEN 'Error' WHEN quality > toxic THEN 'Positive'
       WHEN quality < toxic THEN 'Negative' ELSE 'Neutral' END AS sentiment_label, count(*) AS n_items
       FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""",
-    "combine_enrichment": """WITH e AS (SELECT doc_id AS a, CASE doc_id % 4 WHEN 0 THEN 'QUOTA' WHEN 1 THEN '' END AS es FROM documents WHERE doc_id % 3 <> 0),
+    "combine_enrichment": """WITH e AS (SELECT doc_id AS a, CASE doc_id % 4 WHEN 0 THEN 'QUOTA' WHEN 1 THEN '' END AS es FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 5 = 0),
       s AS (SELECT doc_id AS b, CASE WHEN doc_id % 11 = 0 THEN 'LANGUAGE' ELSE '' END AS ss FROM documents WHERE doc_id % 5 <> 0)
       SELECT CAST(coalesce(a, b) AS VARCHAR) AS unified_id, CAST(a AS DOUBLE) AS embeddings,
-             'text-embedding-004' AS embedding_model_name, 'CLUSTERING' AS embedding_task_type,
+             CASE WHEN a IS NOT NULL THEN 'given_model' END AS embedding_model_name, 'CLUSTERING' AS embedding_task_type,
              '2024-03-01 00:00:00' AS embedding_generated_at, CAST(b % 3 - 1 AS DOUBLE) AS sentiment_score,
              CASE WHEN b IS NOT NULL THEN 1.0 END::DOUBLE AS sentiment_magnitude
       FROM e FULL JOIN s ON a = b WHERE coalesce(es, '') = '' AND coalesce(ss, '') = ''""",
@@ -205,7 +205,7 @@ SQL = {
       SELECT CAST(doc_id AS VARCHAR) AS content_item_id, string_agg(term, ' ' ORDER BY rank) AS keyword_list
       FROM r WHERE rank <= 5 GROUP BY 1""",
     "enrich": f"""WITH {SENTIMENT}
-    SELECT CAST(doc_id AS VARCHAR) AS unified_id, 'text-embedding-004' AS embedding_model_name, 'CLUSTERING' AS embedding_task_type,
+    SELECT CAST(doc_id AS VARCHAR) AS unified_id, 'hashed_tfidf_256' AS embedding_model_name, 'CLUSTERING' AS embedding_task_type,
            '2024-03-01 00:00:00' AS embedding_generated_at, 256 AS dims,
            round(score + 1e-9, 6) AS sentiment_score, round(magnitude + 1e-9, 6) AS sentiment_magnitude
     FROM scores WHERE doc_id % 5 <= 2""",

@@ -35,7 +35,7 @@ r_replies AS (
 q_posts AS (
   SELECT *, 'q' || conv_id AS post_id, CASE WHEN conv_id % 3 = 0 THEN 'details of ' || conv_id END AS body,
          'q_' || role AS author
-  FROM stamped WHERE turn = 0 AND conv_id % 2 = 1),
+  FROM stamped WHERE turn = 0),
 q_comments AS (
   SELECT s.*, p.post_id, p.text AS title, p.body, 'q_' || s.role AS author,
          'quora_comment_gen_' || md5(p.post_id || 'q_' || s.role || s.idt || s.text) AS comment_id

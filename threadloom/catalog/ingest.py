@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,7 +154,8 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(page % 2 == 0, REDDIT_DATASET_ID).otherwise(QUORA_DATASET_ID).alias("dataset_id"),
         F.concat(F.lit("s_"), F.floor(page / 100)).alias("snapshot_id"), page.alias("position"), "url",
     )
-    return scrape_manifest(batches, part_size=40).withColumn("urls_in_batch", F.array_join("urls_in_batch", " "))
+    headers, rows = scrape_manifest(batches, dt.datetime(2024, 3, 1))
+    return rows.unionByName(headers.withColumn("initiated_at", fx.text_time("initiated_at")), allowMissingColumns=True)
 
 
 def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,9 +245,8 @@ SQL = {
     "distinct_links": _LINKS + "SELECT DISTINCT url FROM links",
     "scrape_manifest": _LINKS + f""", b AS (
       SELECT CASE WHEN page_id % 2 = 0 THEN '{REDDIT_DATASET_ID}' ELSE '{QUORA_DATASET_ID}' END AS dataset_id,
-             's_' || page_id // 100 AS snapshot_id, page_id // 40 AS part, page_id, url FROM links)
-    SELECT dataset_id, snapshot_id, part, string_agg(url, ' ' ORDER BY page_id) AS urls_in_batch,
-           CAST(sum(count(*)) OVER (PARTITION BY dataset_id, snapshot_id) AS BIGINT) AS total_urls_count
-    FROM b GROUP BY 1, 2, 3""",
+             's_' || page_id // 100 AS snapshot_id, page_id AS position, url FROM links)
+    SELECT dataset_id, snapshot_id, position, url, NULL AS total_urls_count, NULL AS initiated_at FROM b
+    UNION ALL SELECT dataset_id, snapshot_id, NULL, NULL, count(*), '2024-03-01 00:00:00' FROM b GROUP BY 1, 2""",
     "selection": "SELECT DISTINCT CAST(doc_id // 2 AS VARCHAR) AS unified_id FROM documents WHERE doc_id % 7 <> 0",
 }

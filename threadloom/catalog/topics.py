@@ -280,7 +280,7 @@ SQL = {
                                 || 'CONFIDENCE: ' || confidence || ' ' || chr(10) || 'LABEL: other' END AS raw,
                    CASE c WHEN 1 THEN 'Label cannot be empty' WHEN 2 THEN 'Label is too long (should be concise)'
                           WHEN 3 THEN 'Description must be 1-2 sentences' WHEN 4 THEN 'Confidence must be between 0 and 1'
-                          WHEN 5 THEN 'could not convert string to float: ''high''' WHEN 6 THEN 'No candidates in response'
+                          WHEN 5 THEN 'Confidence is not a number: high' WHEN 6 THEN 'No candidates in response'
                           WHEN 7 THEN 'No content parts in candidate' WHEN 8 THEN 'Invalid JSON response' ELSE '' END AS fault FROM t)
       SELECT '{RUN}' AS run_id, doc_id AS topic_id, '2024-03-01 00:00:00' AS created_at,
              CASE WHEN c = 0 THEN 'Good name' WHEN c IN (6, 7, 8) THEN 'Error: ' || fault ELSE 'Error: Invalid response format' END AS topic_label,

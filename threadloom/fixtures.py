@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.session import run_dir, widen
+from threadloom.session import run_dir
 
 PAIRS_PER_RECORD = 64
 BASE_EPOCH = 1704067200  # 2024-01-01 UTC
@@ -133,7 +133,7 @@ def build_reddit_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_quora_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quora records of every odd conversation, roles marked, without votes below the question."""
+    """Quora records of all conversations, roles marked, without votes below the question."""
     conv, snap = F.col("conv_id"), F.col("snap")
 
     def author(role: Column) -> Column:
@@ -154,7 +154,7 @@ def build_quora_data(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.filter(F.array(F.when(c["r"].isNotNull(), reply(c["r"]))), lambda r: r.isNotNull()).alias("replys"),
         )
 
-    return _threads(spark, sf_dir).filter(conv % 2 == 1).select(
+    return _threads(spark, sf_dir).select(
         F.concat(F.lit("q"), conv).alias("post_id"),
         F.concat(F.lit("https://q.example/"), conv).alias("url"),
         author(F.col("role")).alias("author_name"),
@@ -170,10 +170,15 @@ def build_quora_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given file dealt over as many files as there are cores, as a stored table has many."""
+    return table(spark, sf_dir, "documents").repartition(spark.sparkContext.defaultParallelism)
+
+
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as items: load times spread over the five days before 2024-03-01."""
     doc = F.col("doc_id")
-    return widen(table(spark, sf_dir, "documents")).select(
+    return staged(spark, sf_dir, "documents", build_documents).select(
         F.col("source"),
         F.lit("post").alias("content_type"),
         doc.cast("string").alias("content_item_id"),

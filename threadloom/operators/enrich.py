@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -12,10 +14,9 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import has_text, sentences, words
 from threadloom.operators.skew import skew_join
-from threadloom.session import widen
+from threadloom.session import cut
 
-# Provenance recorded beside a vector, and how far back new items are looked for.
-EMBEDDING_MODEL = "text-embedding-004"
+# The task recorded beside a vector, and how far back new items are looked for.
 EMBEDDING_TASK = "CLUSTERING"
 LOOKBACK = dt.timedelta(days=2)
 
@@ -34,18 +35,25 @@ def incomplete(score: str, vector: str) -> Column:
     return F.col(score).isNull() | F.col(vector).isNull() | (F.size(vector) == 0)
 
 
+def _gap(cache: DataFrame) -> Column:
+    if "has_vector" in cache.columns:
+        return F.col("sentiment_score").isNull() | ~F.coalesce("has_vector", F.lit(False))
+    return incomplete("sentiment_score", "embeddings")
+
+
 def pending_items(
     items: DataFrame, cache: DataFrame, as_of: dt.datetime, lookback: dt.timedelta | None = LOOKBACK,
     text_col: str = "primary_text",
 ) -> DataFrame:
     """(content_item_id, content) of recent items with text whose cache entry is missing or incomplete.
 
-    Of the cache only the key and two flags travel to the join, never the vectors.
+    Of the cache only the key and one flag travel to the join, never the vectors; a cache that stores ``has_vector``
+    is not even read for them.
     """
     recent = items.filter(
         recently_loaded(F.col("record_load_timestamp"), as_of, lookback) & has_text(F.col(text_col))
     ).select("content_item_id", F.col(text_col).alias("content"))
-    known = cache.select(F.col("unified_id").alias("content_item_id"), incomplete("sentiment_score", "embeddings").alias("_gap"))
+    known = cache.select(F.col("unified_id").alias("content_item_id"), _gap(cache).alias("_gap"))
     return recent.join(known, "content_item_id", "left").filter(F.coalesce("_gap", F.lit(True))).drop("_gap")
 
 
@@ -62,11 +70,34 @@ def fit_embedder(docs: DataFrame, dim: int = 256, text_col: str = "content") ->
             Normalizer(inputCol="_tfidf", outputCol="_unit"),
             Normalizer(inputCol="_tf", outputCol="_unit_tf"),
         ]
-    ).fit(widen(docs))
+    ).fit(docs)
+
+
+def kept_embedder(docs: DataFrame, path: str, dim: int = 256, text_col: str = "content") -> PipelineModel:
+    """The embedder saved at ``path``; the first call fits it on ``docs`` and saves it.
+
+    Kept beside a cache, it makes the vectors of every later run comparable with those already there.
+    """
+    try:
+        return PipelineModel.load(path)
+    except PySparkException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    except Exception as error:  # how a missing model shows depends on the file system
+        if not any(sign in str(error) for sign in ("does not exist", "No such file", "FileNotFound")):
+            raise
+    fit_embedder(docs, dim, text_col).write().save(path)
+    return PipelineModel.load(path)
+
+
+def embedder_name(model: PipelineModel) -> str:
+    """Kind, dimension and a digest of the weights: vectors of different fits carry different names."""
+    weights = next(stage for stage in model.stages if hasattr(stage, "idf")).idf.toArray()
+    return f"hashed_tfidf_{len(weights)}_{hashlib.md5(weights.tobytes()).hexdigest()[:8]}"
 
 
 def embed_text(docs: DataFrame, model: PipelineModel) -> DataFrame:
-    """(content_item_id, embeddings, embedding_status); the status is empty when all is well.
+    """(content_item_id, embeddings, embedding_status, embedding_model_name); the status is empty when all is well.
 
     A text whose words are in every document has no tf-idf left and keeps its plain word counts instead; only a
     text without words has no vector.
@@ -74,11 +105,14 @@ def embed_text(docs: DataFrame, model: PipelineModel) -> DataFrame:
     def nonzero(vector: Column) -> Column:
         return F.when(F.exists(vector, lambda x: x != 0), vector)
 
-    embedded = model.transform(widen(docs)).select(
+    embedded = model.transform(docs).select(
         "content_item_id",
         F.coalesce(nonzero(vector_to_array("_unit")), nonzero(vector_to_array("_unit_tf"))).alias("embeddings"),
     )
-    return embedded.withColumn("embedding_status", F.when(F.col("embeddings").isNull(), "empty").otherwise(""))
+    return embedded.withColumns({
+        "embedding_status": F.when(F.col("embeddings").isNull(), "empty").otherwise(""),
+        "embedding_model_name": F.lit(embedder_name(model)),
+    })
 
 
 # --- sentiment ---
@@ -97,17 +131,54 @@ def parse_sentiment(results: DataFrame, json_col: str = "result", status_col: st
     )
 
 
-def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "content") -> DataFrame:
+# A lexicon this small goes into the rows as one value; a lookup in it is a scan.
+MOST_IN_ROW = 1_000
+
+
+def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "content", in_row: bool = True) -> DataFrame:
     """Sentiment from a (term, weight) table.
 
     A sentence scores the mean weight of its words; a document the mean over its sentences, within -1..1, with
-    the sum of their absolute values as magnitude. A small lexicon is broadcast, so words never leave their
-    task; sums are combined per sentence before they are shuffled.
+    the sum of their absolute values as magnitude. ``in_row`` scores every document within its row, without any
+    shuffle, and takes a lexicon of at most MOST_IN_ROW terms; larger ones are joined, by ``in_row=False``.
     """
-    spoken = widen(docs).select("content_item_id", F.posexplode(sentences(F.col(text_col))).alias("sentence", "_text"))
-    tokens = spoken.select("content_item_id", "sentence", F.explode(words(F.col("_text"))).alias("term"))
     # One weight per term, so a term listed twice cannot count a word twice.
     weights = lexicon.groupBy("term").agg(F.max("weight").cast("double").alias("weight"))
+    scored = _scored_in_row(docs, weights, text_col) if in_row else _scored_by_join(docs, weights, text_col)
+    return scored.select(
+        "content_item_id",
+        F.when(F.col("_mean").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_mean")))).alias("sentiment_score"),
+        "sentiment_magnitude",
+        F.when(F.col("_mean").isNull(), "empty").otherwise("").alias("sentiment_status"),
+    )
+
+
+def _scored_in_row(docs: DataFrame, weights: DataFrame, text_col: str) -> DataFrame:
+    size = weights.count()
+    if size > MOST_IN_ROW:
+        raise ValueError(f"a lexicon of {size} terms is too large to score in the row; use in_row=False")
+    table = weights.agg(F.map_from_entries(F.collect_list(F.struct("term", "weight")))).scalar()
+
+    def mean(tokens: Column) -> Column:
+        total = F.aggregate(tokens, F.lit(0.0), lambda s, w: s + F.coalesce(F.try_element_at(F.col("_weights"), w), F.lit(0.0)))
+        return total / F.size(tokens)
+
+    tokens = F.filter(F.transform(sentences(F.col(text_col)), words), lambda t: F.size(t) > 0)
+    means = F.transform("_tokens", mean)
+    spoken = docs.select("content_item_id", tokens.alias("_tokens"), table.alias("_weights")).withColumn("_means", means)
+    total = lambda of: F.aggregate("_means", F.lit(0.0), lambda s, m: s + of(m))
+    some = F.size("_means") > 0
+    return spoken.select(
+        "content_item_id",
+        F.when(some, total(lambda m: m) / F.size("_means")).alias("_mean"),
+        F.when(some, total(F.abs)).alias("sentiment_magnitude"),
+    )
+
+
+def _scored_by_join(docs: DataFrame, weights: DataFrame, text_col: str) -> DataFrame:
+    """Words meet the lexicon in a join; sums combine per sentence before they are shuffled."""
+    spoken = docs.select("content_item_id", F.posexplode(sentences(F.col(text_col))).alias("sentence", "_text"))
+    tokens = spoken.select("content_item_id", "sentence", F.explode(words(F.col("_text"))).alias("term"))
     per_sentence = (
         skew_join(tokens, weights, "term", "left")
         .groupBy("content_item_id", "sentence")
@@ -116,13 +187,7 @@ def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "conten
     scored = per_sentence.groupBy("content_item_id").agg(
         F.avg("mean").alias("_mean"), F.sum(F.abs("mean")).alias("sentiment_magnitude")
     )
-    ids = docs.select("content_item_id")
-    return ids.join(scored, "content_item_id", "left").select(
-        "content_item_id",
-        F.when(F.col("_mean").isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_mean")))).alias("sentiment_score"),
-        "sentiment_magnitude",
-        F.when(F.col("_mean").isNull(), "empty").otherwise("").alias("sentiment_status"),
-    )
+    return docs.select("content_item_id").join(scored, "content_item_id", "left")
 
 
 def sentiment_label(score: Column, threshold: float = 0.25) -> Column:
@@ -139,10 +204,12 @@ def sentiment_label(score: Column, threshold: float = 0.25) -> Column:
 
 
 def combine_enrichment(
-    embedded: DataFrame, sentiment: DataFrame, as_of: dt.datetime,
-    model: str = EMBEDDING_MODEL, task: str = EMBEDDING_TASK,
+    embedded: DataFrame, sentiment: DataFrame, as_of: dt.datetime, task: str = EMBEDDING_TASK,
 ) -> DataFrame:
-    """Both providers' results side by side; an error of either drops the row, so it is tried again later."""
+    """Both providers' results side by side; an error of either drops the row, so it is tried again later.
+
+    The model's name comes with the vectors, from the provider that made them; rows without a vector have none.
+    """
     e = embedded.withColumn("_e", F.lit(True))
     s = sentiment.withColumn("_s", F.lit(True))
     fine = (F.length(F.coalesce("embedding_status", F.lit(""))) == 0) & (F.length(F.coalesce("sentiment_status", F.lit(""))) == 0)
@@ -152,7 +219,7 @@ def combine_enrichment(
         .select(
             F.col("content_item_id").alias("unified_id"),
             "embeddings",
-            F.lit(model).alias("embedding_model_name"),
+            F.when(F.size("embeddings") > 0, F.col("embedding_model_name")).alias("embedding_model_name"),
             F.lit(task).alias("embedding_task_type"),
             F.lit(as_of).cast("timestamp").alias("embedding_generated_at"),
             "sentiment_score",
@@ -167,16 +234,16 @@ def combine_enrichment(
 def keywords(docs: DataFrame, k: int = 5, text_col: str = "content") -> DataFrame:
     """The ``k`` words of highest tf-idf per item, best first; equal weights go by the word.
 
-    Items are dealt out by id once; counting, the join with a broadcast frequency table and the ranking then run
-    in place. A vocabulary too large to broadcast costs one more shuffle of (item, word) counts.
+    A word is counted within its row, so what is written once, counted per word and joined are (item, word, count)
+    rows; no text is shuffled. A word that is in most items is split by the join.
     """
-    tokens = docs.repartition("content_item_id").select("content_item_id", F.explode(words(F.col(text_col))).alias("term"))
-    tf = tokens.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = (
-        widen(docs).select(F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    ordered = docs.select("content_item_id", F.array_sort(words(F.col(text_col))).alias("_s")).filter(F.size("_s") > 0)
+    first = lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", F.greatest(i - 1, F.lit(1))))
+    runs = ordered.withColumn("_at", F.filter(F.sequence(F.lit(1), F.size("_s")), first))
+    ends = F.concat(F.slice("_at", 2, F.size("_at")), F.array(F.size("_s") + 1))
+    counted = F.zip_with("_at", ends, lambda a, b: F.struct(F.element_at("_s", a).alias("term"), (b - a).alias("tf")))
+    tf = cut(runs.select("content_item_id", F.explode(counted).alias("c")).select("content_item_id", "c.term", "c.tf"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.round(F.col("tf") * F.log((total + 1) / (F.col("df") + 1)), 6)
     best = Window.partitionBy("content_item_id").orderBy(F.col("weight").desc(), "term")

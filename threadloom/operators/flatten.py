@@ -11,6 +11,7 @@ from threadloom.functions.coerce import list_or_empty
 from threadloom.functions.ids import stable_id
 from threadloom.operators.latest import latest_by, version_order
 from threadloom.operators.skew import skew_join
+from threadloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -230,14 +231,6 @@ def _project_children(children: DataFrame, best_posts: DataFrame, platform: Plat
     )
 
 
-def project_comments(best_comments: DataFrame, best_posts: DataFrame, platform: Platform) -> DataFrame:
-    return _project_children(_comment_rows(best_comments), best_posts, platform)
-
-
-def project_replies(best_replies: DataFrame, best_posts: DataFrame, platform: Platform) -> DataFrame:
-    return _project_children(_reply_rows(best_replies), best_posts, platform)
-
-
 def _items(df: DataFrame, platform: Platform) -> DataFrame:
     """The 18 columns of the item table."""
     none = F.array().cast("array<string>")
@@ -271,7 +264,8 @@ def platform_items(raw: DataFrame, platform: Platform, reply_id_includes_text: b
     """
     posts = posts_base(raw, platform)
     replies = replies_base(comments_base(posts, platform), platform, reply_id_includes_text)
-    best_posts = latest_posts(posts)
+    # The projection and the context of the children read the same newest posts: ranked once, with all columns, and written.
+    best_posts = cut(latest_posts(posts))
     best_comments = latest_comments(comments_base(posts, platform, with_replies=False))
     children = _comment_rows(best_comments).unionByName(_reply_rows(latest_replies(replies)))
     return project_posts(best_posts, platform).unionByName(_project_children(children, best_posts, platform))
@@ -286,6 +280,14 @@ def unified_items(reddit: DataFrame, quora: DataFrame | None = None, reply_id_in
 
 
 def orphans(items: DataFrame) -> DataFrame:
-    """Items whose parent is not in the table."""
+    """Items whose parent is not in the table.
+
+    The items are written once, as their view is costly. Children are counted per parent before ids are compared, and a
+    missing parent with very many children is split when these are picked.
+    """
+    items = cut(items)
+    children = items.filter(F.col("parent_content_item_id").isNotNull())
+    parents = children.groupBy("parent_content_item_id").agg(F.count(F.lit(1)).alias("n_children"))
     ids = items.select(F.col("content_item_id").alias("parent_content_item_id")).distinct()
-    return items.filter(F.col("parent_content_item_id").isNotNull()).join(ids, "parent_content_item_id", "left_anti")
+    missing = parents.join(ids, "parent_content_item_id", "left_anti").select("parent_content_item_id")
+    return skew_join(children, missing, "parent_content_item_id").select(*items.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators.enrich import sentiment_label
+from threadloom.operators.skew import skew_join
 
 # How a row of the enriched table came about.
 AD_HOC = "ad_hoc_consultant"
@@ -21,7 +22,8 @@ def enriched_items(
 ) -> DataFrame:
     """Items with sentiment, keywords and, for a run, their topic and its label. All joins keep every item.
 
-    Item ids are unique on both sides; a run has few labels, which Spark broadcasts by size.
+    Item ids are unique on both sides. A run has as many labels as topics: they go to the items as one value, so items
+    without a topic, or with one that most items share, meet in no task.
     """
     scores = cache.select(F.col("unified_id").alias("content_item_id"), "sentiment_score")
     wide = items.join(scores, "content_item_id", "left")
@@ -35,7 +37,9 @@ def enriched_items(
     else:
         wide = wide.withColumn("topic_id", F.lit(None).cast("bigint"))
     if run_id is not None and labels is not None:
-        wide = wide.join(labels.filter(F.col("run_id") == run_id).select("topic_id", "topic_label"), "topic_id", "left")
+        of_run = labels.filter((F.col("run_id") == run_id) & F.col("topic_id").isNotNull())
+        names = of_run.agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "topic_label")))).scalar()
+        wide = wide.withColumn("_names", names).withColumn("topic_label", F.try_element_at("_names", F.col("topic_id"))).drop("_names")
     else:
         wide = wide.withColumn("topic_label", F.lit(None).cast("string"))
     return wide.select(
@@ -79,4 +83,4 @@ def map_view(coordinates: DataFrame, assignments: DataFrame, labels: DataFrame)
         assignments.select("run_id", "unified_id", "source", "content_type", "primary_text", "topic_id", "sentiment_score"),
         ["run_id", "unified_id"],
     )
-    return placed.join(labels.select("run_id", "topic_id", "topic_label"), ["run_id", "topic_id"])
+    return skew_join(placed, labels.select("run_id", "topic_id", "topic_label"), ["run_id", "topic_id"])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators.quality import unique_or_fail
+from threadloom.operators.quality import QualityError, unique_or_fail
+from threadloom.session import cut, discard
 
 
 def _present(df: DataFrame, col: str, side: str) -> Column:
@@ -26,32 +28,80 @@ def merge_keep_first(target: DataFrame, source: DataFrame, key: str, cols: list[
     )
 
 
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """Complete versions below ``root``: those Spark marked with _SUCCESS."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append((int(name[2:]), status.getPath().toString()))
-    return sorted(found)
+# --- a cache as buckets with versions ---
+#
+# root/v=<n>/bucket=<b>  rows of a bucket as version n left them
+# root/log               one row per committed version, with the buckets it wrote; a bucket's newest version counts
+# root/claims/n=<n>      taken by the writer of version n
 
+BUCKETS = 64
+_LOG = "version bigint, buckets array<int>"
 
-def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest complete version, or an empty table before the first one."""
-    versions = _versions(spark, root)
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _log(spark: SparkSession, root: str) -> tuple[int, dict[int, int]]:
+    """The last version, and the newest version of each bucket: at most BUCKETS numbers."""
+    try:
+        log = spark.read.schema(_LOG).parquet(f"{root}/log")
+        last = log.agg(F.max("version")).first()[0] or 0
+        rows = log.select(F.explode("buckets").alias("b"), "version").groupBy("b").agg(F.max("version").alias("v")).collect()
+        return last, {row["b"]: row["v"] for row in rows}
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return 0, {}
+        raise
+
+
+def _commit(spark: SparkSession, root: str, number: int, buckets: list[int]) -> None:
+    spark.createDataFrame([(number, buckets)], _LOG).coalesce(1).write.mode("append").parquet(f"{root}/log")
+
+
+def _rows(spark: SparkSession, root: str, schema: str, versions: dict[int, int]) -> DataFrame:
     if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(versions[-1][1])
+    paths = [f"{root}/v={v}/bucket={b}" for b, v in sorted(versions.items())]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The rows of the newest committed versions, or an empty table before the first one."""
+    return _rows(spark, root, schema, _log(spark, root)[1])
+
 
+def merge_into(
+    source: DataFrame, root: str, key: str, cols: list[str], schema: str, flags: dict[str, str] | None = None, take_over: bool = False,
+) -> int:
+    """Merge ``source`` into the cache at ``root`` by :func:`merge_keep_first`; returns the new version.
 
-def write_version(df: DataFrame, root: str) -> int:
-    """Write the next version beside the old ones, so a reader never sees a half-written table."""
-    versions = _versions(df.sparkSession, root)
-    number = versions[-1][0] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(f"{root}/v={number}")
+    Only buckets that hold a key of ``source`` are read and written again. ``flags`` adds columns that tell whether an
+    array is filled, for readers that need no more. Readers see a version when its row in the log is written, last. A
+    writer takes the next number first; another one that wants the same number is refused. ``take_over`` claims a number
+    whose writer is known to have died.
+    """
+    spark = source.sparkSession
+    last, current = _log(spark, root)
+    source = cut(source)
+    touched = sorted(row[0] for row in source.select(bucket_of(key)).distinct().collect())
+    number = last + 1
+    claim = spark.createDataFrame([(number,)], "n bigint").coalesce(1).write.mode("overwrite" if take_over else "error")
+    try:
+        claim.parquet(f"{root}/claims/n={number}")
+    except AnalysisException as error:
+        if "PATH_ALREADY_EXISTS" in str(error):
+            raise QualityError(f"another writer holds version {number} of {root}") from error
+        raise
+    try:
+        target = _rows(spark, root, schema, {b: v for b, v in current.items() if b in touched})
+        merged = merge_keep_first(target, source, key, cols).withColumn("bucket", bucket_of(key))
+        for flag, column in (flags or {}).items():
+            merged = merged.withColumn(flag, F.coalesce(F.size(column) > 0, F.lit(False)))
+        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/v={number}")
+    except Exception:
+        _commit(spark, root, number, [])  # the number is spent, and nothing has changed
+        raise
+    _commit(spark, root, number, touched)
+    discard(source)
     return number

@@ -132,22 +132,29 @@ def _pull(edges: DataFrame, points: DataFrame, a: float, b: float) -> DataFrame:
 
 
 def _push(points: DataFrame, buckets: int, epoch: int, seed: int, a: float, b: float) -> DataFrame:
-    """Adds the repulsion (gx, gy) from the next few points in a random order.
+    """Adds the repulsion (gx, gy) from the next few points in a random circle.
 
     The order is a hash of id, epoch and seed within buckets of bounded size, drawn anew each epoch: the partners
     are random yet the same on every rerun.
     """
     draw = F.xxhash64(F.col("unified_id"), F.lit(epoch), F.lit(seed))
     order = Window.partitionBy("_bucket").orderBy("_draw", "unified_id")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     drawn = points.withColumn("_draw", draw).withColumn("_bucket", F.pmod("_draw", F.lit(buckets)))
+    drawn = drawn.withColumns({
+        "_place": F.row_number().over(order), "_n": F.count(F.lit(1)).over(whole),
+        "_ring": F.array(*[F.nth_value(F.struct("x", "y"), i).over(whole) for i in range(1, _NEGATIVES + 1)]),
+    })
     gx, gy = F.lit(0.0), F.lit(0.0)
     for step in range(1, _NEGATIVES + 1):
-        ox, oy = F.lead("x", step).over(order), F.lead("y", step).over(order)
+        # Past the end of the circle come its first points; a circle of fewer points than steps goes round again.
+        wrapped = F.try_element_at("_ring", ((F.col("_place") + (step - 1)) % F.col("_n") + 1).cast("int"))
+        ox, oy = F.coalesce(F.lead("x", step).over(order), wrapped["x"]), F.coalesce(F.lead("y", step).over(order), wrapped["y"])
         gap2 = (F.col("x") - ox) ** 2 + (F.col("y") - oy) ** 2
         force = 2.0 * b / ((0.001 + gap2) * (1.0 + a * F.pow(gap2, F.lit(b))))
         gx = gx + F.coalesce(_clip(force * (F.col("x") - ox)), F.lit(0.0))
         gy = gy + F.coalesce(_clip(force * (F.col("y") - oy)), F.lit(0.0))
-    return drawn.withColumns({"gx": gx, "gy": gy}).drop("_draw", "_bucket")
+    return drawn.withColumns({"gx": gx, "gy": gy}).drop("_draw", "_bucket", "_place", "_n", "_ring")
 
 
 def layout(

@@ -30,9 +30,10 @@ def append_checked(df: DataFrame, path: str, rules: dict[str, Column], mode: str
     return WITH_FAILURES if seen.get["rejected"] else SUCCESS
 
 
-def read_checked(spark: SparkSession, path: str, outcome: str = "accepted") -> DataFrame:
-    """The accepted (or rejected) rows of a table written by :func:`append_checked`."""
-    rows = spark.read.parquet(path).filter(F.col("outcome") == outcome).drop("outcome")
+def read_checked(spark: SparkSession, path: str, outcome: str = "accepted", schema: str | None = None) -> DataFrame:
+    """The accepted (or rejected) rows of a table written by :func:`append_checked`; a given ``schema`` is not inferred."""
+    reader = spark.read.schema(f"{schema}, failed_rules array<string>, outcome string") if schema else spark.read
+    rows = reader.parquet(path).filter(F.col("outcome") == outcome).drop("outcome")
     return rows.drop("failed_rules") if outcome == "accepted" else rows
 
 

@@ -18,20 +18,16 @@ def skew_join(left: DataFrame, right: DataFrame, key: str | list[str], how: str
     return left.withColumn("_kh", hashed).join(right.withColumn("_kh", hashed), [*keys, "_kh"], how).drop("_kh")
 
 
-# At most so many keys are treated as hot, and only keys with more rows than one task handles with ease.
-# A key outside the list has fewer rows than each of SHARES others, so it cannot dominate.
-SHARES = 10_000
+# A key with more rows than this is dealt over several tasks.
 FLOOR = 100_000
 
 
-def hot_keys(counts: DataFrame, key: str, shares: int = SHARES, floor: int = FLOOR) -> DataFrame:
-    """(key, _salts) for the heaviest keys of ``counts(key, n)``: never more than ``shares`` rows."""
+def hot_keys(counts: DataFrame, key: str, floor: int = FLOOR) -> DataFrame:
+    """(key, _salts) for every key of ``counts(key, n)`` with more than ``floor`` rows, whatever their number."""
     return (
         counts.groupBy(key)
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") > floor)
-        .orderBy(F.col("n").desc(), key)
-        .limit(shares)
         .select(key, F.ceil(F.col("n") / floor).cast("int").alias("_salts"))
     )
 
@@ -43,22 +39,22 @@ def spread_join(
     row_key: str,
     counts: DataFrame,
     how: str = "inner",
-    shares: int = SHARES,
     floor: int = FLOOR,
 ) -> DataFrame:
     """Join on ``key`` with the rows of each hot key dealt over several tasks by the hash of ``row_key``.
 
     ``counts(key, n)`` gives (an upper bound of) the left rows per key. Only the right rows of hot keys are
-    repeated, once per salt. The broadcast list of hot keys is bounded by ``shares``.
+    repeated, once per salt, so no task gets more than about ``floor`` rows of a key. The table of hot keys has at most
+    one row per ``floor`` rows; Spark broadcasts it if it is small and joins it otherwise.
     """
-    hot = F.broadcast(hot_keys(counts, key, shares, floor))
+    hot = hot_keys(counts, key, floor)
     salted_left = (
-        left.join(hot, key, "left")
+        skew_join(left, hot, key, "left")
         .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(row_key), F.col("_salts")).cast("int"), F.lit(0)))
         .drop("_salts")
     )
     salted_right = (
-        right.join(hot, key, "left")
+        skew_join(right, hot, key, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import trim_ws, words
 from threadloom.functions.vectors import dot, norm, unit, usable
-from threadloom.operators.skew import skew_join
-from threadloom.session import cut, pin, widen
+from threadloom.session import cut, discard, pin
 
 # Default number of topics, its minimum, and the iteration limit.
 DEFAULT_TOPICS = 5
@@ -43,7 +42,8 @@ def item_vectors(items: DataFrame, cache: DataFrame, ids: DataFrame | None = Non
     meta = items.select(
         F.col("content_item_id").alias("unified_id"), "source", "content_type", "content_timestamp", "primary_text"
     )
-    vectors = vectors_for(cache, ids).select("unified_id", "embeddings", "sentiment_score", "sentiment_magnitude")
+    named = [c for c in ("embedding_model_name",) if c in cache.columns]
+    vectors = vectors_for(cache, ids).select("unified_id", "embeddings", "sentiment_score", "sentiment_magnitude", *named)
     return vectors.join(meta, "unified_id")
 
 
@@ -73,11 +73,14 @@ def fit_topics(vectors: DataFrame, k: int = DEFAULT_TOPICS, seed: int = 42, part
     give equal centres and the iterations reread the written table.
     """
     check_topic_count(k)
-    check_dimension(vectors)
     spark = vectors.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    features = vectors.select("unified_id", array_to_vector(unit(F.col("embeddings"))).alias("features"))
+    # The check, the sampling for the ranges and the shuffle all read this table; the vectors are computed once.
+    written = cut(vectors.select("unified_id", "embeddings"))
+    check_dimension(written)
+    features = written.select("unified_id", array_to_vector(unit(F.col("embeddings"))).alias("features"))
     ordered = pin(features.repartitionByRange(parts, "unified_id").sortWithinPartitions("unified_id"))
+    discard(written)
     return KMeans(
         k=k, seed=seed, maxIter=MAX_ITERATIONS, distanceMeasure="cosine", initMode="k-means||", featuresCol="features"
     ).fit(ordered)
@@ -101,8 +104,8 @@ def _center_list(centers: DataFrame) -> Column:
     return centers.agg(F.array_sort(F.collect_list(one))).scalar()
 
 
-def centroid_distances(vectors: DataFrame, centers: DataFrame) -> DataFrame:
-    """Adds ``nearest_centroids``: (distance, topic_id) to every centre, nearest first."""
+def _distances(vectors: DataFrame, centers: DataFrame) -> tuple[DataFrame, Column]:
+    """``vectors`` with the centres beside them, and the (distance, topic_id) list to all of these."""
     every = F.transform(
         "_centers",
         lambda c: F.struct(
@@ -110,20 +113,22 @@ def centroid_distances(vectors: DataFrame, centers: DataFrame) -> DataFrame:
             c["topic_id"].alias("topic_id"),
         ),
     )
-    return (
-        vectors.withColumns({"_centers": _center_list(centers), "_length": norm(F.col("embeddings"))})
-        .withColumn("nearest_centroids", F.array_sort(every))
-        .drop("_centers", "_length")
-    )
+    return vectors.withColumns({"_centers": _center_list(centers), "_length": norm(F.col("embeddings"))}), every
+
+
+def centroid_distances(vectors: DataFrame, centers: DataFrame) -> DataFrame:
+    """Adds ``nearest_centroids``: (distance, topic_id) to every centre, nearest first."""
+    beside, every = _distances(vectors, centers)
+    return beside.withColumn("nearest_centroids", F.array_sort(every)).drop("_centers", "_length")
 
 
 def assign_topics(vectors: DataFrame, centers: DataFrame) -> DataFrame:
-    """Adds ``topic_id`` and ``assignment_score``, the cosine distance to that topic's centre."""
-    best = F.element_at("nearest_centroids", 1)
+    """Adds ``topic_id`` and ``assignment_score``, the cosine distance to that topic's centre; no list is sorted for it."""
+    beside, every = _distances(vectors, centers)
     return (
-        centroid_distances(vectors, centers)
-        .withColumns({"topic_id": best["topic_id"], "assignment_score": best["distance"]})
-        .drop("nearest_centroids")
+        beside.withColumn("_best", F.array_min(every))
+        .withColumns({"topic_id": F.col("_best.topic_id"), "assignment_score": F.col("_best.distance")})
+        .drop("_centers", "_length", "_best")
     )
 
 
@@ -201,7 +206,7 @@ def label_topics(
     documents costs one row per word and task.
     """
     rows = assignments.filter(F.col("run_id") == run_id)
-    docs = widen(rows).select("topic_id", "unified_id", words(F.col(text_col)).alias("words"))
+    docs = rows.select("topic_id", words(F.col(text_col)).alias("words"))
     # Three readers follow; the counts are far smaller than the text, so they are written once.
     tf = cut(
         docs.select("topic_id", F.explode("words").alias("term")).groupBy("topic_id", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -219,10 +224,11 @@ def label_topics(
     labels = terms.groupBy("topic_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda x: x["term"]).alias("terms")
     )
-    # One row per topic: the label words go to the documents, not the words of the documents to the labels.
-    sizes = skew_join(docs, labels, "topic_id").groupBy("topic_id").agg(
-        F.avg(F.arrays_overlap("words", "terms").cast("double")).alias("confidence_score"),
-        F.count(F.lit(1)).alias("n_docs"),
+    # As many rows as there are topics: all label words go to every document as one value, and no document moves.
+    every = labels.agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "terms")))).scalar()
+    hit = F.arrays_overlap("words", F.coalesce(F.try_element_at("_terms", F.col("topic_id")), F.array().cast("array<string>")))
+    sizes = docs.withColumn("_terms", every).groupBy("topic_id").agg(
+        F.avg(hit.cast("double")).alias("confidence_score"), F.count(F.lit(1)).alias("n_docs"),
     )
     top = ranked_documents(assignments, run_id, num_docs).groupBy("topic_id").agg(
         F.count(F.lit(1)).alias("num_documents_used"), F.avg("assignment_score").alias("avg_assignment_score")
@@ -279,13 +285,13 @@ def parse_label_responses(responses: DataFrame, run_id: str, as_of: dt.datetime)
             F.when(F.try_parse_json("response").isNull(), "Invalid JSON response")
             .when(F.coalesce(F.size("_json.candidates"), F.lit(0)) < 1, "No candidates in response")
             .when(F.coalesce(F.size("_parts"), F.lit(0)) < 1, "No content parts in candidate")
-            .when(F.col("_text").isNull(), "'text'"),
+            .when(F.col("_text").isNull(), "No text in content part"),
         )
         # ... and of its three lines.
         .withColumn(
             "_invalid",
             F.when(F.col("_label").isNull() | F.col("_description").isNull() | F.col("_given").isNull(), "")
-            .when(F.col("_confidence").isNull(), F.concat(F.lit("could not convert string to float: '"), "_given", F.lit("'")))
+            .when(F.col("_confidence").isNull(), F.concat(F.lit("Confidence is not a number: "), "_given"))
             .when(F.col("_label") == "", "Label cannot be empty")
             .when(word_count > 15, "Label is too long (should be concise)")
             .when((F.col("_description") == "") | (F.size(F.split("_description", "[.]")) > 7), "Description must be 1-2 sentences")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -11,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators import runs, topics
-from threadloom.operators.enrich import EMBEDDING_MODEL
 from threadloom.operators.project import project_2d
 from threadloom.operators.quality import QualityError, require_unique
 from threadloom.operators.sinks import write_table
@@ -32,7 +32,8 @@ class RunResult:
 
 def new_run_id(ids: DataFrame, k: int, as_of: dt.datetime) -> str:
     """Second, topic count and a digest of the ids, so runs of one second do not collide."""
-    digest = ids.agg(F.coalesce(F.bit_xor(F.xxhash64("unified_id")), F.lit(0)).alias("d")).first()["d"]
+    # Distinct ids, or an id given twice would cancel itself out.
+    digest = ids.select("unified_id").distinct().agg(F.coalesce(F.bit_xor(F.xxhash64("unified_id")), F.lit(0)).alias("d")).first()["d"]
     mark = hashlib.md5(f"{digest}:{k}".encode()).hexdigest()[:8]
     return f"kmeans_run_{int(as_of.timestamp())}_{k}_{mark}"
 
@@ -55,29 +56,30 @@ def run_topics(
     registry = f"{root}/kmeans_runs"
     _refuse_known(spark, registry, run_id)
     result = RunResult(run_id)
-    seq = iter(range(100))
+    seq = itertools.count()
 
     def note(status: str, **attributes) -> None:
         runs.record_run(spark, registry, run_id, next(seq), status, as_of, **attributes)
 
     model_path = f"{root}/models/{run_id}"
-    note("submitted", num_topics=k, description=description, model_name=model_path, embedding_model=EMBEDDING_MODEL)
+    note("submitted", num_topics=k, description=description, model_name=model_path)
     try:
         # Fitting, assignment and projection read the same vectors, so they are written once.
         vectors = cut(topics.item_vectors(items, cache, ids))
         # An id on two platforms would count twice in every topic.
         require_unique(vectors, ["unified_id"], "selected items")
         result.requested, result.found = ids.count(), vectors.count()
+        _model_of(vectors)
         model = topics.fit_topics(vectors, k, seed)
         model.write().overwrite().save(model_path)
-        note("model_created", model_creation_job_id=f"{run_id}_fit")
+        note("model_created", model_creation_job_id=f"{run_id}_fit", embedding_model=_model_of(vectors))
         note("prediction_started", predict_job_id=f"{run_id}_predict")
         assigned = topics.assign_topics(vectors, topics.centers_of(spark, model))
         path = write_table(topics.topic_assignments(assigned, run_id, as_of), root, "document_topic_assignments")
         result.tables["assignments"] = path
         note("prediction_completed")
     except Exception as error:
-        note(runs.FAILED, error_message=str(error)[:500])
+        note(runs.FAILED, error_message=str(error))
         raise
     assignments = spark.read.parquet(path).filter(F.col("run_id") == run_id)
 
@@ -85,8 +87,8 @@ def run_topics(
         try:
             result.tables[stage] = step()
         except Exception as error:  # kept in the result and on the run
-            result.errors[stage] = str(error)[:500]
-            note("prediction_completed", error_message=f"{stage}: {str(error)[:400]}")
+            result.errors[stage] = str(error)
+            note("prediction_completed", error_message=f"{stage}: {error}")
 
     if not skip_projection:
         optional("coordinates", lambda: _project(vectors, run_id, as_of, root, seed, projection or {}))
@@ -96,6 +98,16 @@ def run_topics(
     return result
 
 
+def _model_of(vectors: DataFrame) -> str | None:
+    """The one model that made the vectors; vectors of several models cannot be compared."""
+    if "embedding_model_name" not in vectors.columns:
+        return None
+    names = [row[0] for row in vectors.select("embedding_model_name").distinct().take(2)]
+    if len(names) > 1:
+        raise QualityError(f"the vectors come from several models, for example {names[0]} and {names[1]}")
+    return names[0] if names else None
+
+
 def _refuse_known(spark, registry: str, run_id: str) -> None:
     try:
         known = spark.read.schema(runs.RUN_EVENTS).parquet(registry).filter(F.col("run_id") == run_id).take(1)

@@ -92,16 +92,3 @@ def pin(df: DataFrame) -> DataFrame:
     """Like :func:`cut`, keeping the partitions and the order of rows as they are."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-# Below this size a table may be one unsplittable file, and dealing its rows out costs next to nothing.
-SMALL_INPUT = 512 * 1024 * 1024
-
-
-def widen(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input over all cores before work that is heavy per row.
-
-    Larger inputs have splits enough and stay where they are. The size is Spark's own estimate.
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if int(str(size)) < SMALL_INPUT else df

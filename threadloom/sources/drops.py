@@ -18,10 +18,10 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: str, strea
 
 
 def below_root(file_path: Column, root: str) -> Column:
-    """The path relative to ``root``, whatever scheme either is written with."""
+    """The path relative to ``root``, whatever scheme either is written with; the root counts at the start only."""
     bare_root = root.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
-    position = F.locate(bare_root, file_path)
-    return F.when(position > 0, F.substr(file_path, position + F.lit(len(bare_root)))).otherwise(file_path)
+    bare_path = F.regexp_replace(F.regexp_replace(file_path, "^[A-Za-z][A-Za-z0-9+.-]*:", ""), "^//(?=/)|^//", "")
+    return F.when(bare_path.startswith(bare_root), F.substr(bare_path, F.lit(len(bare_root) + 1))).otherwise(file_path)
 
 
 def with_drop_metadata(df: DataFrame, path_col: str = "file_path", root: str = "") -> tuple[DataFrame, DataFrame]:

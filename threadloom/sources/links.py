@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,24 +16,17 @@ def clean_links(df: DataFrame, col: str, distinct: bool = False) -> DataFrame:
     return cleaned.dropDuplicates([col]) if distinct else cleaned
 
 
-def scrape_manifest(links: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """Job rows for (dataset_id, snapshot_id, position, url): the links in order, and the batch's total.
+def scrape_manifest(links: DataFrame, initiated_at: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """The batches and the links of (dataset_id, snapshot_id, position, url).
 
-    A batch of up to ``part_size`` positions is one row. A longer one is written as several rows, numbered by
-    ``part``, so that no task ever holds a whole large batch.
+    A batch is one row with its total and the time it was started; its links are one row each, in the order of
+    ``position``. No row grows with a batch, so a batch may have any number of links.
     """
     batch = ["dataset_id", "snapshot_id"]
-    parts = (
-        links.withColumn("part", F.floor(F.col("position") / part_size).cast("bigint"))
-        .groupBy(*batch, "part")
-        .agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("position", "url"))), lambda x: x["url"]).alias(
-                "urls_in_batch"
-            ),
-        )
+    headers = links.groupBy(*batch).agg(F.count(F.lit(1)).alias("total_urls_count")).withColumn(
+        "initiated_at", F.lit(initiated_at).cast("timestamp")
     )
-    totals = links.groupBy(*batch).agg(F.count(F.lit(1)).alias("total_urls_count"))
-    return parts.join(totals, batch)
+    return headers, links.select(*batch, "position", "url")
 
 
 def selection(df: DataFrame, col: str) -> DataFrame:

@@ -9,10 +9,19 @@ from threadloom.functions.coerce import iso_timestamp
 from threadloom.schemas import SEARCH_BODY
 
 
+def _parsed(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("_b", F.from_json(F.get_json_object("response", "$.body"), SEARCH_BODY))
+
+
 def _bodies(raw: DataFrame) -> DataFrame:
-    """``response`` text to the parsed body; a response without a request id carries nothing to store."""
-    body = F.from_json(F.get_json_object("response", "$.body"), SEARCH_BODY)
-    return raw.withColumn("_b", body).filter(F.col("_b.input.request_id").isNotNull())
+    """``response`` text to the parsed body; what has none is in :func:`serp_rejects`."""
+    return _parsed(raw).filter(F.col("_b.input.request_id").isNotNull())
+
+
+def serp_rejects(raw: DataFrame) -> DataFrame:
+    """Responses that cannot be stored, with ``reject_reason``: no readable body, or one without a request id."""
+    reason = F.when(F.try_parse_json(F.get_json_object("response", "$.body")).isNull(), "bad_body").otherwise("no_request_id")
+    return _parsed(raw).filter(F.col("_b.input.request_id").isNull()).withColumn("reject_reason", reason).drop("_b")
 
 
 def serp_searches(raw: DataFrame) -> DataFrame:

@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 from threadloom.operators.quality import required
 from threadloom.operators.sinks import SUCCESS, append_checked
-from threadloom.schemas import QUORA_WIRE, REDDIT_WIRE, REQUIRED
-from threadloom.sources.drops import read_raw_json, with_drop_metadata
+from threadloom.schemas import DATASET_PLATFORMS, QUORA_WIRE, REDDIT_WIRE, REQUIRED
+from threadloom.sources.drops import below_root, with_drop_metadata
+from threadloom.sources.envelopes import decode_envelopes
 from threadloom.sources.normalize import normalize_quora, normalize_reddit
 from threadloom.sources.routing import route
 
 _WIRE = {"Reddit": (REDDIT_WIRE, normalize_reddit), "Quora": (QUORA_WIRE, normalize_quora)}
-_LOG = "batch_id bigint, n_rejected_paths bigint, status string, enrichment_error string"
+_LOG = "batch_id bigint, status string, enrichment_error string"
+REJECTS = "file_path string, dataset_id string, reject_reason string"
+
+
+def dataset_folders(platform: str, mapping: dict[str, str] | None = None) -> list[str]:
+    """The folders below the drop root that belong to a platform."""
+    return sorted(dataset for dataset, owner in (mapping or DATASET_PLATFORMS).items() if owner == platform)
 
 
 def ingest_stream(
@@ -25,37 +32,87 @@ def ingest_stream(
 ):
     """Start a stream that normalises one platform's dropped files into the table at ``table_path``.
 
-    A batch is written to its own folder, named by ``stream`` and batch id, so a batch that is delivered again
-    replaces itself. ``on_success`` (the enrichment step) runs after a batch without rejected rows; its error is
-    logged and does not undo the batch.
+    Only files below the platform's dataset folders are parsed; the filter on their paths is settled before a file is
+    opened. What lies elsewhere is for :func:`reject_stream`. A batch is written to its own folder, named by ``stream``
+    and batch id, so a batch that is delivered again replaces itself. ``on_success`` (the enrichment step) runs after a
+    batch without rejected rows; its error is logged and does not undo the batch.
     """
     wire, normalize = _WIRE[platform]
-    raw = read_raw_json(spark, drop_root, wire, streaming=True) if files_per_batch is None else (
-        spark.readStream.schema(wire).option("multiLine", True).option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch).json(drop_root)
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
-    )
+    reader = spark.readStream.schema(wire).option("multiLine", True).option("recursiveFileLookup", True)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    own = F.substring_index(below_root(F.col("_metadata.file_path"), drop_root), "/", 1).isin(dataset_folders(platform))
+    raw = reader.json(drop_root).filter(own).select("*", F.col("_metadata.file_path").alias("file_path"))
     checks = {**required(REQUIRED["reddit_data"]), **(rules or {})}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        accepted, rejected = with_drop_metadata(batch, root=drop_root)
-        known = route(accepted).filter(F.col("platform") == platform)
+        accepted, _ = with_drop_metadata(batch, root=drop_root)
         folder = f"stream={stream}/batch_id={batch_id}"
-        status = append_checked(normalize(known), f"{table_path}/{folder}", checks, mode="overwrite")
-        error = None
-        if status == SUCCESS and on_success is not None:
-            try:
-                on_success(batch_id)
-            except Exception as failure:  # recorded below; the batch itself stays
-                error = str(failure)[:500]
-        row = [(batch_id, rejected.count(), status, error)]
-        session.createDataFrame(row, _LOG).coalesce(1).write.mode("overwrite").parquet(f"{table_path}_log/{folder}")
+        status = append_checked(normalize(accepted), f"{table_path}/{folder}", checks, mode="overwrite")
+        error = _follow(status, on_success, batch_id)
+        row = [(batch_id, status, error)]
+        batch.sparkSession.createDataFrame(row, _LOG).coalesce(1).write.mode("overwrite").parquet(f"{table_path}_log/{folder}")
 
     writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{checkpoint}/{stream}")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _follow(status: str, on_success: Callable[[int], None] | None, batch_id: int) -> str | None:
+    if status != SUCCESS or on_success is None:
+        return None
+    try:
+        on_success(batch_id)
+    except Exception as failure:  # recorded by the caller; the batch itself stays
+        return str(failure)
+    return None
+
+
+def rejected_drops(paths: DataFrame, drop_root: str, mapping: dict[str, str] | None = None) -> DataFrame:
+    """(file_path, dataset_id, reject_reason) of dropped files that no platform takes."""
+    accepted, short = with_drop_metadata(paths, root=drop_root)
+    unknown = route(accepted, mapping).filter(F.col("reject_reason").isNotNull())
+    none = F.lit(None).cast("string").alias("dataset_id")
+    return unknown.select("file_path", "dataset_id", "reject_reason").unionByName(short.select("file_path", none, "reject_reason"))
+
+
+def reject_stream(spark: SparkSession, drop_root: str, table_path: str, checkpoint: str, stream: str, available_now: bool = True):
+    """Start a stream that stores the dropped files no platform takes. Only paths are read, no file is opened."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    paths = files.option("recursiveFileLookup", True).load(drop_root).select(F.col("path").alias("file_path"))
+    writer = (
+        rejected_drops(paths, drop_root).writeStream.format("parquet").option("path", table_path)
+        .option("checkpointLocation", f"{checkpoint}/{stream}")
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def ingest_messages(
+    messages: DataFrame, table_path: str, batch: str, rules: dict[str, Column] | None = None,
+    on_success: Callable[[str], None] | None = None,
+) -> dict[str, str]:
+    """Store a batch of pushed messages, ``messages(data, attributes)``; returns the insert status per platform.
+
+    Messages are routed by their dataset id first, so each platform's payload is parsed with its own schema. The posts
+    of a platform go to ``table_path/<platform>/batch=<batch>``; messages that cannot be decoded and those of unknown
+    datasets go to ``table_path/rejects/batch=<batch>`` with their reason. A batch that comes again replaces itself.
+    ``on_success`` runs if every row of the batch kept the rules.
+    """
+    routed = route(messages.withColumn("dataset_id", F.try_element_at("attributes", F.lit("dataset_id"))))
+    lost = routed.filter(F.col("reject_reason").isNotNull()).select("dataset_id", "reject_reason", "data")
+    statuses = {}
+    for platform, (wire, normalize) in _WIRE.items():
+        own = routed.filter(F.col("platform") == platform).select("data", "attributes")
+        accepted, rejected = decode_envelopes(own.withColumn("message", F.col("data")), wire)
+        lost = lost.unionByName(rejected.select("dataset_id", "reject_reason", F.col("message").alias("data")))
+        checks = {**required(REQUIRED["reddit_data"]), **(rules or {})}
+        rows = normalize(accepted.drop("message"))
+        statuses[platform] = append_checked(rows, f"{table_path}/{platform}/batch={batch}", checks, mode="overwrite")
+    lost.write.mode("overwrite").parquet(f"{table_path}/rejects/batch={batch}")
+    if on_success is not None and all(status == SUCCESS for status in statuses.values()):
+        on_success(batch)
+    return statuses
+
+
 def read_ingested(spark: SparkSession, table_path: str, outcome: str = "accepted") -> DataFrame:
     """The accepted rows of all batches."""
     rows = spark.read.parquet(table_path).filter(F.col("outcome") == outcome)
