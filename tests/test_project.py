@@ -34,7 +34,7 @@ def clusters():
     return np.vstack([c + rng.normal(size=(40, 8)) * 0.3 for c in centers])
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 32}, {"cells": 6, "block_rows": 16}, {"cells": 12, "block_rows": 500}])
+@pytest.mark.parametrize("options", [{}, {"blocks": 1}, {"blocks": 3}, {"blocks": 17}])
 def test_neighbours_are_exact_however_they_are_split(spark, clusters, options):
     assert found(knn_graph(frame(spark, clusters), 5, **options)) == brute(clusters, 5)
 
@@ -42,7 +42,21 @@ def test_neighbours_are_exact_however_they_are_split(spark, clusters, options):
 def test_a_vector_in_a_third_of_all_rows(spark, clusters):
     copied = clusters.copy()
     copied[::3] = clusters[0]
-    assert found(knn_graph(frame(spark, copied), 4, cells=5, block_rows=20)) == brute(copied, 4)
+    assert found(knn_graph(frame(spark, copied), 4, blocks=5)) == brute(copied, 4)
+
+
+def test_descent_finds_most_neighbours(spark, clusters):
+    got, want = found(knn_graph(frame(spark, clusters), 5, method="descent", block_rows=40)), brute(clusters, 5)
+    pairs = lambda edges: {(a, b) for a, b, _ in edges}
+    assert len(got) == len(want) and len(pairs(got) & pairs(want)) >= 0.9 * len(want)
+
+
+def test_a_vector_is_sent_once_per_block(spark, clusters):
+    from threadloom.operators.neighbours import _exact
+
+    distinct = frame(spark, clusters).select(F.col("unified_id").alias("rep"), F.col("embeddings").alias("vec"))
+    plan = _exact(distinct, 5, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "Join" not in plan
 
 
 def test_fewer_vectors_than_neighbours(spark):

@@ -23,8 +23,18 @@ def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbours_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same neighbours found over many small cells and blocks, with a third of the vectors equal."""
-    return knn_graph(_with_copies(spark, sf_dir), 5, cells=6, block_rows=48).withColumn("distance", F.round("distance", 6))
+    """The same neighbours over another grid, with a third of the vectors equal."""
+    return knn_graph(_with_copies(spark, sf_dir), 5, blocks=11).withColumn("distance", F.round("distance", 6))
+
+
+def descent_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbour descent beside the exact search: edges per vector, and whether it finds nine in ten of the true ones."""
+    vectors = fx.vectors(spark, sf_dir)
+    exact = knn_graph(vectors, 10).select("src", "dst", F.lit(1).alias("hit"))
+    found = knn_graph(vectors, 10, method="descent", block_rows=128)
+    return found.join(exact, ["src", "dst"], "left").agg(
+        F.count(F.lit(1)).alias("n_edges"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_holds")
+    )
 
 
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,12 +61,13 @@ def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph layout of all vectors."""
-    return project_2d(fx.vectors(spark, sf_dir), epochs=10)
+    return project_2d(fx.vectors(spark, sf_dir))
 
 
 QUERIES = {
     "knn_graph": neighbours,
     "knn_graph_cells": neighbours_in_cells,
+    "knn_descent_recall": descent_recall,
     "fuzzy_weights": weights,
     "fuzzy_graph": graph,
     "pca_checks": pca_checks,
@@ -93,6 +104,7 @@ SQL = {
       SELECT CAST(e.vec_id AS VARCHAR) AS id, CAST(CASE WHEN e.vec_id % 3 = 0 THEN f.embedding ELSE e.embedding END AS DOUBLE[]) AS v
       FROM embeddings e, embeddings f WHERE f.vec_id = 0), {_KNN.format(k=5)}
       SELECT src, dst, round(distance, 6) AS distance, rank FROM knn""",
+    "knn_descent_recall": "SELECT count(*) * 10 AS n_edges, true AS recall_holds FROM embeddings",
     "fuzzy_weights": f"WITH {_FUZZY} SELECT src, dst, round(weight, 5) AS weight FROM weights",
     "fuzzy_graph": f"""WITH {_FUZZY},
       both_ways AS (SELECT src, dst, weight AS a, 0 AS b FROM weights UNION ALL SELECT dst, src, 0, weight FROM weights)

@@ -1,9 +1,10 @@
-"""Exact cosine nearest neighbours, without ever forming all pairs of a group as rows.
+"""Cosine nearest neighbours: exact over a grid of blocks, or approximate by neighbour descent; the caller chooses.
 
-Vectors are split into cells around k-means centres and cells into blocks of bounded size. A block compared with
-itself gives each vector an upper bound for the distance of its k-th neighbour; the triangle inequality then
-tells which other cells can hold anything nearer, and only their blocks are compared. Two blocks meet as two
-small matrices in one task, which passes on k rows per vector.
+Exact: vectors are dealt into ``blocks`` by hash, and every pair of blocks meets in one task, so a vector is sent
+``blocks`` times. The work is that of all pairs, which an exact search over data without structure needs; more blocks
+make smaller tasks and send more. Descent (Dong et al., "Efficient K-Nearest Neighbor Graph Construction") starts from
+neighbours within blocks along random directions and then looks at the neighbours of neighbours, as joins of ids with
+at most (2k)^2 candidates a vector; it is for maps too large for all pairs.
 
 Copies of a vector are compared once. As equal distances go by id, only the k + 1 smallest ids of a group of
 copies can be anybody's neighbours, so a vector that makes up a third of all rows adds no work.
@@ -12,172 +13,139 @@ copies can be anybody's neighbours, so a vector that makes up a third of all row
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.vectors import dot, unit, usable
-from threadloom.operators.skew import skew_join, spread_join
-from threadloom.session import cut
+from threadloom.operators.skew import skew_join
+from threadloom.session import cut, discard
 
 # The functions below travel to the executors by value, so those need numpy and pandas but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 2048
-MAX_CELLS = 1024
+BLOCKS = 8
+# Distances held at a time while two blocks are compared.
+_DISTANCES = 1 << 22
 _FOUND = "rep string, other string, distance double"
 # Distances are compared to nine places; the id settles what is equal so far.
 _PLACES = 9
-
-
-def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each left row the ids and distances of its k nearest right rows, equal distances by id."""
-    by_id = np.argsort(ids, kind="stable")
-    distance = np.round(np.clip(1.0 - left @ right[by_id].T, 0.0, 2.0), _PLACES)
-    order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-    return ids[by_id][order], np.take_along_axis(distance, order, axis=1)
-
-
-def _matrix(frame: pd.DataFrame, column: str) -> np.ndarray:
-    return np.array(frame[column].tolist(), dtype=np.float64)
-
-
-def _rows(reps: np.ndarray, others: np.ndarray, distances: np.ndarray) -> pd.DataFrame:
-    k = others.shape[1]
-    return pd.DataFrame({"rep": np.repeat(reps, k), "other": others.ravel(), "distance": distances.ravel()})
-
-
-def _within_block(k: int):
-    def search(block: pd.DataFrame) -> pd.DataFrame:
-        vectors = _matrix(block, "vec")
-        ids = block["rep"].to_numpy()
-        return _rows(ids, *_nearest(vectors, vectors, ids, k))
+METHODS = ("exact", "descent")
+
+
+def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, id, distance) of the k nearest right rows of each left row, equal distances by id."""
+    out = []
+    step = max(1, _DISTANCES // max(1, len(right)))
+    k = min(k, len(right))
+    by_id = np.empty(len(ids), np.int64)
+    by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    for at in range(0, len(left), step):
+        distance = np.round(np.clip(1.0 - left[at : at + step] @ right.T, 0.0, 2.0), _PLACES)
+        # All that are as near as the k-th, then the first k of them by distance and id.
+        limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
+        row, col = np.nonzero(distance <= limit)
+        found = distance[row, col]
+        order = np.lexsort((by_id[col], found, row))
+        row, col, found = row[order], col[order], found[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        first = place < k
+        out.append((row[first] + at, ids[col[first]], found[first]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _compare(k: int, halves: bool):
+    def found(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"rep": np.zeros(0, object), "other": np.zeros(0, object), "distance": np.zeros(0)})
+        matrix = [np.array(side["vec"].tolist(), dtype=np.float64) for side in (left, right)]
+        row, other, distance = _nearest(*matrix, right["rep"].to_numpy(), k)
+        return pd.DataFrame({"rep": left["rep"].to_numpy()[row], "other": other, "distance": distance})
+
+    def search(place: pd.DataFrame) -> pd.DataFrame:
+        if not halves or place["_i"].iloc[0] == place["_j"].iloc[0]:
+            return found(place, place)
+        a, b = (place[place["block"] == place[side]] for side in ("_i", "_j"))
+        return pd.concat([found(a, b), found(b, a)], ignore_index=True).astype({"rep": object, "other": object})
 
     return search
 
 
-def _between_blocks(k: int):
-    def search(asking: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if asking.empty or asked.empty:
-            return pd.DataFrame({"rep": [], "other": [], "distance": []})
-        others, distances = _nearest(_matrix(asking, "vec"), _matrix(asked, "vec"), asked["rep"].to_numpy(), k)
-        found = _rows(asking["rep"].to_numpy(), others, distances)
-        limit = np.repeat(asking["bound"].to_numpy(), others.shape[1])
-        return found[found["distance"].to_numpy() <= limit]
+def _exact(distinct: DataFrame, k: int, blocks: int) -> DataFrame:
+    """Every pair of blocks in one task; each task passes on k rows per vector."""
+    placed = distinct.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"))
+    sent = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
+        "rep", "vec", "block", F.least("block", "_other").alias("_i"), F.greatest("block", "_other").alias("_j")
+    )
+    return sent.groupBy("_i", "_j").applyInPandas(_compare(k, True), _FOUND)
 
-    return search
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each vector; a task passes on no more than that per vector."""
+    nearest = Window.partitionBy("rep").orderBy("distance", "other")
+    return found.withColumn("_place", F.row_number().over(nearest)).filter(F.col("_place") <= k).drop("_place")
 
-def _probes(centers: np.ndarray, radii: np.ndarray, blocks: np.ndarray):
-    """Which further blocks a vector must be compared with, from its bound and the cells' radii."""
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            vectors = _matrix(batch, "vec")
-            chord = np.sqrt(np.clip(2.0 - 2.0 * vectors @ centers.T, 0.0, None)) if len(centers) else np.zeros((len(batch), 0))
-            # Chord and centre are unit vectors here; |q - x| >= |q - c| - radius for every x of the cell.
-            lower = np.clip(chord - radii, 0.0, None) ** 2 / 2.0
-            reach = lower <= batch["bound"].to_numpy()[:, None] + 1e-8
-            row, cell = np.nonzero(reach)
-            parts = blocks[cell]
-            row = np.repeat(row, parts)
-            first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
-            offset = np.concatenate([np.arange(n) for n in parts]) if len(parts) else np.array([], dtype=int)
-            target = np.repeat(first[cell], parts) + offset
-            other = target != batch["block"].to_numpy()[row]
-            out = batch.iloc[row[other]].rename(columns={"block": "asking"})
-            yield out.assign(asked=target[other])[["rep", "vec", "bound", "asking", "asked"]]
+def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: int) -> DataFrame:
+    """Blocks along random directions, then ``rounds`` times the neighbours of neighbours, in both directions.
 
-    return plan
+    Of the vectors that name one as their neighbour, at most k are followed back, so a vector that everybody names
+    stays bounded. Ids are joined first; a vector joins each candidate pair only to be compared.
+    """
+    n = distinct.count()
+    blocks = max(1, -(-n // block_rows))
+    found = None
+    for turn in range(2):
+        axis = F.transform("vec", lambda x, i: x * (F.pmod(F.xxhash64(i, F.lit(seed), F.lit(turn)), F.lit(2001)) - 1000) / 1000.0)
+        along = distinct.withColumn("_along", F.aggregate(axis, F.lit(0.0), lambda s, x: s + x))
+        edges = along.approxQuantile("_along", [i / blocks for i in range(1, blocks)], 0.1 / blocks) if blocks > 1 else []
+        block = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("_along")))
+        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(k, False), _FOUND)
+        found = own if found is None else found.unionByName(own)
+    best = cut(_best(found.distinct(), k))
+    for _ in range(rounds):
+        forward = best.filter(F.col("rep") != F.col("other")).select(F.col("rep").alias("a"), F.col("other").alias("b"))
+        by_hash = Window.partitionBy("b").orderBy(F.xxhash64("a", F.lit(seed)))
+        back = forward.withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= k)
+        near = forward.unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+        pairs = near.select(F.col("a").alias("m"), F.col("b").alias("rep")).join(
+            near.select(F.col("a").alias("m"), F.col("b").alias("other")), "m"
+        ).filter(F.col("rep") != F.col("other")).select("rep", "other").distinct()
+        fresh = pairs.join(best.select("rep", "other"), ["rep", "other"], "left_anti")
+        there = distinct.select(F.col("rep").alias("other"), F.col("vec").alias("_there"))
+        compared = fresh.join(distinct.select("rep", "vec"), "rep").join(there, "other").select(
+            "rep", "other", F.round(F.least(F.lit(2.0), F.greatest(F.lit(0.0), 1.0 - dot(F.col("vec"), F.col("_there")))), _PLACES).alias("distance")
+        )
+        after = cut(_best(best.unionByName(compared), k))
+        discard(best)
+        best = after
+    return best
 
 
-def _blocks(distinct: DataFrame, cells: int, block_rows: int, seed: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """Block numbers for the distinct vectors, and per cell its centre, radius and number of blocks.
+def knn_graph(
+    vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, seed: int = 42,
+) -> DataFrame:
+    """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
-    The cell table has at most ``MAX_CELLS`` rows, so it may sit on the driver.
+    ``method`` is "exact" (``blocks`` sets the grid) or "descent" (``block_rows`` and ``rounds``), whose neighbours are
+    approximate; nothing switches between them.
     """
-    features = distinct.select("rep", "vec", array_to_vector("vec").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=10, distanceMeasure="cosine", featuresCol="features", predictionCol="cell").fit(features)
-    centers = np.array([c / np.linalg.norm(c) for c in model.clusterCenters()])
-    spark = distinct.sparkSession
-    # At most MAX_CELLS rows, so both small tables below may be broadcast.
-    near = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centers)], "cell int, near array<double>")
-    placed = model.transform(features).join(F.broadcast(near), "cell")
-    chord = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot(F.col("vec"), F.col("near"))))
-    stats = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max(chord).alias("radius")).collect()
-    size = np.zeros(len(centers), dtype=int)
-    radii = np.zeros(len(centers))
-    for row in stats:
-        size[row["cell"]], radii[row["cell"]] = row["n"], row["radius"] + 1e-9
-    parts = np.maximum(1, -(-size // block_rows))
-    first = np.concatenate([[0], np.cumsum(parts)[:-1]])
-    numbers = [(i, int(first[i]), int(parts[i])) for i in range(len(centers))]
-    numbered = placed.join(F.broadcast(spark.createDataFrame(numbers, "cell int, first int, parts int")), "cell")
-    block = F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
-    return numbered.select("rep", "vec", block.alias("block")), centers, radii, parts
-
-
-def knn_graph(vectors: DataFrame, k: int = 10, cells: int | None = None, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
-    """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     named = vectors.filter(usable(F.col("embeddings"))).select("unified_id", unit(F.col("embeddings")).alias("vec"))
-    keyed = cut(named.withColumn("key", F.md5(F.to_json(F.struct("vec")))))
+    keyed = cut(named.withColumn("key", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(1), "vec").alias("b"))))
     smallest = Window.partitionBy("key").orderBy("unified_id")
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
-    n = distinct.count()
-    cells = min(MAX_CELLS, -(-n // block_rows) if cells is None else cells)
-    if cells > 1:
-        placed, centers, radii, parts = _blocks(distinct, cells, block_rows, seed)
-    else:
-        count = max(1, -(-n // block_rows))
-        placed = distinct.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(count)).cast("int").alias("block"))
-        # One cell around everything: nothing can be ruled out, all blocks meet.
-        centers, radii, parts = None, None, np.array([count])
-    placed = cut(placed)
-    found = cut(placed.groupBy("block").applyInPandas(_within_block(k + 1), _FOUND))
-    if parts.sum() > 1:
-        found = found.unionByName(_further(placed, found, centers, radii, parts, k + 1))
+    found = _exact(distinct, k + 1, blocks) if method == "exact" else _descent(distinct, k + 1, block_rows, rounds, seed)
     return _expand(keyed, copies, distinct, found, k)
 
 
-def _further(placed: DataFrame, found: DataFrame, centers, radii, parts: np.ndarray, k: int) -> DataFrame:
-    """Neighbours from other blocks than a vector's own."""
-    # With fewer than k vectors in its block a vector has no bound yet.
-    bounds = found.groupBy("rep").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(2.0)).alias("bound")
-    )
-    if centers is None:
-        dim = len(placed.select("vec").first()["vec"])
-        centers, radii = np.zeros((1, dim)), np.array([np.inf])
-    asking = cut(
-        placed.join(bounds, "rep").mapInPandas(
-            _probes(centers, radii, parts), "rep string, vec array<double>, bound double, asking int, asked int"
-        )
-    )
-    pairs = asking.select("asking", "asked").distinct()
-    counts = pairs.groupBy("asked").agg(F.count(F.lit(1)).alias("n"))
-    candidates = placed.select(F.col("block").alias("asked"), "rep", "vec")
-    # A block that everybody asks is sent out by several tasks.
-    asked = spread_join(pairs, candidates, "asked", "asking", counts, floor=64).toDF("to", "by", "rep", "vec")
-    return (
-        asking.groupBy("asking", "asked")
-        .cogroup(asked.groupBy("by", "to"))
-        .applyInPandas(_between_blocks(k), _FOUND)
-    )
-
-
 def _expand(keyed: DataFrame, copies: DataFrame, distinct: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """From distinct vectors back to all ids."""
-    nearest = Window.partitionBy("rep").orderBy("distance", "other")
-    best = found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= k + 1).drop("place")
+    best = _best(found, k + 1)
     ids = copies.select("key", F.col("unified_id").alias("dst")).join(distinct.select("key", F.col("rep").alias("other")), "key")
     by_id = Window.partitionBy("rep").orderBy("distance", "dst")
     lists = (

@@ -182,13 +182,13 @@ def layout(
 
 def project_2d(
     vectors: DataFrame, method: str = "graph", n_neighbors: int = NEIGHBOURS, min_dist: float = MIN_DIST,
-    epochs: int = 30, seed: int = 42,
+    epochs: int = 30, seed: int = 42, neighbours: dict | None = None,
 ) -> DataFrame:
-    """(unified_id, x, y) by ``graph`` layout or by ``pca`` alone."""
+    """(unified_id, x, y) by ``graph`` layout or by ``pca`` alone; ``neighbours`` are options of :func:`knn_graph`."""
     if method not in ("graph", "pca"):
         raise ValueError("method must be 'graph' or 'pca'")
     start = pca_2d(vectors)
     if method == "pca":
         return start
-    edges = fuzzy_graph(knn_graph(vectors, n_neighbors, seed=seed))
+    edges = fuzzy_graph(knn_graph(vectors, n_neighbors, seed=seed, **(neighbours or {})))
     return layout(start, edges, epochs, min_dist, seed)
