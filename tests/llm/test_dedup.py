@@ -117,8 +117,8 @@ def test_bit_sliced_comparison_finds_every_pair(radius):
     assert set(got) == want and len(got) == len(want)
 
 
-@pytest.mark.parametrize("block", [16, 2048])
-def test_links_connect_what_brute_force_connects(spark, block):
+@pytest.mark.parametrize("block,pieces", [(16, None), (2048, None), (2048, 7)])
+def test_links_connect_what_brute_force_connects(spark, block, pieces):
     rng = random.Random(block)
     values = {0, 3, 7}
     for _ in range(60):
@@ -129,7 +129,7 @@ def test_links_connect_what_brute_force_connects(spark, block):
                 v ^= 1 << b
     signed = {v - (1 << 64) if v >> 63 else v for v in values}
     frame = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = {r.node: r.root for r in components(simhash.links(frame, block=block)).collect()}
+    found = {r.node: r.root for r in components(simhash.links(frame, block=block, pieces=pieces)).collect()}
     want = brute_components(sorted(values), 4)
     groups = defaultdict(set)
     for v in values:

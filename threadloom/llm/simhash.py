@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -132,18 +133,20 @@ def linked_pairs(values: np.ndarray, starts: np.ndarray, radius: int) -> Iterato
         at = upto
 
 
-def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK, pieces: int | None = None) -> DataFrame:
     """Links (a, b) between the distinct values of ``prints(fp)`` that connect all at most ``radius`` bits apart.
 
-    Two values so close agree in one of ``radius + 1`` pieces of the 64 bits, so values are grouped by each piece.
-    Of every group (cut into blocks where it is large) only a spanning forest leaves the task: each value with the
-    smallest one that it reaches there, never all pairs.
+    The 64 bits are cut into ``pieces`` (radius + 1 by default). Two values so close differ in at most ``radius`` of them,
+    so they agree in some choice of ``pieces - radius``: values are grouped by each choice. More pieces give more groups
+    that are far smaller, for more values; the links are the same. Of every group (cut into blocks where it is large) only
+    a spanning forest leaves the task: each value with the smallest one that it reaches there, never all pairs.
     """
-    pieces = radius + 1
+    pieces = pieces or radius + 1
     cuts = [64 * p // pieces for p in range(pieces + 1)]
-    keys = [
-        F.shiftrightunsigned("fp", cuts[p]).bitwiseAND(F.lit((1 << (cuts[p + 1] - cuts[p])) - 1)) * pieces + p for p in range(pieces)
-    ]
+    bits = [((1 << cuts[p + 1]) - (1 << cuts[p])) for p in range(pieces)]
+    masks = [sum(choice) for choice in combinations(bits, pieces - radius)]
+    signed = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
+    keys = [F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(mask))) for i, mask in enumerate(signed)]
     rows = prints.select("fp", F.explode(F.array(*keys)).alias("_key"))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
