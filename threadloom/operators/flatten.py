@@ -64,6 +64,9 @@ QUORA = Platform(
 )
 
 
+PLATFORMS = {platform.source: platform for platform in (REDDIT, QUORA)}
+
+
 def _field(parent: str, name: str | None, type_: str) -> Column:
     if name is None:
         return F.lit(None).cast(type_)

@@ -125,12 +125,13 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
 
 
 def knn_graph(
-    vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, seed: int = 42,
+    vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, pool: int = 3,
+    seed: int = 42,
 ) -> DataFrame:
     """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
-    ``method`` is "exact" (``blocks`` sets the grid) or "descent" (``block_rows`` and ``rounds``), whose neighbours are
-    approximate; nothing switches between them.
+    ``method`` is "exact" (``blocks`` sets the grid) or "descent" (``block_rows``, ``rounds`` and ``pool``, the multiple
+    of k that is kept on the way), whose neighbours are approximate; nothing switches between them.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
@@ -139,7 +140,7 @@ def knn_graph(
     smallest = Window.partitionBy("key").orderBy("unified_id")
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
-    found = _exact(distinct, k + 1, blocks) if method == "exact" else _descent(distinct, k + 1, block_rows, rounds, seed)
+    found = _exact(distinct, k + 1, blocks) if method == "exact" else _descent(distinct, pool * (k + 1), block_rows, rounds, seed)
     return _expand(keyed, copies, distinct, found, k)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.vectors import unit, usable
 from threadloom.operators.neighbours import knn_graph
 from threadloom.operators.skew import skew_join
-from threadloom.session import cut
+from threadloom.session import cut, discard
 
 # Neighbours and minimum distance used for the map.
 NEIGHBOURS = 10
@@ -172,11 +172,14 @@ def layout(
         pulled = _pull(edges, points, a, b).withColumnRenamed("src", "unified_id")
         pushed = _push(points, buckets, epoch, seed, a, b).join(pulled, "unified_id", "left")
         # An epoch reads the one before three times, so each is written before the next starts.
-        points = cut(pushed.select(
+        moved = cut(pushed.select(
             "unified_id",
             (F.col("x") + rate * (F.coalesce("fx", F.lit(0.0)) + F.col("gx"))).alias("x"),
             (F.col("y") + rate * (F.coalesce("fy", F.lit(0.0)) + F.col("gy"))).alias("y"),
         ))
+        discard(points)
+        points = moved
+    discard(edges)
     return points
 
 

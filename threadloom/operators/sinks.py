@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators.quality import broken_rules
-from threadloom.schemas import LAYOUTS
+from threadloom.operators.quality import QualityError, broken_rules, check_not_null, require_unique
+from threadloom.schemas import DECLARED, LAYOUTS, PRIMARY_KEYS, REQUIRED, fields
 
 # Outcome of an insert.
 SUCCESS = "completed_success"
@@ -53,3 +53,18 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "append") -> s
     path = f"{root}/{table}"
     write_clustered(df, path, date_col, cluster_cols, mode)
     return path
+
+
+def write_declared(df: DataFrame, root: str, table: str, mode: str = "append") -> str:
+    """Like :func:`write_table`, with the columns and types of the table's declared schema.
+
+    Its primary key must be unique in ``df`` and its required columns set, or nothing is written. ``df`` is read for the
+    checks too, so hand in a written table where it is costly.
+    """
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in fields(DECLARED[table])])
+    if table in PRIMARY_KEYS:
+        require_unique(rows, PRIMARY_KEYS[table], table)
+    missing = [r["column_name"] for r in check_not_null(rows, REQUIRED.get(table, [])).filter("n_nulls > 0").collect()] if table in REQUIRED else []
+    if missing:
+        raise QualityError(f"{table}: {', '.join(missing)} must be set")
+    return write_table(rows, root, table, mode)

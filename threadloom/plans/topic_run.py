@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators import runs, topics
+from threadloom.operators.enrich import keywords
+from threadloom.operators.marts import enriched_items
 from threadloom.operators.project import project_2d
 from threadloom.operators.quality import QualityError, require_unique
-from threadloom.operators.sinks import write_table
-from threadloom.session import cut
+from threadloom.operators.sinks import write_declared
+from threadloom.session import cut, discard
 
 # A labeller takes (topic_id, prompt) and returns (topic_id, response).
 Labeller = Callable[[DataFrame], DataFrame]
@@ -42,12 +44,13 @@ def run_topics(
     items: DataFrame, cache: DataFrame, ids: DataFrame, root: str, k: int = topics.DEFAULT_TOPICS,
     as_of: dt.datetime | None = None, run_id: str | None = None, description: str | None = None, seed: int = 42,
     skip_projection: bool = False, skip_labels: bool = False, projection: dict | None = None,
-    num_docs: int = 10, max_text_length: int = 500, labeller: Labeller | None = None,
+    num_docs: int = 10, max_text_length: int = 500, labeller: Labeller | None = None, mart_keywords: int | None = None,
 ) -> RunResult:
     """Cluster the items of ``ids`` and write all results below ``root``.
 
     An error while fitting or assigning marks the run failed and is raised. Projection and labelling errors are
-    recorded on the run and in the result, which stays usable without them.
+    recorded on the run and in the result, which stays usable without them. With ``mart_keywords`` the enriched mart of
+    all items is written too, with so many keywords an item.
     """
     topics.check_topic_count(k)
     spark = items.sparkSession
@@ -75,8 +78,11 @@ def run_topics(
         note("model_created", model_creation_job_id=f"{run_id}_fit", embedding_model=_model_of(vectors))
         note("prediction_started", predict_job_id=f"{run_id}_predict")
         assigned = topics.assign_topics(vectors, topics.centers_of(spark, model))
-        path = write_table(topics.topic_assignments(assigned, run_id, as_of), root, "document_topic_assignments")
+        facts = cut(topics.topic_assignments(assigned, run_id, as_of))
+        path = write_declared(facts, root, "document_topic_assignments")
         result.tables["assignments"] = path
+        result.tables["predictions"] = write_declared(topics.predictions(facts), root, "kmeans_predictions")
+        discard(facts)
         note("prediction_completed")
     except Exception as error:
         note(runs.FAILED, error_message=str(error))
@@ -94,6 +100,9 @@ def run_topics(
         optional("coordinates", lambda: _project(vectors, run_id, as_of, root, seed, projection or {}))
     if not skip_labels:
         optional("labels", lambda: _label(assignments, run_id, as_of, root, num_docs, max_text_length, labeller))
+    if mart_keywords is not None:
+        optional("mart", lambda: _mart(items, cache, assignments, result, run_id, as_of, root, mart_keywords))
+    discard(vectors)
     note("completed", labeling_job_id=None if skip_labels else f"{run_id}_label")
     return result
 
@@ -125,7 +134,7 @@ def _project(vectors: DataFrame, run_id: str, as_of: dt.datetime, root: str, see
         F.lit(run_id).alias("run_id"), F.lit(as_of).cast("timestamp").alias("created_at"), "unified_id",
         F.col("x").alias("umap_x"), F.col("y").alias("umap_y"),
     )
-    return write_table(rows, root, "document_umap_coordinates")
+    return write_declared(cut(rows), root, "document_umap_coordinates")
 
 
 def _label(
@@ -138,4 +147,15 @@ def _label(
         top = topics.topic_prompts(topics.top_documents(assignments, run_id, num_docs, max_text_length))
         answered = labeller(top.select("topic_id", "prompt")).select("topic_id", "response")
         labels = topics.parse_label_responses(top.join(answered, "topic_id", "left"), run_id, as_of)
-    return write_table(labels, root, "topic_labels")
+    return write_declared(cut(labels), root, "topic_labels")
+
+
+def _mart(
+    items: DataFrame, cache: DataFrame, assignments: DataFrame, result: RunResult, run_id: str, as_of: dt.datetime, root: str, k: int
+) -> str:
+    lists = keywords(items.select("content_item_id", F.col("primary_text").alias("content")), k)
+    labels = items.sparkSession.read.parquet(result.tables["labels"]) if "labels" in result.tables else None
+    wide = cut(enriched_items(items, cache, as_of, lists, assignments, labels, run_id))
+    path = write_declared(wide, root, "social_content_enriched")
+    discard(wide)
+    return path

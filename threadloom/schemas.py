@@ -148,3 +148,11 @@ LAYOUTS = {
     "document_umap_coordinates": ("created_at", ["run_id"]),
     "social_content_enriched": ("analysis_timestamp", ["source", "content_type", "topic_id"]),
 }
+# The declared columns of the partitioned tables.
+DECLARED = {
+    "document_topic_assignments": TOPIC_ASSIGNMENTS,
+    "topic_labels": TOPIC_LABELS,
+    "kmeans_predictions": PREDICTIONS,
+    "document_umap_coordinates": COORDINATES,
+    "social_content_enriched": ENRICHED,
+}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,16 @@ def read_raw_json(spark: SparkSession, path: str | list[str], schema: str, strea
 
 
 def below_root(file_path: Column, root: str) -> Column:
-    """The path relative to ``root``, whatever scheme either is written with; the root counts at the start only."""
-    bare_root = root.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
-    bare_path = F.regexp_replace(F.regexp_replace(file_path, "^[A-Za-z][A-Za-z0-9+.-]*:", ""), "^//(?=/)|^//", "")
-    return F.when(bare_path.startswith(bare_root), F.substr(bare_path, F.lit(len(bare_root) + 1))).otherwise(file_path)
+    """The path relative to ``root``, whatever scheme either is written with.
+
+    The root counts at the start of the path only, or right after the host that a scheme puts before it.
+    """
+    bare_root = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:", "", root).strip("/") + "/"
+    bare_path = F.regexp_replace(file_path, "^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "")
+    after_host = F.regexp_replace(bare_path, "^[^/]*/", "")
+    below = lambda path: F.substr(path, F.lit(len(bare_root) + 1))
+    hosted = file_path.rlike("^[A-Za-z][A-Za-z0-9+.-]*://[^/]") & after_host.startswith(bare_root)
+    return F.when(bare_path.startswith(bare_root), below(bare_path)).when(hosted, below(after_host)).otherwise(file_path)
 
 
 def with_drop_metadata(df: DataFrame, path_col: str = "file_path", root: str = "") -> tuple[DataFrame, DataFrame]:
