@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ from threadloom.session import prepare  # noqa: E402
 def spark():
     session = (
         SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]")).appName("tests").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").getOrCreate()
     )

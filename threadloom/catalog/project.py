@@ -56,7 +56,7 @@ def pca_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pca_2d(fx.vectors(spark, sf_dir)).select("unified_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return pca_2d(fx.vectors(spark, sf_dir)).select("unified_id", F.round(F.col("x") + 1e-9, 4).alias("x"), F.round(F.col("y") + 1e-9, 4).alias("y"))
 
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,42 @@ solved AS (
 weights AS (SELECT src, dst, exp(-greatest(0, distance - rho) / sigma) AS weight FROM knn JOIN solved USING (src))
 """
 
+
+
+def _axis(name: str, matrix: str) -> str:
+    """The main axis of a symmetric matrix by power iteration."""
+    return f"""{name} AS (
+  WITH RECURSIVE p AS (
+    SELECT 0 AS i, (SELECT list_transform(m, lambda r: list_sum(list_transform(r, lambda x: abs(x)))) FROM {matrix}) AS v
+    UNION ALL
+    SELECT i + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+    FROM (SELECT i, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM p, {matrix} WHERE i < 3000))
+  SELECT v FROM p WHERE i = 3000)"""
+
+
+def _signed(axis: str) -> str:
+    return f"list_transform({axis}, lambda x: x * CASE WHEN list_max({axis}) >= -list_min({axis}) THEN 1 ELSE -1 END)"
+
+
+# Centred unit vectors, their covariance, its main axis, and the main axis of what is left.
+_PCA = f"""
+WITH {_VECS}
+units AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM vecs),
+parts AS (SELECT id, unnest(v) AS x, unnest(range(len(v))) AS d FROM units),
+centred AS (SELECT id, d, x - avg(x) OVER (PARTITION BY d) AS x FROM parts),
+cov AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM (
+  SELECT a.d AS i, b.d AS j, avg(a.x * b.x) AS c FROM centred a JOIN centred b USING (id) GROUP BY 1, 2) GROUP BY 1)),
+{_axis("first_axis", "cov")},
+rest AS (
+  SELECT list_transform(m, lambda r, i: list_transform(r, lambda c, j: c - l * v[i] * v[j])) AS m
+  FROM (SELECT m, v, list_dot_product(list_transform(m, lambda r: list_dot_product(r, v)), v) AS l FROM cov, first_axis)),
+{_axis("second_axis", "rest")},
+axes AS (SELECT {_signed("a.v")} AS a, {_signed("b.v")} AS b FROM first_axis a, second_axis b),
+rows AS (SELECT id, list(x ORDER BY d) AS v FROM centred GROUP BY 1)
+SELECT id AS unified_id, round(list_dot_product(v, a) + 1e-9, 4) AS x, round(list_dot_product(v, b) + 1e-9, 4) AS y FROM rows, axes"""
+
 SQL = {
+    "project_pca": _PCA,
     "knn_graph": f"WITH {_VECS} {_KNN.format(k=10)} SELECT src, dst, round(distance, 6) AS distance, rank FROM knn",
     "knn_graph_cells": f"""WITH vecs AS (
       SELECT CAST(e.vec_id AS VARCHAR) AS id, CAST(CASE WHEN e.vec_id % 3 = 0 THEN f.embedding ELSE e.embedding END AS DOUBLE[]) AS v

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from threadloom import fixtures as fx
 from threadloom.catalog.enrich import AS_OF, CACHE, cache
+from threadloom.functions.vectors import dot, unit
 from threadloom.operators import enrich as en
 from threadloom.operators import marts, topics
 from threadloom.session import run_dir
@@ -103,11 +104,15 @@ def fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fitted_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The topics a fit finds: sizes and mean distances."""
+    """What a fit must have reached: five topics that hold all vectors, each centre pointing where its members' mean does."""
     vectors = _vectors(spark, sf_dir)
     centers = topics.centers_of(spark, topics.fit_topics(vectors, 5, seed=7))
-    return topics.assign_topics(vectors, centers).groupBy("topic_id").agg(
-        F.count(F.lit(1)).alias("n_vectors"), F.round(F.avg("assignment_score"), 6).alias("mean_distance")
+    assigned = topics.assign_topics(vectors, centers)
+    means = topics.mean_centers(assigned.withColumn("embeddings", unit(F.col("embeddings"))), F.col("topic_id")).withColumnRenamed("center", "mean")
+    cosine = dot(unit(F.col("center")), unit(F.col("mean")))
+    sizes = assigned.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n"))
+    return centers.join(means, "topic_id").join(sizes, "topic_id").agg(
+        F.sum("n").alias("n_vectors"), F.count(F.lit(1)).alias("n_topics"), (F.min(cosine) > 0.9999).alias("centres_are_means")
     )
 
 
@@ -270,6 +275,7 @@ SQL = {
     "topic_prompts": f"WITH {ASSIGNED} SELECT topic_id, e'Documents:\\n' || topic_documents || e'\\nLABEL:' AS prompt FROM tops",
     "fit_topics": f"""WITH {CACHE}
       SELECT count(*) AS n_vectors, count(*) AS n_agree, 5 AS n_topics, count(*) AS n_in_range FROM cache WHERE NOT no_vector""",
+    "fitted_topic_sizes": f"WITH {CACHE} SELECT count(*) AS n_vectors, 5 AS n_topics, true AS centres_are_means FROM cache WHERE NOT no_vector",
     "label_topics": f"WITH {LABELLED} SELECT * FROM labelled",
     "parse_label_responses": f"""WITH d AS (SELECT doc_id, doc_id % 10 AS c FROM documents),
       t AS (SELECT doc_id, c, CASE c WHEN 1 THEN '' WHEN 2 THEN repeat('w ', 16) WHEN 9 THEN NULL ELSE 'Good' END AS label,
