@@ -276,5 +276,5 @@ def spans(text: Column, model: Model, penalty: float = SWITCH_PENALTY) -> Column
 
 
 def taught(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Column:
-    """True for rows to learn from: those whose crc32 of the id as text does not fall into the held-out fold."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out
+    """True for rows to learn from: those whose crc32 of the id as text does not fall into the held-out fold, or without id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != held_out, F.lit(True))

@@ -23,36 +23,41 @@ def word_count(text: Column) -> Column:
 def cyclic_weights(sizes: DataFrame, cycle: tuple[int, ...] = CYCLE) -> DataFrame:
     """``sizes(source, size)`` with ``weight``: the cycle's values along the sources by code point, null last.
 
-    One row per source is ordered, never the documents.
+    Sources are sorted over many tasks; a source's place is its place in its partition after those of all partitions
+    before. The one window over everything has a row per partition.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    cases = F.element_at(F.array(*[F.lit(float(w)) for w in cycle]), (place % len(cycle) + 1).cast("int"))
-    return sizes.withColumn("weight", cases)
+    sorted_ = sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("_part", F.spark_partition_id())
+    dealt = cut(sorted_)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_part").orderBy(F.col("source").asc_nulls_last())
+    place = F.col("_before") + F.row_number().over(within) - 1
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in cycle]), (place % len(cycle) + 1).cast("int"))
+    return dealt.join(before, "_part").withColumn("weight", weight).drop("_part", "_before")
 
 
 def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
     """``sizes(source, size, weight)`` with ``target`` and ``rate``.
 
     The sources share ``share`` times all sizes by weight; none gets more than ``most`` times its own size, and what is
-    above goes to the others by weight until none is above. Sources sorted by the level at which they are full make that
-    one running sum: a source is full if its level does not exceed what would be left for it and all later ones. Sources
-    without words or with a weight that is null or not positive get target 0.
+    above goes to the others by weight, again and again until none is above. Each round is two sums over the sources: what
+    the full ones hold, and the weight of the others. Sources without words or with a weight that is null or not positive
+    get target 0.
     """
-    by_level = Window.orderBy("_level", F.col("source").asc_nulls_last())
-    full = F.col("size") * F.lit(most)
     usable = (F.col("size") > 0) & (F.coalesce("weight", F.lit(0.0)) > 0)
-    rows = (
-        sizes.withColumn("_cap", F.when(usable, full).otherwise(F.lit(0.0)))
+    rows = cut(
+        sizes.withColumn("_cap", F.when(usable, F.col("size") * F.lit(most)).otherwise(F.lit(0.0)))
         .withColumn("_weight", F.when(usable, F.col("weight").cast("double")).otherwise(F.lit(0.0)))
-        .withColumn("_level", F.when(usable, full / F.col("weight")).otherwise(F.lit(-1.0)))
-        .withColumn("_total", F.sum("size").over(Window.partitionBy()) * F.lit(share))
-        .withColumn("_before", F.coalesce(F.sum("_cap").over(by_level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-        .withColumn("_after", F.sum("_weight").over(by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-        .withColumn("_share", F.when(F.col("_after") > 0, (F.col("_total") - F.col("_before")) / F.col("_after")))
-        .withColumn("_open", F.col("_level") > F.col("_share"))
-        .withColumn("_water", F.min(F.when(F.col("_open"), F.struct("_level", "_share"))).over(Window.partitionBy())["_share"])
     )
-    target = F.least(F.col("_cap"), F.coalesce(F.col("_weight") * F.col("_water"), F.col("_cap")))
+    total = (rows.agg(F.sum("size")).first()[0] or 0) * share
+    level, before = 0.0, -1.0
+    while level != before:
+        before = level
+        full = F.col("_cap") <= F.col("_weight") * F.lit(level)
+        held, weight = rows.agg(F.sum(F.when(full, F.col("_cap"))), F.sum(F.when(~full, F.col("_weight")))).first()
+        level = (total - (held or 0.0)) / weight if weight else float("inf")
+    target = F.when(F.col("_weight") > 0, F.least(F.col("_cap"), F.col("_weight") * F.lit(level))).otherwise(F.lit(0.0))
     return rows.select(
         "source", "size", "weight", target.alias("target"), F.coalesce(target / F.when(F.col("size") > 0, F.col("size")), F.lit(0.0)).alias("rate")
     )
