@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from threadloom.operators.neighbours import knn_graph
-from threadloom.operators.project import curve, fuzzy_graph, fuzzy_weights, layout, pca_2d, project_2d
+from threadloom.operators.project import curve, fuzzy_graph, fuzzy_weights, layout, pca, project
 
 
 def frame(spark, matrix):
@@ -45,6 +45,19 @@ def test_a_vector_in_a_third_of_all_rows(spark, clusters):
     assert found(knn_graph(frame(spark, copied), 4, blocks=5)) == brute(copied, 4)
 
 
+@pytest.mark.parametrize("method", ["exact", "descent"])
+def test_euclidean_neighbours(spark, clusters, method):
+    gaps = np.round(np.sqrt(((clusters[:, None] - clusters[None]) ** 2).sum(2)), 9)
+    want = {(f"v{i:04d}", f"v{j:04d}") for i in range(len(clusters)) for j in np.argsort(gaps[i], kind="stable")[1:5]}
+    got = {(a, b) for a, b, _ in found(knn_graph(frame(spark, clusters), 4, method=method, metric="euclidean", block_rows=60))}
+    assert len(got & want) >= (1.0 if method == "exact" else 0.9) * len(want)
+
+
+def test_three_axes(spark, clusters):
+    points = project(frame(spark, clusters[::4]), epochs=2, n_components=3, metric="euclidean")
+    assert points.columns == ["unified_id", "x", "y", "c3"] and points.filter("c3 is not null").count() == len(clusters[::4])
+
+
 def test_descent_finds_most_neighbours(spark, clusters):
     got, want = found(knn_graph(frame(spark, clusters), 5, method="descent", block_rows=40)), brute(clusters, 5)
     pairs = lambda edges: {(a, b) for a, b, _ in edges}
@@ -103,7 +116,7 @@ def kept_neighbours(points, knn):
 def test_layout_keeps_more_neighbours_than_the_axes(spark, clusters):
     df = frame(spark, clusters)
     knn = knn_graph(df, 8)
-    start = pca_2d(df)
+    start = pca(df)
     points = layout(start, fuzzy_graph(knn), epochs=15)
     placed = {r["unified_id"]: (r["x"], r["y"]) for r in points.collect()}
     flat = {r["unified_id"]: (r["x"], r["y"]) for r in start.collect()}
@@ -113,12 +126,12 @@ def test_layout_keeps_more_neighbours_than_the_axes(spark, clusters):
 
 def test_the_map_does_not_depend_on_partitions(spark, clusters):
     small = clusters[::4]
-    one = project_2d(frame(spark, small), epochs=3)
-    two = project_2d(frame(spark, small).repartition(5), epochs=3)
+    one = project(frame(spark, small), epochs=3)
+    two = project(frame(spark, small).repartition(5), epochs=3)
     rounded = [F.col("unified_id"), F.round("x", 5), F.round("y", 5)]
     assert rows(one.select(*rounded)) == rows(two.select(*rounded))
 
 
 def test_unknown_method(spark, clusters):
     with pytest.raises(ValueError):
-        project_2d(frame(spark, clusters), method="other")
+        project(frame(spark, clusters), method="other")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from threadloom import fixtures as fx
 from threadloom.operators.neighbours import knn_graph
-from threadloom.operators.project import fuzzy_graph, fuzzy_weights, pca_2d, project_2d
+from threadloom.operators.project import fuzzy_graph, fuzzy_weights, project
+from threadloom.operators.project import pca as principal_axes
 
 
 def _with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pca_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold for principal axes: centred, uncorrelated, the first at least as wide as the second."""
-    return pca_2d(fx.vectors(spark, sf_dir)).agg(
+    return principal_axes(fx.vectors(spark, sf_dir)).agg(
         F.count(F.lit(1)).alias("n_points"),
         (F.abs(F.avg("x")) < 1e-9).alias("centred_x"), (F.abs(F.avg("y")) < 1e-9).alias("centred_y"),
         (F.abs(F.covar_pop("x", "y")) < 1e-9).alias("uncorrelated"),
@@ -56,12 +57,12 @@ def pca_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pca_2d(fx.vectors(spark, sf_dir)).select("unified_id", F.round(F.col("x") + 1e-9, 4).alias("x"), F.round(F.col("y") + 1e-9, 4).alias("y"))
+    return principal_axes(fx.vectors(spark, sf_dir)).select("unified_id", F.round(F.col("x") + 1e-9, 4).alias("x"), F.round(F.col("y") + 1e-9, 4).alias("y"))
 
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph layout of all vectors."""
-    return project_2d(fx.vectors(spark, sf_dir))
+    return project(fx.vectors(spark, sf_dir))
 
 
 QUERIES = {

@@ -16,10 +16,10 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.functions.vectors import dot, unit, usable
+from threadloom.functions.vectors import dot, norm, unit, usable
 from threadloom.operators.skew import skew_join
 from threadloom.session import cut, discard
 
@@ -33,9 +33,18 @@ _FOUND = "rep string, other string, distance double"
 # Distances are compared to nine places; the id settles what is equal so far.
 _PLACES = 9
 METHODS = ("exact", "descent")
+METRICS = ("cosine", "euclidean")
 
 
-def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _distances(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """Cosine distances of unit vectors, or Euclidean ones."""
+    if metric == "cosine":
+        return np.clip(1.0 - left @ right.T, 0.0, 2.0)
+    squares = (left * left).sum(1)[:, None] + (right * right).sum(1)[None] - 2.0 * left @ right.T
+    return np.sqrt(np.maximum(squares, 0.0))
+
+
+def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, id, distance) of the k nearest right rows of each left row, equal distances by id."""
     out = []
     step = max(1, _DISTANCES // max(1, len(right)))
@@ -43,7 +52,7 @@ def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int) -> tu
     by_id = np.empty(len(ids), np.int64)
     by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
     for at in range(0, len(left), step):
-        distance = np.round(np.clip(1.0 - left[at : at + step] @ right.T, 0.0, 2.0), _PLACES)
+        distance = np.round(_distances(left[at : at + step], right, metric), _PLACES)
         # All that are as near as the k-th, then the first k of them by distance and id.
         limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
         row, col = np.nonzero(distance <= limit)
@@ -56,12 +65,12 @@ def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int) -> tu
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _compare(k: int, halves: bool):
+def _compare(k: int, halves: bool, metric: str):
     def found(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"rep": np.zeros(0, object), "other": np.zeros(0, object), "distance": np.zeros(0)})
         matrix = [np.array(side["vec"].tolist(), dtype=np.float64) for side in (left, right)]
-        row, other, distance = _nearest(*matrix, right["rep"].to_numpy(), k)
+        row, other, distance = _nearest(*matrix, right["rep"].to_numpy(), k, metric)
         return pd.DataFrame({"rep": left["rep"].to_numpy()[row], "other": other, "distance": distance})
 
     def search(place: pd.DataFrame) -> pd.DataFrame:
@@ -73,13 +82,13 @@ def _compare(k: int, halves: bool):
     return search
 
 
-def _exact(distinct: DataFrame, k: int, blocks: int) -> DataFrame:
+def _exact(distinct: DataFrame, k: int, blocks: int, metric: str = "cosine") -> DataFrame:
     """Every pair of blocks in one task; each task passes on k rows per vector."""
     placed = distinct.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"))
     sent = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
         "rep", "vec", "block", F.least("block", "_other").alias("_i"), F.greatest("block", "_other").alias("_j")
     )
-    return sent.groupBy("_i", "_j").applyInPandas(_compare(k, True), _FOUND)
+    return sent.groupBy("_i", "_j").applyInPandas(_compare(k, True, metric), _FOUND)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -88,7 +97,13 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("_place", F.row_number().over(nearest)).filter(F.col("_place") <= k).drop("_place")
 
 
-def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: int) -> DataFrame:
+def _distance(a: Column, b: Column, metric: str) -> Column:
+    if metric == "cosine":
+        return F.least(F.lit(2.0), F.greatest(F.lit(0.0), 1.0 - dot(a, b)))
+    return norm(F.zip_with(a, b, lambda x, y: x - y))
+
+
+def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: int, metric: str) -> DataFrame:
     """Blocks along random directions, then ``rounds`` times the neighbours of neighbours, in both directions.
 
     Of the vectors that name one as their neighbour, at most k are followed back, so a vector that everybody names
@@ -102,7 +117,7 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
         along = distinct.withColumn("_along", F.aggregate(axis, F.lit(0.0), lambda s, x: s + x))
         edges = along.approxQuantile("_along", [i / blocks for i in range(1, blocks)], 0.1 / blocks) if blocks > 1 else []
         block = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("_along")))
-        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(k, False), _FOUND)
+        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(k, False, metric), _FOUND)
         found = own if found is None else found.unionByName(own)
     best = cut(_best(found.distinct(), k))
     for _ in range(rounds):
@@ -116,7 +131,7 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
         fresh = pairs.join(best.select("rep", "other"), ["rep", "other"], "left_anti")
         there = distinct.select(F.col("rep").alias("other"), F.col("vec").alias("_there"))
         compared = fresh.join(distinct.select("rep", "vec"), "rep").join(there, "other").select(
-            "rep", "other", F.round(F.least(F.lit(2.0), F.greatest(F.lit(0.0), 1.0 - dot(F.col("vec"), F.col("_there")))), _PLACES).alias("distance")
+            "rep", "other", F.round(_distance(F.col("vec"), F.col("_there"), metric), _PLACES).alias("distance")
         )
         after = cut(_best(best.unionByName(compared), k))
         discard(best)
@@ -126,21 +141,22 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
 
 def knn_graph(
     vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, pool: int = 3,
-    seed: int = 42,
+    seed: int = 42, metric: str = "cosine",
 ) -> DataFrame:
     """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
     ``method`` is "exact" (``blocks`` sets the grid) or "descent" (``block_rows``, ``rounds`` and ``pool``, the multiple
     of k that is kept on the way), whose neighbours are approximate; nothing switches between them.
     """
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}")
-    named = vectors.filter(usable(F.col("embeddings"))).select("unified_id", unit(F.col("embeddings")).alias("vec"))
+    if method not in METHODS or metric not in METRICS:
+        raise ValueError(f"method must be one of {METHODS}, metric one of {METRICS}")
+    vec = unit(F.col("embeddings")) if metric == "cosine" else F.col("embeddings")
+    named = vectors.filter(usable(F.col("embeddings"))).select("unified_id", vec.alias("vec"))
     keyed = cut(named.withColumn("key", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(1), "vec").alias("b"))))
     smallest = Window.partitionBy("key").orderBy("unified_id")
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
-    found = _exact(distinct, k + 1, blocks) if method == "exact" else _descent(distinct, pool * (k + 1), block_rows, rounds, seed)
+    found = _exact(distinct, k + 1, blocks, metric) if method == "exact" else _descent(distinct, pool * (k + 1), block_rows, rounds, seed, metric)
     return _expand(keyed, copies, distinct, found, k)
 
 

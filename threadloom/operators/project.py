@@ -1,7 +1,9 @@
-"""Two-dimensional map of vectors: a weighted neighbour graph laid out by forces, started from principal axes."""
+"""Map of vectors in two or more dimensions: a weighted neighbour graph laid out by forces, started from principal axes."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -74,18 +76,24 @@ def fuzzy_graph(knn: DataFrame) -> DataFrame:
 # --- layout ---
 
 
-def pca_2d(vectors: DataFrame) -> DataFrame:
-    """(unified_id, x, y): the two main axes, centred; an axis points where its largest component is positive."""
+def axis_names(n: int) -> list[str]:
+    """x, y and further numbered axes."""
+    return ["x", "y", *[f"c{i}" for i in range(3, n + 1)]][:n]
+
+
+def pca(vectors: DataFrame, n_components: int = 2) -> DataFrame:
+    """(unified_id, x, y, ...): the main axes, centred; an axis points where its largest component is positive."""
     rows = vectors.filter(usable(F.col("embeddings"))).select(
         "unified_id", array_to_vector(unit(F.col("embeddings"))).alias("features")
     )
-    model = PCA(k=2, inputCol="features", outputCol="pc").fit(rows)
+    names = axis_names(n_components)
+    model = PCA(k=n_components, inputCol="features", outputCol="pc").fit(rows)
     axes = model.pc.toArray()
-    sign = [1.0 if axes[np.argmax(np.abs(axes[:, i])), i] > 0 else -1.0 for i in range(2)]
+    sign = [1.0 if axes[np.argmax(np.abs(axes[:, i])), i] > 0 else -1.0 for i in range(n_components)]
     placed = model.transform(rows).select("unified_id", vector_to_array("pc").alias("pc"))
-    flat = placed.select("unified_id", (F.col("pc")[0] * sign[0]).alias("x"), (F.col("pc")[1] * sign[1]).alias("y"))
-    mean_x, mean_y = flat.agg(F.avg("x"), F.avg("y")).first()
-    return flat.select("unified_id", (F.col("x") - mean_x).alias("x"), (F.col("y") - mean_y).alias("y"))
+    flat = placed.select("unified_id", *[(F.col("pc")[i] * sign[i]).alias(name) for i, name in enumerate(names)])
+    means = flat.agg(*[F.avg(name) for name in names]).first()
+    return flat.select("unified_id", *[(F.col(name) - mean).alias(name) for name, mean in zip(names, means, strict=True)])
 
 
 def curve(min_dist: float, spread: float = 1.0) -> tuple[float, float]:
@@ -118,21 +126,24 @@ def _clip(value: Column) -> Column:
     return F.greatest(F.lit(-4.0), F.least(F.lit(4.0), value))
 
 
-def _pull(edges: DataFrame, points: DataFrame, a: float, b: float) -> DataFrame:
+def _gap2(one: list[Column], other: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, [(p - q) ** 2 for p, q in zip(one, other, strict=True)])
+
+
+def _pull(edges: DataFrame, points: DataFrame, axes: list[str], a: float, b: float) -> DataFrame:
     """Summed attraction per point. A point with very many edges is split by the joins and pre-summed."""
-    here = points.select(F.col("unified_id").alias("src"), F.col("x").alias("sx"), F.col("y").alias("sy"))
-    there = points.select(F.col("unified_id").alias("dst"), F.col("x").alias("dx"), F.col("y").alias("dy"))
+    here = points.select(F.col("unified_id").alias("src"), *[F.col(c).alias(f"s_{c}") for c in axes])
+    there = points.select(F.col("unified_id").alias("dst"), *[F.col(c).alias(f"d_{c}") for c in axes])
     met = skew_join(skew_join(edges, there, "dst"), here, "src")
-    gap2 = (F.col("sx") - F.col("dx")) ** 2 + (F.col("sy") - F.col("dy")) ** 2
+    gap2 = _gap2([F.col(f"s_{c}") for c in axes], [F.col(f"d_{c}") for c in axes])
     force = F.when(gap2 > 0, -2.0 * a * b * F.pow(gap2, b - 1.0) / (1.0 + a * F.pow(gap2, F.lit(b)))).otherwise(0.0)
     return met.withColumn("f", force * F.col("weight")).groupBy("src").agg(
-        F.sum(_clip(F.col("f") * (F.col("sx") - F.col("dx")))).alias("fx"),
-        F.sum(_clip(F.col("f") * (F.col("sy") - F.col("dy")))).alias("fy"),
+        *[F.sum(_clip(F.col("f") * (F.col(f"s_{c}") - F.col(f"d_{c}")))).alias(f"f_{c}") for c in axes]
     )
 
 
-def _push(points: DataFrame, buckets: int, epoch: int, seed: int, a: float, b: float) -> DataFrame:
-    """Adds the repulsion (gx, gy) from the next few points in a random circle.
+def _push(points: DataFrame, axes: list[str], buckets: int, epoch: int, seed: int, a: float, b: float) -> DataFrame:
+    """Adds the repulsion ``g_<axis>`` from the next few points in a random circle.
 
     The order is a hash of id, epoch and seed within buckets of bounded size, drawn anew each epoch: the partners
     are random yet the same on every rerun.
@@ -143,39 +154,41 @@ def _push(points: DataFrame, buckets: int, epoch: int, seed: int, a: float, b: f
     drawn = points.withColumn("_draw", draw).withColumn("_bucket", F.pmod("_draw", F.lit(buckets)))
     drawn = drawn.withColumns({
         "_place": F.row_number().over(order), "_n": F.count(F.lit(1)).over(whole),
-        "_ring": F.array(*[F.nth_value(F.struct("x", "y"), i).over(whole) for i in range(1, _NEGATIVES + 1)]),
+        "_ring": F.array(*[F.nth_value(F.struct(*axes), i).over(whole) for i in range(1, _NEGATIVES + 1)]),
     })
-    gx, gy = F.lit(0.0), F.lit(0.0)
+    pushed = {c: F.lit(0.0) for c in axes}
     for step in range(1, _NEGATIVES + 1):
         # Past the end of the circle come its first points; a circle of fewer points than steps goes round again.
         wrapped = F.try_element_at("_ring", ((F.col("_place") + (step - 1)) % F.col("_n") + 1).cast("int"))
-        ox, oy = F.coalesce(F.lead("x", step).over(order), wrapped["x"]), F.coalesce(F.lead("y", step).over(order), wrapped["y"])
-        gap2 = (F.col("x") - ox) ** 2 + (F.col("y") - oy) ** 2
+        other = {c: F.coalesce(F.lead(c, step).over(order), wrapped[c]) for c in axes}
+        gap2 = _gap2([F.col(c) for c in axes], list(other.values()))
         force = 2.0 * b / ((0.001 + gap2) * (1.0 + a * F.pow(gap2, F.lit(b))))
-        gx = gx + F.coalesce(_clip(force * (F.col("x") - ox)), F.lit(0.0))
-        gy = gy + F.coalesce(_clip(force * (F.col("y") - oy)), F.lit(0.0))
-    return drawn.withColumns({"gx": gx, "gy": gy}).drop("_draw", "_bucket", "_place", "_n", "_ring")
+        pushed = {c: pushed[c] + F.coalesce(_clip(force * (F.col(c) - other[c])), F.lit(0.0)) for c in axes}
+    return drawn.withColumns({f"g_{c}": pushed[c] for c in axes}).drop("_draw", "_bucket", "_place", "_n", "_ring")
 
 
 def layout(
     start: DataFrame, edges: DataFrame, epochs: int = 30, min_dist: float = MIN_DIST, seed: int = 42,
 ) -> DataFrame:
-    """Move all points together, ``epochs`` times, by the pull of their edges and the push of random others."""
+    """Move all points together, ``epochs`` times, by the pull of their edges and the push of random others.
+
+    Weights and forces are those of McInnes et al., "UMAP"; the axes are the columns of ``start`` beside the id.
+    """
     a, b = curve(min_dist)
-    n, reach = start.agg(F.count(F.lit(1)), F.max(F.greatest(F.abs("x"), F.abs("y")))).first()
+    axes = [c for c in start.columns if c != "unified_id"]
+    n, reach = start.agg(F.count(F.lit(1)), F.max(F.greatest(*[F.abs(c) for c in axes], F.lit(0.0)))).first()
     buckets = max(1, -(-n // _BUCKET_ROWS))
     scale = 10.0 / reach if reach else 1.0
-    points = start.select("unified_id", (F.col("x") * scale).alias("x"), (F.col("y") * scale).alias("y"))
+    points = start.select("unified_id", *[(F.col(c) * scale).alias(c) for c in axes])
     points, edges = cut(points), cut(edges)
     for epoch in range(epochs):
         rate = _STEP * (1.0 - epoch / epochs)
-        pulled = _pull(edges, points, a, b).withColumnRenamed("src", "unified_id")
-        pushed = _push(points, buckets, epoch, seed, a, b).join(pulled, "unified_id", "left")
+        pulled = _pull(edges, points, axes, a, b).withColumnRenamed("src", "unified_id")
+        pushed = _push(points, axes, buckets, epoch, seed, a, b).join(pulled, "unified_id", "left")
         # An epoch reads the one before three times, so each is written before the next starts.
         moved = cut(pushed.select(
             "unified_id",
-            (F.col("x") + rate * (F.coalesce("fx", F.lit(0.0)) + F.col("gx"))).alias("x"),
-            (F.col("y") + rate * (F.coalesce("fy", F.lit(0.0)) + F.col("gy"))).alias("y"),
+            *[(F.col(c) + rate * (F.coalesce(f"f_{c}", F.lit(0.0)) + F.col(f"g_{c}"))).alias(c) for c in axes],
         ))
         discard(points)
         points = moved
@@ -183,15 +196,18 @@ def layout(
     return points
 
 
-def project_2d(
+def project(
     vectors: DataFrame, method: str = "graph", n_neighbors: int = NEIGHBOURS, min_dist: float = MIN_DIST,
-    epochs: int = 30, seed: int = 42, neighbours: dict | None = None,
+    epochs: int = 30, seed: int = 42, metric: str = "cosine", n_components: int = 2, neighbours: dict | None = None,
 ) -> DataFrame:
-    """(unified_id, x, y) by ``graph`` layout or by ``pca`` alone; ``neighbours`` are options of :func:`knn_graph`."""
+    """(unified_id, x, y, ...) by ``graph`` layout or by ``pca`` alone, on ``n_components`` axes.
+
+    ``metric`` says how near two vectors are; ``neighbours`` are further options of :func:`knn_graph`.
+    """
     if method not in ("graph", "pca"):
         raise ValueError("method must be 'graph' or 'pca'")
-    start = pca_2d(vectors)
+    start = pca(vectors, n_components)
     if method == "pca":
         return start
-    edges = fuzzy_graph(knn_graph(vectors, n_neighbors, seed=seed, **(neighbours or {})))
+    edges = fuzzy_graph(knn_graph(vectors, n_neighbors, seed=seed, metric=metric, **(neighbours or {})))
     return layout(start, edges, epochs, min_dist, seed)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import runs, topics
 from threadloom.operators.enrich import keywords
 from threadloom.operators.marts import enriched_items
-from threadloom.operators.project import project_2d
+from threadloom.operators.project import project
 from threadloom.operators.quality import QualityError, require_unique
 from threadloom.operators.sinks import write_declared
 from threadloom.session import cut, discard
@@ -129,7 +129,7 @@ def _refuse_known(spark, registry: str, run_id: str) -> None:
 
 
 def _project(vectors: DataFrame, run_id: str, as_of: dt.datetime, root: str, seed: int, options: dict) -> str:
-    points = project_2d(vectors.select("unified_id", "embeddings"), seed=seed, **options)
+    points = project(vectors.select("unified_id", "embeddings"), seed=seed, **options)
     rows = points.select(
         F.lit(run_id).alias("run_id"), F.lit(as_of).cast("timestamp").alias("created_at"), "unified_id",
         F.col("x").alias("umap_x"), F.col("y").alias("umap_y"),
