@@ -73,7 +73,7 @@ def test_small_archives(spark):
     assert warc.read_archives(index, folder).first().payload_bytes == 3
 
 
-MESSAGES = "tree string, node string, parent string, role string, text string, score long, extra string"
+MESSAGES = "tree string, node string, parent string, role string, text string, score long, rank string"
 
 
 def texts_of(formatted):

@@ -35,7 +35,8 @@ def unescape(text: Column) -> Column:
 
 def _levels(messages: DataFrame) -> Levels:
     """Replies joined with the messages they answer, then with themselves: each round doubles the reach of the jumps."""
-    numbered = cut(messages.withColumn("_id", F.monotonically_increasing_id()))
+    own = messages.select("tree", "node", "parent", "role", "text", "score")
+    numbered = cut(own.withColumn("_id", F.monotonically_increasing_id()))
     pick = F.min_by("_id", F.struct("role", "text", "_id"))
     named = numbered.filter(F.col("node").isNotNull()).groupBy(F.col("tree").alias("_t"), F.col("node").alias("_n")).agg(pick.alias("up"))
     named = named.withColumn("_nh", F.xxhash64("_t", "_n"))
@@ -60,7 +61,8 @@ def reply_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
 
     A message without a parent, or whose parent is not there, is a root. Of rows that share a node in a tree each stays a
     message of its own; replies hang on the one with the smallest role and text. Messages in or below a circle of replies
-    have no root and no path. Rows without a node are roots that nothing can answer. No rows give no rows.
+    have no root and no path. Rows without a node are roots that nothing can answer. Extra columns are not read. No rows
+    give no rows.
     """
     levels = _levels(messages)
     every = levels.messages.select(F.col("_id").alias("node"))
