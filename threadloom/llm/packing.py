@@ -163,14 +163,19 @@ def plan(histogram: dict[int, int], capacities: Capacities) -> list[tuple[int, i
     return moves
 
 
-def pack(rows: DataFrame, capacities: Capacities = Capacities(), buckets: int = 256) -> DataFrame:
+# Pieces of one length are ranked in parts: so many at least, and more such that a part has about so many pieces.
+RANK_PARTS, RANK_ROWS = 256, 1_000_000
+
+
+def pack(rows: DataFrame, capacities: Capacities = Capacities()) -> DataFrame:
     """``rows(length, ids_crc32, doc_id, piece, ...)`` with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
-    Each piece gets its rank among the pieces of its length: the pieces of a length are dealt to ``buckets`` by hash,
+    Each piece gets its rank among the pieces of its length: the pieces of a length are dealt to buckets by hash,
     counted, and numbered within. The histogram of lengths (at most ``capacities.tokens`` rows) is all that reaches the
     driver, and the plan it gives is looked up by length and rank. ``rows`` must be repeatable (a written table). Rows
     alike in everything get places of their own. No rows give no rows; lengths must be between 1 and the capacity.
     """
+    buckets = max(RANK_PARTS, -(-rows.count() // RANK_ROWS))
     dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = cut(dealt.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")))
     histogram = {row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
