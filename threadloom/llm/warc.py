@@ -76,15 +76,18 @@ def parse_record(data: bytes) -> dict:
 
 
 def build_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> bytes:
-    """A Zstandard dictionary from records of at most ``rows`` pages, those with the smallest hash of id and url.
+    """A Zstandard dictionary from records of at most ``rows`` pages, those with the smallest hashes of id and url.
 
     Empty if the records are too few or too alike to give one; archives are then written without.
     """
     import zstandard
 
-    picked = pages.select("page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, chars).alias("html"))
-    sample = picked.orderBy(F.xxhash64("page_id", "url"), "page_id", "url").limit(rows).collect()
-    records = [record_bytes(r["page_id"], r["url"], r["html"].encode(), None) for r in sample]
+    hashed = pages.select(F.xxhash64("page_id", "url").alias("_h"), "page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, chars).alias("html"))
+    # Only hashes are sorted; then the few rows up to the last of them come, one of each hash.
+    last = hashed.select("_h").orderBy("_h").limit(rows).agg(F.max("_h")).first()[0]
+    few = hashed.filter(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.min(F.struct("page_id", "url", "html")).alias("r"))
+    sample = sorted(few.collect(), key=lambda x: x["_h"])
+    records = [record_bytes(x["r"]["page_id"], x["r"]["url"], x["r"]["html"].encode(), None) for x in sample]
     try:
         return zstandard.train_dictionary(size, records).as_bytes() if len(records) > 7 else b""
     except zstandard.ZstdError:
