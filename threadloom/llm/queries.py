@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, quality, simhash, warc
+from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, periodic, quality, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_rows(spark))
 
 
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
@@ -91,6 +95,7 @@ QUERIES = {
     "op8_exact": op8_exact,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op13_periodic": op13_periodic,
 }
 
 
