@@ -231,12 +231,12 @@ def periodic_runs(docs: DataFrame, planted: bool = False) -> DataFrame:
 
         def flush() -> pd.DataFrame:
             out = pd.DataFrame(search(held), columns=[c.split()[0] for c in RESULT.split(", ")])
-            return out.astype({c: "Int64" for c in out.columns[:6]})
+            return out.assign(**{c: pd.array(out[c].tolist(), "Int64") for c in out.columns[1:6]}, doc_id=pd.array([i for i, _ in held], "Int64"))
 
         for frame in frames:
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
                 words = words_of(text)
-                number = None if pd.isna(doc_id) else int(doc_id)
+                number = None if doc_id is None else int(doc_id)  # as text, since pandas holds integers beside nulls as floats
                 if planted and (places := planted_order(number, len(words))) is not None:
                     words = [words[i] for i in places]
                 held.append((number, words))
@@ -247,4 +247,4 @@ def periodic_runs(docs: DataFrame, planted: bool = False) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id"), F.col("text")).mapInPandas(rows, RESULT)
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(rows, RESULT)

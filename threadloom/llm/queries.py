@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, periodic, quality, simhash, warc
+from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, periodic, pii, quality, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_rows(spark))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return pii.find(docs, pii.fit(docs)).select("doc_id", *counts, F.sha2(pii.spelled(base), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
+
+
 def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
 
@@ -95,6 +102,7 @@ QUERIES = {
     "op8_exact": op8_exact,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op12_pii": op12_pii,
     "op13_periodic": op13_periodic,
 }
 
