@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, periodic, pii, quality, simhash, warc
+from threadloom.llm import chat, exact, langid, lattice, licenses, mixing, packing, periodic, pii, quality, simhash, trie, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.template_rows(spark))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     base = F.filter("spans", lambda s: s["base"])
@@ -102,6 +106,7 @@ QUERIES = {
     "op8_exact": op8_exact,
     "op9_packing": op9_packing,
     "op10_licenses": op10_licenses,
+    "op11_trie": op11_trie,
     "op12_pii": op12_pii,
     "op13_periodic": op13_periodic,
 }
@@ -205,4 +210,40 @@ WITH templates(license, template, text) AS (
   FROM ours o JOIN theirs t USING (bigram) GROUP BY o.doc_id, o.segment, o.n, t.license, t.template, t.n
 )
 SELECT doc_id, license, max(dice) AS dice, count(DISTINCT segment) AS segments FROM scored WHERE dice >= 0.8 GROUP BY doc_id, license""".replace("TEMPLATES", _template_values()),
+    "op11_trie": r"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT [list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS steps
+), sizes AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, xor(list_reduce(
+      [4294967295::BIGINT] || [ord(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')], lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1])
+    ), 4294967295) % 9 AS h
+  FROM own, crc GROUP BY conv_id, steps
+), moved AS (
+  SELECT s.conv_id, s.base, s.h, least(s.h, coalesce(b.n, 0)) AS m FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base
+), turns AS (
+  SELECT m.conv_id, o.place, o.role, o.text FROM moved m JOIN own o ON o.conv_id = m.base AND o.place < m.h
+  UNION ALL SELECT o.conv_id, o.place + m.m - m.h, o.role, o.text FROM own o JOIN moved m USING (conv_id) WHERE o.place >= m.h
+), members AS (
+  SELECT conv_id, place + 1 AS depth, octet_length(encode(text)) AS bytes, place + 1 = count(*) OVER (PARTITION BY conv_id) AS last,
+    string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+  FROM turns
+  UNION ALL SELECT conv_id, 0, 0, conv_id NOT IN (SELECT conv_id FROM turns), '' FROM sizes
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM members GROUP BY depth, prefix
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.prefix AS above FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND starts_with(n.prefix, p.prefix)
+), families AS (
+  SELECT above AS prefix, count(*) AS n_children FROM linked WHERE above IS NOT NULL GROUP BY above
+), whole AS (
+  SELECT l.*, coalesce(f.n_children, 0) AS n_children FROM linked l LEFT JOIN families f USING (prefix)
+)
+SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, count(*) FILTER (b.n_children = 0) AS n_leaves,
+  sum((b.n_convs - 1) * b.bytes)::BIGINT AS saved_tokens, a.ends_sha256
+FROM whole a JOIN whole b ON starts_with(b.prefix, a.prefix) GROUP BY ALL""",
 }
