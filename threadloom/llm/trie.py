@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,13 +114,14 @@ def _ends(members: DataFrame) -> DataFrame:
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = 0
-        for frame in frames:
+        for frame in filter(len, frames):
             # A piece ends where its node does, or with its batch.
-            new = (frame[NODE] != frame[NODE].shift()).any(axis=1).cumsum()
+            keys, ids = frame[[*NODE, "_block"]].to_numpy(), frame["conv_id"].tolist()
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))).tolist()
             rows = []
-            for _, own in frame.groupby(new, sort=False):
-                for at in range(0, len(own), IDS_AT_ONCE):
-                    rows.append((*own[[*NODE, "_block"]].iloc[0], count, ",".join(map(str, own["conv_id"].iloc[at : at + IDS_AT_ONCE]))))
+            for start, end in zip(starts, [*starts[1:], len(ids)], strict=True):
+                for at in range(start, end, IDS_AT_ONCE):
+                    rows.append((*keys[start].tolist(), count, ",".join(map(str, ids[at : min(end, at + IDS_AT_ONCE)]))))
                     count += 1
             yield pd.DataFrame(rows, columns=names)
 
