@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from threadloom.llm import overlap, simhash
@@ -48,9 +49,14 @@ def edited(rng):
     return [(i, " ".join(r)) for i, r in enumerate(rows)]
 
 
-@pytest.mark.parametrize("block", [16, 2048])
-def test_every_similar_pair_is_linked(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "pairs"), [(16, 8), (2048, 8), (64, 0)])
+def test_every_similar_pair_is_linked(spark, monkeypatch, block, pairs):
+    """In small blocks, in whole ones with shingles dealt over tasks, and with sets in every block instead of pairs."""
     monkeypatch.setattr(overlap, "SAMPLE", 3)
+    monkeypatch.setattr(overlap, "KEY_ROWS", 30 if block == 2048 else 100_000)
+    monkeypatch.setattr(overlap, "PAIRS_PER_TEXT", pairs)
+    if not pairs:
+        monkeypatch.setattr(overlap, "_stars", lambda rows, least: rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(1))
     monkeypatch.setattr(overlap.similar, "__defaults__", (0.8, 5, block))
     rows = edited(random.Random(5))
     docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA)
