@@ -67,16 +67,16 @@ def filter_bits(rows: int) -> int:
 
 
 def _decide(maybe: DataFrame) -> DataFrame:
-    """``maybe(_doc_id, _th, sha, chars)`` with the group's size, the row that stays and whether it is this one."""
-    order = F.struct(-F.col("chars"), F.col("_doc_id").isNull(), F.col("_doc_id"), F.col("_th"))
-    alike = maybe.groupBy("sha", "chars", "_doc_id", "_th").agg(F.count(F.lit(1)).alias("_n")).select("*", order.alias("_order"))
-    groups = alike.groupBy("sha").agg(F.sum("_n").alias("group_size"), F.min("_order").alias("_best"), F.min_by("_doc_id", "_order").alias("keep_id"))
+    """``maybe(_doc_id, _th, sha, chars, _row)`` with the group's size, the row that stays and whether it is this one."""
+    order = F.struct(-F.col("chars"), F.col("_doc_id").isNull(), F.col("_doc_id"), F.col("_th"), F.col("_row"))
+    ordered = maybe.select("sha", "_doc_id", order.alias("_order"))
+    groups = ordered.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"), F.min("_order").alias("_best"), F.min_by("_doc_id", "_order").alias("keep_id"))
     return skew_join(maybe.select("*", order.alias("_order")), groups, "sha").withColumn("_kept", F.col("_order").eqNullSafe(F.col("_best")))
 
 
 def _passes(keys: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The keys as a written table, the filter over them, and its size."""
-    keys = cut(keys)
+    """The keys as a written table with a number a row, the filter over them, and its size."""
+    keys = cut(keys.withColumn("_row", F.monotonically_increasing_id()))
     bits = filter_bits(keys.count())
     return keys, cut(repeated_words(keys, bits)), bits
 
@@ -85,8 +85,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of ``docs(doc_id, text)``.
 
     Texts are equal when identical without ASCII white space (told by their SHA-256). Of equal texts the row with the
-    most code points stays, then the smallest doc_id (null last), then the smallest hash of the text as it stands; rows
-    alike in all of that are marked kept together. Null texts count as empty ones. No rows give no rows.
+    most code points stays, then the smallest doc_id (null last), then the smallest hash of the text as it stands; of rows
+    alike in all of that one is kept. Null texts count as empty ones. No rows give no rows.
     """
     keyed = docs.select(F.col("doc_id").alias("_doc_id"), F.col("text").alias("_text"))
     keys, words, bits = _passes(
