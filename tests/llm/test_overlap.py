@@ -55,6 +55,7 @@ def test_every_similar_pair_is_linked(spark, monkeypatch, block, pairs):
     monkeypatch.setattr(overlap, "SAMPLE", 3)
     monkeypatch.setattr(overlap, "KEY_ROWS", 30 if block == 2048 else 100_000)
     monkeypatch.setattr(overlap, "PAIRS_PER_TEXT", pairs)
+    monkeypatch.setattr(overlap, "FEW_TEXTS", 16 if pairs else 1)
     if not pairs:
         monkeypatch.setattr(overlap, "_stars", lambda rows, least: rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(1))
     monkeypatch.setattr(overlap.similar, "__defaults__", (0.8, 5, block))
