@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import final_plan, rows
 from threadloom.operators import quality, runs
-from threadloom.operators.merge import bucket_of, merge_into, merge_keep_first, read_current
+from threadloom.operators.merge import cache_table, merge_into, merge_keep_first, merged_parts, part_of, read_current
 from threadloom.operators.sinks import SUCCESS, WITH_FAILURES, append_checked, read_checked, write_clustered, write_table
 from threadloom.operators.skew import hot_keys, spread_join
 
@@ -59,28 +59,48 @@ def test_merge_check_adds_no_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_merging_rewrites_touched_buckets_only(spark, tmp_path):
+def test_merging_rewrites_touched_parts_only(spark, tmp_path):
     root = str(tmp_path / "cache")
+    flags = {"filled": "v"}
     assert read_current(spark, root, CACHE).count() == 0
     many = spark.range(500).selectExpr("cast(id as string) id", "array(1d) v", "cast(null as string) m")
-    assert merge_into(many, root, "id", ["v", "m"], CACHE, {"filled": "v"}) == 1
-    assert merge_into(spark.createDataFrame([("7", [9.0], "new"), ("x", [], "new")], CACHE), root, "id", ["v", "m"], CACHE) == 2
-    now = {r["id"]: (r["v"], r["m"]) for r in read_current(spark, root, CACHE).collect()}
-    assert len(now) == 501 and now["7"] == ([1.0], "new") and now["x"] == (None, "new") and now["8"] == ([1.0], None)
-    touched = {r[0] for r in spark.createDataFrame([("7",), ("x",)], "id string").select(bucket_of("id")).collect()}
-    assert {int(p.name.split("=")[1]) for p in (tmp_path / "cache" / "v=2").glob("bucket=*")} == touched
-    assert len(list((tmp_path / "cache" / "v=1").glob("bucket=*"))) > 2
+    assert merge_into(many, root, "id", ["v", "m"], CACHE, flags) == list(range(8))
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "cache").rglob("*.parquet")}
+    few = spark.createDataFrame([("7", [9.0], "new"), ("x", [], "new")], CACHE)
+    touched = sorted({r[0] for r in few.select(part_of("id")).collect()})
+    assert merge_into(few, root, "id", ["v", "m"], CACHE, flags) == touched
+    now = {r["id"]: (r["v"], r["m"], r["filled"]) for r in read_current(spark, root, f"{CACHE}, filled boolean").collect()}
+    assert len(now) == 501 and now["7"] == ([1.0], "new", True) and now["x"] == (None, "new", False) and now["8"] == ([1.0], None, True)
+    for part in range(8):
+        files = {p.name for p in (tmp_path / "cache" / f"part={part}").glob("*.parquet")}
+        assert bool(files & set(before)) == (part not in touched)
+    assert merge_into(few.limit(0), root, "id", ["v", "m"], CACHE, flags) == []
+
+
+def test_only_the_source_of_a_merge_is_shuffled(spark, tmp_path):
+    root = str(tmp_path / "cache")
+    many = spark.range(500).selectExpr("cast(id as string) id", "array(1d) v", "cast(null as string) m")
+    merge_into(many, root, "id", ["v", "m"], CACHE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = spark.createDataFrame([("7", [9.0], "new"), ("x", [], "new")], CACHE)
+        plan = final_plan(merged_parts(source, cache_table(spark, root, "id", CACHE), "id", ["v", "m"], [1, 2]))
+        assert plan.count("Exchange hashpartitioning(id") == 1 and "Bucketed: true" in plan and "PartitionFilters: [part" in plan
+        assert "FullOuter" in plan and plan.index("Bucketed: true") < plan.index("Exchange hashpartitioning")  # the cache is the left side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_a_second_writer_is_refused(spark, tmp_path):
+def test_a_failed_merge_changes_nothing_and_another_session_goes_on(spark, tmp_path):
     root = str(tmp_path / "cache")
-    row = spark.createDataFrame([("a", [1.0], None)], CACHE)
-    merge_into(row, root, "id", ["v", "m"], CACHE)
-    spark.createDataFrame([(2,)], "n bigint").write.parquet(f"{root}/claims/n=2")  # a writer at work, or one that died
-    with pytest.raises(quality.QualityError, match="another writer"):
-        merge_into(row, root, "id", ["v", "m"], CACHE)
-    assert merge_into(row, root, "id", ["v", "m"], CACHE, take_over=True) == 2
+    merge_into(spark.createDataFrame([("a", [1.0], None)], CACHE), root, "id", ["v", "m"], CACHE)
+    twice = spark.createDataFrame([("a", [2.0], "x"), ("a", [3.0], "y"), ("b", [1.0], "z")], CACHE)
+    with pytest.raises(Exception, match="is not unique"):
+        merge_into(twice, root, "id", ["v", "m"], CACHE)
     assert rows(read_current(spark, root, CACHE)) == [("a", [1.0], None)]
+    spark.sql(f"DROP TABLE {cache_table(spark, root, 'id', CACHE).table_name}")  # as in a session that does not know it
+    merge_into(spark.createDataFrame([("a", [2.0], "x"), ("c", None, None)], CACHE), root, "id", ["v", "m"], CACHE)
+    assert rows(read_current(spark, root, CACHE)) == [("a", [1.0], "x"), ("c", None, None)]
 
 
 def test_run_states(spark, tmp_path):

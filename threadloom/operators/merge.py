@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.operators.quality import QualityError, unique_or_fail
+from threadloom.operators.quality import unique_or_fail
 from threadloom.session import cut, discard
 
 
@@ -28,80 +32,88 @@ def merge_keep_first(target: DataFrame, source: DataFrame, key: str, cols: list[
     )
 
 
-# --- a cache as buckets with versions ---
-#
-# root/v=<n>/bucket=<b>  rows of a bucket as version n left them
-# root/log               one row per committed version, with the buckets it wrote; a bucket's newest version counts
-# root/claims/n=<n>      taken by the writer of version n
-
-BUCKETS = 64
-_LOG = "version bigint, buckets array<int>"
+# A cache is a Parquet table partitioned by ``part``, a hash of the key, and bucketed by the key within each part.
+DATABASE = "threadloom_tables"
+# Parts are what a merge rewrites, buckets what a task of it reads; both grow with the table, and are the caller's choice.
+PARTS, BUCKETS = 8, 4
 
 
-def bucket_of(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def part_of(key: str, parts: int = PARTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
-def _log(spark: SparkSession, root: str) -> tuple[int, dict[int, int]]:
-    """The last version, and the newest version of each bucket: at most BUCKETS numbers."""
+def _stored(spark: SparkSession, root: str, schema: str) -> DataFrame | None:
     try:
-        log = spark.read.schema(_LOG).parquet(f"{root}/log")
-        last = log.agg(F.max("version")).first()[0] or 0
-        rows = log.select(F.explode("buckets").alias("b"), "version").groupBy("b").agg(F.max("version").alias("v")).collect()
-        return last, {row["b"]: row["v"] for row in rows}
+        return spark.read.schema(schema).parquet(root)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return 0, {}
+            return None
         raise
 
 
-def _commit(spark: SparkSession, root: str, number: int, buckets: list[int]) -> None:
-    spark.createDataFrame([(number, buckets)], _LOG).coalesce(1).write.mode("append").parquet(f"{root}/log")
-
-
-def _rows(spark: SparkSession, root: str, schema: str, versions: dict[int, int]) -> DataFrame:
-    if not versions:
-        return spark.createDataFrame([], schema)
-    paths = [f"{root}/v={v}/bucket={b}" for b, v in sorted(versions.items())]
-    return spark.read.schema(schema).parquet(*paths)
+def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The rows of the cache at ``root``, or an empty table before the first merge."""
+    found = _stored(spark, root, schema)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def cache_table(spark: SparkSession, root: str, key: str, schema: str, buckets: int = BUCKETS) -> DataFrame:
+    """The cache at ``root`` as a table whose layout Spark knows; one that another session made is found again by its files."""
+    name = f"{DATABASE}.at_{hashlib.md5(root.encode()).hexdigest()}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE {name} ({schema}, part int) USING parquet PARTITIONED BY (part) "
+            f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS LOCATION '{root}'"
+        )
+        if _stored(spark, root, schema) is not None:
+            spark.catalog.recoverPartitions(name)
+    table = spark.table(name)
+    table.table_name = name
+    return table
+
+
+def merged_parts(source: DataFrame, target: DataFrame, key: str, cols: list[str], touched: list[int], buckets: int = BUCKETS) -> DataFrame:
+    """The rows of the touched parts of ``target``, a :func:`cache_table`, after the merge.
+
+    Only ``source`` is shuffled, once and into the table's buckets, so the check of its keys and the join find it in place.
+    """
+    return merge_keep_first(target.filter(F.col("part").isin(touched)), source.repartition(buckets, key), key, cols)
 
 
-def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The rows of the newest committed versions, or an empty table before the first one."""
-    return _rows(spark, root, schema, _log(spark, root)[1])
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The setting for one statement; inserting into a table takes no such option of its own."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def merge_into(
-    source: DataFrame, root: str, key: str, cols: list[str], schema: str, flags: dict[str, str] | None = None, take_over: bool = False,
-) -> int:
-    """Merge ``source`` into the cache at ``root`` by :func:`merge_keep_first`; returns the new version.
-
-    Only buckets that hold a key of ``source`` are read and written again. ``flags`` adds columns that tell whether an
-    array is filled, for readers that need no more. Readers see a version when its row in the log is written, last. A
-    writer takes the next number first; another one that wants the same number is refused. ``take_over`` claims a number
-    whose writer is known to have died.
+    source: DataFrame, root: str, key: str, cols: list[str], schema: str, flags: dict[str, str] | None = None,
+    parts: int = PARTS, buckets: int = BUCKETS,
+) -> list[int]:
+    """Merge ``source`` into the cache at ``root`` by :func:`merge_keep_first`; returns the parts that were written.
+
+    Only parts that hold a key of ``source`` are read and written again, by a dynamic partition overwrite: the new files
+    take the old ones' place when the whole job has succeeded. ``flags`` adds columns that tell whether an array is filled,
+    for readers that need no more. ``schema``, ``flags``, ``parts`` and ``buckets`` stay as they were at the first merge. One
+    job writes a cache at a time; of two at once the later one's parts win. An empty ``source`` changes nothing.
     """
     spark = source.sparkSession
-    last, current = _log(spark, root)
+    declared = ", ".join([schema, *[f"{flag} boolean" for flag in flags or {}]])
+    target = cache_table(spark, root, key, declared, buckets)
     source = cut(source)
-    touched = sorted(row[0] for row in source.select(bucket_of(key)).distinct().collect())
-    number = last + 1
-    claim = spark.createDataFrame([(number,)], "n bigint").coalesce(1).write.mode("overwrite" if take_over else "error")
-    try:
-        claim.parquet(f"{root}/claims/n={number}")
-    except AnalysisException as error:
-        if "PATH_ALREADY_EXISTS" in str(error):
-            raise QualityError(f"another writer holds version {number} of {root}") from error
-        raise
-    try:
-        target = _rows(spark, root, schema, {b: v for b, v in current.items() if b in touched})
-        merged = merge_keep_first(target, source, key, cols).withColumn("bucket", bucket_of(key))
+    touched = sorted(row[0] for row in source.select(part_of(key, parts)).distinct().collect())
+    if touched:
+        merged = merged_parts(source, target, key, cols, touched, buckets)
         for flag, column in (flags or {}).items():
             merged = merged.withColumn(flag, F.coalesce(F.size(column) > 0, F.lit(False)))
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/v={number}")
-    except Exception:
-        _commit(spark, root, number, [])  # the number is spent, and nothing has changed
-        raise
-    _commit(spark, root, number, touched)
+        rows = merged.withColumn("part", part_of(key, parts)).select(target.columns)
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            rows.write.mode("overwrite").insertInto(target.table_name)
     discard(source)
-    return number
+    return touched
