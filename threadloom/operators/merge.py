@@ -54,7 +54,7 @@ def _stored(spark: SparkSession, root: str, schema: str) -> DataFrame | None:
 def read_current(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """The rows of the cache at ``root``, or an empty table before the first merge."""
     found = _stored(spark, root, schema)
-    return spark.createDataFrame([], schema) if found is None else found
+    return spark.createDataFrame([], schema) if found is None else found.drop("part")
 
 
 def cache_table(spark: SparkSession, root: str, key: str, schema: str, buckets: int = BUCKETS) -> DataFrame:
