@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from threadloom.operators.neighbours import knn_graph
+from threadloom.operators.neighbours import knn_graph, placed_in_cells, routed
 from threadloom.operators.project import curve, fuzzy_graph, fuzzy_weights, layout, pca, project
 
 
@@ -34,7 +34,7 @@ def clusters():
     return np.vstack([c + rng.normal(size=(40, 8)) * 0.3 for c in centers])
 
 
-@pytest.mark.parametrize("options", [{}, {"blocks": 1}, {"blocks": 3}, {"blocks": 17}])
+@pytest.mark.parametrize("options", [{}, {"blocks": 3}, {"method": "cells", "cells": 6, "cell_rows": 25}, {"method": "cells", "cells": 3}])
 def test_neighbours_are_exact_however_they_are_split(spark, clusters, options):
     assert found(knn_graph(frame(spark, clusters), 5, **options)) == brute(clusters, 5)
 
@@ -43,9 +43,27 @@ def test_a_vector_in_a_third_of_all_rows(spark, clusters):
     copied = clusters.copy()
     copied[::3] = clusters[0]
     assert found(knn_graph(frame(spark, copied), 4, blocks=5)) == brute(copied, 4)
-
-
-@pytest.mark.parametrize("method", ["exact", "descent"])
+    assert found(knn_graph(frame(spark, copied), 4, method="cells", cells=5, cell_rows=20)) == brute(copied, 4)
+
+
+def test_bounds_rule_cells_out(spark, clusters):
+    """Vectors go to few parts of other cells; groups stay small; few probes find nearly all, and no more than they should."""
+    unit = clusters / np.linalg.norm(clusters, axis=1, keepdims=True)
+    distinct = frame(spark, unit).withColumnsRenamed({"unified_id": "rep", "embeddings": "vec"})
+    own, centres = placed_in_cells(distinct, 6, 30, 42)
+    sizes = [r["count"] for r in own.groupBy("cell", "_part").count().collect()]
+    assert sum(sizes) == 240 and max(sizes) <= 45 and len(sizes) >= 8
+    far = np.linalg.norm(unit[:, None] - unit[None], axis=2)
+    limit = np.sort(far, axis=1)[:, 5] ** 2 / 2
+    limits = spark.createDataFrame([(f"v{i:04d}", float(x)) for i, x in enumerate(limit)], "rep string, limit double")
+    sent = routed(own, limits, centres, "cosine").count() / 240
+    nowhere = routed(own, limits.withColumn("limit", F.lit(None).cast("double")), centres, "cosine").count() / 240
+    assert sent < 0.5 * nowhere and nowhere == len(sizes) - 1
+    one = found(knn_graph(frame(spark, clusters), 5, method="cells", cells=6, cell_rows=30, nprobe=2))
+    assert len(one & brute(clusters, 5)) >= 0.95 * len(clusters) * 5
+
+
+@pytest.mark.parametrize("method", ["exact", "cells", "descent"])
 def test_euclidean_neighbours(spark, clusters, method):
     gaps = np.round(np.sqrt(((clusters[:, None] - clusters[None]) ** 2).sum(2)), 9)
     want = {(f"v{i:04d}", f"v{j:04d}") for i in range(len(clusters)) for j in np.argsort(gaps[i], kind="stable")[1:5]}

@@ -28,6 +28,11 @@ def neighbours_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_graph(_with_copies(spark, sf_dir), 5, blocks=11).withColumn("distance", F.round("distance", 6))
 
 
+def neighbours_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same neighbours again, by cells that are ruled out by bounds."""
+    return knn_graph(fx.vectors(spark, sf_dir), 10, method="cells").withColumn("distance", F.round("distance", 6))
+
+
 def descent_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbour descent beside the exact search: edges per vector, and whether it finds nine in ten of the true ones."""
     vectors = fx.vectors(spark, sf_dir)
@@ -68,6 +73,7 @@ def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "knn_graph": neighbours,
     "knn_graph_cells": neighbours_in_cells,
+    "knn_graph_pruned": neighbours_pruned,
     "knn_descent_recall": descent_recall,
     "fuzzy_weights": weights,
     "fuzzy_graph": graph,
@@ -136,6 +142,7 @@ SELECT id AS unified_id, round(list_dot_product(v, a) + 1e-9, 4) AS x, round(lis
 SQL = {
     "project_pca": _PCA,
     "knn_graph": f"WITH {_VECS} {_KNN.format(k=10)} SELECT src, dst, round(distance, 6) AS distance, rank FROM knn",
+    "knn_graph_pruned": f"WITH {_VECS} {_KNN.format(k=10)} SELECT src, dst, round(distance, 6) AS distance, rank FROM knn",
     "knn_graph_cells": f"""WITH vecs AS (
       SELECT CAST(e.vec_id AS VARCHAR) AS id, CAST(CASE WHEN e.vec_id % 3 = 0 THEN f.embedding ELSE e.embedding END AS DOUBLE[]) AS v
       FROM embeddings e, embeddings f WHERE f.vec_id = 0), {_KNN.format(k=5)}

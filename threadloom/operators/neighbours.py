@@ -1,4 +1,4 @@
-"""Cosine nearest neighbours: exact over a grid of blocks, or approximate by neighbour descent; the caller chooses.
+"""Cosine nearest neighbours: exact over a grid of blocks or over cells, or approximate by neighbour descent; the caller chooses.
 
 Exact: vectors are dealt into ``blocks`` by hash, and every pair of blocks meets in one task, so a vector is sent
 ``blocks`` times. The work is that of all pairs, which an exact search over data without structure needs; more blocks
@@ -6,6 +6,10 @@ make smaller tasks and send more. Descent (Dong et al., "Efficient K-Nearest Nei
 neighbours within blocks along random directions and then looks at the neighbours of neighbours, as joins of ids with
 at most (2k)^2 candidates a vector; it is for maps too large for all pairs.
 
+Cells: vectors are put into the cells of k-means centres and first compared within them, which bounds how far a vector's
+neighbours can be; then it is sent to those cells only in which, by the triangle inequality, one as near can lie. The result is
+that of the exact search, or, with ``nprobe``, of the nearest cells alone. Data without structure is sent everywhere.
+
 Copies of a vector are compared once. As equal distances go by id, only the k + 1 smallest ids of a group of
 copies can be anybody's neighbours, so a vector that makes up a third of all rows adds no work.
 """
@@ -13,9 +17,13 @@ copies can be anybody's neighbours, so a vector that makes up a third of all row
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +35,15 @@ from threadloom.session import cut, discard
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCKS = 8
+CELLS, CELL_ROWS = 16, 4096
 # Distances held at a time while two blocks are compared.
 _DISTANCES = 1 << 22
 _FOUND = "rep string, other string, distance double"
 # Distances are compared to nine places; the id settles what is equal so far.
 _PLACES = 9
-METHODS = ("exact", "descent")
+METHODS = ("exact", "cells", "descent")
+# Bounds are compared with this much to spare, as distances are rounded.
+_SLACK = 1e-6
 METRICS = ("cosine", "euclidean")
 
 
@@ -79,6 +90,7 @@ def _compare(k: int, halves: bool, metric: str):
         a, b = (place[place["block"] == place[side]] for side in ("_i", "_j"))
         return pd.concat([found(a, b), found(b, a)], ignore_index=True).astype({"rep": object, "other": object})
 
+    search.found = found
     return search
 
 
@@ -91,6 +103,85 @@ def _exact(distinct: DataFrame, k: int, blocks: int, metric: str = "cosine") ->
     return sent.groupBy("_i", "_j").applyInPandas(_compare(k, True, metric), _FOUND)
 
 
+def placed_in_cells(distinct: DataFrame, cells: int, cell_rows: int, seed: int) -> tuple[DataFrame, np.ndarray]:
+    """(rep, vec, cell, away, _parts, _part, _radius) and the centres: each vector in the cell of its nearest centre.
+
+    A cell of more than ``cell_rows`` vectors is cut into parts by hash; ``_radius`` is how far its vectors lie from its
+    centre. The centres, of which there are ``cells``, are all that the driver and the tasks hold.
+    """
+    features = distinct.select(array_to_vector("vec").alias("features"))
+    centres = np.array(KMeans(k=cells, maxIter=8, seed=seed).fit(features).clusterCenters())
+
+    def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            far = _distances(np.array(frame["vec"].tolist()), centres, "euclidean")
+            cell = far.argmin(1)
+            yield frame.assign(cell=cell.astype(np.int32), away=far[np.arange(len(frame)), cell])
+
+    placed = cut(distinct.select("rep", "vec").mapInPandas(nearest, "rep string, vec array<double>, cell int, away double"))
+    stats = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("_parts"), F.max("away").alias("_radius"))
+    own = placed.join(F.broadcast(stats), "cell").withColumn("_part", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int"))
+    return own, centres
+
+
+def routed(own: DataFrame, limits: DataFrame, centres: np.ndarray, metric: str, nprobe: int | None = None) -> DataFrame:
+    """(rep, vec, cell, _part): each vector once for every part of a cell, but its own, that may hold one of its neighbours.
+
+    ``limits(rep, limit)`` says within which distance they lie (null: anywhere). A vector of another cell is at least as far
+    as that cell's sphere, and as the plane midway between the two centres. ``nprobe`` keeps that many nearest cells.
+    """
+    between = np.maximum(_distances(centres, centres, "euclidean"), 1e-12)
+    cells = own.groupBy("cell").agg(F.max("_parts").alias("_parts"), F.max("_radius").alias("_radius")).collect()
+    radius, parts = np.full(len(centres), -np.inf), np.zeros(len(centres), int)
+    for row in cells:
+        radius[row["cell"]], parts[row["cell"]] = row["_radius"], row["_parts"]
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            cell, limit = frame["cell"].to_numpy(), frame["limit"].fillna(np.inf).to_numpy(np.float64)
+            if metric == "cosine":
+                limit = np.sqrt(2.0 * limit)
+            far = _distances(np.array(frame["vec"].tolist()), centres, "euclidean")
+            sphere = far - radius[None]
+            plane = (far**2 - frame["away"].to_numpy()[:, None] ** 2) / (2.0 * between[cell])
+            may = (np.maximum(sphere, plane) <= limit[:, None] + _SLACK) & (parts > 0)[None]
+            if nprobe is not None:
+                may &= far.argsort(1, kind="stable").argsort(1) < nprobe
+            may[np.arange(len(frame)), cell] = True
+            row, target = np.nonzero(may)
+            many = parts[target]
+            row, target = np.repeat(row, many), np.repeat(target, many)
+            part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            other = (target != cell[row]) | (part != frame["_part"].to_numpy()[row])
+            out = frame[["rep", "vec"]].iloc[row[other]]
+            yield out.assign(cell=target[other].astype(np.int32), _part=part[other].astype(np.int32))
+
+    known = own.join(limits, "rep", "left").select("rep", "vec", "cell", "away", "_part", "limit")
+    return known.mapInPandas(send, "rep string, vec array<double>, cell int, _part int")
+
+
+def _in_cells(distinct: DataFrame, k: int, cells: int, cell_rows: int, nprobe: int | None, seed: int, metric: str) -> DataFrame:
+    """Within parts of cells first; then what has to be asked elsewhere, in groups of about ``cell_rows`` on either side."""
+    if distinct.isEmpty():
+        return distinct.select("rep", F.col("rep").alias("other"), F.lit(0.0).alias("distance"))
+    own, centres = placed_in_cells(distinct, cells, cell_rows, seed)
+    own = cut(own)
+    near = cut(own.groupBy("cell", "_part").applyInPandas(_compare(k, False, metric), _FOUND))
+    limits = near.groupBy("rep").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("limit"))
+    asked = cut(routed(own, limits, centres, metric, nprobe))
+    groups = asked.groupBy("cell", "_part").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("_groups"))
+    asking = skew_join(asked, groups, ["cell", "_part"]).withColumn("_group", F.pmod(F.xxhash64("rep"), F.col("_groups")).cast("int"))
+    there = own.select("rep", "vec", "cell", "_part").join(groups, ["cell", "_part"]).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+    compare = _compare(k, True, metric)
+
+    def ask(place: pd.DataFrame) -> pd.DataFrame:
+        return compare.found(place[place["_asks"]], place[~place["_asks"]])
+
+    columns = ["rep", "vec", "cell", "_part", "_group"]
+    both = asking.select(*columns, F.lit(True).alias("_asks")).unionByName(there.select(*columns, F.lit(False).alias("_asks")))
+    return near.unionByName(both.groupBy("cell", "_part", "_group").applyInPandas(ask, _FOUND))
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The k nearest of each vector; a task passes on no more than that per vector."""
     nearest = Window.partitionBy("rep").orderBy("distance", "other")
@@ -141,11 +232,12 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
 
 def knn_graph(
     vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, pool: int = 3,
-    seed: int = 42, metric: str = "cosine",
+    seed: int = 42, metric: str = "cosine", cells: int = CELLS, cell_rows: int = CELL_ROWS, nprobe: int | None = None,
 ) -> DataFrame:
     """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
-    ``method`` is "exact" (``blocks`` sets the grid) or "descent" (``block_rows``, ``rounds`` and ``pool``, the multiple
+    ``method`` is "exact" (``blocks`` sets the grid), "cells" (``cells`` centres, groups of about ``cell_rows`` vectors and as
+    many that ask; exact unless ``nprobe`` bounds the cells a vector is sent to) or "descent" (``block_rows``, ``rounds`` and ``pool``, the multiple
     of k that is kept on the way), whose neighbours are approximate; nothing switches between them.
     """
     if method not in METHODS or metric not in METRICS:
@@ -156,7 +248,12 @@ def knn_graph(
     smallest = Window.partitionBy("key").orderBy("unified_id")
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
-    found = _exact(distinct, k + 1, blocks, metric) if method == "exact" else _descent(distinct, pool * (k + 1), block_rows, rounds, seed, metric)
+    if method == "exact":
+        found = _exact(distinct, k + 1, blocks, metric)
+    elif method == "cells":
+        found = _in_cells(distinct, k + 1, cells, cell_rows, nprobe, seed, metric)
+    else:
+        found = _descent(distinct, pool * (k + 1), block_rows, rounds, seed, metric)
     return _expand(keyed, copies, distinct, found, k)
 
 
