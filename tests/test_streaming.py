@@ -1,4 +1,5 @@
 import base64
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -7,8 +8,9 @@ from tests.conftest import rows
 from threadloom.schemas import QUORA_DATASET_ID, REDDIT_DATASET_ID, REDDIT_WIRE
 from threadloom.sources.drops import read_raw_json
 from threadloom.sources.normalize import normalize_reddit
+from threadloom.operators.runs import not_yet_done
 from threadloom.operators.sinks import read_checked
-from threadloom.streaming.ingest import dedupe_stream, ingest_messages, ingest_stream, read_ingested, reject_stream
+from threadloom.streaming.ingest import dedupe_stream, dedupe_with_late, ingest_messages, ingest_stream, read_ingested, reject_stream
 
 
 def drop(root, name, posts):
@@ -111,3 +113,36 @@ def test_dedupe_stream(spark, tmp_path):
     )
     query.awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")), "k") == [(i,) for i in range(10)]
+
+
+def test_expiry_and_late_rows(spark, tmp_path):
+    root, day = str(tmp_path / "once"), lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    batches = [
+        [("a", day(0)), ("a", day(1)), (None, day(1)), ("b", day(2)), ("t", None)],
+        [("a", day(3)), ("b", day(3)), (None, day(2)), ("c", day(9))],  # repeats within the delay
+        [("d", day(4)), ("c", day(8)), ("e", day(12))],  # d is older than the mark, day 6
+        [("a", day(13)), ("c", day(14))],  # a is forgotten, c is not
+    ]
+    schema = "k string, at timestamp"
+    for given in batches:
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        dedupe_with_late(stream, ["k"], "at", dt.timedelta(days=3), root, f"{root}/checkpoint").awaitTermination()
+    kept = spark.read.parquet(f"{root}/kept").select("k", "at").collect()
+    assert sorted(((r["k"], r["at"]) for r in kept), key=repr) == sorted(
+        [("a", day(0)), (None, day(1)), ("b", day(2)), ("c", day(9)), ("e", day(12)), ("a", day(13))], key=repr
+    )
+    assert rows(spark.read.parquet(f"{root}/late"), "k") == [("d",), ("t",)]
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    dedupe_with_late(stream, ["k"], "at", dt.timedelta(days=3), root, f"{root}/other").awaitTermination()  # all again from the start
+    assert len(spark.read.parquet(f"{root}/kept").collect()) == len(kept)
+
+
+def test_rows_at_the_mark_come_once(spark):
+    at = dt.datetime(2024, 1, 5)
+    first = spark.createDataFrame([(1, at), (2, at - dt.timedelta(days=9))], "id long, at timestamp")
+    then = first.unionByName(spark.createDataFrame([(3, at), (4, at - dt.timedelta(hours=1)), (5, at - dt.timedelta(days=9))], first.schema))
+    assert rows(not_yet_done(then, "at", "id", at, first), "id") == [(3,)]
+    found = not_yet_done(then, "at", "id", at, first, dt.timedelta(days=1))
+    assert rows(found, "id") == [(3,), (4,)]
+    assert not_yet_done(then, "at", "id", at, first.unionByName(found), dt.timedelta(days=1)).count() == 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +12,13 @@ from threadloom.catalog.enrich import AS_OF, CACHE, cache, docs, lexicon
 from threadloom.catalog.flatten import ITEMS, THREADS
 from threadloom.catalog.ingest import WIRE_SQL, summary, write_drops
 from threadloom.operators.enrich import embed_text, fit_embedder, score_sentiment
-from threadloom.operators.runs import RUN_EVENTS, latest_runs
+from threadloom.operators.runs import RUN_EVENTS, latest_runs, not_yet_done
 from threadloom.operators.sinks import read_checked
 from threadloom.plans.ingest import ingest_and_enrich
 from threadloom.plans.topic_run import run_topics
 from threadloom.schemas import REDDIT_DATASET_ID
 from threadloom.session import run_dir
-from threadloom.streaming.ingest import dedupe_stream, ingest_messages, ingest_stream, read_ingested, rejected_drops
+from threadloom.streaming.ingest import dedupe_stream, dedupe_with_late, ingest_messages, ingest_stream, read_ingested, rejected_drops
 
 ITEMS_SQL = f"WITH {ITEMS}"
 
@@ -105,6 +107,45 @@ def streamed_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def streamed_with_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in batches of five days, repeats among them, deduplicated within six days: what was kept and what came too late.
+
+    A tenth is sent again with the next batch (a repeat), a tenth three batches later (too late), and a tenth four batches
+    later with a time twenty days on, when its first row is forgotten.
+    """
+    root = run_dir(spark, "late")
+    events = fx.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    batch = F.floor(F.datediff("ts", F.lit("2024-01-01")) / 5)
+    placed = events.withColumn("batch", batch)
+    digit = F.col("event_id") % 10
+    later = F.col("ts") + F.expr("INTERVAL 20 DAYS")
+    again = [(0, 1, F.col("ts")), (1, 3, F.col("ts")), (2, 4, later)]
+    sent = placed
+    for tenth, steps, at in again:
+        sent = sent.unionByName(placed.filter(digit == tenth).withColumns({"ts": at, "batch": F.col("batch") + steps}))
+    last = placed.agg(F.max("batch")).first()[0]
+    for number in range(last + 1):  # each batch arrives when the one before is through
+        sent.filter(F.col("batch") == number).drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        dedupe_with_late(stream, ["event_id"], "ts", dt.timedelta(days=6), root, f"{root}/checkpoint").awaitTermination()
+    counts = [F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("ids")]
+    out = [spark.read.parquet(f"{root}/{name}").groupBy(F.lit(name).alias("outcome"), "event_type").agg(*counts) for name in ("kept", "late")]
+    return out[0].unionByName(out[1])
+
+
+def taken_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events taken in rounds: the even ones to a time, then all, then all again; what each round takes."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    there = events.filter((F.col("event_id") % 2 == 0) & (F.col("ts") <= F.lit(dt.datetime(2024, 1, 16))))
+    done, rounds = there, [there]
+    for _ in range(2):
+        fresh = not_yet_done(events, "ts", "event_id", done.agg(F.max("ts")).first()[0], done, dt.timedelta(days=2))
+        rounds.append(fresh)
+        done = done.unionByName(fresh)
+    out = [r.groupBy(F.lit(n).alias("round"), "event_type").agg(F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("ids")) for n, r in enumerate(rounds)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def topic_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run over all documents with vectors: what it wrote, and the state it ended in."""
     root = run_dir(spark, "run")
@@ -135,6 +176,8 @@ QUERIES = {
     "run_tables": run_tables,
     "dedupe_stream": streamed_once,
     "run_topics": topic_run,
+    "dedupe_late": streamed_with_late,
+    "incremental_once": taken_once,
 }
 
 SQL = {
@@ -160,6 +203,16 @@ SQL = {
              least(3, coalesce(w.n, 0)) AS n_keywords, coalesce(NOT c.no_vector, false) AS in_topic, true AS agrees, true AS labelled
       FROM documents d LEFT JOIN cache c ON c.vec_id = d.doc_id LEFT JOIN words w ON w.doc_id = d.doc_id""",
     "dedupe_stream": "SELECT event_type, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1",
+    "dedupe_late": """WITH e AS (SELECT *, date_diff('day', DATE '2024-01-01', ts::DATE) // 5 AS batch FROM events),
+      kept AS (SELECT event_type, event_id FROM e UNION ALL
+        SELECT event_type, event_id FROM e WHERE event_id % 10 = 2 AND batch + 4 <= (SELECT max(batch) FROM e)),
+      late AS (SELECT event_type, event_id FROM e WHERE event_id % 10 = 1 AND batch + 3 <= (SELECT max(batch) FROM e))
+      SELECT 'kept' AS outcome, event_type, count(*) AS n_events, sum(event_id)::BIGINT AS ids FROM kept GROUP BY event_type
+      UNION ALL SELECT 'late', event_type, count(*), sum(event_id)::BIGINT FROM late GROUP BY event_type""",
+    "incremental_once": """WITH one AS (SELECT * FROM events WHERE event_id % 2 = 0 AND ts <= TIMESTAMP '2024-01-16'),
+      two AS (SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM one) - INTERVAL 2 DAYS AND event_id NOT IN (SELECT event_id FROM one))
+      SELECT 0 AS round, event_type, count(*) AS n_events, sum(event_id)::BIGINT AS ids FROM one GROUP BY event_type
+      UNION ALL SELECT 1, event_type, count(*), sum(event_id)::BIGINT FROM two GROUP BY event_type""",
     "run_topics": f"""WITH {CACHE}
       SELECT 'run_1' AS run_id, count(*) AS n_documents, 4 AS n_topics, count(*) AS n_labelled, 'completed' AS status,
              4 AS num_topics, 'all' AS description, NULL AS error_message

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.operators.skew import skew_join
+
 # The states of a run, in order, and the state after an error.
 STATES = ["submitted", "model_created", "prediction_started", "prediction_completed", "completed"]
 FAILED = "failed"
@@ -69,3 +71,13 @@ def incremental(df: DataFrame, ts_col: str, mark: dt.datetime | Column) -> DataF
     """Rows newer than the mark; the filter reaches the scan."""
     limit = mark if isinstance(mark, Column) else F.lit(mark)
     return df.filter(F.col(ts_col) > limit)
+
+
+def not_yet_done(df: DataFrame, ts_col: str, key: str, mark: dt.datetime, done: DataFrame, overlap: dt.timedelta = dt.timedelta(0)) -> DataFrame:
+    """Rows from ``overlap`` before the mark on whose ``key`` is not in ``done(key, ts_col)``; each comes exactly once.
+
+    The mark alone would lose rows that arrive later with the marked time, or a little before it. Both sides are read from
+    that time on only, and a key that is done is done for all its rows. Rows that arrive later than the overlap are lost.
+    """
+    since = F.col(ts_col) >= F.lit(mark - overlap)
+    return skew_join(df.filter(since), done.filter(since).select(key).distinct(), key, "left_anti")

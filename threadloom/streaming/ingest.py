@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from threadloom.sources.drops import below_root, with_drop_metadata
 from threadloom.sources.envelopes import decode_envelopes
 from threadloom.sources.normalize import normalize_quora, normalize_reddit
 from threadloom.sources.routing import route
+from threadloom.session import cut, discard
 
 _WIRE = {"Reddit": (REDDIT_WIRE, normalize_reddit), "Quora": (QUORA_WIRE, normalize_quora)}
 _LOG = "batch_id bigint, status string, enrichment_error string"
@@ -122,3 +126,50 @@ def read_ingested(spark: SparkSession, table_path: str, outcome: str = "accepted
 def dedupe_stream(stream: DataFrame, keys: list[str], at: str, delay: str = "2 days") -> DataFrame:
     """Drop repeats of a key that arrive within ``delay``; state older than that is forgotten."""
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def dedupe_with_late(
+    stream: DataFrame, keys: list[str], at: str, delay: dt.timedelta, root: str, checkpoint: str, available_now: bool = True,
+):
+    """Start a stream that keeps one row per key, forgets keys with time, and stores what comes too late beside the result.
+
+    The mark of a batch is the greatest time in earlier batches, less ``delay``. Rows older than the mark, and rows without a
+    time, go to ``root/late``. Of the others the earliest of each key (null is a key too) goes to ``root/kept``, unless a row
+    of the key was kept whose time plus ``delay`` has not passed the mark. The kept rows are the state: a batch reads the keys
+    of the last two delays, by days and row groups, and nothing older. A batch that is delivered again replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = F.col("batch_id") < batch_id
+        seen = _rows_before(spark, f"{root}/marks", "seen timestamp", before)
+        last = seen.agg(F.max("seen")).first()[0]
+        mark = F.lit(None).cast("timestamp") if last is None else F.lit(last - delay).cast("timestamp")
+        rows = cut(batch.withColumn("_late", F.col(at).isNull() | F.coalesce(F.col(at) < mark, F.lit(False))))
+        rows.filter("_late").drop("_late").write.mode("overwrite").parquet(f"{root}/late/batch_id={batch_id}")
+        timely = rows.filter("NOT _late").drop("_late")
+        first = timely.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct(*batch.columns), at).alias("_row"))
+        kept = _rows_before(spark, f"{root}/kept", f"{batch.schema.simpleString()[7:-1].replace(':', ' ')}, day date", before)
+        if last is not None:
+            limit = last - 2 * delay
+            kept = kept.filter((F.col("day") >= F.lit(limit.date())) & (F.col(at) >= F.lit(limit)))
+        known = kept.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)])
+        same = reduce(lambda a, b: a & b, [F.col(f"_k{i}").eqNullSafe(F.col(f"_s{i}")) for i in range(len(keys))])
+        fresh = first.join(known, same, "left_anti").select("_row.*").withColumn("day", F.to_date(at))
+        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{root}/kept/batch_id={batch_id}")
+        timely.agg(F.max(at).alias("seen")).write.mode("overwrite").parquet(f"{root}/marks/batch_id={batch_id}")
+        discard(rows)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def _rows_before(spark: SparkSession, path: str, schema: str, before: Column) -> DataFrame:
+    """Rows of earlier batches, or none if there are none yet."""
+    declared = f"{schema}, batch_id bigint"
+    try:
+        return spark.read.schema(declared).parquet(path).filter(before)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return spark.createDataFrame([], declared)
+        raise
