@@ -10,6 +10,7 @@ from threadloom.operators.sinks import SUCCESS, WITH_FAILURES, append_checked, r
 from threadloom.operators.skew import hot_keys, spread_join
 
 CACHE = "id string, v array<double>, m string"
+from threadloom.session import cut, discard, scratch
 
 
 def test_append_splits_rows_and_reports(spark, tmp_path):
@@ -156,3 +157,10 @@ def test_declared_layouts(spark, tmp_path):
     df = spark.createDataFrame([("r", dt.datetime(2024, 1, 1), "a", 0.0, 1.0)], "run_id string, created_at timestamp, unified_id string, umap_x double, umap_y double")
     path = write_table(df, str(tmp_path), "document_umap_coordinates")
     assert spark.read.parquet(path).columns[-1] == "day"
+
+
+def test_intermediate_tables_belong_to_the_application(spark):
+    table = cut(spark.range(3))
+    assert table.cut_name.split(".")[0] == scratch(spark) and scratch(spark).endswith(spark.sparkContext.applicationId.replace("-", "_"))
+    discard(table)
+    assert not spark.catalog.tableExists(table.cut_name)

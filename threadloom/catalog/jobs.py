@@ -153,7 +153,6 @@ def topic_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = items.select(F.col("content_item_id").alias("unified_id"))
     result = run_topics(
         items, cache(spark, sf_dir), ids, root, k=4, as_of=AS_OF, run_id="run_1", description="all", seed=7,
-        projection={"method": "pca"},
     )
     assigned = spark.read.parquet(result.tables["assignments"]).select("unified_id", "topic_id")
     placed = spark.read.parquet(result.tables["coordinates"]).select("unified_id", "umap_x", "umap_y")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,19 +59,22 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "threadloom", f"{name}-{uuid.uuid4().hex}")
 
 
-SCRATCH = "threadloom_scratch"
+def scratch(spark: SparkSession) -> str:
+    """The database of this application's intermediate tables: other applications on the same metastore have their own."""
+    return "threadloom_scratch_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower()
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
-    A lost executor then costs no recomputation, and the next plan starts from a scan of known size. The tables belong
-    to a database of their own below the shared folder; :func:`discard` drops one, :func:`discard_all` the whole session's.
+    A lost executor then costs no recomputation, and the next plan starts from a scan of known size. The tables belong to
+    the application's own database below the shared folder; :func:`discard` drops one, :func:`discard_all` all of them.
     """
     spark = df.sparkSession
-    folder = os.path.join(shared_dir(spark), "threadloom", "cuts")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{folder}'")
-    name = f"{SCRATCH}.cut_{uuid.uuid4().hex}"
+    database = scratch(spark)
+    folder = os.path.join(shared_dir(spark), "threadloom", "cuts", database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    name = f"{database}.cut_{uuid.uuid4().hex}"
     df.write.format("parquet").saveAsTable(name)
     table = spark.table(name)
     table.cut_name = name
@@ -84,8 +88,8 @@ def discard(*frames: DataFrame) -> None:
 
 
 def discard_all(spark: SparkSession) -> None:
-    """Drop every table that :func:`cut` wrote in this session, once all results that read them are stored."""
-    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH} CASCADE")
+    """Drop every table that :func:`cut` wrote in this application, once all results that read them are stored."""
+    spark.sql(f"DROP DATABASE IF EXISTS {scratch(spark)} CASCADE")
 
 
 def pin(df: DataFrame) -> DataFrame:
