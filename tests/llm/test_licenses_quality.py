@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.cases import clashing_docs, no_docs
+from tests.llm.cases import ROWS, clashing_docs, no_docs
 from threadloom.llm import licenses, quality
 from threadloom.llm.queries import op7_quality
 
@@ -17,32 +17,64 @@ def grams(text):
 
 
 def brute_scan(rows, least=0.8):
+    """Every window of each template's size, shorter ones at the end of a text included."""
     out = Counter()
     for doc_id, text in rows:
-        lines = (text or "").split("\n") + [p for p in re.split(r"\n[ \t\r]*\n", text or "") if "\n" in p.strip(" ")]
-        found = {}
-        for line in lines:
-            ours = grams(line)
-            for name, texts in licenses.TEMPLATES.items():
-                best = max((2 * (ours & grams(t)).total() / max(1, ours.total() + grams(t).total()) for t in texts), default=0)
-                if best >= least:
-                    found.setdefault(name, []).append(best)
-        out.update((doc_id, name, round(max(x), 9), len(x)) for name, x in found.items())
+        words = re.sub(r"[^\w]|_", " ", (text or "").lower()).split()
+        ours = list(zip(words, words[1:], strict=False))
+        for name, texts in licenses.TEMPLATES.items():
+            found = []
+            for theirs in map(grams, texts):
+                for start, first in enumerate(ours):
+                    if first in theirs:
+                        window = ours[start : start + theirs.total()]
+                        dice = 2.0 * (Counter(window) & theirs).total() / (len(window) + theirs.total())
+                        found += [(start, start + len(window), dice)] * (dice >= least)
+            reach, statements = 0, 0
+            for start in sorted({f[0] for f in found}):
+                statements += start >= reach
+                reach = max(reach, *(f[1] for f in found if f[0] == start))
+            if found:
+                out[doc_id, name, round(max(f[2] for f in found), 9), statements] += 1
     return out
 
 
+def scan_rows(spark, rows, templates=None):
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], "doc_id long, text string, license string, _n string, _at int")
+    return Counter((r.doc_id, r.license, round(r.dice, 9), r.statements) for r in licenses.scan(docs, licenses.template_rows(spark, templates)).collect())
+
+
 def test_scan_matches_brute_force(spark):
     mit, gpl, short = licenses.TEMPLATES["MIT"][3], licenses.TEMPLATES["GPL-3.0"][2], licenses.TEMPLATES["CC-BY-NC-4.0"][0]
     wrapped = mit.replace(" ", "\n", 1).replace("to deal", "\nto deal").replace("merge,", "merge,\n")
     rows = [
         (1, f"Some words.\n{short}\nMore words."), (2, f"code\n\n{wrapped}\n\nmore code"), (3, gpl.upper()), (4, None), (5, ""), (6, "license"),
-        (7, gpl.replace("either version 3", "version 3")), (8, (short + "\n") * 50), (9, "under the " * 40), (9, short), (10, mit + " " + mit),
-        (None, short), (11, "the quick brown fox " * 5000),
+        (7, gpl.replace("either version 3", "version 3")), (8, (short + "\n") * 50), (9, "under the " * 40), (9, short), (9, short), (10, mit + " " + mit),
+        (None, short), (11, "the quick brown fox " * 5000 + short), (12, " ".join(gpl.split()[:30])), (13, " ".join(gpl.split()[-25:])),
     ]
-    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, license string, _n string")
-    got = Counter((r.doc_id, r.license, round(r.dice, 9), r.segments) for r in licenses.scan(docs, licenses.template_rows(spark)).collect())
+    got = scan_rows(spark, rows)
     assert got == brute_scan(rows)
-    assert (1, "CC-BY-NC-4.0", 1.0, 1) in got and (2, "MIT", 1.0, 1) in got
+    assert (1, "CC-BY-NC-4.0", 1.0, 1) in got and (2, "MIT", 1.0, 1) in got and got[9, "CC-BY-NC-4.0", 1.0, 1] == 2
+    assert (8, "CC-BY-NC-4.0", 1.0) in {g[:3] for g in got} and (11, "CC-BY-NC-4.0", 1.0, 1) in got
+
+
+def test_statements_within_other_words(spark):
+    comment = "\n".join(f" * {line}" for line in licenses.WHOLE["BSD-3-Clause"].split("\n"))
+    rows = [
+        (1, "Licensed under the MIT License. See the LICENSE file for details."), (2, "Copyright (c) 2020 Jane Doe. Released under the MIT License."),
+        (3, "This page and all that is on it is licensed under the Apache License, Version 2.0. Other terms hold for pictures, which belong to their makers."),
+        (4, f"/*\n * Copyright 2021 Jane Doe\n *\n{comment}\n */\nint main() {{ return 0; }}"), (5, "Licensed as the law under which the city stands demands."),
+    ]
+    got = scan_rows(spark, rows)
+    assert got == brute_scan(rows)
+    assert {g[:3] for g in got} == {(1, "MIT", 1.0), (2, "MIT", 1.0), (3, "Apache-2.0", 1.0), (4, "BSD-3-Clause", 1.0)}
+
+
+def test_scan_of_odd_rows(spark):
+    assert licenses.scan(clashing_docs(spark).withColumn("license", F.lit("x")), licenses.template_rows(spark)).count() == 0
+    own = licenses.template_rows(spark, {"own": [ROWS[1][1]]})
+    got = Counter((r.doc_id, r.dice, r.statements) for r in licenses.scan(clashing_docs(spark), own).collect())
+    assert got == Counter({(1, 1.0, 1): 1, (2, 1.0, 1): 2})
 
 
 def test_scan_of_nothing(spark):

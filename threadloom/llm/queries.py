@@ -190,26 +190,33 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS l
 WITH templates(license, template, text) AS (
   VALUES
     TEMPLATES
-), lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10)) || list_filter(regexp_split_to_array(text, '\n[ \t\r]*\n'), lambda p: contains(trim(p), chr(10)))) AS line
+), texts AS (
+  SELECT doc_id, row_number() OVER () AS row, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words
   FROM documents WHERE text IS NOT NULL
-), sized AS (
-  SELECT doc_id, row_number() OVER () AS segment, string_split(trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words FROM lines
-), pairs AS (
-  SELECT doc_id, segment, len(words) - 1 AS n, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram FROM sized
 ), ours AS (
-  SELECT doc_id, segment, n, bigram, count(*) AS k FROM pairs GROUP BY ALL
+  SELECT doc_id, row, len(words) - 1 AS n, unnest(range(1, len(words))) AS at, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram
+  FROM texts
 ), split AS (
   SELECT license, template, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words FROM templates
 ), theirs AS (
-  SELECT license, template, n, bigram, count(*) AS k FROM (
+  SELECT license, template, n AS m, bigram, count(*) AS k FROM (
     SELECT license, template, len(words) - 1 AS n, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram FROM split
   ) GROUP BY ALL
+), met AS (
+  SELECT o.doc_id, o.row, o.n, o.at, o.bigram, t.license, t.template, t.m, t.k, count(*) OVER (PARTITION BY o.row, t.license, t.template) AS hits
+  FROM ours o JOIN theirs t USING (bigram)
+), hits AS (
+  SELECT * FROM met WHERE 3 * hits >= 2 * m
+), counted AS (
+  SELECT s.doc_id, s.row, s.license, s.template, s.m, s.at, least(s.m, s.n + 1 - s.at) AS size, h.bigram, h.k, count(*) AS ours
+  FROM hits s JOIN hits h ON h.row = s.row AND h.license = s.license AND h.template = s.template AND h.at >= s.at AND h.at < s.at + s.m GROUP BY ALL
 ), scored AS (
-  SELECT o.doc_id, o.segment, t.license, 2.0::DOUBLE * sum(least(o.k, t.k)) / (o.n + t.n) AS dice
-  FROM ours o JOIN theirs t USING (bigram) GROUP BY o.doc_id, o.segment, o.n, t.license, t.template, t.n
+  SELECT doc_id, row, license, at, size, 2.0::DOUBLE * sum(least(ours, k)) / (size + m) AS dice
+  FROM counted GROUP BY doc_id, row, license, template, m, at, size HAVING dice >= 0.8
+), reached AS (
+  SELECT *, max(at + size) OVER (PARTITION BY row, license ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM scored
 )
-SELECT doc_id, license, max(dice) AS dice, count(DISTINCT segment) AS segments FROM scored WHERE dice >= 0.8 GROUP BY doc_id, license""".replace("TEMPLATES", _template_values()),
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT at) FILTER (reach IS NULL OR reach <= at) AS statements FROM reached GROUP BY doc_id, row, license""".replace("TEMPLATES", _template_values()),
     "op11_trie": r"""
 WITH own AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
