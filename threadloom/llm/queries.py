@@ -191,10 +191,10 @@ WITH templates(license, template, text) AS (
   VALUES
     TEMPLATES
 ), texts AS (
-  SELECT doc_id, row_number() OVER () AS row, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words
+  SELECT doc_id, row_number() OVER () AS text_no, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words
   FROM documents WHERE text IS NOT NULL
 ), ours AS (
-  SELECT doc_id, row, len(words) - 1 AS n, unnest(range(1, len(words))) AS at, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram
+  SELECT doc_id, text_no, len(words) - 1 AS n, unnest(range(1, len(words))) AS place, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram
   FROM texts
 ), split AS (
   SELECT license, template, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words FROM templates
@@ -203,20 +203,20 @@ WITH templates(license, template, text) AS (
     SELECT license, template, len(words) - 1 AS n, unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS bigram FROM split
   ) GROUP BY ALL
 ), met AS (
-  SELECT o.doc_id, o.row, o.n, o.at, o.bigram, t.license, t.template, t.m, t.k, count(*) OVER (PARTITION BY o.row, t.license, t.template) AS hits
+  SELECT o.doc_id, o.text_no, o.n, o.place, o.bigram, t.license, t.template, t.m, t.k, count(*) OVER (PARTITION BY o.text_no, t.license, t.template) AS hits
   FROM ours o JOIN theirs t USING (bigram)
 ), hits AS (
   SELECT * FROM met WHERE 3 * hits >= 2 * m
 ), counted AS (
-  SELECT s.doc_id, s.row, s.license, s.template, s.m, s.at, least(s.m, s.n + 1 - s.at) AS size, h.bigram, h.k, count(*) AS ours
-  FROM hits s JOIN hits h ON h.row = s.row AND h.license = s.license AND h.template = s.template AND h.at >= s.at AND h.at < s.at + s.m GROUP BY ALL
+  SELECT s.doc_id, s.text_no, s.license, s.template, s.m, s.place, least(s.m, s.n + 1 - s.place) AS size, h.bigram, h.k, count(*) AS ours
+  FROM hits s JOIN hits h ON h.text_no = s.text_no AND h.license = s.license AND h.template = s.template AND h.place >= s.place AND h.place < s.place + s.m GROUP BY ALL
 ), scored AS (
-  SELECT doc_id, row, license, at, size, 2.0::DOUBLE * sum(least(ours, k)) / (size + m) AS dice
-  FROM counted GROUP BY doc_id, row, license, template, m, at, size HAVING dice >= 0.8
+  SELECT doc_id, text_no, license, place, size, 2.0::DOUBLE * sum(least(ours, k)) / (size + m) AS dice
+  FROM counted GROUP BY doc_id, text_no, license, template, m, place, size HAVING dice >= 0.8
 ), reached AS (
-  SELECT *, max(at + size) OVER (PARTITION BY row, license ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM scored
+  SELECT *, max(place + size) OVER (PARTITION BY text_no, license ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM scored
 )
-SELECT doc_id, license, max(dice) AS dice, count(DISTINCT at) FILTER (reach IS NULL OR reach <= at) AS statements FROM reached GROUP BY doc_id, row, license""".replace("TEMPLATES", _template_values()),
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT place) FILTER (reach IS NULL OR reach <= place) AS statements FROM reached GROUP BY doc_id, text_no, license""".replace("TEMPLATES", _template_values()),
     "op11_trie": r"""
 WITH own AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
