@@ -19,6 +19,7 @@ def pages(spark):
     rows = [(i, f"http://host{i % 7}.example/a b/{i}?q=ä", f"{body}{i % 50}</body>", "x") for i in range(300)]
     rows += [(500, None, None, "x"), (501, "http://e/\r\nX: y", "", "x"), (None, "http://no.id/", "alone", "x"), (None, "http://no.id/", rows[3][2], "x")]
     rows += [(502, "http://l/", "long " * 300_000, "x"), (503, "http://u/", "ünï 😀\r\n\r\nWARC/1.1\r\n", "x"), (504, "http://u/", "twice", "x"), (504, "http://u/", "twice", "x")]
+    rows += [(None, "http://n/", "no id, twice", "x"), (None, "http://n/", "no id, twice", "x")]
     return rows, spark.createDataFrame(rows, PAGES)
 
 
@@ -27,22 +28,34 @@ def test_archive_round_trip(spark, least):
     rows, table = pages(spark)
     index, folder = warc.archive(table, least=least)
     got = warc.read_archives(index, folder).collect()
-    first = {}
-    for page_id, _, html, _ in rows:
-        if page_id is not None:
-            first[html or ""] = min(first.get(html or "", page_id), page_id)
-    want = Counter()
-    for page_id, _, html, _ in rows:
+    want, seen = Counter(), {}
+    for page_id, _, html, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         payload = (html or "").encode()
-        target = first.get(html or "")
-        target = None if len(payload) < least or target is None or target == page_id else target
+        again = len(payload) >= least and payload in seen
+        target = seen.setdefault(payload, page_id) if again else None
+        seen.setdefault(payload, page_id)
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-        kept = payload if target is None else None
-        want[(page_id, len(payload), digest, "revisit" if target is not None else "response", target, kept)] += 1
-    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.payload and bytes(r.payload) if r.payload is not None else None) for r in got) == want
+        want[(page_id, len(payload), digest, "revisit" if again else "response", target, None if again else payload)] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in got) == want
     assert index.count() == len(rows)
 
 
+def test_record_ids_are_unique(spark):
+    rows, table = pages(spark)
+    table = table.withColumns({name: F.lit("x") for name in ("_row", "_sha", "_first", "record", "refers_to", "revisited")})
+    index, folder = warc.archive(table)
+    store, _ = warc._file_system(folder)
+    fields = []
+    for path in {r.path for r in index.collect()}:
+        with store.open_input_stream(path, compression=None) as stream:
+            fields += [warc.parse_record(data) for data in warc.records_of(stream)]
+    ids = {f["WARC-Record-ID"]: f for f in fields}
+    assert len(ids) == len(fields) == len(rows)
+    again = [f for f in fields if f["WARC-Type"] == "revisit"]
+    assert again and all(ids[f["WARC-Refers-To"]]["digest"] == f["digest"] and ids[f["WARC-Refers-To"]]["WARC-Type"] == "response" for f in again)
+    assert all(ids[f["WARC-Refers-To"]].get("Page-ID") == f.get("Refers-To-Page-ID") for f in again)
+
+
 def test_records_can_be_read_alone(spark):
     _, table = pages(spark)
     index, folder = warc.archive(table)
@@ -57,7 +70,7 @@ def test_records_can_be_read_alone(spark):
 
 
 def test_damage_is_noticed():
-    record = warc.record_bytes(1, "http://x/", b"payload", None)
+    record = warc.record_bytes(0, 1, "http://x/", b"payload")
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(b"payload", b"paxload"))
     with pytest.raises(ValueError):

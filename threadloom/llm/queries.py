@@ -162,14 +162,14 @@ WITH rows AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
 ), marked AS (
   SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS digest,
-    first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first_id FROM rows
+    first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS first_id,
+    row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST) AS place FROM rows
 )
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
   array_to_string([
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)
     FOR i IN range(32)], '') AS payload_digest,
-  CASE WHEN page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+  CASE WHEN place > 1 THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
 FROM marked""",
     "op6_chat": r"""
 WITH rows AS (

@@ -21,7 +21,7 @@ DICTIONARY_MAGIC = 0x184D2A5D
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DICTIONARY_BYTES = 64 * 1024
-# The dictionary is built from so many records at most, and so many characters of each; every record is archived whole.
+# The dictionary is built from so many records at most, and so many characters of each, from a place that its hash names.
 SAMPLE_ROWS, SAMPLE_CHARS = 500, 16_384
 FILE_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -32,17 +32,23 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str = DATE) -> bytes:
-    """One record: a response with its HTTP message, or a revisit with the HTTP head alone.
+def record_name(record: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'record:{record}')}>"
 
-    The page's id and that of the page it refers to are extension fields, so reading needs nothing beside the archive.
+
+def record_bytes(
+    record: int, page_id: int | None, url: str | None, payload: bytes, revisited: int | None = None, refers_to: int | None = None, date: str = DATE
+) -> bytes:
+    """One record: a response with its HTTP message, or a revisit of the record ``revisited`` with the HTTP head alone.
+
+    A record is named by its number. The page's id and that of the page revisited are extension fields, so reading needs
+    nothing beside the archive.
     """
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = head if refers_to is not None else head + payload
-    name = lambda page: uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page}")
+    block = head + payload if revisited is None else head
     fields = {
-        "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}') if page_id is not None else uuid.uuid5(uuid.NAMESPACE_URL, f'url:{url}')}>",
+        "WARC-Type": "response" if revisited is None else "revisit",
+        "WARC-Record-ID": record_name(record),
         "WARC-Date": date,
         "WARC-Target-URI": quote(url or "about:blank", safe="!#$%&'()*+,/:;=?@[]~"),
         "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
@@ -51,8 +57,10 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
     }
     if page_id is not None:
         fields["Page-ID"] = page_id
+    if revisited is not None:
+        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": record_name(revisited)}
     if refers_to is not None:
-        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": f"<urn:uuid:{name(refers_to)}>", "Refers-To-Page-ID": refers_to}
+        fields["Refers-To-Page-ID"] = refers_to
     lines = [VERSION, *(f"{key}: {value}".encode() for key, value in fields.items())]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -82,12 +90,14 @@ def build_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES, rows: int =
     """
     import zstandard
 
-    hashed = pages.select(F.xxhash64("page_id", "url").alias("_h"), "page_id", "url", F.substring(F.coalesce("html", F.lit("")), 1, chars).alias("html"))
+    named, html = F.xxhash64("page_id", "url"), F.coalesce("html", F.lit(""))
+    begin = F.pmod(named, F.greatest(F.length(html) - chars, F.lit(0)) + 1) + 1
+    hashed = pages.select(named.alias("_h"), "page_id", "url", F.substr(html, begin.cast("int"), F.lit(chars)).alias("html"))
     # Only hashes are sorted; then the few rows up to the last of them come, one of each hash.
     last = hashed.select("_h").orderBy("_h").limit(rows).agg(F.max("_h")).first()[0]
     few = hashed.filter(F.col("_h") <= F.lit(last)).groupBy("_h").agg(F.min(F.struct("page_id", "url", "html")).alias("r"))
     sample = sorted(few.collect(), key=lambda x: x["_h"])
-    records = [record_bytes(x["r"]["page_id"], x["r"]["url"], x["r"]["html"].encode(), None) for x in sample]
+    records = [record_bytes(i, x["r"]["page_id"], x["r"]["url"], x["r"]["html"].encode()) for i, x in enumerate(sample)]
     try:
         return zstandard.train_dictionary(size, records).as_bytes() if len(records) > 7 else b""
     except zstandard.ZstdError:
@@ -95,16 +105,21 @@ def build_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES, rows: int =
 
 
 def revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """``pages(page_id, url, html)`` with ``refers_to``: of payloads of ``least`` bytes or more that are equal, the smallest
-    page_id is the response and the others refer to it. Equality is told by SHA-256.
+    """``pages(page_id, url, html)`` as (page_id, url, html, record, revisited, refers_to): of payloads of ``least`` bytes or more
+    that are equal, one row with the smallest page_id (null last) is the response, and the others, rows alike in all columns
+    included, refer to it by its record and its page_id. Equality is told by SHA-256; null html is an empty payload.
 
-    Rows under that smallest id are all responses; rows without an id refer to it, and are responses if there is none.
+    Records are numbered by the rows' place in their table, which has to give its rows in one order when it is read again,
+    as files and written tables do.
     """
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    keyed = pages.select("page_id", "url", "html", F.sha2(payload, 256).alias("_sha"), F.octet_length(payload).alias("_bytes"))
-    groups = keyed.groupBy("_sha").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    later = (F.col("_bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return skew_join(keyed, groups, "_sha", "left").select("page_id", "url", "html", F.when(later, F.col("_first")).alias("refers_to"))
+    numbered = pages.select("page_id", "url", "html", F.monotonically_increasing_id().alias("record"))
+    keyed = numbered.withColumns({"_sha": F.sha2(payload, 256), "_bytes": F.octet_length(payload)})
+    order = F.struct(F.col("page_id").isNull().alias("n"), "page_id", "record")
+    groups = keyed.groupBy("_sha").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = (F.col("_bytes") >= least) & (F.col("record") != F.col("_first.record"))
+    revisited, refers_to = (F.when(later, F.col(f"_first.{c}")).alias(name) for c, name in (("record", "revisited"), ("page_id", "refers_to")))
+    return skew_join(keyed, groups, "_sha", "left").select("page_id", "url", "html", "record", revisited, refers_to)
 
 
 def _file_system(folder: str):
@@ -114,7 +129,7 @@ def _file_system(folder: str):
 
 
 def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int = 3, file_bytes: int = FILE_BYTES, date: str = DATE) -> DataFrame:
-    """One record per row of ``pages(page_id, url, html, refers_to)``; returns the written index (path, offset, bytes, page_id).
+    """One record per row of ``pages``, the columns of :func:`revisits`; returns the written index (path, offset, bytes, page_id).
 
     Each task writes files of about ``file_bytes`` into the shared ``folder`` under names of its own, and only the files of
     tasks that succeeded are in the index: a lost executor or a second attempt leaves files that nobody reads. Records
@@ -132,7 +147,7 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
         try:
             for frame in frames:
                 index: list[tuple] = []
-                for page_id, url, html, refers_to in frame.itertuples(index=False, name=None):
+                for page_id, url, html, record, revisited, refers_to in frame.itertuples(index=False, name=None):
                     if out is None or at >= file_bytes:
                         if out is not None:
                             out.close()
@@ -140,9 +155,9 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
                         out, at = store.open_output_stream(path, compression=None), 0
                         if dictionary:
                             at += out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
-                    page, target = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
+                    page, source, target = (None if pd.isna(x) else int(x) for x in (page_id, revisited, refers_to))
                     payload = b"" if html is None else html.encode("utf-8", "surrogatepass")
-                    written = compressor.compress(record_bytes(page, url, payload, target, date))
+                    written = compressor.compress(record_bytes(record, page, url, payload, source, target, date))
                     out.write(written)
                     index.append((path, at, len(written), page))
                     at += len(written)
@@ -151,8 +166,8 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes, level: int
             if out is not None:
                 out.close()
 
-    ids = F.col("page_id").cast("string").alias("page_id"), "url", "html", F.col("refers_to").cast("string").alias("refers_to")
-    return cut(pages.select(*ids).mapInPandas(write, "path string, offset long, bytes long, page_id long"))
+    nullable = {name: F.col(name).cast("string") for name in ("page_id", "revisited", "refers_to")}
+    return cut(pages.select("page_id", "url", "html", "record", "revisited", "refers_to").withColumns(nullable).mapInPandas(write, "path string, offset long, bytes long, page_id long"))
 
 
 def records_of(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
@@ -178,7 +193,10 @@ def records_of(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of every record in the index's files."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of every record in the index's files.
+
+    An empty index gives no rows. A revisit of a page without an id has a null ``refers_to``.
+    """
     paths = index.select("path").distinct()
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
