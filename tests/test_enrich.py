@@ -148,3 +148,36 @@ def test_a_failing_provider_leaves_the_row_for_the_next_run(spark, tmp_path):
     root = str(tmp_path / "cache")
     assert enrich(items, root, NOW, lambda d: en.embed_text(d, model), quota).count() == 0
     assert enrich(items, root, NOW, lambda d: en.embed_text(d, model), lambda d: en.score_sentiment(d, lexicon)).count() == 1
+
+
+def test_a_large_lexicon_is_scored_either_way(spark):
+    lexicon = spark.range(3000).selectExpr("concat('w', id) as term", "(id % 5 - 2) / 2.0 as weight")
+    given = spark.createDataFrame([("a", "w1 w2. w2999 other"), ("b", None), ("c", "none of them")], "content_item_id string, content string")
+    assert rows(en.score_sentiment(given, lexicon)) == rows(en.score_sentiment(given, lexicon, in_row=False))
+
+
+def test_a_learned_lexicon_scores_new_texts(spark):
+    texts = [(f"t{i}", f"the {('good', 'fine')[i % 2] if i % 3 else ('bad', 'dull')[i % 2]} thing number {i}", 1.0 if i % 3 else -1.0) for i in range(300)]
+    texts += [("z", "good good bad", 0.0), ("n", None, 1.0), ("u", "bad bad bad", None)]
+    rated = spark.createDataFrame(texts, "content_item_id string, content string, score double")
+    learned = {r.term: r for r in en.learn_lexicon(rated).collect()}
+    assert {t: r.weight > 0 for t, r in learned.items()} == {"good": True, "fine": True, "bad": False, "dull": False}
+    assert (learned["bad"].n_positive, learned["bad"].n_negative) == (0, 50)
+    new = spark.createDataFrame([("p", "a fine day"), ("q", "dull, bad weather")], "content_item_id string, content string")
+    scores = {r.content_item_id: r.sentiment_score for r in en.score_sentiment(new, en.learn_lexicon(rated), in_row=False).collect()}
+    assert scores["p"] > 0 > scores["q"]
+    assert en.learn_lexicon(rated.limit(0)).count() == 0
+    assert en.learn_lexicon(rated.filter("content_item_id = 'n'")).count() == 0
+
+
+def test_collocations_and_phrases_as_keywords(spark):
+    texts = [(f"d{i}", f"New York has {i} the parks and the streets") for i in range(10)] + [("x", "york new"), ("y", None), ("z", ""), ("w", "one")]
+    given = spark.createDataFrame(texts, "content_item_id string, content string")
+    found = {r.term: (r.n, r.npmi) for r in en.collocations(given, least_count=5).collect()}
+    assert found["new york"][0] == 10 and found["new york"][1] > 0.9
+    assert "york new" not in found and all(n >= 5 and v >= 0.5 for n, v in found.values())
+    lists = {r.content_item_id: r.keyword_list for r in en.keywords(given, k=20, phrases=en.collocations(given)).collect()}
+    assert "new york" in lists["d3"] and "york" in lists["d3"] and "new york" not in lists["x"]
+    assert set(lists) == {f"d{i}" for i in range(10)} | {"x", "w"}
+    plain = {r.content_item_id: r.keyword_list for r in en.keywords(given, k=20).collect()}
+    assert plain == {i: [t for t in terms if " " not in t] for i, terms in lists.items()}

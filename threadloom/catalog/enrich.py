@@ -120,6 +120,27 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return en.keywords(docs(spark, sf_dir)).withColumn("keyword_list", F.array_join("keyword_list", " "))
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return en.collocations(docs(spark, sf_dir))
+
+
+def phrase_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of which some are phrases."""
+    given = docs(spark, sf_dir)
+    return en.keywords(given, phrases=en.collocations(given)).withColumn("keyword_list", F.array_join("keyword_list", ","))
+
+
+def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents, rated by their quality."""
+    labels = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("content_item_id"), (2 * F.col("quality") - 1).alias("score"))
+    return docs(spark, sf_dir).join(labels, "content_item_id")
+
+
+def learned_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of words that tell good documents from bad ones."""
+    return en.learn_lexicon(rated(spark, sf_dir)).withColumn("weight", F.round("weight", 6))
+
+
 def enriched_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job run twice over the documents: the cache holds each recent one once, as first written."""
     root = run_dir(spark, "enrich")
@@ -147,6 +168,9 @@ QUERIES = {
     "sentiment_label": sentiment_labels,
     "combine_enrichment": combined,
     "keywords": keywords,
+    "collocations": phrases,
+    "phrase_keywords": phrase_keywords,
+    "learn_lexicon": learned_lexicon,
     "enrich": enriched_twice,
 }
 
@@ -171,7 +195,34 @@ SELECT CAST(d.doc_id AS VARCHAR) AS content_item_id, md5(d.text) AS content_md5
 FROM documents d LEFT JOIN cache c ON c.vec_id = d.doc_id
 WHERE (c.vec_id IS NULL OR c.no_vector OR c.sentiment_score IS NULL) AND length(trim(d.text, e' \\t\\n\\r')) > 0"""
 
+# Words in order, counts of words and of neighbouring ones, and the pairs that are phrases.
+PHRASES = r"""said AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+ones AS (SELECT term, count(*) AS c FROM (SELECT unnest(w) AS term FROM said) GROUP BY 1),
+pairs AS (SELECT doc_id, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS term FROM said),
+twos AS (SELECT term, count(*) AS n FROM pairs GROUP BY 1 HAVING n >= 5),
+npmi AS (SELECT t.term, n, round((ln(n) + ln(total) - ln(a.c) - ln(b.c)) / (ln(total) - ln(n)), 6) AS npmi
+         FROM twos t JOIN ones a ON a.term = split_part(t.term, ' ', 1) JOIN ones b ON b.term = split_part(t.term, ' ', 2), (SELECT sum(c) AS total FROM ones)),
+phrases AS (SELECT * FROM npmi WHERE npmi >= 0.5)
+"""
+
 SQL = {
+    "collocations": f"WITH {PHRASES} SELECT term, n, npmi FROM phrases",
+    "phrase_keywords": f"""WITH {PHRASES},
+      tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM said) GROUP BY 1, 2
+             UNION ALL SELECT doc_id, term, count(*) FROM pairs WHERE term IN (SELECT term FROM phrases) GROUP BY 1, 2),
+      df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+      w AS (SELECT doc_id, term, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS weight FROM tf JOIN df USING (term)),
+      r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS rank FROM w)
+      SELECT CAST(doc_id AS VARCHAR) AS content_item_id, string_agg(term, ',' ORDER BY rank) AS keyword_list
+      FROM r WHERE rank <= 5 GROUP BY 1""",
+    "learn_lexicon": r"""WITH spoken AS (
+        SELECT quality, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS term FROM documents JOIN labels USING (doc_id)),
+      counts AS (SELECT term, count(*) FILTER (quality > 0) AS p, count(*) FILTER (quality <= 0) AS q FROM spoken WHERE term <> '' GROUP BY 1),
+      totals AS (SELECT sum(p)::DOUBLE AS p, sum(q)::DOUBLE AS q FROM counts),
+      mixed AS (SELECT term, c.p AS n_positive, c.q AS n_negative, t.p AS tp, t.q AS tq,
+        c.p + 500.0::DOUBLE * (c.p + c.q) / (t.p + t.q) AS sp, c.q + 500.0::DOUBLE * (c.p + c.q) / (t.p + t.q) AS sq FROM counts c, totals t),
+      scored AS (SELECT *, (ln(sp / (tp + 500 - sp)) - ln(sq / (tq + 500 - sq))) / sqrt(1 / sp + 1 / sq) AS z FROM mixed)
+      SELECT term, n_positive, n_negative, round(z / (1 + abs(z)), 6) AS weight FROM scored WHERE abs(z) >= 1.96""",
     "pending_items": _PENDING + " AND d.doc_id % 5 <= 2",
     "pending_backfill": f"SELECT content_item_id FROM ({_PENDING})",
     "embed_text": f"""WITH {SENTIMENT}

@@ -11,7 +11,8 @@ from threadloom.catalog.enrich import AS_OF, CACHE, cache
 from threadloom.functions.vectors import dot, unit
 from threadloom.operators import enrich as en
 from threadloom.operators import marts, topics
-from threadloom.session import run_dir
+from threadloom.session import cut, run_dir
+from threadloom.streaming.trend import read_trend, trend_stream
 
 RUN = "run_labels"
 
@@ -165,7 +166,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(
         "run_id", "processing_type", "source", "content_type", "content_item_id", "top_level_post_id",
         fx.text_time("analysis_timestamp"), F.md5("text_analyzed_for_nlp").alias("text_md5"), "sentiment_label", "sentiment_score",
-        "topic_id", "topic_label", F.size("keyword_list").cast("bigint").alias("n_keywords"),
+        "topic_id", "topic_label", F.array_join("keyword_list", " ").alias("keyword_list"),
     )
 
 
@@ -187,6 +188,25 @@ def trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"day": F.col("day").cast("string"), "avg_sentiment_score": F.round("avg_sentiment_score", 6)})
 
 
+def trend_of_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend kept by a stream: the assignments come in the order they were said, in eight files, a tenth of them one file late.
+
+    Days are forgotten when two files and a day have passed.
+    """
+    root = run_dir(spark, "trend")
+    rows = cut(_assignments(spark, sf_dir))
+    said = F.unix_timestamp("content_timestamp")
+    first, last = rows.agg(F.coalesce(F.min(said), F.lit(0)), F.coalesce(F.max(said), F.lit(0))).first()
+    late = (F.crc32(F.col("unified_id").cast("binary")) % 10 == 0).cast("int")
+    slot = F.least(F.floor(8 * (said - first) / (last - first + 1)) + late, F.lit(7))
+    for number in range(8):
+        rows.filter(slot == number).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    trend_stream(stream, f"{root}/trend", f"{root}/checkpoint", f"{(last - first) // 4 + 86_400} seconds").awaitTermination()
+    out = read_trend(spark, f"{root}/trend")
+    return out.withColumns({"day": F.col("day").cast("string"), "avg_sentiment_score": F.round("avg_sentiment_score", 6)})
+
+
 def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two vector components as coordinates, joined to topic and label."""
     coordinates = _vectors(spark, sf_dir).select(
@@ -213,6 +233,7 @@ QUERIES = {
     "enriched_general": enriched_general,
     "topic_summary": summary,
     "sentiment_trend": trend,
+    "sentiment_trend_stream": trend_of_stream,
     "map_view": map_points,
 }
 
@@ -297,14 +318,18 @@ SQL = {
                   ELSE '{{"error":"' || fault || '","raw_response":"' || replace(raw, chr(10), '\\n') || '","prompt_used":"prompt ' || doc_id || '"}}'
              END AS model_metadata FROM x""",
     "enriched_items": f"""WITH {LABELLED},
-      words AS (SELECT doc_id, count(DISTINCT term) AS n FROM (
-        SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents) WHERE term <> '' GROUP BY 1)
+      kw_tf AS (SELECT doc_id, term, count(*) AS tf FROM (
+        SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents) WHERE term <> '' GROUP BY 1, 2),
+      kw_df AS (SELECT term, count(*) AS df FROM kw_tf GROUP BY 1),
+      kw_weights AS (SELECT doc_id, term, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS weight FROM kw_tf JOIN kw_df USING (term)),
+      kw_placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS rank FROM kw_weights),
+      words AS (SELECT doc_id, string_agg(term, ' ' ORDER BY rank) AS terms FROM kw_placed WHERE rank <= 3 GROUP BY 1)
       SELECT '{RUN}' AS run_id, 'ad_hoc_consultant' AS processing_type, d.source, 'post' AS content_type,
              CAST(d.doc_id AS VARCHAR) AS content_item_id, CAST(d.doc_id AS VARCHAR) AS top_level_post_id,
              '2024-03-01 00:00:00' AS analysis_timestamp, md5(d.lang || ' ' || d.text) AS text_md5,
              CASE WHEN c.sentiment_score IS NULL THEN 'Error' WHEN c.sentiment_score >= 0.25 THEN 'Positive'
                   WHEN c.sentiment_score <= -0.25 THEN 'Negative' ELSE 'Neutral' END AS sentiment_label,
-             c.sentiment_score, a.topic_id, l.topic_label, least(3, coalesce(w.n, 0)) AS n_keywords
+             c.sentiment_score, a.topic_id, l.topic_label, coalesce(w.terms, '') AS keyword_list
       FROM documents d LEFT JOIN cache c ON c.vec_id = d.doc_id LEFT JOIN assigned a USING (doc_id)
       LEFT JOIN labelled l ON l.topic_id = a.topic_id LEFT JOIN words w ON w.doc_id = d.doc_id""",
     "enriched_general": f"""WITH {CACHE}
@@ -326,3 +351,4 @@ SQL = {
       SELECT a.run_id, a.unified_id, round(u.v[1], 6) AS umap_x, round(u.v[2], 6) AS umap_y, a.topic_id, l.topic_label
       FROM assigned a JOIN usable u USING (unified_id) JOIN labelled l ON l.topic_id = a.topic_id""",
 }
+SQL["sentiment_trend_stream"] = SQL["sentiment_trend"]

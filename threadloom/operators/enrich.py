@@ -131,16 +131,13 @@ def parse_sentiment(results: DataFrame, json_col: str = "result", status_col: st
     )
 
 
-# A lexicon this small goes into the rows as one value; a lookup in it is a scan.
-MOST_IN_ROW = 1_000
-
-
 def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "content", in_row: bool = True) -> DataFrame:
     """Sentiment from a (term, weight) table.
 
     A sentence scores the mean weight of its words; a document the mean over its sentences, within -1..1, with
     the sum of their absolute values as magnitude. ``in_row`` scores every document within its row, without any
-    shuffle, and takes a lexicon of at most MOST_IN_ROW terms; larger ones are joined, by ``in_row=False``.
+    shuffle: the lexicon goes to the rows as one value, and looking a word up scans it, so this suits some hundred terms.
+    With ``in_row=False`` words meet the lexicon in a join, at any size. Both give the same scores.
     """
     # One weight per term, so a term listed twice cannot count a word twice.
     weights = lexicon.groupBy("term").agg(F.max("weight").cast("double").alias("weight"))
@@ -154,9 +151,6 @@ def score_sentiment(docs: DataFrame, lexicon: DataFrame, text_col: str = "conten
 
 
 def _scored_in_row(docs: DataFrame, weights: DataFrame, text_col: str) -> DataFrame:
-    size = weights.count()
-    if size > MOST_IN_ROW:
-        raise ValueError(f"a lexicon of {size} terms is too large to score in the row; use in_row=False")
     table = weights.agg(F.map_from_entries(F.collect_list(F.struct("term", "weight")))).scalar()
 
     def mean(tokens: Column) -> Column:
@@ -190,6 +184,25 @@ def _scored_by_join(docs: DataFrame, weights: DataFrame, text_col: str) -> DataF
     return docs.select("content_item_id").join(scored, "content_item_id", "left")
 
 
+def learn_lexicon(rated: DataFrame, prior: float = 500.0, least: float = 1.96, text_col: str = "content", score_col: str = "score") -> DataFrame:
+    """(term, n_positive, n_negative, weight): words that tell texts rated above zero from those below.
+
+    A word's log-odds in positive texts against negative ones, with ``prior`` words of the whole corpus' mix added to each
+    side, over its standard error, gives z. Words of abs(z) of ``least`` or more get the weight z / (1 + abs(z)), within
+    -1..1. Texts rated zero or not at all, and null texts, teach nothing. Words are counted by sums that combine before they
+    shuffle; what is joined to them are two totals.
+    """
+    side = F.when(F.col(score_col) > 0, 1).when(F.col(score_col) < 0, -1).alias("_side")
+    spoken = rated.select(side, F.explode(words(F.col(text_col))).alias("term")).filter(F.col("_side").isNotNull())
+    counts = cut(spoken.groupBy("term").agg(F.count_if(F.col("_side") > 0).alias("n_positive"), F.count_if(F.col("_side") < 0).alias("n_negative")))
+    totals = [counts.agg(F.sum(name).cast("double")).scalar() for name in ("n_positive", "n_negative")]
+    mixed = prior * (F.col("n_positive") + F.col("n_negative")) / (totals[0] + totals[1])
+    seen = [F.col(name) + mixed for name in ("n_positive", "n_negative")]
+    odds = [F.log(s / F.when(total + prior - s > 0, total + prior - s)) for s, total in zip(seen, totals, strict=True)]
+    z = (odds[0] - odds[1]) / F.sqrt(1 / seen[0] + 1 / seen[1])
+    return counts.withColumn("_z", z).filter(F.abs("_z") >= least).select("term", "n_positive", "n_negative", (F.col("_z") / (1 + F.abs("_z"))).alias("weight"))
+
+
 def sentiment_label(score: Column, threshold: float = 0.25) -> Column:
     """Positive, Negative or Neutral around a threshold; no score is an Error."""
     return (
@@ -231,9 +244,38 @@ def combine_enrichment(
 # --- keywords ---
 
 
-def keywords(docs: DataFrame, k: int = 5, text_col: str = "content") -> DataFrame:
+def _adjacent(text: Column) -> tuple[Column, Column]:
+    """The words of a text, to be named ``_w``, and of that column the neighbouring ones, joined by a space."""
+    found = words(text)
+    pairs = F.zip_with(F.slice("_w", 1, F.size("_w") - 1), F.slice("_w", 2, F.size("_w") - 1), lambda a, b: F.concat_ws(" ", a, b))
+    return found, F.when(F.size("_w") > 1, pairs)
+
+
+def collocations(docs: DataFrame, least_count: int = 5, least: float = 0.5, text_col: str = "content") -> DataFrame:
+    """(term, n, npmi): neighbouring words that occur together far more often than their own counts let expect.
+
+    The measure is the mutual information of the two words over -log(p) of the pair, 1 for words that only occur together and
+    0 for independent ones. Pairs are counted, those below ``least_count`` dropped, and the rest joined with the counts of
+    their words; a word that begins most pairs is split by the join. Null and empty texts give nothing.
+    """
+    found, pairs = _adjacent(F.col(text_col))
+    spoken = docs.select(found.alias("_w"))
+    ones = cut(spoken.select(F.explode("_w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")))
+    twos = spoken.select(F.explode(pairs).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
+    ends = twos.withColumns({"_first": F.substring_index("term", " ", 1), "_second": F.substring_index("term", " ", -1)})
+    met = skew_join(ends, ones.select(F.col("w").alias("_first"), F.col("c").alias("_c1")), "_first")
+    met = skew_join(met, ones.select(F.col("w").alias("_second"), F.col("c").alias("_c2")), "_second")
+    total = F.log(ones.agg(F.sum("c").cast("double")).scalar())
+    npmi = (F.log("n") + total - F.log("_c1") - F.log("_c2")) / (total - F.log("n"))
+    return met.select("term", "n", F.round(npmi, 6).alias("npmi")).filter(F.col("npmi") >= least)
+
+
+def keywords(docs: DataFrame, k: int = 5, text_col: str = "content", phrases: DataFrame | None = None) -> DataFrame:
     """The ``k`` words of highest tf-idf per item, best first; equal weights go by the word.
 
+    With ``phrases(term)``, such as :func:`collocations` finds, phrases count as terms beside their words. They meet the
+    neighbouring words of the texts in a join, and are counted before anything else is shuffled where their table is small.
+
     A word is counted within its row, so what is written once, counted per word and joined are (item, word, count)
     rows; no text is shuffled. A word that is in most items is split by the join.
     """
@@ -243,6 +285,12 @@ def keywords(docs: DataFrame, k: int = 5, text_col: str = "content") -> DataFram
     ends = F.concat(F.slice("_at", 2, F.size("_at")), F.array(F.size("_s") + 1))
     counted = F.zip_with("_at", ends, lambda a, b: F.struct(F.element_at("_s", a).alias("term"), (b - a).alias("tf")))
     tf = cut(runs.select("content_item_id", F.explode(counted).alias("c")).select("content_item_id", "c.term", "c.tf"))
+    if phrases is not None:
+        found, pairs = _adjacent(F.col(text_col))
+        spoken = docs.select("content_item_id", found.alias("_w")).select("content_item_id", F.explode(pairs).alias("term"))
+        met = skew_join(spoken, phrases.select("term").distinct(), "term")
+        more = met.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+        tf = cut(tf.unionByName(more))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1))).scalar()
     weight = F.round(F.col("tf") * F.log((total + 1) / (F.col("df") + 1)), 6)
