@@ -160,3 +160,11 @@ def test_packed_pieces_and_sequences(spark):
     for row in packing.sequences(placed).collect():
         assert len(row.ids) <= 1024
     assert sum(len(r.ids) for r in packing.sequences(placed).collect()) == sum(len(r.ids) for r in whole.collect())
+
+
+def test_a_source_without_ids_meets_its_target(spark):
+    rows = [(None, f"text {i} " + "w " * (i % 9), "en", "a", 1) for i in range(3000)] + [(i, "some more words", "en", "b", 1) for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mixture(docs).filter("source = 'a'").selectExpr("sum(taken) AS taken", "max(target) AS target", "max(taken / size) AS most").first()
+    assert abs(got.taken / got.target - 1) < 0.05 and got.most <= 2
+    assert mixing.mix(docs).filter("doc_id IS NULL").count() == mixing.mixture(docs).filter("doc_id IS NULL").selectExpr("sum(copies) AS n").first().n

@@ -63,16 +63,17 @@ def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST_REPEATS)
     )
 
 
-def draw(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) that depends on the id and the seed only: 52 bits of an md5. All null ids share one draw."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 13)
+def draw(doc_id: Column, text: Column, seed: int) -> Column:
+    """A number in [0, 1) that depends on the seed and the id, or for a null id the text: 52 bits of an md5."""
+    nameless = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit(""))))
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), nameless))), 1, 13)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def copies(doc_id: Column, rate: Column, seed: int) -> Column:
-    """floor(rate) copies and one more with probability equal to the fraction."""
+def copies(drawn: Column, rate: Column) -> Column:
+    """floor(rate) copies and one more with probability equal to the fraction, decided by :func:`draw`."""
     whole = F.floor(rate)
-    return (whole + F.when(draw(doc_id, seed) < rate - whole, 1).otherwise(0)).cast("long")
+    return (whole + F.when(drawn < rate - whole, 1).otherwise(0)).cast("long")
 
 
 def _rated(rows: DataFrame, rates: DataFrame, source: str) -> DataFrame:
@@ -89,11 +90,12 @@ def mixture(docs: DataFrame, weights=cyclic_weights, share: float = SHARE, most:
     """(doc_id, source, size, source_size, target, copies, taken) for every row of ``docs(doc_id, text, source)``.
 
     ``weights`` adds a column ``weight`` to (source, size), one row per source. A null source is a source of its own; a
-    null or empty text has size 0 and takes 0 words. Rows under one id share the draw. No rows give no rows.
+    null or empty text has size 0 and takes 0 words. Rows under one id share the draw, as
+    do those of one text without an id. No rows give no rows.
     """
-    sizes = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sizes = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text"), seed).alias("_draw")))
     rates = targets(weights(sizes.groupBy("source").agg(F.sum("size").alias("size"))), share, most)
-    times = copies(F.col("doc_id"), F.col("_rate"), seed)
+    times = copies(F.col("_draw"), F.col("_rate"))
     return _rated(sizes, cut(rates), "source").select(
         "doc_id", "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         times.alias("copies"), (F.col("size") * times).alias("taken"),
@@ -104,6 +106,7 @@ def mix(docs: DataFrame, weights=cyclic_weights, share: float = SHARE, most: flo
     """``docs`` with each row repeated as often as :func:`mixture` takes it, all columns as given."""
     sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("size"))
     rates = cut(targets(weights(sizes), share, most))
-    rows = _rated(wrap(docs, ["doc_id", "source"]), rates, "_source")
-    times = copies(F.col("_doc_id"), F.col("_rate"), seed).cast("int")
+    drawn = draw(F.col("_doc_id"), F.col("_text"), seed).alias("_draw")
+    rows = _rated(wrap(docs, ["doc_id", "text", "source"]).select("_row", "_source", drawn), rates, "_source")
+    times = copies(F.col("_draw"), F.col("_rate")).cast("int")
     return restore(rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))))

@@ -122,7 +122,8 @@ def _template_values() -> str:
 SQL = {
     "op1_mixing": r"""
 WITH rows AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, ''))) AS name FROM documents
 ), sizes AS (
   SELECT source, sum(size)::BIGINT AS size,
     CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS weight
@@ -141,7 +142,7 @@ WITH rows AS (
   SELECT s.source, s.size, least(s.cap, coalesce(s.open_weight * w.share, s.cap)) AS target FROM shares s, water w
 ), rated AS (
   SELECT r.doc_id, r.source, r.size, t.size AS source_size, t.target, coalesce(t.target / nullif(t.size, 0), 0) AS rate,
-    ('0x' || substr(md5('0:' || coalesce(r.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+    ('0x' || substr(md5('0:' || r.name), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, source, size, source_size, target,
