@@ -160,9 +160,10 @@ def _label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fx.document_items(spark, sf_dir)
     lists = en.keywords(items.select("content_item_id", F.col("primary_text").alias("content")), k=3)
-    wide = marts.enriched_items(
-        items, cache(spark, sf_dir), AS_OF, lists, _assignments(spark, sf_dir), _label_rows(spark, sf_dir), RUN
-    )
+    # The labels and the mart both read the assignments, so they are written once, as a run does.
+    assigned = cut(_assignments(spark, sf_dir))
+    labels = topics.label_topics(assigned, RUN, AS_OF)
+    wide = marts.enriched_items(items, cache(spark, sf_dir), AS_OF, lists, assigned, labels, RUN)
     return wide.select(
         "run_id", "processing_type", "source", "content_type", "content_item_id", "top_level_post_id",
         fx.text_time("analysis_timestamp"), F.md5("text_analyzed_for_nlp").alias("text_md5"), "sentiment_label", "sentiment_score",
