@@ -256,6 +256,17 @@ RESPONSE = """
   model_version variant, response_id variant, usage_metadata variant
 """
 
+# What a label row says of a response that cannot be used.
+NOT_JSON = "Invalid JSON response"
+NO_CANDIDATES = "No candidates in response"
+NO_PARTS = "No content parts in candidate"
+NO_TEXT = "No text in content part"
+EMPTY_LABEL = "Label cannot be empty"
+LONG_LABEL = "Label is too long (should be concise)"
+LONG_DESCRIPTION = "Description must be 1-2 sentences"
+BAD_CONFIDENCE = "Confidence must be between 0 and 1"
+BAD_FORMAT = "Error: Invalid response format"
+
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -282,23 +293,23 @@ def parse_label_responses(responses: DataFrame, run_id: str, as_of: dt.datetime)
         # Faults of the response as a whole ...
         .withColumn(
             "_broken",
-            F.when(F.try_parse_json("response").isNull(), "Invalid JSON response")
-            .when(F.coalesce(F.size("_json.candidates"), F.lit(0)) < 1, "No candidates in response")
-            .when(F.coalesce(F.size("_parts"), F.lit(0)) < 1, "No content parts in candidate")
-            .when(F.col("_text").isNull(), "No text in content part"),
+            F.when(F.try_parse_json("response").isNull(), NOT_JSON)
+            .when(F.coalesce(F.size("_json.candidates"), F.lit(0)) < 1, NO_CANDIDATES)
+            .when(F.coalesce(F.size("_parts"), F.lit(0)) < 1, NO_PARTS)
+            .when(F.col("_text").isNull(), NO_TEXT),
         )
         # ... and of its three lines.
         .withColumn(
             "_invalid",
             F.when(F.col("_label").isNull() | F.col("_description").isNull() | F.col("_given").isNull(), "")
             .when(F.col("_confidence").isNull(), F.concat(F.lit("Confidence is not a number: "), "_given"))
-            .when(F.col("_label") == "", "Label cannot be empty")
-            .when(word_count > 15, "Label is too long (should be concise)")
-            .when((F.col("_description") == "") | (F.size(F.split("_description", "[.]")) > 7), "Description must be 1-2 sentences")
-            .when(~F.col("_confidence").between(0, 1), "Confidence must be between 0 and 1"),
+            .when(F.col("_label") == "", EMPTY_LABEL)
+            .when(word_count > 15, LONG_LABEL)
+            .when((F.col("_description") == "") | (F.size(F.split("_description", "[.]")) > 7), LONG_DESCRIPTION)
+            .when(~F.col("_confidence").between(0, 1), BAD_CONFIDENCE),
         )
     )
-    not_json = F.col("_broken") == "Invalid JSON response"
+    not_json = F.col("_broken") == NOT_JSON
     broken, invalid = F.col("_broken").isNotNull(), F.col("_invalid").isNotNull()
     raw = F.when(broken, F.col("response")).otherwise(F.col("_text"))
     keep_nulls = {"ignoreNullFields": "false"}
@@ -328,7 +339,7 @@ def parse_label_responses(responses: DataFrame, run_id: str, as_of: dt.datetime)
         F.col("topic_id").cast("bigint").alias("topic_id"),
         F.lit(as_of).cast("timestamp").alias("created_at"),
         F.when(broken, F.concat(F.lit("Error: "), F.substring("_broken", 1, 100)))
-        .when(invalid, "Error: Invalid response format")
+        .when(invalid, BAD_FORMAT)
         .otherwise(F.col("_label")).alias("topic_label"),
         F.when(broken & ~not_json, F.lit(None))
         .when(broken | invalid, excerpt)
