@@ -82,6 +82,15 @@ def test_descent_finds_most_neighbours(spark, clusters):
     assert len(got) == len(want) and len(pairs(got) & pairs(want)) >= 0.9 * len(want)
 
 
+def test_descent_goes_on_until_enough_is_found(spark):
+    """Vectors without clusters, of which one round from small blocks with a narrow pool finds few neighbours."""
+    plain = np.random.default_rng(5).normal(size=(400, 16))
+    edges = knn_graph(frame(spark, plain), 5, method="descent", block_rows=20, rounds=1, pool=1)
+    pairs = lambda edges: {(a, b) for a, b, _ in edges}
+    got, want = pairs(found(edges)), pairs(brute(plain, 5))
+    assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
+
+
 def test_a_vector_is_sent_once_per_block(spark, clusters):
     from threadloom.operators.neighbours import _exact
 

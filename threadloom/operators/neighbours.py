@@ -3,8 +3,8 @@
 Exact: vectors are dealt into ``blocks`` by hash, and every pair of blocks meets in one task, so a vector is sent
 ``blocks`` times. The work is that of all pairs, which an exact search over data without structure needs; more blocks
 make smaller tasks and send more. Descent (Dong et al., "Efficient K-Nearest Neighbor Graph Construction") starts from
-neighbours within blocks along random directions and then looks at the neighbours of neighbours, as joins of ids with
-at most (2k)^2 candidates a vector; it is for maps too large for all pairs.
+neighbours within blocks along random directions and then looks at the neighbours of neighbours, which meet around each vector,
+at most (2k)^2 pairs of them; it ends when a sample shows enough recall, and is for maps too large for all pairs.
 
 Cells: vectors are put into the cells of k-means centres and first compared within them, which bounds how far a vector's
 neighbours can be; then it is sent to those cells only in which, by the triangle inequality, one as near can lie. The result is
@@ -45,6 +45,8 @@ METHODS = ("exact", "cells", "descent")
 # Bounds are compared with this much to spare, as distances are rounded.
 _SLACK = 1e-6
 METRICS = ("cosine", "euclidean")
+# Descent ends when this share of the true neighbours of so many vectors is found; a round that finds no more than that in addition is slow.
+RECALL, SOME_VECTORS, LEAST_GAIN = 0.93, 256, 0.01
 
 
 def _distances(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
@@ -194,13 +196,44 @@ def _distance(a: Column, b: Column, metric: str) -> Column:
     return norm(F.zip_with(a, b, lambda x, y: x - y))
 
 
-def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: int, metric: str) -> DataFrame:
-    """Blocks along random directions, then ``rounds`` times the neighbours of neighbours, in both directions.
+def _nearest_of_some(distinct: DataFrame, k: int, some: int, seed: int, metric: str) -> DataFrame:
+    """(rep, other, distance): the true k nearest of ``some`` vectors drawn by a hash; each batch of rows passes on k of each."""
+    drawn = distinct.select("rep", "vec").orderBy(F.xxhash64("rep", F.lit(seed)), "rep").limit(some).collect()
+    names, asked = np.array([r["rep"] for r in drawn], object), np.array([r["vec"] for r in drawn], np.float64)
 
-    Of the vectors that name one as their neighbour, at most k are followed back, so a vector that everybody names
-    stays bounded. Ids are joined first; a vector joins each candidate pair only to be compared.
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(names) and len(frame):
+                row, other, distance = _nearest(asked, np.array(frame["vec"].tolist()), frame["rep"].to_numpy(), k, metric)
+                yield pd.DataFrame({"rep": names[row], "other": other, "distance": distance})
+
+    return _best(distinct.select("rep", "vec").mapInPandas(search, _FOUND), k)
+
+
+def _introduce(k: int, metric: str):
+    """Neighbours of one vector meet: each gets the k nearest of the others that lie within its ``limit``."""
+
+    def search(place: pd.DataFrame) -> pd.DataFrame:
+        vec, ids = np.array(place["vec"].tolist()), place["rep"].to_numpy()
+        distance = np.round(_distances(vec, vec, metric), _PLACES)
+        np.fill_diagonal(distance, np.nan)
+        first = np.argsort(distance, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
+        near = np.take_along_axis(distance, first, 1)
+        row, col = np.nonzero(near <= place["limit"].to_numpy()[:, None])
+        return pd.DataFrame({"rep": ids[row], "other": ids[first[row, col]], "distance": near[row, col]})
+
+    return search
+
+
+def _descent(distinct: DataFrame, k: int, pool: int, block_rows: int, rounds: int, recall: float, seed: int, metric: str) -> DataFrame:
+    """Blocks along random directions, then the neighbours of neighbours, in both directions, until enough are found.
+
+    ``pool * k`` neighbours are kept on the way. Of the vectors that name one as their neighbour, at most as many are followed
+    back, so a vector that everybody names stays bounded. After ``rounds`` rounds those go on until of the true neighbours of
+    SOME_VECTORS vectors the share ``recall`` is found; a round that gains little makes the next one keep half as many again.
     """
     n = distinct.count()
+    wide = pool * k
     blocks = max(1, -(-n // block_rows))
     found = None
     for turn in range(2):
@@ -208,37 +241,48 @@ def _descent(distinct: DataFrame, k: int, block_rows: int, rounds: int, seed: in
         along = distinct.withColumn("_along", F.aggregate(axis, F.lit(0.0), lambda s, x: s + x))
         edges = along.approxQuantile("_along", [i / blocks for i in range(1, blocks)], 0.1 / blocks) if blocks > 1 else []
         block = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("_along")))
-        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(k, False, metric), _FOUND)
+        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(wide, False, metric), _FOUND)
         found = own if found is None else found.unionByName(own)
-    best = cut(_best(found.distinct(), k))
-    for _ in range(rounds):
+    once = lambda rows: rows.groupBy("rep", "other").agg(F.min("distance").alias("distance"))
+    best = cut(_best(once(found), wide))
+    truth = cut(_nearest_of_some(distinct, k, SOME_VECTORS, seed, metric))
+    wanted, last, turn = truth.count(), 0.0, 0
+    while True:
+        if turn >= rounds:
+            mine = _best(best.join(F.broadcast(truth.select("rep").distinct()), "rep", "left_semi"), k)
+            share = mine.join(F.broadcast(truth.select("rep", "other")), ["rep", "other"]).count() / max(1, wanted)
+            if share >= recall or wide >= 2 * n:
+                break
+            if share - last < LEAST_GAIN:
+                wide += wide // 2
+            last = share
+        turn += 1
         forward = best.filter(F.col("rep") != F.col("other")).select(F.col("rep").alias("a"), F.col("other").alias("b"))
         by_hash = Window.partitionBy("b").orderBy(F.xxhash64("a", F.lit(seed)))
-        back = forward.withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= k)
+        back = forward.withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= wide)
         near = forward.unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        pairs = near.select(F.col("a").alias("m"), F.col("b").alias("rep")).join(
-            near.select(F.col("a").alias("m"), F.col("b").alias("other")), "m"
-        ).filter(F.col("rep") != F.col("other")).select("rep", "other").distinct()
-        fresh = pairs.join(best.select("rep", "other"), ["rep", "other"], "left_anti")
-        there = distinct.select(F.col("rep").alias("other"), F.col("vec").alias("_there"))
-        compared = fresh.join(distinct.select("rep", "vec"), "rep").join(there, "other").select(
-            "rep", "other", F.round(_distance(F.col("vec"), F.col("_there"), metric), _PLACES).alias("distance")
-        )
-        after = cut(_best(best.unionByName(compared), k))
+        limits = best.groupBy("rep").agg(F.when(F.count(F.lit(1)) >= wide, F.max("distance")).otherwise(float("inf")).alias("limit"))
+        members = distinct.select("rep", "vec").join(limits, "rep")
+        met = near.select(F.col("a").alias("_with"), F.col("b").alias("rep")).join(members, "rep")
+        compared = met.groupBy("_with").applyInPandas(_introduce(wide, metric), _FOUND)
+        after = cut(_best(once(best.unionByName(compared)), wide))
         discard(best)
         best = after
+    discard(truth)
     return best
 
 
 def knn_graph(
     vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, pool: int = 3,
     seed: int = 42, metric: str = "cosine", cells: int = CELLS, cell_rows: int = CELL_ROWS, nprobe: int | None = None,
+    recall: float = RECALL,
 ) -> DataFrame:
     """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
     ``method`` is "exact" (``blocks`` sets the grid), "cells" (``cells`` centres, groups of about ``cell_rows`` vectors and as
-    many that ask; exact unless ``nprobe`` bounds the cells a vector is sent to) or "descent" (``block_rows``, ``rounds`` and ``pool``, the multiple
-    of k that is kept on the way), whose neighbours are approximate; nothing switches between them.
+    many that ask; exact unless ``nprobe`` bounds the cells a vector is sent to) or "descent" (``block_rows``, ``pool``, the multiple of
+    k that is kept on the way, and at least ``rounds`` rounds, until a sample shows ``recall``), whose neighbours are approximate;
+    nothing switches between them.
     """
     if method not in METHODS or metric not in METRICS:
         raise ValueError(f"method must be one of {METHODS}, metric one of {METRICS}")
@@ -253,7 +297,7 @@ def knn_graph(
     elif method == "cells":
         found = _in_cells(distinct, k + 1, cells, cell_rows, nprobe, seed, metric)
     else:
-        found = _descent(distinct, pool * (k + 1), block_rows, rounds, seed, metric)
+        found = _descent(distinct, k + 1, pool, block_rows, rounds, recall, seed, metric)
     return _expand(keyed, copies, distinct, found, k)
 
 
