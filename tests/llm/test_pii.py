@@ -57,6 +57,25 @@ def test_windows_cover_a_stretch():
         assert size <= pii.WINDOW or max(starts) + pii.WINDOW == 10 + size
 
 
+def test_every_span_that_may_be_added_lies_in_a_stretch():
+    rng = random.Random(5)
+    pieces = [" jo", "at", " at ", "[at]", "@", " dot ", ".", " . ", "example", "com", " ", "x" * 30, "-", "4", "10.0", "(", ")", "{ dot }", "\n", "é", "+49 "]
+    texts = ["write to jo at example.com today", "jo AT my-host . org", "a" * 90 + " at " + ("b" * 30 + ".") * 3 + "com"]
+    texts += ["z " * 40 + "".join(rng.choice(pieces) for _ in range(rng.randrange(4, 14))) + " z" * 40 for _ in range(2000)]
+    seen = 0
+    for text in texts:
+        held = pii.stretches(text)
+        assert held == sorted(held) and all(b < c for (_, b), (c, _) in zip(held, held[1:], strict=False))
+        for m in pii._LOOSE_EMAIL.finditer(text):
+            seen += 1
+            assert any(a <= m.start() and m.end() <= b for a, b in held), text
+        for m in re.finditer(r"\d", text):
+            assert any(a <= m.start() and m.end() <= b for a, b in held), text
+    assert seen > 50
+    for text in ("at-" * 100_000, "at a." * 60_000, "a at " * 60_000, "at-at." * 50_000):
+        pii.stretches(text)
+
+
 def test_crf_against_all_paths():
     rng = np.random.default_rng(0)
     scores, step, y = rng.normal(size=(3, 5, 3)), rng.normal(size=(3, 3)), rng.integers(0, 3, (3, 5))

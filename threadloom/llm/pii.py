@@ -30,11 +30,15 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-# Every address, number or the like holds a digit or an at-sign, or spells the sign or the dot.
-_SEED = re.compile(r"[\d@＠]|[\[({<]\s?at\s?[\])}>]|\b(?:at|dot)\b(?=\s\S+\s(?:at|dot)\b)|\bdot\b", re.IGNORECASE)
-_LOOSE_EMAIL = re.compile(
-    r"[\w.%+-]+\s{0,2}(?:[@＠]|[\[({<]\s?at\s?[\])}>]|\bat\b)\s{0,2}[\w-]+(?:\s{0,2}(?:\.|[\[({<]\s?dot\s?[\])}>]|\bdot\b)\s{0,2}[\w-]+)+", re.IGNORECASE
+# What :func:`plausible` asks of a span: a digit, or a sign written out or not, before a name and a dot written out or not.
+_DOT = r"(?:\.|[\[({<]\s?dot\s?[\])}>]|\bdot\b)"
+_SEED = re.compile(
+    rf"\d|(?P<sign>[@＠]|[\[({{<]\s?at\s?[\])}}>]|\bat\b(?=\s{{0,2}}[\w-]{{1,253}}+\s{{0,2}}{_DOT}))|\b(?:at|dot)\b(?=\s\S+\s(?:at|dot)\b)|\bdot\b", re.IGNORECASE
 )
+_LOOSE_DOMAIN = re.compile(rf"\s{{0,2}}[\w-]+(?:\s{{0,2}}{_DOT}\s{{0,2}}[\w-]+)+", re.IGNORECASE)
+_LOOSE_EMAIL = re.compile(rf"[\w.%+-]+\s{{0,2}}(?:[@＠]|[\[({{<]\s?at\s?[\])}}>]|\bat\b){_LOOSE_DOMAIN.pattern}", re.IGNORECASE)
+# Longest name before a sign, and longest host name, that are looked for.
+LONGEST = 253
 
 
 def _luhn(digits: str) -> bool:
@@ -79,15 +83,36 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
+def _before(text: str, sign: int) -> int:
+    """Where the name before a sign may begin."""
+    first, at = max(0, sign - LONGEST), sign
+    while at > max(first, sign - 2) and text[at - 1].isspace():
+        at -= 1
+    while at > first and (text[at - 1] in ".%+-_" or text[at - 1].isalnum()):
+        at -= 1
+    return at
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """[start, end) around places that may belong to personal data, joined where they overlap."""
+    """[start, end) around places that may belong to personal data, joined where they overlap.
+
+    Every span that is :func:`plausible`, up to LONGEST characters on either side of a sign, lies within one of them, so what
+    lies in none cannot add a span.
+    """
     out: list[list[int]] = []
+    far = 0  # end of the last host name: signs within it end no later
     for m in _SEED.finditer(text):
         start, end = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and start <= out[-1][1]:
-            out[-1][1] = end
-        else:
-            out.append([start, end])
+        if m["sign"]:
+            start = min(start, _before(text, m.start()))
+            if m.end() >= far:
+                host = _LOOSE_DOMAIN.match(text, m.end())
+                far = host.end() if host else far
+            end = max(end, min(far, m.end() + LONGEST))
+        while out and start <= out[-1][1]:
+            before = out.pop()
+            start, end = min(start, before[0]), max(end, before[1])
+        out.append([start, end])
     return [(a, b) for a, b in out]
 
 
@@ -258,8 +283,8 @@ def find(docs: DataFrame, model: Tagger | None) -> DataFrame:
     """(doc_id, spans): for each row of ``docs(doc_id, text)`` its personal data, by start, then kind.
 
     ``spans`` is an array of (kind, start, end, base), in code points, end exclusive. Base spans are those of the fixed
-    patterns; all of them stay. The tagger reads every stretch of the whole text near a digit or an at-sign, spelled or
-    not, and adds spans of a kind's right make-up that touch no base span. Without a model only base spans are found. Null
+    patterns; all of them stay. The tagger reads every stretch of the whole text that can hold a span it may add (:func:`stretches`),
+    and adds spans of a kind's right make-up that touch no base span. Without a model only base spans are found. Null
     texts count as empty and have none. Repeated rows each give a row, other columns are not read, no rows give no rows.
     """
 
