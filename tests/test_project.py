@@ -82,6 +82,16 @@ def test_descent_finds_most_neighbours(spark, clusters):
     assert len(got) == len(want) and len(pairs(got) & pairs(want)) >= 0.9 * len(want)
 
 
+def test_blocks_stay_small(spark, clusters, monkeypatch):
+    """However many vectors, a task gets two blocks of bounded size."""
+    from threadloom.operators import neighbours
+
+    taken = []
+    exact = neighbours._exact
+    monkeypatch.setattr(neighbours, "_exact", lambda distinct, k, blocks, metric: taken.append(blocks) or exact(distinct, k, blocks, metric))
+    assert found(knn_graph(frame(spark, clusters), 5, blocks=2, block_most=50)) == brute(clusters, 5) and taken == [5]
+
+
 def test_descent_goes_on_until_enough_is_found(spark):
     """Vectors without clusters, of which one round from small blocks with a narrow pool finds few neighbours."""
     plain = np.random.default_rng(5).normal(size=(400, 16))

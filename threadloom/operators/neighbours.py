@@ -35,6 +35,8 @@ from threadloom.session import cut, discard
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCKS = 8
+# Rows of a block in the exact search at most: more vectors make more blocks, so a task holds two blocks of this size at any size of data.
+MOST_ROWS = 16_384
 CELLS, CELL_ROWS = 16, 4096
 # Distances held at a time while two blocks are compared.
 _DISTANCES = 1 << 22
@@ -65,11 +67,11 @@ def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int, metri
     by_id = np.empty(len(ids), np.int64)
     by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
     for at in range(0, len(left), step):
-        distance = np.round(_distances(left[at : at + step], right, metric), _PLACES)
-        # All that are as near as the k-th, then the first k of them by distance and id.
-        limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
+        distance = _distances(left[at : at + step], right, metric)
+        # All that are as near as the k-th once rounded, then the first k of them by distance and id.
+        limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k] + 2 * 10.0**-_PLACES
         row, col = np.nonzero(distance <= limit)
-        found = distance[row, col]
+        found = np.round(distance[row, col], _PLACES)
         order = np.lexsort((by_id[col], found, row))
         row, col, found = row[order], col[order], found[order]
         place = np.arange(len(row)) - np.searchsorted(row, row, "left")
@@ -275,11 +277,11 @@ def _descent(distinct: DataFrame, k: int, pool: int, block_rows: int, rounds: in
 def knn_graph(
     vectors: DataFrame, k: int = 10, method: str = "exact", blocks: int = BLOCKS, block_rows: int = 512, rounds: int = 3, pool: int = 3,
     seed: int = 42, metric: str = "cosine", cells: int = CELLS, cell_rows: int = CELL_ROWS, nprobe: int | None = None,
-    recall: float = RECALL,
+    recall: float = RECALL, block_most: int = MOST_ROWS,
 ) -> DataFrame:
     """(src, dst, distance, rank): the k nearest others of every usable vector, equal distances by id.
 
-    ``method`` is "exact" (``blocks`` sets the grid), "cells" (``cells`` centres, groups of about ``cell_rows`` vectors and as
+    ``method`` is "exact" (``blocks`` sets the grid, and blocks of more than about ``block_most`` vectors are made smaller), "cells" (``cells`` centres, groups of about ``cell_rows`` vectors and as
     many that ask; exact unless ``nprobe`` bounds the cells a vector is sent to) or "descent" (``block_rows``, ``pool``, the multiple of
     k that is kept on the way, and at least ``rounds`` rounds, until a sample shows ``recall``), whose neighbours are approximate;
     nothing switches between them.
@@ -293,7 +295,7 @@ def knn_graph(
     copies = keyed.withColumn("place", F.row_number().over(smallest)).filter(F.col("place") <= k + 1)
     distinct = cut(copies.filter("place = 1").select(F.col("unified_id").alias("rep"), "vec", "key"))
     if method == "exact":
-        found = _exact(distinct, k + 1, blocks, metric)
+        found = _exact(distinct, k + 1, max(blocks, -(-distinct.count() // block_most)), metric)
     elif method == "cells":
         found = _in_cells(distinct, k + 1, cells, cell_rows, nprobe, seed, metric)
     else:
