@@ -146,3 +146,12 @@ def test_rows_at_the_mark_come_once(spark):
     found = not_yet_done(then, "at", "id", at, first, dt.timedelta(days=1))
     assert rows(found, "id") == [(3,), (4,)]
     assert not_yet_done(then, "at", "id", at, first.unionByName(found), dt.timedelta(days=1)).count() == 0
+
+
+def test_a_backlog_takes_a_bounded_number_of_batches(spark, tmp_path):
+    for number in range(7):
+        drop(tmp_path / "drops", f"{REDDIT_DATASET_ID}/s_{number}.json", [{"post_id": f"p{number}"}])
+    taken = run(spark, tmp_path, files_per_batch=1, most_batches=2)
+    assert sorted(r.post_id for r in taken.collect()) == [f"p{n}" for n in range(7)] and len(log(spark, tmp_path)) == 2
+    drop(tmp_path / "drops", f"{REDDIT_DATASET_ID}/s_7.json", [{"post_id": "p7"}])
+    assert run(spark, tmp_path, files_per_batch=1, most_batches=2).count() == 8

@@ -21,13 +21,15 @@ from threadloom.session import run_dir
 from threadloom.streaming.ingest import dedupe_stream, dedupe_with_late, ingest_messages, ingest_stream, read_ingested, rejected_drops
 
 ITEMS_SQL = f"WITH {ITEMS}"
+# The streams take a backlog in so many batches at most: each has a price of its own, whatever it holds.
+MOST_BATCHES = 8
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dropped files streamed into the raw table, a few files per batch."""
+    """The dropped files streamed into the raw table, a few files per batch; a backlog in at most MOST_BATCHES batches."""
     root = run_dir(spark, "stream")
     query = ingest_stream(
-        spark, write_drops(spark, sf_dir), "Reddit", f"{root}/reddit_data", f"{root}/checkpoints", "drops", files_per_batch=5
+        spark, write_drops(spark, sf_dir), "Reddit", f"{root}/reddit_data", f"{root}/checkpoints", "drops", files_per_batch=5, most_batches=MOST_BATCHES,
     )
     query.awaitTermination()
     return summary(read_ingested(spark, f"{root}/reddit_data"))
@@ -64,7 +66,7 @@ def ingested_and_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_embedder(docs(spark, sf_dir))
     cache_now = ingest_and_enrich(
         spark, write_drops(spark, sf_dir), "Reddit", root, AS_OF, lambda d: embed_text(d, model),
-        lambda d: score_sentiment(d, given), lookback=None, files_per_batch=50,
+        lambda d: score_sentiment(d, given), lookback=None, files_per_batch=50, most_batches=MOST_BATCHES,
     )
     level = F.when(F.col("unified_id").startswith("reddit_comment"), "comment").when(F.col("unified_id").startswith("reddit_reply"), "reply").otherwise("post")
     return cache_now.groupBy(level.alias("content_type")).agg(

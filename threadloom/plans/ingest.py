@@ -74,12 +74,13 @@ def enrich_batch(
 
 def ingest_and_enrich(
     spark: SparkSession, drop_root: str, platform: str, root: str, as_of: dt.datetime, embed: Provider, score: Provider,
-    lookback: dt.timedelta | None = LOOKBACK, files_per_batch: int | None = None,
+    lookback: dt.timedelta | None = LOOKBACK, files_per_batch: int | None = None, most_batches: int | None = None,
 ) -> DataFrame:
     """Take in what has been dropped, store what no platform takes, and enrich the changed threads after every good batch.
 
     Raw rows go to ``root/raw`` and, by post, to ``root/threads``, rejected files to ``root/rejects``, vectors and scores to
-    the cache at ``root/cache``, which is returned. Running it again takes new files only.
+    the cache at ``root/cache``, which is returned. Running it again takes new files only. A batch reads and writes parts of the
+    threads and the cache again, so ``most_batches`` bounds how often that happens in a backlog.
     """
 
     def enrich_new(batch_id: int) -> None:
@@ -87,6 +88,7 @@ def ingest_and_enrich(
 
     reject_stream(spark, drop_root, f"{root}/rejects", f"{root}/checkpoints", "rejects").awaitTermination()
     ingest_stream(
-        spark, drop_root, platform, f"{root}/raw", f"{root}/checkpoints", "drops", on_success=enrich_new, files_per_batch=files_per_batch
+        spark, drop_root, platform, f"{root}/raw", f"{root}/checkpoints", "drops", on_success=enrich_new, files_per_batch=files_per_batch,
+        most_batches=most_batches,
     ).awaitTermination()
     return read_current(spark, f"{root}/cache", EMBEDDINGS_CACHE)

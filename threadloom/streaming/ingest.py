@@ -32,7 +32,7 @@ def dataset_folders(platform: str, mapping: dict[str, str] | None = None) -> lis
 def ingest_stream(
     spark: SparkSession, drop_root: str, platform: str, table_path: str, checkpoint: str, stream: str,
     rules: dict[str, Column] | None = None, on_success: Callable[[int], None] | None = None,
-    files_per_batch: int | None = None, available_now: bool = True,
+    files_per_batch: int | None = None, available_now: bool = True, most_batches: int | None = None,
 ):
     """Start a stream that normalises one platform's dropped files into the table at ``table_path``.
 
@@ -40,7 +40,12 @@ def ingest_stream(
     opened. What lies elsewhere is for :func:`reject_stream`. A batch is written to its own folder, named by ``stream``
     and batch id, so a batch that is delivered again replaces itself. ``on_success`` (the enrichment step) runs after a
     batch without rejected rows; its error is logged and does not undo the batch.
+
+    ``files_per_batch`` bounds a batch. Every batch has a price of its own, so with ``most_batches`` a backlog that would take
+    more batches than that is taken in as many, of more files each.
     """
+    if files_per_batch is not None and most_batches is not None:
+        files_per_batch = max(files_per_batch, -(-_files_below(spark, drop_root) // most_batches))
     wire, normalize = _WIRE[platform]
     reader = spark.readStream.schema(wire).option("multiLine", True).option("recursiveFileLookup", True)
     if files_per_batch is not None:
@@ -61,6 +66,11 @@ def ingest_stream(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _files_below(spark: SparkSession, root: str) -> int:
+    """How many files lie below ``root``. Only their names are listed."""
+    return len(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).inputFiles())
+
+
 def _follow(status: str, on_success: Callable[[int], None] | None, batch_id: int) -> str | None:
     if status != SUCCESS or on_success is None:
         return None
