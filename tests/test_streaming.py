@@ -155,3 +155,12 @@ def test_a_backlog_takes_a_bounded_number_of_batches(spark, tmp_path):
     assert sorted(r.post_id for r in taken.collect()) == [f"p{n}" for n in range(7)] and len(log(spark, tmp_path)) == 2
     drop(tmp_path / "drops", f"{REDDIT_DATASET_ID}/s_7.json", [{"post_id": "p7"}])
     assert run(spark, tmp_path, files_per_batch=1, most_batches=2).count() == 8
+
+
+def test_late_query_writes_its_batches_by_several_tasks(spark, sf, tmp_path, monkeypatch):
+    from threadloom.catalog import jobs
+
+    monkeypatch.setattr(jobs, "run_dir", lambda spark, name: str(tmp_path))
+    jobs.streamed_with_late(spark, sf).count()
+    batches = spark.read.parquet(str(tmp_path / "marks")).select("batch_id").distinct().count()
+    assert len(list((tmp_path / "in").glob("*.parquet"))) > batches > 3

@@ -126,9 +126,10 @@ def streamed_with_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     for tenth, steps, at in again:
         sent = sent.unionByName(placed.filter(digit == tenth).withColumns({"ts": at, "batch": F.col("batch") + steps}))
     last = placed.agg(F.max("batch")).first()[0]
-    for number in range(last + 1):  # each batch arrives when the one before is through
-        sent.filter(F.col("batch") == number).drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    sent.filter(F.col("batch") <= last).write.partitionBy("batch").parquet(f"{root}/sent")
+    for number in range(last + 1):  # each batch arrives when the one before is through, in as many files as tasks wrote it
+        spark.read.parquet(f"{root}/sent").filter(F.col("batch") == number).drop("batch").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
         dedupe_with_late(stream, ["event_id"], "ts", dt.timedelta(days=6), root, f"{root}/checkpoint").awaitTermination()
     counts = [F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("ids")]
     out = [spark.read.parquet(f"{root}/{name}").groupBy(F.lit(name).alias("outcome"), "event_type").agg(*counts) for name in ("kept", "late")]
