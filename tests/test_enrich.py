@@ -181,3 +181,10 @@ def test_collocations_and_phrases_as_keywords(spark):
     assert set(lists) == {f"d{i}" for i in range(10)} | {"x", "w"}
     plain = {r.content_item_id: r.keyword_list for r in en.keywords(given, k=20).collect()}
     assert plain == {i: [t for t in terms if " " not in t] for i, terms in lists.items()}
+
+
+def test_words_are_not_shuffled_to_meet_a_small_table(spark):
+    given = docs(spark, "one two two", "two three", "three four one one", None)
+    listed = en.keywords(given, k=2)
+    assert "hashpartitioning(term" not in final_plan(listed)
+    assert {r[0]: r[1] for r in listed.collect()} == {"d0": ["two", "one"], "d1": ["three", "two"], "d2": ["one", "four"]}

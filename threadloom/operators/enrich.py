@@ -291,12 +291,14 @@ def keywords(docs: DataFrame, k: int = 5, text_col: str = "content", phrases: Da
         met = skew_join(spoken, phrases.select("term").distinct(), "term")
         more = met.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
         tf = cut(tf.unionByName(more))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # Words of one item are left out. What remains is written, so a table that may be broadcast is known to be small before any
+    # word is shuffled; then each task passes on k words an item.
+    df = cut(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
     total = docs.agg(F.count(F.lit(1))).scalar()
-    weight = F.round(F.col("tf") * F.log((total + 1) / (F.col("df") + 1)), 6)
+    weight = F.round(F.col("tf") * F.log((total + 1) / (F.coalesce("df", F.lit(1)) + 1)), 6)
     best = Window.partitionBy("content_item_id").orderBy(F.col("weight").desc(), "term")
     ranked = (
-        skew_join(tf, df, "term")
+        skew_join(tf, df, "term", "left")
         .select("content_item_id", "term", weight.alias("weight"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
