@@ -109,6 +109,36 @@ def test_a_vector_is_sent_once_per_block(spark, clusters):
     assert "explode" in plan and "Join" not in plan
 
 
+def test_what_is_asked_of_a_cell_is_sent_once(spark, clusters):
+    """Vectors go straight to the group they are compared in: one shuffle, and none to find the group."""
+    from threadloom.operators.neighbours import _in_cells
+
+    distinct = frame(spark, clusters).withColumnsRenamed({"unified_id": "rep", "embeddings": "vec"})
+    plan = _in_cells(distinct, 5, 3, 30, None, 42, "euclidean")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "_kh" not in plan
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_two_blocks_are_scored_once_for_both(clusters, monkeypatch, metric):
+    """What is known to lie too far is ruled out by one score a pair; both sides get the neighbours of a plain search."""
+    from threadloom.operators import neighbours
+
+    sides = [clusters[::2], clusters[1::2]]
+    if metric == "cosine":
+        sides = [side / np.linalg.norm(side, axis=1, keepdims=True) for side in sides]
+    names = [np.array([f"{mark}{i:03d}" for i in range(120)], object) for mark in "ab"]
+    far = neighbours._distances(*sides, metric)
+    limits = [np.sort(d, axis=1)[:, 6] for d in (far, far.T)]
+    scored, scores = [], neighbours._scores
+    monkeypatch.setattr(neighbours, "_scores", lambda a, b, m: scored.append(len(a) * len(b)) or scores(a, b, m))
+    got = neighbours._nearest(*sides, names, 4, metric, limits)
+    assert sum(scored) == 120 * 120
+    for (row, other, distance), d, ids in zip(got, (far, far.T), names[::-1], strict=True):
+        want = np.argsort(d, axis=1, kind="stable")[:, :4]
+        assert (other.reshape(120, 4) == ids[want]).all() and (row.reshape(120, 4) == np.arange(120)[:, None]).all()
+        assert np.allclose(distance.reshape(120, 4), np.take_along_axis(d, want, 1), atol=1e-8)
+
+
 def test_fewer_vectors_than_neighbours(spark):
     knn = knn_graph(frame(spark, np.eye(3)), 10)
     assert rows(knn, "src", "dst", "distance")[:2] == [("v0000", "v0001", 1.0), ("v0000", "v0002", 1.0)] and knn.count() == 6

@@ -1,14 +1,17 @@
 """Cosine nearest neighbours: exact over a grid of blocks or over cells, or approximate by neighbour descent; the caller chooses.
 
-Exact: vectors are dealt into ``blocks`` by hash, and every pair of blocks meets in one task, so a vector is sent
-``blocks`` times. The work is that of all pairs, which an exact search over data without structure needs; more blocks
-make smaller tasks and send more. Descent (Dong et al., "Efficient K-Nearest Neighbor Graph Construction") starts from
-neighbours within blocks along random directions and then looks at the neighbours of neighbours, which meet around each vector,
-at most (2k)^2 pairs of them; it ends when a sample shows enough recall, and is for maps too large for all pairs.
+Exact: vectors are dealt into ``blocks`` by hash. A block is first searched by itself, which bounds how far a vector's neighbours
+can be; then every pair of blocks meets in one task, so a vector is sent ``blocks`` times, and a pair is scored once, in single
+precision, for both its directions. Distances, in double precision, are computed of those pairs only that the bounds and the error of
+a score do not rule out. The work is that of all pairs, which an exact search over data without structure needs. Descent (Dong et
+al., "Efficient K-Nearest Neighbor Graph Construction") starts from neighbours within blocks along random directions and then looks at the
+neighbours of neighbours, which meet around each vector, at most (2k)^2 pairs of them; it ends when a sample shows enough
+recall, and is for maps too large for all pairs.
 
 Cells: vectors are put into the cells of k-means centres and first compared within them, which bounds how far a vector's
 neighbours can be; then it is sent to those cells only in which, by the triangle inequality, one as near can lie. The result is
-that of the exact search, or, with ``nprobe``, of the nearest cells alone. Data without structure is sent everywhere.
+that of the exact search, or, with ``nprobe``, of the nearest cells alone. Data without structure is sent everywhere, each vector
+once to every part of a cell, and every part once to each group of about ``cell_rows`` that ask it.
 
 Copies of a vector are compared once. As equal distances go by id, only the k + 1 smallest ids of a group of
 copies can be anybody's neighbours, so a vector that makes up a third of all rows adds no work.
@@ -36,10 +39,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCKS = 8
 # Rows of a block in the exact search at most: more vectors make more blocks, so a task holds two blocks of this size at any size of data.
-MOST_ROWS = 16_384
-CELLS, CELL_ROWS = 16, 4096
+MOST_ROWS = 32_768
+CELLS, CELL_ROWS = 16, 32_768
 # Distances held at a time while two blocks are compared.
 _DISTANCES = 1 << 22
+# Right rows that set a first bound of a row's k-th distance.
+_SOME = 4096
 _FOUND = "rep string, other string, distance double"
 # Distances are compared to nine places; the id settles what is equal so far.
 _PLACES = 9
@@ -59,52 +64,132 @@ def _distances(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
-def _nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, id, distance) of the k nearest right rows of each left row, equal distances by id."""
-    out = []
-    step = max(1, _DISTANCES // max(1, len(right)))
-    k = min(k, len(right))
+def _apart(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """The distance of each left row to the right row beside it."""
+    if metric == "cosine":
+        return np.clip(1.0 - np.einsum("ij,ij->i", left, right), 0.0, 2.0)
+    return np.sqrt(((left - right) ** 2).sum(1))
+
+
+def _scores(left: np.ndarray, right: np.ndarray, metric: str) -> np.ndarray:
+    """What rules pairs out before distances are computed, higher for nearer ones: cosines, or squared distances below zero."""
+    if metric == "cosine":
+        return left @ right.T
+    return 2.0 * left @ right.T - (left * left).sum(1)[:, None] - (right * right).sum(1)[None]
+
+
+def _lowest(left: np.ndarray, right: np.ndarray, k: int, limit: np.ndarray | None, metric: str) -> np.ndarray:
+    """Per left row a score that none of its k nearest right rows is below.
+
+    It follows from ``limit``, a distance within which they lie; where that is not known, the k-th nearest of some of the right
+    rows sets it. Scores of unit vectors are of single precision; their error is added.
+    """
+    limit = np.full(len(left), np.inf) if limit is None else limit.astype(np.float64)
+    unknown = np.flatnonzero(~np.isfinite(limit))
+    some = right[:: max(1, len(right) // _SOME)]
+    step = max(1, _DISTANCES // len(some))
+    for at in range(0, len(unknown) if len(some) >= k else 0, step):
+        rows = unknown[at : at + step]
+        away = np.partition(-_scores(left[rows], some, metric), k - 1, axis=1)[:, k - 1].astype(np.float64)
+        limit[rows] = 1.0 + away if metric == "cosine" else np.sqrt(np.maximum(away, 0.0))
+    limit = np.where(np.isnan(limit), np.inf, limit) + 2 * 10.0**-_PLACES
+    dims = left.shape[1] + 8
+    if metric == "cosine":
+        return (1.0 - limit - dims * 2.0**-22).astype(np.float32)
+    return -(limit**2) - dims * 2.0**-48 * max((left * left).sum(1).max(), (right * right).sum(1).max())
+
+
+def _first(row: np.ndarray, col: np.ndarray, found: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, id, distance): the first k of each row by distance and id."""
     by_id = np.empty(len(ids), np.int64)
     by_id[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    order = np.lexsort((by_id[col], found, row))
+    row, col, found = row[order], col[order], found[order]
+    first = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+    return row[first], ids[col[first]], found[first]
+
+
+def _nearest(
+    left: np.ndarray, right: np.ndarray, ids: tuple[np.ndarray | None, np.ndarray], k: int, metric: str,
+    limits: tuple[np.ndarray | None, np.ndarray | None] = (None, None),
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, id, distance) of the k nearest right rows of each left row, equal distances by id; ``ids`` are those of either side.
+
+    Where the left ones are given too, the same for the right rows among the left ones follows, from the same scores.
+    ``limits`` bound how far the neighbours of either side's rows can be; farther ones may be left out.
+    """
+    both = ids[0] is not None
+    a, b = (side.astype(np.float32) if metric == "cosine" else side for side in (left, right))
+    low = [_lowest(a, b, k, limits[0], metric)[:, None]]
+    if both:
+        low.append(_lowest(b, a, k, limits[1], metric)[None])
+    hits: list[list] = [[] for _ in low]
+    step = max(1, _DISTANCES // max(1, len(right)))
     for at in range(0, len(left), step):
-        distance = _distances(left[at : at + step], right, metric)
-        # All that are as near as the k-th once rounded, then the first k of them by distance and id.
-        limit = np.partition(distance, k - 1, axis=1)[:, k - 1 : k] + 2 * 10.0**-_PLACES
-        row, col = np.nonzero(distance <= limit)
-        found = np.round(distance[row, col], _PLACES)
-        order = np.lexsort((by_id[col], found, row))
-        row, col, found = row[order], col[order], found[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        first = place < k
-        out.append((row[first] + at, ids[col[first]], found[first]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _compare(k: int, halves: bool, metric: str):
-    def found(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        scores = _scores(a[at : at + step], b, metric)
+        for side, least in enumerate(low):
+            row, col = np.divmod(np.flatnonzero(scores >= (least[at : at + step] if side == 0 else least)), len(right))
+            row += at
+            hits[side].append((row, col, np.round(_apart(left[row], right[col], metric), _PLACES)))
+    met = [[np.concatenate(x) for x in zip(*side, strict=True)] for side in hits]
+    out = [_first(*met[0], ids[1], k)]
+    if both:
+        row, col, found = met[1]
+        out.append(_first(col, row, found, ids[0], k))
+    return out
+
+
+def _matrix(side: pd.DataFrame) -> np.ndarray:
+    return np.array(side["vec"].tolist(), dtype=np.float64)
+
+
+def _limit(side: pd.DataFrame) -> np.ndarray | None:
+    return side["limit"].fillna(np.inf).to_numpy(np.float64) if "limit" in side else None
+
+
+def _compare(k: int, metric: str):
+    """The k nearest of ``left`` in ``right``, and those of ``right`` in ``left`` if asked for."""
+
+    def found(left: pd.DataFrame, right: pd.DataFrame, both: bool = False) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"rep": np.zeros(0, object), "other": np.zeros(0, object), "distance": np.zeros(0)})
-        matrix = [np.array(side["vec"].tolist(), dtype=np.float64) for side in (left, right)]
-        row, other, distance = _nearest(*matrix, right["rep"].to_numpy(), k, metric)
-        return pd.DataFrame({"rep": left["rep"].to_numpy()[row], "other": other, "distance": distance})
+        names = [left["rep"].to_numpy(), right["rep"].to_numpy()]
+        sides = _nearest(_matrix(left), _matrix(right), (names[0] if both else None, names[1]), k, metric, (_limit(left), _limit(right)))
+        frames = [pd.DataFrame({"rep": n[row], "other": other, "distance": far}) for n, (row, other, far) in zip(names, sides, strict=False)]
+        return pd.concat(frames, ignore_index=True).astype({"rep": object, "other": object})
 
-    def search(place: pd.DataFrame) -> pd.DataFrame:
-        if not halves or place["_i"].iloc[0] == place["_j"].iloc[0]:
-            return found(place, place)
-        a, b = (place[place["block"] == place[side]] for side in ("_i", "_j"))
-        return pd.concat([found(a, b), found(b, a)], ignore_index=True).astype({"rep": object, "other": object})
+    return found
 
-    search.found = found
-    return search
+
+def _within(k: int, metric: str):
+    found = _compare(k, metric)
+    return lambda place: found(place, place)
+
+
+def _limits(near: DataFrame, k: int) -> DataFrame:
+    """(rep, limit): the distance within which the k nearest of a vector lie, null where fewer are known."""
+    return near.groupBy("rep").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("limit"))
 
 
 def _exact(distinct: DataFrame, k: int, blocks: int, metric: str = "cosine") -> DataFrame:
-    """Every pair of blocks in one task; each task passes on k rows per vector."""
-    placed = distinct.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"))
-    sent = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        "rep", "vec", "block", F.least("block", "_other").alias("_i"), F.greatest("block", "_other").alias("_j")
+    """Each block by itself, which bounds how far neighbours can be; then every pair of blocks in one task, once for both directions.
+
+    A task passes on k rows per vector at most.
+    """
+    placed = cut(distinct.select("rep", "vec", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block")))
+    near = cut(placed.groupBy("block").applyInPandas(_within(k, metric), _FOUND))
+    known = cut(placed.join(_limits(near, k), "rep", "left"))
+    discard(placed)
+    sent = known.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).filter("_other <> block").select(
+        "rep", "vec", "limit", (F.col("block") < F.col("_other")).alias("_left"),
+        F.least("block", "_other").alias("_i"), F.greatest("block", "_other").alias("_j"),
     )
-    return sent.groupBy("_i", "_j").applyInPandas(_compare(k, True, metric), _FOUND)
+    compare = _compare(k, metric)
+
+    def across(place: pd.DataFrame) -> pd.DataFrame:
+        return compare(place[place["_left"]], place[~place["_left"]], both=True)
+
+    return near.unionByName(sent.groupBy("_i", "_j").applyInPandas(across, _FOUND))
 
 
 def placed_in_cells(distinct: DataFrame, cells: int, cell_rows: int, seed: int) -> tuple[DataFrame, np.ndarray]:
@@ -128,62 +213,99 @@ def placed_in_cells(distinct: DataFrame, cells: int, cell_rows: int, seed: int)
     return own, centres
 
 
-def routed(own: DataFrame, limits: DataFrame, centres: np.ndarray, metric: str, nprobe: int | None = None) -> DataFrame:
-    """(rep, vec, cell, _part): each vector once for every part of a cell, but its own, that may hold one of its neighbours.
-
-    ``limits(rep, limit)`` says within which distance they lie (null: anywhere). A vector of another cell is at least as far
-    as that cell's sphere, and as the plane midway between the two centres. ``nprobe`` keeps that many nearest cells.
-    """
+def _router(own: DataFrame, centres: np.ndarray, metric: str, nprobe: int | None):
+    """A function from rows to (row, cell, part): every part of a cell, but its own, that may hold one of a row's neighbours."""
     between = np.maximum(_distances(centres, centres, "euclidean"), 1e-12)
     cells = own.groupBy("cell").agg(F.max("_parts").alias("_parts"), F.max("_radius").alias("_radius")).collect()
     radius, parts = np.full(len(centres), -np.inf), np.zeros(len(centres), int)
     for row in cells:
         radius[row["cell"]], parts[row["cell"]] = row["_radius"], row["_parts"]
 
+    def route(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cell, limit = frame["cell"].to_numpy(), frame["limit"].fillna(np.inf).to_numpy(np.float64)
+        if metric == "cosine":
+            limit = np.sqrt(2.0 * limit)
+        far = _distances(_matrix(frame), centres, "euclidean")
+        sphere = far - radius[None]
+        plane = (far**2 - frame["away"].to_numpy()[:, None] ** 2) / (2.0 * between[cell])
+        may = (np.maximum(sphere, plane) <= limit[:, None] + _SLACK) & (parts > 0)[None]
+        if nprobe is not None:
+            may &= far.argsort(1, kind="stable").argsort(1) < nprobe
+        may[np.arange(len(frame)), cell] = True
+        row, target = np.nonzero(may)
+        many = parts[target]
+        row, target = np.repeat(row, many), np.repeat(target, many)
+        part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        other = (target != cell[row]) | (part != frame["_part"].to_numpy()[row])
+        return row[other], target[other].astype(np.int32), part[other].astype(np.int32)
+
+    return route
+
+
+_ROUTING = ["rep", "vec", "cell", "away", "_part", "limit"]
+
+
+def routed(own: DataFrame, limits: DataFrame, centres: np.ndarray, metric: str, nprobe: int | None = None) -> DataFrame:
+    """(rep, vec, limit, cell, _part): each vector once for every part of a cell, but its own, that may hold one of its neighbours.
+
+    ``limits(rep, limit)`` says within which distance they lie (null: anywhere). A vector of another cell is at least as far
+    as that cell's sphere, and as the plane midway between the two centres. ``nprobe`` keeps that many nearest cells.
+    """
+    return _sent(own.join(limits, "rep", "left").select(*_ROUTING), _router(own, centres, metric, nprobe))
+
+
+def _sent(known: DataFrame, route, groups: dict | None = None) -> DataFrame:
+    """The rows where they are routed to; with ``groups``, how many a part has, they are dealt over these."""
+
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            cell, limit = frame["cell"].to_numpy(), frame["limit"].fillna(np.inf).to_numpy(np.float64)
-            if metric == "cosine":
-                limit = np.sqrt(2.0 * limit)
-            far = _distances(np.array(frame["vec"].tolist()), centres, "euclidean")
-            sphere = far - radius[None]
-            plane = (far**2 - frame["away"].to_numpy()[:, None] ** 2) / (2.0 * between[cell])
-            may = (np.maximum(sphere, plane) <= limit[:, None] + _SLACK) & (parts > 0)[None]
-            if nprobe is not None:
-                may &= far.argsort(1, kind="stable").argsort(1) < nprobe
-            may[np.arange(len(frame)), cell] = True
-            row, target = np.nonzero(may)
-            many = parts[target]
-            row, target = np.repeat(row, many), np.repeat(target, many)
-            part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            other = (target != cell[row]) | (part != frame["_part"].to_numpy()[row])
-            out = frame[["rep", "vec"]].iloc[row[other]]
-            yield out.assign(cell=target[other].astype(np.int32), _part=part[other].astype(np.int32))
-
-    known = own.join(limits, "rep", "left").select("rep", "vec", "cell", "away", "_part", "limit")
-    return known.mapInPandas(send, "rep string, vec array<double>, cell int, _part int")
+            row, cell, part = route(frame)
+            out = frame[["rep", "vec", "limit"]].iloc[row].assign(cell=cell, _part=part)
+            if groups is not None:
+                many = np.array([groups[at] for at in zip(cell.tolist(), part.tolist(), strict=True)], np.int64)
+                out["_group"] = (pd.util.hash_array(out["rep"].to_numpy()) % many.astype(np.uint64)).astype(np.int32)
+            yield out
+
+    columns = "rep string, vec array<double>, limit double, cell int, _part int" + (", _group int" if groups is not None else "")
+    return known.mapInPandas(send, columns)
+
+
+def _asked(known: DataFrame, route) -> DataFrame:
+    """(cell, _part, n): how many vectors are routed to each part."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            _, cell, part = route(frame)
+            yield pd.DataFrame({"cell": cell, "_part": part}).value_counts().rename("n").reset_index()
+
+    return known.mapInPandas(count, "cell int, _part int, n long").groupBy("cell", "_part").agg(F.sum("n").alias("n"))
 
 
 def _in_cells(distinct: DataFrame, k: int, cells: int, cell_rows: int, nprobe: int | None, seed: int, metric: str) -> DataFrame:
-    """Within parts of cells first; then what has to be asked elsewhere, in groups of about ``cell_rows`` on either side."""
+    """Within parts of cells first; then what has to be asked elsewhere, in groups of about ``cell_rows`` on either side.
+
+    What is asked where is counted before vectors are sent, so each is shuffled once, straight into its group.
+    """
     if distinct.isEmpty():
         return distinct.select("rep", F.col("rep").alias("other"), F.lit(0.0).alias("distance"))
     own, centres = placed_in_cells(distinct, cells, cell_rows, seed)
     own = cut(own)
-    near = cut(own.groupBy("cell", "_part").applyInPandas(_compare(k, False, metric), _FOUND))
-    limits = near.groupBy("rep").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("limit"))
-    asked = cut(routed(own, limits, centres, metric, nprobe))
-    groups = asked.groupBy("cell", "_part").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("_groups"))
-    asking = skew_join(asked, groups, ["cell", "_part"]).withColumn("_group", F.pmod(F.xxhash64("rep"), F.col("_groups")).cast("int"))
-    there = own.select("rep", "vec", "cell", "_part").join(groups, ["cell", "_part"]).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
-    compare = _compare(k, True, metric)
+    near = cut(own.groupBy("cell", "_part").applyInPandas(_within(k, metric), _FOUND))
+    known = cut(own.join(_limits(near, k), "rep", "left").select(*_ROUTING))
+    route = _router(own, centres, metric, nprobe)
+    groups = cut(_asked(known, route).select("cell", "_part", F.ceil(F.col("n") / cell_rows).cast("int").alias("_groups")))
+    # One row per part of a cell: as many as there are vectors by ``cell_rows``, and cells.
+    dealt = {(r["cell"], r["_part"]): r["_groups"] for r in groups.collect()}
+    there = known.select("rep", "vec", "cell", "_part").join(groups, ["cell", "_part"]).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+    compare = _compare(k, metric)
 
     def ask(place: pd.DataFrame) -> pd.DataFrame:
-        return compare.found(place[place["_asks"]], place[~place["_asks"]])
+        return compare(place[place["_asks"]], place[~place["_asks"]])
 
-    columns = ["rep", "vec", "cell", "_part", "_group"]
-    both = asking.select(*columns, F.lit(True).alias("_asks")).unionByName(there.select(*columns, F.lit(False).alias("_asks")))
-    return near.unionByName(both.groupBy("cell", "_part", "_group").applyInPandas(ask, _FOUND))
+    columns = ["rep", "vec", "limit", "cell", "_part", "_group"]
+    asking = _sent(known, route, dealt).select(*columns, F.lit(True).alias("_asks"))
+    answering = there.withColumn("limit", F.lit(None).cast("double")).select(*columns, F.lit(False).alias("_asks"))
+    return near.unionByName(asking.unionByName(answering).groupBy("cell", "_part", "_group").applyInPandas(ask, _FOUND))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -206,7 +328,7 @@ def _nearest_of_some(distinct: DataFrame, k: int, some: int, seed: int, metric:
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(names) and len(frame):
-                row, other, distance = _nearest(asked, np.array(frame["vec"].tolist()), frame["rep"].to_numpy(), k, metric)
+                row, other, distance = _nearest(asked, _matrix(frame), (None, frame["rep"].to_numpy()), k, metric)[0]
                 yield pd.DataFrame({"rep": names[row], "other": other, "distance": distance})
 
     return _best(distinct.select("rep", "vec").mapInPandas(search, _FOUND), k)
@@ -243,7 +365,7 @@ def _descent(distinct: DataFrame, k: int, pool: int, block_rows: int, rounds: in
         along = distinct.withColumn("_along", F.aggregate(axis, F.lit(0.0), lambda s, x: s + x))
         edges = along.approxQuantile("_along", [i / blocks for i in range(1, blocks)], 0.1 / blocks) if blocks > 1 else []
         block = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("_along")))
-        own = along.select("rep", "vec", block.alias("_i"), block.alias("_j")).groupBy("_i").applyInPandas(_compare(wide, False, metric), _FOUND)
+        own = along.select("rep", "vec", block.alias("_i")).groupBy("_i").applyInPandas(_within(wide, metric), _FOUND)
         found = own if found is None else found.unionByName(own)
     once = lambda rows: rows.groupBy("rep", "other").agg(F.min("distance").alias("distance"))
     best = cut(_best(once(found), wide))
