@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from threadloom.functions.vectors import unit
 from threadloom.operators.neighbours import knn_graph, placed_in_cells, routed
 from threadloom.operators.project import curve, fuzzy_graph, fuzzy_weights, layout, pca, project
 
@@ -154,6 +155,16 @@ def test_weights_meet_their_target(spark, clusters):
     assert all(abs(r["s"] - 3.0) < 1e-4 and r["m"] == 1.0 for r in summed)
 
 
+def test_what_weights_need_is_computed_once(spark, clusters):
+    """Neither a length nor a vector's distances are computed anew for each element, nor the weights for each direction."""
+    assert "/ sqrt" not in str(unit(F.col("embeddings"))).lower()
+    knn = spark.createDataFrame([("a", "b", 0.5, 1), ("b", "a", 0.5, 1)], "src string, dst string, distance double, rank int")
+    plan = fuzzy_graph(knn)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and plan.lower().count("collect_list") == 1
+    bisection = plan[plan.index("Generate") :]
+    assert bisection.count("filter(") <= 1 and bisection.count("log2(") + bisection.count("LOG2(") <= 1
+
+
 def test_graph_is_symmetric(spark, clusters):
     edges = {(r["src"], r["dst"]): r["weight"] for r in fuzzy_graph(knn_graph(frame(spark, clusters), 5)).collect()}
     assert all(abs(edges[(b, a)] - w) < 1e-12 and 0 < w <= 1 + 1e-12 for (a, b), w in edges.items())

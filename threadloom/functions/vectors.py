@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row; inside a lambda a plain expression is computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -15,8 +22,7 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    length = norm(a)
-    return F.transform(a, lambda x: x / length)
+    return bound(norm(a), lambda length: F.transform(a, lambda x: x / length))
 
 
 def cosine_distance(a: Column, b: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.functions.vectors import unit, usable
+from threadloom.functions.vectors import bound, unit, usable
 from threadloom.operators.neighbours import knn_graph
 from threadloom.operators.skew import skew_join
 from threadloom.session import cut, discard
@@ -49,26 +49,30 @@ def _scale(distances: Column, nearest: Column, target: Column) -> Column:
 def fuzzy_weights(knn: DataFrame) -> DataFrame:
     """(src, dst, weight) of the directed graph: 1 for the nearest, falling with distance at a local scale."""
     grouped = knn.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("rank", "dst", "distance"))).alias("near"))
-    shaped = grouped.withColumn("ds", F.transform("near", lambda x: x["distance"]))
-    positive = F.filter("ds", lambda d: d > 0)
-    shaped = shaped.withColumn("rho", F.coalesce(F.array_min(positive), F.lit(0.0)))
-    shaped = shaped.withColumn("target", F.log2(F.size("ds").cast("double")))
-    floor = 1e-3 * F.aggregate("ds", F.lit(0.0), lambda s, d: s + d) / F.size("ds")
-    # Where neither scale nor distances are left (copies only), every weight is 1.
-    sigma = F.greatest(_scale(F.col("ds"), F.col("rho"), F.col("target")), floor, F.lit(1e-12))
-    scaled = shaped.withColumn("sigma", sigma)
-    return scaled.select("src", "rho", "sigma", F.explode("near").alias("x")).select(
-        "src", F.col("x.dst").alias("dst"),
-        F.exp(-F.greatest(F.lit(0.0), F.col("x.distance") - F.col("rho")) / F.col("sigma")).alias("weight"),
-    )
+
+    def scaled(of: Column) -> Column:
+        floor = 1e-3 * F.aggregate(of["ds"], F.lit(0.0), lambda s, d: s + d) / F.size(of["ds"])
+        # Where neither scale nor distances are left (copies only), every weight is 1.
+        sigma = F.greatest(_scale(of["ds"], of["rho"], of["target"]), floor, F.lit(1e-12))
+        return F.struct(of["rho"].alias("rho"), sigma.alias("sigma"))
+
+    def shaped(ds: Column) -> Column:
+        rho = F.coalesce(F.array_min(F.filter(ds, lambda d: d > 0)), F.lit(0.0))
+        return F.struct(ds.alias("ds"), rho.alias("rho"), F.log2(F.size(ds).cast("double")).alias("target"))
+
+    # The bisection asks for the distances and what follows from them at each of its steps, so they are bound before.
+    local = bound(bound(F.transform("near", lambda x: x["distance"]), shaped), scaled)
+    weight = lambda x, by: F.exp(-F.greatest(F.lit(0.0), x["distance"] - by["rho"]) / by["sigma"])
+    weighed = bound(local, lambda by: F.transform("near", lambda x: F.struct(x["dst"].alias("dst"), weight(x, by).alias("weight"))))
+    return grouped.select("src", F.inline(weighed))
 
 
 def fuzzy_graph(knn: DataFrame) -> DataFrame:
     """The symmetric graph: w = a + b - ab of the two directions, each edge listed both ways."""
-    directed = fuzzy_weights(knn)
-    both = directed.select("src", "dst", F.col("weight").alias("out"), F.lit(0.0).alias("back")).unionByName(
-        directed.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(0.0).alias("out"), F.col("weight").alias("back"))
-    )
+    none, weight = F.lit(0.0), F.col("weight")
+    ways = [("src", "dst", weight, none), ("dst", "src", none, weight)]
+    listed = F.array(*[F.struct(F.col(a).alias("src"), F.col(b).alias("dst"), out.alias("out"), back.alias("back")) for a, b, out, back in ways])
+    both = fuzzy_weights(knn).select(F.inline(listed))
     summed = both.groupBy("src", "dst").agg(F.sum("out").alias("a"), F.sum("back").alias("b"))
     return summed.select("src", "dst", (F.col("a") + F.col("b") - F.col("a") * F.col("b")).alias("weight"))
 
@@ -83,15 +87,17 @@ def axis_names(n: int) -> list[str]:
 
 def pca(vectors: DataFrame, n_components: int = 2) -> DataFrame:
     """(unified_id, x, y, ...): the main axes, centred; an axis points where its largest component is positive."""
-    rows = vectors.filter(usable(F.col("embeddings"))).select(
+    # The fit goes over the rows several times, so unit vectors are computed once.
+    rows = cut(vectors.filter(usable(F.col("embeddings"))).select(
         "unified_id", array_to_vector(unit(F.col("embeddings"))).alias("features")
-    )
+    ))
     names = axis_names(n_components)
     model = PCA(k=n_components, inputCol="features", outputCol="pc").fit(rows)
     axes = model.pc.toArray()
     sign = [1.0 if axes[np.argmax(np.abs(axes[:, i])), i] > 0 else -1.0 for i in range(n_components)]
     placed = model.transform(rows).select("unified_id", vector_to_array("pc").alias("pc"))
-    flat = placed.select("unified_id", *[(F.col("pc")[i] * sign[i]).alias(name) for i, name in enumerate(names)])
+    flat = cut(placed.select("unified_id", *[(F.col("pc")[i] * sign[i]).alias(name) for i, name in enumerate(names)]))
+    discard(rows)
     means = flat.agg(*[F.avg(name) for name in names]).first()
     return flat.select("unified_id", *[(F.col(name) - mean).alias(name) for name, mean in zip(names, means, strict=True)])
 
