@@ -170,6 +170,21 @@ def test_a_learned_lexicon_scores_new_texts(spark):
     assert en.learn_lexicon(rated.filter("content_item_id = 'n'")).count() == 0
 
 
+def test_pairs_are_counted_by_numbers_that_tell_words_apart(spark, monkeypatch):
+    """No pair is spelled out before it is counted; a seed under which two words share a number is not used."""
+    given = docs(spark, *["new york is far, new york is big"] * 4, "a b a b a b a b a b a b", None, "", "one")
+    found = en.collocations(given, least=-1.0)
+    before, _, _ = found._jdf.queryExecution().optimizedPlan().toString().partition("posexplode")
+    counted = [line for line in before.split("\n") if "Aggregate" in line and "_first" in line]
+    assert counted and all("concat_ws" not in line for line in counted) and dict(found.dtypes)["term"] == "string"
+    plain, number, tried = rows(found), en._number, []
+    monkeypatch.setattr(en, "_number", lambda seed, w: tried.append(seed) or (F.length(w).cast("bigint") if seed == 42 else number(seed, w)))
+    assert rows(en.collocations(given, least=-1.0)) == plain and set(tried) == {42, 43}
+    monkeypatch.setattr(en, "PORTION", 40)
+    assert en._portions(given, "content").rdd.getNumPartitions() > 3 and rows(en.collocations(given, least=-1.0)) == plain
+    assert {r[0]: r[1] for r in plain} == {"new york": 8, "york is": 8, "a b": 6, "b a": 5}
+
+
 def test_collocations_and_phrases_as_keywords(spark):
     texts = [(f"d{i}", f"New York has {i} the parks and the streets") for i in range(10)] + [("x", "york new"), ("y", None), ("z", ""), ("w", "one")]
     given = spark.createDataFrame(texts, "content_item_id string, content string")

@@ -20,6 +20,9 @@ from threadloom.session import cut
 EMBEDDING_TASK = "CLUSTERING"
 LOOKBACK = dt.timedelta(days=2)
 
+# Characters of text in a task that counts pairs.
+PORTION = 1 << 24
+
 CACHE_COLUMNS = [
     "embeddings", "embedding_model_name", "embedding_task_type", "embedding_generated_at", "sentiment_score",
     "sentiment_magnitude",
@@ -244,30 +247,51 @@ def combine_enrichment(
 # --- keywords ---
 
 
-def _adjacent(text: Column) -> tuple[Column, Column]:
-    """The words of a text, to be named ``_w``, and of that column the neighbouring ones, joined by a space."""
-    found = words(text)
-    pairs = F.zip_with(F.slice("_w", 1, F.size("_w") - 1), F.slice("_w", 2, F.size("_w") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    return found, F.when(F.size("_w") > 1, pairs)
+def _adjacent(spoken: DataFrame, values: str, *kept: str) -> DataFrame:
+    """(``kept``, _first, _second): each value of the list ``values`` with the next one, in a row of its own."""
+    beside = F.arrays_zip(F.col(values).alias("a"), F.slice(values, 2, F.size(values)).alias("b"))
+    met = spoken.select(*kept, F.explode(beside).alias("_p")).filter("_p.b IS NOT NULL")
+    return met.select(*kept, F.col("_p.a").alias("_first"), F.col("_p.b").alias("_second"))
+
+
+def _portions(docs: DataFrame, text_col: str) -> DataFrame:
+    """The texts dealt over tasks of about ``PORTION`` characters, few enough that a task counts its distinct pairs in memory."""
+    chars = docs.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0))).first()[0]
+    return docs.select(text_col).repartition(max(1, -(-chars // PORTION)))
+
+
+def _number(seed: int, word: Column) -> Column:
+    return F.xxhash64(F.lit(seed), word)
+
+
+def _telling_seed(ones: DataFrame, seed: int = 42) -> int:
+    """The first seed from ``seed`` on that gives every word of ``ones(w)`` a number of its own."""
+    n = ones.count()
+    while ones.select(_number(seed, F.col("w")).alias("h")).distinct().count() < n:
+        seed += 1
+    return seed
 
 
 def collocations(docs: DataFrame, least_count: int = 5, least: float = 0.5, text_col: str = "content") -> DataFrame:
     """(term, n, npmi): neighbouring words that occur together far more often than their own counts let expect.
 
     The measure is the mutual information of the two words over -log(p) of the pair, 1 for words that only occur together and
-    0 for independent ones. Pairs are counted, those below ``least_count`` dropped, and the rest joined with the counts of
-    their words; a word that begins most pairs is split by the join. Null and empty texts give nothing.
+    0 for independent ones. Pairs are counted as two numbers, by a hash that is checked to tell all words apart; those below
+    ``least_count`` are dropped, and the rest joined with their words and the counts of these; a word that begins most pairs
+    is split by the join. Null and empty texts give nothing.
     """
-    found, pairs = _adjacent(F.col(text_col))
-    spoken = docs.select(found.alias("_w"))
+    spoken = docs.select(words(F.col(text_col)).alias("_w"))
     ones = cut(spoken.select(F.explode("_w").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c")))
-    twos = spoken.select(F.explode(pairs).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
-    ends = twos.withColumns({"_first": F.substring_index("term", " ", 1), "_second": F.substring_index("term", " ", -1)})
-    met = skew_join(ends, ones.select(F.col("w").alias("_first"), F.col("c").alias("_c1")), "_first")
-    met = skew_join(met, ones.select(F.col("w").alias("_second"), F.col("c").alias("_c2")), "_second")
+    seed = _telling_seed(ones)
+    numbered = _portions(docs, text_col).select(F.transform(words(F.col(text_col)), lambda w: _number(seed, w)).alias("_h"))
+    twos = _adjacent(numbered, "_h").groupBy("_first", "_second").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_count)
+    # A word of a pair occurs as often as the pair at least.
+    known = ones.filter(F.col("c") >= least_count).withColumn("_h", _number(seed, F.col("w")))
+    met = skew_join(twos, known.select(F.col("_h").alias("_first"), F.col("w").alias("_w1"), F.col("c").alias("_c1")), "_first")
+    met = skew_join(met, known.select(F.col("_h").alias("_second"), F.col("w").alias("_w2"), F.col("c").alias("_c2")), "_second")
     total = F.log(ones.agg(F.sum("c").cast("double")).scalar())
     npmi = (F.log("n") + total - F.log("_c1") - F.log("_c2")) / (total - F.log("n"))
-    return met.select("term", "n", F.round(npmi, 6).alias("npmi")).filter(F.col("npmi") >= least)
+    return met.select(F.concat_ws(" ", "_w1", "_w2").alias("term"), "n", F.round(npmi, 6).alias("npmi")).filter(F.col("npmi") >= least)
 
 
 def keywords(docs: DataFrame, k: int = 5, text_col: str = "content", phrases: DataFrame | None = None) -> DataFrame:
@@ -286,8 +310,8 @@ def keywords(docs: DataFrame, k: int = 5, text_col: str = "content", phrases: Da
     counted = F.zip_with("_at", ends, lambda a, b: F.struct(F.element_at("_s", a).alias("term"), (b - a).alias("tf")))
     tf = cut(runs.select("content_item_id", F.explode(counted).alias("c")).select("content_item_id", "c.term", "c.tf"))
     if phrases is not None:
-        found, pairs = _adjacent(F.col(text_col))
-        spoken = docs.select("content_item_id", found.alias("_w")).select("content_item_id", F.explode(pairs).alias("term"))
+        listed = docs.select("content_item_id", words(F.col(text_col)).alias("_w"))
+        spoken = _adjacent(listed, "_w", "content_item_id").select("content_item_id", F.concat_ws(" ", "_first", "_second").alias("term"))
         met = skew_join(spoken, phrases.select("term").distinct(), "term")
         more = met.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
         tf = cut(tf.unionByName(more))
