@@ -1,4 +1,8 @@
 import datetime as dt
+import math
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,3 +207,30 @@ def test_words_are_not_shuffled_to_meet_a_small_table(spark):
     listed = en.keywords(given, k=2)
     assert "hashpartitioning(term" not in final_plan(listed)
     assert {r[0]: r[1] for r in listed.collect()} == {"d0": ["two", "one"], "d1": ["three", "two"], "d2": ["one", "four"]}
+
+
+@pytest.mark.parametrize("common", [0, 6, 1000])
+def test_few_words_of_an_item_meet_their_counts(spark, monkeypatch, common):
+    """Words that cannot be among the best are neither written nor joined, however many words are known; the lists are those of a plain count."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["w%d" % min(rng.randrange(1, 40), rng.randrange(1, 40)), "rare%d" % rng.randrange(300), "new york"]) for _ in range(60)) for _ in range(40)]
+    texts += ["", "...", None, "one", texts[0]]
+    given = docs(spark, *texts)
+    monkeypatch.setattr(en, "COMMON", common)
+    written, cut = [], en.cut
+    monkeypatch.setattr(en, "cut", lambda df: written.append(cut(df)) or written[-1])
+    phrases = spark.createDataFrame([("new york",), ("york new",), ("not there",), ("one",), ("w1 w2 w3",), ("new york",)], "term string")
+    for k, some in ((3, None), (4, phrases)):
+        written.clear()
+        got = {r.content_item_id: r.keyword_list for r in en.keywords(given, k, phrases=some).collect()}
+        tf = {}
+        for i, text in enumerate(texts):
+            w = [x for x in re.split("[^a-z0-9]+", text or "") if x]
+            pairs = [p for p in map(" ".join, zip(w, w[1:])) if some is not None and p in ("new york", "york new")]
+            tf["d%d" % i] = Counter(w + pairs)
+        df = Counter(t for c in tf.values() for t in c)
+        weight = lambda n, t: round(n * math.log((len(texts) + 1) / (df[t] + 1)), 6)
+        want = {i: sorted(c, key=lambda t: (-weight(c[t], t), t))[:k] for i, c in tf.items() if c}
+        assert got == want
+        counted = [t.count() for t in written if "tf" in t.columns and "content_item_id" in t.columns]
+        assert counted and (common < 1000 or max(counted) < 0.7 * sum(map(len, tf.values())))

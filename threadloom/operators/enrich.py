@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -22,6 +24,11 @@ LOOKBACK = dt.timedelta(days=2)
 
 # Characters of text in a task that counts pairs.
 PORTION = 1 << 24
+# Words, the most common ones, whose counts a task knows while it looks for keywords; bits of the filter of phrases at most, and a phrase.
+COMMON = 1 << 19
+MOST_BITS, BITS_PER_PHRASE = 1 << 25, 16
+# Weights are compared with this much to spare, as they are rounded.
+_SLACK = 1e-5
 
 CACHE_COLUMNS = [
     "embeddings", "embedding_model_name", "embedding_task_type", "embedding_generated_at", "sentiment_score",
@@ -294,31 +301,130 @@ def collocations(docs: DataFrame, least_count: int = 5, least: float = 0.5, text
     return met.select(F.concat_ws(" ", "_w1", "_w2").alias("term"), "n", F.round(npmi, 6).alias("npmi")).filter(F.col("npmi") >= least)
 
 
+def _commonest(ones: DataFrame, seed: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The numbers, in order, and counts of the words of ``ones(w, df)`` with the highest counts, at most COMMON; all others' counts are below the last value.
+
+    It is a power of two, found by counting the words by the length of their counts in bits.
+    """
+    lengths = ones.groupBy(F.length(F.bin("df")).alias("bits")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("bits").desc()).collect()
+    edge, many = 1 << (lengths[0]["bits"] if lengths else 0), 0
+    for row in lengths:
+        many += row["n"]
+        if many > COMMON:
+            break
+        edge = 1 << (row["bits"] - 1)
+    rows = ones.filter(F.col("df") >= edge).select(_number(seed, F.col("w")).alias("h"), "df").toArrow()
+    numbers, counts = rows["h"].to_numpy(), rows["df"].to_numpy()
+    order = np.argsort(numbers)
+    return numbers[order], counts[order], edge
+
+
+def _rivals(numbers: Column, k: int, total: int, common: tuple[np.ndarray, np.ndarray, int]) -> Column:
+    """(at, tf): the place, from 0, and count of each word of a text that may be among the ``k`` of highest weight.
+
+    A common word's weight is known, another one's lies between those of the least and the greatest count it can have. A word is
+    left out if ``k`` others weigh more for certain. Words are told apart by their ``numbers``.
+    """
+
+    @F.pandas_udf("at array<int>, tf array<int>")
+    def of(column: pd.Series) -> pd.DataFrame:
+        known, counts, edge = common
+        sizes = np.array([0 if x is None else len(x) for x in column], np.int64)
+        word = np.concatenate([np.empty(0, np.int64), *[x for x in column if x is not None]])
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((word, row))
+        row, word = row[order], word[order]
+        starts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]))[: len(row)])
+        at = (np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[order[starts]].astype(np.int32)
+        tf = np.diff(np.append(starts, len(row))).astype(np.int32)
+        row, word = row[starts], word[starts]
+        low, high = np.ones(len(word)), np.full(len(word), edge - 1.0)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, word), len(known) - 1)
+            sure = known[place] == word
+            low[sure] = high[sure] = counts[place[sure]]
+        least, most = (tf * np.log((total + 1) / (df + 1)) for df in (high, low))
+        begins = np.searchsorted(row, np.arange(len(sizes) + 1))
+        enough = np.flatnonzero(np.diff(begins) >= k)
+        bound = np.full(len(sizes), -np.inf)
+        bound[enough] = least[np.lexsort((-least, row))][begins[enough] + k - 1]
+        keep = most >= bound[row] - _SLACK
+        cuts = np.searchsorted(row[keep], np.arange(1, len(sizes)))
+        if not len(sizes):
+            return pd.DataFrame({"at": [], "tf": []})
+        return pd.DataFrame({"at": np.split(at[keep], cuts), "tf": np.split(tf[keep], cuts)})
+
+    return of(numbers)
+
+
+def _pair_number(first: Column, second: Column) -> Column:
+    return F.xxhash64(first, second)
+
+
+def _phrase_filter(phrases: DataFrame, seed: int) -> np.ndarray:
+    """The 64-bit words of a Bloom filter of the numbers of ``phrases(term)`` of two words. Its size is bounded; a full one lets more pairs through."""
+    size = min(MOST_BITS, 1 << max(10, (BITS_PER_PHRASE * phrases.count() - 1).bit_length())) // 64
+    parts = F.split("term", " ")
+    number = _pair_number(_number(seed, F.element_at(parts, 1)), _number(seed, F.element_at(parts, 2)))
+    bit = lambda away: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", away).bitwiseAND(F.lit(63)).cast("int"))
+    slots = phrases.filter(F.size(parts) == 2).select(number.alias("h")).groupBy(F.pmod("h", F.lit(size)).alias("slot"))
+    rows = slots.agg(F.bit_or(bit(40).bitwiseOR(bit(50))).alias("mask")).toArrow()
+    out = np.zeros(size, np.int64)
+    out[rows["slot"].to_numpy()] = rows["mask"].to_numpy()
+    return out
+
+
+def _maybe_phrases(numbers: Column, table: np.ndarray) -> Column:
+    """The places, from 0, of words that may begin a phrase with the next one: all that do, and few others."""
+    many = F.greatest(F.size(numbers) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(numbers, 1, many), F.slice(numbers, 2, many), _pair_number)
+
+    @F.pandas_udf("array<int>")
+    def of(column: pd.Series) -> pd.Series:
+        def places(pair: np.ndarray | None) -> np.ndarray:
+            pair = np.empty(0, np.int64) if pair is None else pair
+            mask = (np.int64(1) << (pair >> 40 & 63)) | (np.int64(1) << (pair >> 50 & 63))
+            return np.flatnonzero(table[pair % len(table)] & mask == mask).astype(np.int32)
+
+        return pd.Series([places(pair) for pair in column], dtype=object)
+
+    return of(pairs)
+
+
+def _phrases_in(spoken: DataFrame, phrases: DataFrame, seed: int) -> DataFrame:
+    """(content_item_id, term, tf): the ``phrases`` in ``spoken(content_item_id, _w, _h)``; only pairs that their filter lets through meet them."""
+    maybe = spoken.select("content_item_id", "_w", _maybe_phrases(F.col("_h"), _phrase_filter(phrases, seed)).alias("_at"))
+    pair = F.transform("_at", lambda at: F.concat_ws(" ", F.get("_w", at), F.get("_w", at + 1)))
+    met = skew_join(maybe.select("content_item_id", F.explode(pair).alias("term")), phrases, "term")
+    return met.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+
+
 def keywords(docs: DataFrame, k: int = 5, text_col: str = "content", phrases: DataFrame | None = None) -> DataFrame:
     """The ``k`` words of highest tf-idf per item, best first; equal weights go by the word.
 
-    With ``phrases(term)``, such as :func:`collocations` finds, phrases count as terms beside their words. They meet the
-    neighbouring words of the texts in a join, and are counted before anything else is shuffled where their table is small.
+    With ``phrases(term)``, such as :func:`collocations` finds, phrases count as terms beside their words. Pairs of words that a filter
+    of the phrases lets through meet them in a join.
 
-    A word is counted within its row, so what is written once, counted per word and joined are (item, word, count)
-    rows; no text is shuffled. A word that is in most items is split by the join.
+    All words are counted first, by sums that combine before they shuffle. Then a word is counted within its row, and only those
+    of a row that may be among its ``k`` best are joined with their counts, as (item, word, count) rows; no text is shuffled.
+    A word that is in most items is split by the join.
     """
-    ordered = docs.select("content_item_id", F.array_sort(words(F.col(text_col))).alias("_s")).filter(F.size("_s") > 0)
-    first = lambda i: (i == 1) | (F.element_at("_s", i) != F.element_at("_s", F.greatest(i - 1, F.lit(1))))
-    runs = ordered.withColumn("_at", F.filter(F.sequence(F.lit(1), F.size("_s")), first))
-    ends = F.concat(F.slice("_at", 2, F.size("_at")), F.array(F.size("_s") + 1))
-    counted = F.zip_with("_at", ends, lambda a, b: F.struct(F.element_at("_s", a).alias("term"), (b - a).alias("tf")))
-    tf = cut(runs.select("content_item_id", F.explode(counted).alias("c")).select("content_item_id", "c.term", "c.tf"))
+    listed = docs.select("content_item_id", words(F.col(text_col)).alias("_w"))
+    ones = cut(listed.select(F.explode(F.array_distinct("_w")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("df")))
+    seed = _telling_seed(ones)
+    total = docs.count()
+    spoken = listed.select("*", F.transform("_w", lambda w: _number(seed, w)).alias("_h"))
+    rivals = spoken.select("content_item_id", "_w", _rivals(F.col("_h"), k, total, _commonest(ones, seed)).alias("_r"))
+    counted = F.zip_with("_r.at", "_r.tf", lambda at, n: F.struct(F.get("_w", at).alias("term"), n.alias("tf")))
+    tf = cut(rivals.select("content_item_id", F.explode(counted).alias("c")).select("content_item_id", "c.term", "c.tf"))
+    counts = ones.select(F.col("w").alias("term"), "df")
     if phrases is not None:
-        listed = docs.select("content_item_id", words(F.col(text_col)).alias("_w"))
-        spoken = _adjacent(listed, "_w", "content_item_id").select("content_item_id", F.concat_ws(" ", "_first", "_second").alias("term"))
-        met = skew_join(spoken, phrases.select("term").distinct(), "term")
-        more = met.groupBy("content_item_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-        tf = cut(tf.unionByName(more))
+        more = cut(_phrases_in(spoken, cut(phrases.select("term").distinct()), seed))
+        tf = tf.unionByName(more)
+        counts = counts.unionByName(more.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     # Words of one item are left out. What remains is written, so a table that may be broadcast is known to be small before any
     # word is shuffled; then each task passes on k words an item.
-    df = cut(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
-    total = docs.agg(F.count(F.lit(1))).scalar()
+    df = cut(counts.filter("df > 1"))
     weight = F.round(F.col("tf") * F.log((total + 1) / (F.coalesce("df", F.lit(1)) + 1)), 6)
     best = Window.partitionBy("content_item_id").orderBy(F.col("weight").desc(), "term")
     ranked = (
