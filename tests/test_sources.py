@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from threadloom import fixtures as fx
 from threadloom.functions.coerce import iso_timestamp, to_long
 from threadloom.functions.text import cut_query, has_text, trim_ws, words
 from threadloom.schemas import QUORA_DATA, QUORA_WIRE, REDDIT_DATA, REDDIT_DATASET_ID, REDDIT_WIRE, fields
@@ -172,3 +173,20 @@ def test_a_batch_is_a_header_and_its_links(spark):
 def test_selection(spark):
     df = spark.createDataFrame([(" a ",), ("a",), ("\t",), (None,), ("b",)], "id string")
     assert rows(selection(df, "id")) == [("a",), ("b",)]
+
+
+def test_documents_in_many_parts_are_not_copied(spark, tmp_path):
+    """One small file is dealt over as many as there are cores; a table that has so many parts is read where it is. The items are the same."""
+    texts = [(i, f"text {i}" if i % 3 else None, "en", "a", 6) for i in range(200)]
+    given = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    many = spark.sparkContext.defaultParallelism
+    given.coalesce(1).write.parquet(f"{tmp_path}/one/documents.parquet")
+    given.repartition(3 * many).write.parquet(f"{tmp_path}/many/documents.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a part for each file
+    try:
+        one, parts = (fx.document_items(spark, f"{tmp_path}/{name}") for name in ("one", "many"))
+        assert rows(one) == rows(parts) and len(rows(one)) == 200
+        assert all("/many/documents.parquet" in name for name in parts.inputFiles())
+        assert len(one.inputFiles()) == many and not any("/one/documents.parquet" in name for name in one.inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

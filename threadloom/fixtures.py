@@ -176,9 +176,14 @@ def build_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as items: load times spread over the five days before 2024-03-01."""
-    doc = F.col("doc_id")
-    return staged(spark, sf_dir, "documents", build_documents).select(
+    """``documents`` as items: load times spread over the five days before 2024-03-01.
+
+    A table that Spark reads in as many parts as there are cores is read where it is, and not copied.
+    """
+    doc, given = F.col("doc_id"), table(spark, sf_dir, "documents")
+    if given.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        given = staged(spark, sf_dir, "documents", build_documents)
+    return given.select(
         F.col("source"),
         F.lit("post").alias("content_type"),
         doc.cast("string").alias("content_item_id"),
