@@ -102,6 +102,41 @@ def test_descent_goes_on_until_enough_is_found(spark):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_neighbours_that_have_met_are_not_compared_again(metric):
+    """Around a vector only pairs with a newcomer are compared, many vectors at a time; what lies beyond a limit is left out."""
+    import pyarrow as pa
+
+    from threadloom.operators.neighbours import _meetings
+
+    rng = np.random.default_rng(2)
+    vec = rng.normal(size=(40, 8)) if metric == "euclidean" else (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.normal(size=(40, 8)))
+    away = 1 - vec @ vec.T if metric == "cosine" else np.sqrt(((vec[:, None] - vec[None]) ** 2).sum(2))
+    limit = np.median(away)
+    members = {c: sorted(rng.choice(40, size, replace=False).tolist()) for c, size in ((3, 12), (5, 1), (9, 7), (11, 20))}
+    newcomers = {3: set(members[3][:2]), 5: set(members[5]), 9: set(), 11: set(members[11][5:9])}
+    rows = [(c, m, m in newcomers[c]) for c, of in members.items() for m in of] + [(3, members[3][0], False)]
+    rows.sort(key=lambda r: r[0])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows]),
+         pa.array(np.full(len(rows), limit, np.float32)), pa.array([vec[r[1]].tolist() for r in rows])],
+        ["_with", "n", "fresh", "limit", "vec"],
+    )
+    got = [(r["n"], o, round(d, 4)) for out in _meetings("_with", metric)(iter(batch.slice(i, 9) for i in range(0, len(rows), 9))) for r in out.to_pylist() for o, d in zip(r["others"], r["away"], strict=True)]
+    want = [(a, b, round(away[a, b], 4)) for c, of in members.items() for a in of for b in of if a != b and {a, b} & newcomers[c] and away[a, b] < limit]
+    assert len(got) == len(want) > 20
+    assert all(g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-3 for g, w in zip(sorted(got), sorted(want), strict=True))
+
+
+def test_descent_of_few_vectors(spark):
+    """None, one, two, and copies alone."""
+    some = [[1.0, 0.0], [0.0, 1.0], [1.0, 0.0], None, [0.0, 0.0]]
+    for n, edges in ((0, 0), (1, 0), (2, 2), (3, 6), (5, 6)):
+        given = spark.createDataFrame([(f"v{i}", v) for i, v in enumerate(some[:n])], "unified_id string, embeddings array<double>")
+        got = found(knn_graph(given, 3, method="descent"))
+        assert len(got) == edges and found(knn_graph(given, 3)) == got
+
+
 def test_a_vector_is_sent_once_per_block(spark, clusters):
     from threadloom.operators.neighbours import _exact
 

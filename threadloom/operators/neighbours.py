@@ -5,7 +5,8 @@ can be; then every pair of blocks meets in one task, so a vector is sent ``block
 precision, for both its directions. Distances, in double precision, are computed of those pairs only that the bounds and the error of
 a score do not rule out. The work is that of all pairs, which an exact search over data without structure needs. Descent (Dong et
 al., "Efficient K-Nearest Neighbor Graph Construction") starts from neighbours within blocks along random directions and then looks at the
-neighbours of neighbours, which meet around each vector, at most (2k)^2 pairs of them; it ends when a sample shows enough
+neighbours of neighbours, which meet around each vector, at most twice as many as are kept, where only pairs with a newcomer are
+compared; it ends when a sample shows enough
 recall, and is for maps too large for all pairs.
 
 Cells: vectors are put into the cells of k-means centres and first compared within them, which bounds how far a vector's
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -334,66 +336,230 @@ def _nearest_of_some(distinct: DataFrame, k: int, some: int, seed: int, metric:
     return _best(distinct.select("rep", "vec").mapInPandas(search, _FOUND), k)
 
 
-def _introduce(k: int, metric: str):
-    """Neighbours of one vector meet: each gets the k nearest of the others that lie within its ``limit``."""
+def _whole(batches: Iterator[pa.RecordBatch], key: str, at_least: int = 20_000) -> Iterator[pa.Table]:
+    """Batches of rows sorted by ``key`` joined up such that no key is divided."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= at_least:
+            joined = pa.Table.from_batches(held).combine_chunks()
+            keys = joined[key].to_numpy()
+            last = int(np.searchsorted(keys, keys[-1]))
+            if last:
+                yield joined.slice(0, last).combine_chunks()
+            held = joined.slice(last).combine_chunks().to_batches()
+            rows = len(keys) - last
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _flat(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists, and the row of each; a null list has none."""
+    lists = table[name].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(lists)), sizes)
+
+
+def _lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, kind))
+
+
+_NEAR = "n long, others array<long>, away array<float>"
+
+
+def _found_near(names: np.ndarray, away: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row per place (g, i) with something kept in ``keep[g, i, j]``: the names and distances of what is."""
+    group, i, j = np.nonzero(keep)
+    sizes = keep.sum(2)
+    some = sizes > 0
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(names[some]), _lists(sizes[some], names[group, j], pa.int64()), _lists(sizes[some], away[group, i, j], pa.float32())],
+        ["n", "others", "away"],
+    )
+
+
+def _meetings(key: str, metric: str, wide: int | None = None):
+    """All rows of a ``key`` meet; each gets the others nearer than its ``limit``, or, with ``wide``, so many nearest ones.
+
+    Rows are (key, n, vec) and, without ``wide``, ``limit`` and ``fresh``: two that are both not fresh have met before. Keys are
+    compared many at a time, each with as much room as the largest.
+    """
 
-    def search(place: pd.DataFrame) -> pd.DataFrame:
-        vec, ids = np.array(place["vec"].tolist()), place["rep"].to_numpy()
-        distance = np.round(_distances(vec, vec, metric), _PLACES)
-        np.fill_diagonal(distance, np.nan)
-        first = np.argsort(distance, axis=1, kind="stable")[:, : min(k, len(ids) - 1)]
-        near = np.take_along_axis(distance, first, 1)
-        row, col = np.nonzero(near <= place["limit"].to_numpy()[:, None])
-        return pd.DataFrame({"rep": ids[row], "other": ids[first[row, col]], "distance": near[row, col]})
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, key):
+            ids, name = table[key].to_numpy(), table["n"].to_numpy()
+            vec = _flat(table, "vec")[0].reshape(len(ids), -1)
+            fresh = np.ones(len(ids), bool) if wide else table["fresh"].to_numpy()
+            limit = np.full(len(ids), np.inf, np.float32) if wide else table["limit"].to_numpy()
+            order = np.lexsort((~fresh, name, ids))
+            order = order[np.append(True, (np.diff(ids[order]) != 0) | (np.diff(name[order]) != 0))]
+            starts = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
+            sizes = np.diff(np.append(starts, len(order)))
+            by_size = np.argsort(sizes, kind="stable")
+            by_size = by_size[np.add.reduceat(fresh[order].astype(np.int64), starts)[by_size] > 0]
+            at = 0
+            while at < len(by_size):
+                # Keys of like size together, so little room is empty.
+                upto = at + 1
+                while upto < len(by_size) and (upto + 1 - at) * int(sizes[by_size[upto]]) ** 2 <= _DISTANCES // 4:
+                    upto += 1
+                chosen = by_size[at:upto]
+                at, room = upto, int(sizes[chosen].max())
+                place = starts[chosen][:, None] + np.minimum(np.arange(room)[None], sizes[chosen][:, None] - 1)
+                there = np.arange(room)[None] < sizes[chosen][:, None]
+                rows = order[place]
+                held = vec[rows]
+                met = held @ held.transpose(0, 2, 1)
+                if metric == "cosine":
+                    away = np.clip(1 - met, 0, 2)
+                else:
+                    squares = np.einsum("gid,gid->gi", held, held)
+                    away = np.sqrt(np.maximum(squares[:, :, None] + squares[:, None] - 2 * met, 0))
+                away = away.astype(np.float32)
+                may = there[:, :, None] & there[:, None] & (fresh[rows][:, :, None] | fresh[rows][:, None]) & ~np.eye(room, dtype=bool)
+                if wide and wide < room:
+                    away[~may] = np.inf
+                    may &= away <= np.partition(away, wide - 1, axis=2)[:, :, wide - 1 : wide]
+                else:
+                    may &= away < limit[rows][:, :, None]
+                yield from _found_near(name[rows], away, may)
 
     return search
 
 
+def _merged(wide: int):
+    """Of all rows of one ``n`` the ``wide`` nearest others; ``fresh`` are those that the row with a vector did not have."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, "n"):
+            n = table["n"].to_numpy()
+            other, row = _flat(table, "others")
+            away, old = _flat(table, "away")[0], table["vec"].is_valid().to_numpy()
+            order = np.lexsort((~old[row], other, n[row]))
+            first = np.append(True, (np.diff(n[row][order]) != 0) | (np.diff(other[order]) != 0))[: len(order)]
+            order = order[first]
+            order = order[np.lexsort((other[order], away[order], n[row[order]]))]
+            mine = n[row[order]]
+            order = order[np.arange(len(mine)) - np.searchsorted(mine, mine) < wide]
+            kept = np.flatnonzero(old)
+            sizes = np.searchsorted(n[row[order]], n[kept], "right") - np.searchsorted(n[row[order]], n[kept], "left")
+            vec = table["vec"].combine_chunks()
+            vec = vec.chunk(0) if isinstance(vec, pa.ChunkedArray) else vec
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(n[kept]), vec.take(pa.array(kept)), _lists(sizes, other[order], pa.int64()),
+                    _lists(sizes, away[order], pa.float32()), _lists(sizes, ~old[row[order]], pa.bool_()),
+                ],
+                ["n", "vec", "others", "away", "fresh"],
+            )
+
+    return merge
+
+
+def _along(vec: Column, directions: np.ndarray) -> Column:
+    """How far a vector reaches along each of the directions."""
+
+    @F.pandas_udf("array<double>")
+    def of(column: pd.Series) -> pd.Series:
+        return pd.Series(list(np.array(column.tolist(), np.float64).reshape(len(column), -1) @ directions), dtype=object)
+
+    return of(vec)
+
+
+def _block(along: Column, edges: list[list[float]]) -> Column:
+    """The block of each turn, as one number."""
+
+    @F.pandas_udf("array<long>")
+    def of(column: pd.Series) -> pd.Series:
+        far = np.array(column.tolist()).reshape(len(column), -1)
+        return pd.Series(list(np.stack([np.searchsorted(e, far[:, t]) * len(edges) + t for t, e in enumerate(edges)], axis=1)), dtype=object)
+
+    return of(along)
+
+
+def _first_near(numbered: DataFrame, wide: int, block_rows: int, turns: int, seed: int, metric: str) -> DataFrame:
+    """(n, others, away) within blocks of about ``block_rows`` vectors along random directions."""
+    some = numbered.select(F.size("vec").alias("d")).first()
+    blocks = max(1, -(-numbered.count() // block_rows))
+    directions = np.random.default_rng(seed).uniform(-1, 1, (some["d"] if some else 1, turns))
+    along = cut(numbered.select("n", "vec", _along(F.col("vec"), directions).alias("_along")))
+    edges = [[] for _ in range(turns)]
+    if blocks > 1:
+        reach = along.select(*[F.col("_along")[t].alias(f"_{t}") for t in range(turns)])
+        edges = reach.approxQuantile(reach.columns, [i / blocks for i in range(1, blocks)], 0.1 / blocks)
+    placed = along.select("n", "vec", F.explode(_block(F.col("_along"), edges)).alias("_i"))
+    return placed.repartition("_i").sortWithinPartitions("_i").mapInArrow(_meetings("_i", metric, wide), _NEAR)
+
+
 def _descent(distinct: DataFrame, k: int, pool: int, block_rows: int, rounds: int, recall: float, seed: int, metric: str) -> DataFrame:
     """Blocks along random directions, then the neighbours of neighbours, in both directions, until enough are found.
 
-    ``pool * k`` neighbours are kept on the way. Of the vectors that name one as their neighbour, at most as many are followed
-    back, so a vector that everybody names stays bounded. After ``rounds`` rounds those go on until of the true neighbours of
-    SOME_VECTORS vectors the share ``recall`` is found; a round that gains little makes the next one keep half as many again.
+    ``pool * k`` neighbours are kept on the way, in a row per vector. Of the vectors that name one as their neighbour, at most as many
+    are followed back, so a vector that everybody names stays bounded. Neighbours meet around a vector, and only pairs of which one
+    has come there in the last round are compared. After ``rounds`` rounds those go on until of the true neighbours of SOME_VECTORS
+    vectors the share ``recall`` is found; when the gains show that this will not be reached, half as many again are kept and all meet anew.
+    Distances of unit vectors are of single precision on the way; those of the first k, and of what may be as near, are computed in the end.
     """
-    n = distinct.count()
-    wide = pool * k
-    blocks = max(1, -(-n // block_rows))
-    found = None
-    for turn in range(2):
-        axis = F.transform("vec", lambda x, i: x * (F.pmod(F.xxhash64(i, F.lit(seed), F.lit(turn)), F.lit(2001)) - 1000) / 1000.0)
-        along = distinct.withColumn("_along", F.aggregate(axis, F.lit(0.0), lambda s, x: s + x))
-        edges = along.approxQuantile("_along", [i / blocks for i in range(1, blocks)], 0.1 / blocks) if blocks > 1 else []
-        block = F.size(F.filter(F.array(*[F.lit(e) for e in edges]).cast("array<double>"), lambda e: e < F.col("_along")))
-        own = along.select("rep", "vec", block.alias("_i")).groupBy("_i").applyInPandas(_within(wide, metric), _FOUND)
-        found = own if found is None else found.unionByName(own)
-    once = lambda rows: rows.groupBy("rep", "other").agg(F.min("distance").alias("distance"))
-    best = cut(_best(once(found), wide))
-    truth = cut(_nearest_of_some(distinct, k, SOME_VECTORS, seed, metric))
-    wanted, last, turn = truth.count(), 0.0, 0
+    n, wide = distinct.count(), pool * k
+    numbered = cut(distinct.select(F.monotonically_increasing_id().alias("n"), "rep", "vec"))
+    truth = _nearest_of_some(numbered.select(F.col("n").cast("string").alias("rep"), "vec"), k, SOME_VECTORS, seed, metric).collect()
+    true = {(int(r["rep"]), int(r["other"])) for r in truth}
+    asked = list({a for a, _ in true})
+    kind = "array<float>" if metric == "cosine" else "array<double>"
+    light = numbered.select("n", F.col("vec").cast(kind).alias("vec"))
+    columns = f"n long, vec {kind}, others array<long>, away array<float>, fresh array<boolean>"
+
+    def merged(*found: DataFrame) -> DataFrame:
+        rows = found[0].select("n", "vec", "others", "away")
+        for other in found[1:]:
+            rows = rows.unionByName(other.withColumn("vec", F.lit(None).cast(kind)))
+        return cut(rows.repartition("n").sortWithinPartitions("n").mapInArrow(_merged(wide), columns))
+
+    empty = light.withColumns({"others": F.array().cast("array<long>"), "away": F.array().cast("array<float>")})
+    state = merged(empty, _first_near(light, wide, block_rows, 2, seed, metric))
+    shares, turn, anew = [], 0, False
     while True:
-        if turn >= rounds:
-            mine = _best(best.join(F.broadcast(truth.select("rep").distinct()), "rep", "left_semi"), k)
-            share = mine.join(F.broadcast(truth.select("rep", "other")), ["rep", "other"]).count() / max(1, wanted)
-            if share >= recall or wide >= 2 * n:
-                break
-            if share - last < LEAST_GAIN:
-                wide += wide // 2
-            last = share
+        mine = state.filter(F.col("n").isin(asked)).select("n", F.slice("others", 1, k - 1).alias("others")).collect() if asked else []
+        hits = sum((r["n"], b) in true for r in mine for b in [r["n"], *r["others"]])
+        shares.append(hits / max(1, len(true)))
+        if turn >= rounds and (shares[-1] >= recall or wide >= 2 * n):
+            break
+        if turn > 1 and _ends_below(shares, recall):
+            # Lists that are to grow take what lies somewhat farther; pairs that have met before meet again.
+            wide, anew = wide + wide // 2, True
         turn += 1
-        forward = best.filter(F.col("rep") != F.col("other")).select(F.col("rep").alias("a"), F.col("other").alias("b"))
-        by_hash = Window.partitionBy("b").orderBy(F.xxhash64("a", F.lit(seed)))
-        back = forward.withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= wide)
-        near = forward.unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        limits = best.groupBy("rep").agg(F.when(F.count(F.lit(1)) >= wide, F.max("distance")).otherwise(float("inf")).alias("limit"))
-        members = distinct.select("rep", "vec").join(limits, "rep")
-        met = near.select(F.col("a").alias("_with"), F.col("b").alias("rep")).join(members, "rep")
-        compared = met.groupBy("_with").applyInPandas(_introduce(wide, metric), _FOUND)
-        after = cut(_best(once(best.unionByName(compared)), wide))
-        discard(best)
-        best = after
-    discard(truth)
-    return best
+        edges = state.select(F.col("n").alias("a"), F.explode(F.arrays_zip("others", "fresh")).alias("e"))
+        edges = edges.select("a", F.col("e.others").alias("b"), (F.col("e.fresh") | F.lit(anew)).alias("fresh"))
+        by_hash = Window.partitionBy("b").orderBy(F.col("fresh").desc(), F.xxhash64("a", F.lit(seed)))
+        back = edges.withColumn("_place", F.row_number().over(by_hash)).filter(F.col("_place") <= wide)
+        near = edges.select(F.col("a").alias("_with"), F.col("b").alias("n"), "fresh").unionByName(back.select(F.col("b").alias("_with"), F.col("a").alias("n"), "fresh"))
+        last, many = F.try_element_at("away", F.lit(-1)), F.size("away")
+        grown = F.when(2 * many >= wide, 2 * last - F.try_element_at("away", F.greatest(many / 2, F.lit(1)).cast("int"))).otherwise(float("inf"))
+        limit = F.when(many >= wide, last).when(many > 0, grown).otherwise(float("inf")).cast("float")
+        met = skew_join(near, state.select("n", "vec", limit.alias("limit")), "n")
+        compared = met.repartition("_with").sortWithinPartitions("_with").mapInArrow(_meetings("_with", metric), _NEAR)
+        after = merged(state, compared)
+        discard(state)
+        state, anew = after, False
+    bound = F.try_element_at("away", F.least(F.size("away"), F.lit(k)))
+    close = F.filter(F.arrays_zip("others", "away"), lambda x: x["away"] <= bound + 1e-5 * (1 + bound))
+    pairs = state.filter(F.size("away") > 0).select("n", F.explode(close).alias("x")).select("n", F.col("x.others").alias("m"))
+    ends = skew_join(pairs, numbered, "n").select("m", "rep", F.col("vec").alias("_a"))
+    both = skew_join(ends, numbered.select(F.col("n").alias("m"), F.col("rep").alias("other"), F.col("vec").alias("_b")), "m")
+    found = cut(both.select("rep", "other", F.round(_distance(F.col("_a"), F.col("_b"), metric), _PLACES).alias("distance")))
+    discard(state)
+    return found.unionByName(numbered.select("rep", F.col("rep").alias("other"), F.lit(0.0).alias("distance")))
+
+
+def _ends_below(shares: list[float], recall: float) -> bool:
+    """Whether gains that go on to shrink as in the last round, or have become small, end below ``recall``."""
+    gain, before = shares[-1] - shares[-2], shares[-2] - shares[-3]
+    if shares[-1] >= recall:
+        return False
+    return gain < LEAST_GAIN or (gain < before and shares[-1] + gain * gain / (before - gain) < recall)
 
 
 def knn_graph(
